@@ -7,14 +7,22 @@ order and number formats of the input. A change to one member touches that membe
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is evaluated once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def quote(text: Column) -> Column:
     """A string as a JSON string literal."""
-    wrapped = F.to_json(F.array(text))
-    return F.substring(wrapped, F.lit(2), F.length(wrapped) - 2)
+    return let(
+        F.to_json(F.array(text)), lambda wrapped: F.substring(wrapped, F.lit(2), F.length(wrapped) - 2)
+    )
 
 
 def is_object(text: Column) -> Column:
@@ -27,17 +35,24 @@ def is_array(text: Column) -> Column:
 
 def entries(text: Column) -> Column:
     """array<struct<key, value>> of a JSON object in document order; null if it is not an object."""
-    plain = F.from_json(text, "map<string,string>")
-    typed = F.from_json(text, "map<string,variant>")
 
     def entry(pair: Column, value: Column) -> Column:
-        encoded = F.to_json(value)
-        kept = F.when(F.startswith(encoded, F.lit('"')), encoded).otherwise(
-            F.coalesce(pair["value"], F.lit("null"))
+        kept = let(
+            F.to_json(value),
+            lambda encoded: F.when(F.startswith(encoded, F.lit('"')), encoded).otherwise(
+                F.coalesce(pair["value"], F.lit("null"))
+            ),
         )
         return F.struct(pair["key"].alias("key"), kept.alias("value"))
 
-    return F.zip_with(F.map_entries(plain), F.map_values(typed), entry)
+    return let(
+        text,
+        lambda t: F.zip_with(
+            F.map_entries(F.from_json(t, "map<string,string>")),
+            F.map_values(F.from_json(t, "map<string,variant>")),
+            entry,
+        ),
+    )
 
 
 def object_text(items: Column) -> Column:
@@ -46,6 +61,10 @@ def object_text(items: Column) -> Column:
     return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
 
 
+def keys_of(items: Column) -> Column:
+    return F.transform(items, lambda e: e["key"])
+
+
 def member(items: Column, key: str | Column) -> Column:
     """Value text of a key, or null when the key is absent."""
     found = F.filter(items, lambda e: e["key"] == key)
@@ -58,27 +77,32 @@ def has_member(items: Column, key: str) -> Column:
 
 def replace_member(items: Column, key: str, value: Column) -> Column:
     """Give an existing key a new value in place; an absent key stays absent."""
-    return F.transform(
-        items,
-        lambda e: F.struct(
-            e["key"].alias("key"), F.when(e["key"] == key, value).otherwise(e["value"]).alias("value")
-        ),
-    )
 
+    def put(new: Column) -> Column:
+        return F.transform(
+            items,
+            lambda e: F.struct(
+                e["key"].alias("key"), F.when(e["key"] == key, new).otherwise(e["value"]).alias("value")
+            ),
+        )
 
-def drop_members(items: Column, keys: tuple[str, ...]) -> Column:
-    return F.filter(items, lambda e: ~e["key"].isin(*keys))
+    return let(value, put)
 
 
 def as_int(text: Column) -> Column:
     """Integer reading of a JSON value: numeric strings count, anything else is 0."""
+
+    def plain_int(plain: Column) -> Column:
+        return let(
+            plain.try_cast("double"),
+            lambda real: F.when(plain == "true", F.when(text == "true", F.lit(1)).otherwise(F.lit(0)))
+            .when(plain.rlike(r"^[+-]?[0-9]+$"), F.coalesce(plain.try_cast("int"), F.lit(0)))
+            .when(real.isNull() | F.isnan(real), F.lit(0))
+            .otherwise(
+                F.least(F.greatest(real, F.lit(-2147483648.0)), F.lit(2147483647.0)).cast("int")
+            ),
+        )
+
     is_string = F.startswith(text, F.lit('"'))
-    plain = F.trim(F.when(is_string, F.substring(text, F.lit(2), F.length(text) - 2)).otherwise(text))
-    real = plain.try_cast("double")
-    bounded = F.least(F.greatest(real, F.lit(-2147483648.0)), F.lit(2147483647.0)).cast("int")
-    return (
-        F.when(text == "true", F.lit(1))
-        .when(plain.rlike(r"^[+-]?[0-9]+$"), F.coalesce(plain.try_cast("int"), F.lit(0)))
-        .when(real.isNull() | F.isnan(real), F.lit(0))
-        .otherwise(bounded)
-    )
+    inside = F.substring(text, F.lit(2), F.length(text) - 2)
+    return let(F.trim(F.when(is_string, inside).otherwise(text)), plain_int)

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shardlift.fixed import MAPPING_WRAPPERS
-from shardlift.functions.jsontext import entries, is_array, is_object, member
+from shardlift.functions.jsontext import entries, is_array, is_object, keys_of, let, member
 
 
 def unwrap_mappings(text: Column, wrappers: Sequence[str] = MAPPING_WRAPPERS) -> Column:
@@ -18,19 +18,33 @@ def unwrap_mappings(text: Column, wrappers: Sequence[str] = MAPPING_WRAPPERS) ->
     Only element 0 of an array is looked at. Anything but an array of objects is left alone, and so
     is a wrapper whose own value is not an object. An empty array and an unknown wrapper are problems.
     """
-    first = F.get(F.from_json(text, "array<string>"), F.lit(0))
-    holder = entries(first)
-    names = F.transform(holder, lambda e: e["key"])
-    inner = reduce(
-        lambda chain, name: chain.when(F.array_contains(names, name), member(holder, name)),
-        wrappers[1:],
-        F.when(F.array_contains(names, wrappers[0]), member(holder, wrappers[0])),
-    )
-    empty = text == "[]"
-    # Compact text, so an array whose first element is an object starts like this.
-    wrapped = F.startswith(text, F.lit("[{"))
-    problem = F.when(empty, F.lit("mappings array is empty")).when(
-        wrapped & inner.isNull(), F.lit("mappings have none of the expected wrappers")
+
+    def choose(t: Column, holder: Column, names: Column) -> Column:
+        inner = reduce(
+            lambda chain, name: chain.when(F.array_contains(names, name), member(holder, name)),
+            wrappers[1:],
+            F.when(F.array_contains(names, wrappers[0]), member(holder, wrappers[0])),
+        )
+        # Compact text, so an array whose first element is an object starts like this.
+        wrapped = F.startswith(t, F.lit("[{"))
+        problem = F.when(t == "[]", F.lit("mappings array is empty"))
+        return let(
+            inner,
+            lambda found: F.struct(
+                F.when(wrapped & is_object(found), found).otherwise(t).alias("value"),
+                problem.when(
+                    wrapped & found.isNull(), F.lit("mappings have none of the expected wrappers")
+                ).alias("problem"),
+            ),
+        )
+
+    def first_element(t: Column) -> Column:
+        return entries(F.get(F.from_json(t, "array<string>"), F.lit(0)))
+
+    return let(
+        text,
+        lambda t: let(
+            F.when(is_array(t), first_element(t)),
+            lambda holder: let(keys_of(holder), lambda names: choose(t, holder, names)),
+        ),
     )
-    value = F.when(is_array(text) & wrapped & is_object(inner), inner).otherwise(text)
-    return F.struct(value.alias("value"), problem.alias("problem"))

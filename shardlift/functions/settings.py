@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from shardlift.fixed import REJECTED_SETTINGS
 from shardlift.functions.jsontext import (
     as_int,
-    drop_members,
     entries,
-    has_member,
     is_object,
+    keys_of,
+    let,
     member,
     quote,
     replace_member,
@@ -30,6 +30,14 @@ def _leaf(path: Column, ord_: Column, value: Column) -> Column:
     return F.struct(path.alias("path"), ord_.cast("int").alias("ord"), value.alias("value"))
 
 
+def _no_leaves() -> Column:
+    return F.array().cast(LEAVES)
+
+
+def _tree(leaves: Column, problem: Column) -> Column:
+    return F.struct(leaves.alias("leaves"), problem.alias("problem"))
+
+
 def _starts_with(path: Column, prefix: Column) -> Column:
     return F.slice(path, F.lit(1), F.size(prefix)) == prefix
 
@@ -62,15 +70,17 @@ def _open_object(leaf: Column, also: Column) -> Column:
 
 def _overlaps(leaves: Column) -> Column:
     """Whether some path equals or extends another: in sorted order it must then extend its neighbour."""
-    ordered = _sorted(leaves)
-    return F.exists(
-        F.transform(
-            ordered,
-            lambda x, i: F.coalesce(
-                _starts_with(x["path"], F.get(ordered, i - 1)["path"]), F.lit(False)
+    return let(
+        _sorted(leaves),
+        lambda ordered: F.exists(
+            F.transform(
+                ordered,
+                lambda x, i: F.coalesce(
+                    _starts_with(x["path"], F.get(ordered, i - 1)["path"]), F.lit(False)
+                ),
             ),
+            lambda hit: hit,
         ),
-        lambda hit: hit,
     )
 
 
@@ -102,13 +112,8 @@ def tree_leaves(text: Column, merge_depth: int = 4) -> Column:
     Keys apply in document order. A later key replaces whatever stands at its path; a key that has to
     pass through a plain value is a problem; a key that passes through an object value merges into it.
     """
-    items = entries(text)
-    writes = flat_entries(items)
-    dots_only = F.exists(items, lambda e: e["key"].rlike(r"^\.+$"))
-
-    opened = _expand_shared(writes, writes, merge_depth)
 
-    def alive_before(leaf: Column, write: Column) -> Column:
+    def alive_before(writes: Column, leaf: Column, write: Column) -> Column:
         return ~F.exists(
             writes,
             lambda w: (w["ord"] > leaf["ord"])
@@ -116,41 +121,65 @@ def tree_leaves(text: Column, merge_depth: int = 4) -> Column:
             & _starts_with(leaf["path"], w["path"]),
         )
 
-    blocked = F.exists(
-        writes,
-        lambda w: F.exists(
+    def blocked(writes: Column, opened: Column) -> Column:
+        return F.exists(
+            writes,
+            lambda w: F.exists(
+                opened,
+                lambda x: (x["ord"] < w["ord"])
+                & (F.size(x["path"]) < F.size(w["path"]))
+                & _starts_with(w["path"], x["path"])
+                & (x["value"] != "{}")
+                & alive_before(writes, x, w),
+            ),
+        )
+
+    def survivors(writes: Column, opened: Column) -> Column:
+        return F.filter(
             opened,
-            lambda x: (x["ord"] < w["ord"])
-            & (F.size(x["path"]) < F.size(w["path"]))
-            & _starts_with(w["path"], x["path"])
-            & (x["value"] != "{}")
-            & alive_before(x, w),
-        ),
-    )
-    survivors = F.filter(
-        opened,
-        lambda x: ~F.exists(
-            writes, lambda w: (w["ord"] > x["ord"]) & _starts_with(x["path"], w["path"])
-        ),
-    )
-    merged = F.filter(
-        survivors,
-        lambda x: ~(
-            (x["value"] == "{}")
-            & F.exists(
-                survivors,
-                lambda y: (F.size(y["path"]) > F.size(x["path"])) & _starts_with(y["path"], x["path"]),
+            lambda x: ~F.exists(
+                writes, lambda w: (w["ord"] > x["ord"]) & _starts_with(x["path"], w["path"])
+            ),
+        )
+
+    def without_filled(leaves: Column) -> Column:
+        return F.filter(
+            leaves,
+            lambda x: ~(
+                (x["value"] == "{}")
+                & F.exists(
+                    leaves,
+                    lambda y: (F.size(y["path"]) > F.size(x["path"])) & _starts_with(y["path"], x["path"]),
+                )
+            ),
+        )
+
+    def merged(writes: Column) -> Column:
+        return let(
+            _expand_shared(writes, writes, merge_depth),
+            lambda opened: _tree(
+                let(survivors(writes, opened), without_filled),
+                F.when(blocked(writes, opened), F.lit("settings key passes through a value")),
+            ),
+        )
+
+    def build(items: Column) -> Column:
+        none = F.lit(None).cast("string")
+        return (
+            F.when(items.isNull(), _tree(_no_leaves(), F.lit("settings are missing or not an object")))
+            .when(
+                F.exists(items, lambda e: e["key"].rlike(r"^\.+$")),
+                _tree(_no_leaves(), F.lit("settings key has no name")),
             )
-        ),
-    )
-    overlap = _overlaps(writes)
-    problem = (
-        F.when(items.isNull(), F.lit("settings are missing or not an object"))
-        .when(dots_only, F.lit("settings key has no name"))
-        .when(overlap & blocked, F.lit("settings key passes through a value"))
-    )
-    leaves = F.when(overlap, merged).otherwise(writes)
-    return F.struct(leaves.alias("leaves"), problem.alias("problem"))
+            .otherwise(
+                let(
+                    flat_entries(items),
+                    lambda writes: F.when(_overlaps(writes), merged(writes)).otherwise(_tree(writes, none)),
+                )
+            )
+        )
+
+    return let(entries(text), build)
 
 
 def leaf_value(leaves: Column, path: Sequence[str]) -> Column:
@@ -160,56 +189,65 @@ def leaf_value(leaves: Column, path: Sequence[str]) -> Column:
 
 def hoist_leaves(leaves: Column) -> Column:
     """struct<leaves, problem>: everything under `index` moves up one level and wins over same-named siblings."""
-    opened = F.flatten(
-        F.transform(
-            leaves,
-            lambda x: F.when(
-                _open_object(x, F.lit(True)) & (x["path"] == F.array(F.lit("index"))), _nested(x)
-            ).otherwise(F.array(x)),
+    level = F.array(F.lit("index"))
+
+    def opened(x: Column) -> Column:
+        return F.when(_open_object(x, x["path"] == level), _nested(x)).otherwise(F.array(x))
+
+    def lifted(all_: Column) -> Column:
+        inside = F.filter(all_, lambda x: (x["path"][0] == "index") & (F.size(x["path"]) > 1))
+        return F.transform(
+            inside,
+            lambda x: _leaf(F.slice(x["path"], F.lit(2), F.size(x["path"]) - 1), x["ord"], x["value"]),
         )
-    )
-    plain_index = F.exists(
-        opened, lambda x: (x["path"] == F.array(F.lit("index"))) & ~is_object(x["value"])
-    )
-    inside = F.filter(opened, lambda x: (x["path"][0] == "index") & (F.size(x["path"]) > 1))
-    lifted = F.transform(
-        inside,
-        lambda x: _leaf(F.slice(x["path"], F.lit(2), F.size(x["path"]) - 1), x["ord"], x["value"]),
-    )
-    names = F.transform(lifted, lambda x: x["path"][0])
-    # An `index` member inside `index` is removed together with the level itself.
-    kept = F.concat(
-        F.filter(
-            opened, lambda x: (x["path"][0] != "index") & ~F.array_contains(names, x["path"][0])
+
+    def join(all_: Column, moved: Column, names: Column) -> Column:
+        # An `index` member inside `index` is removed together with the level itself.
+        kept = F.concat(
+            F.filter(all_, lambda x: (x["path"][0] != "index") & ~F.array_contains(names, x["path"][0])),
+            F.filter(moved, lambda x: x["path"][0] != "index"),
+        )
+        plain = F.exists(all_, lambda x: (x["path"] == level) & ~is_object(x["value"]))
+        return _tree(kept, F.when(plain, F.lit("settings.index is not an object")))
+
+    return let(
+        F.flatten(F.transform(leaves, opened)),
+        lambda all_: let(
+            lifted(all_),
+            lambda moved: let(
+                F.transform(moved, lambda x: x["path"][0]), lambda names: join(all_, moved, names)
+            ),
         ),
-        F.filter(lifted, lambda x: x["path"][0] != "index"),
     )
-    problem = F.when(plain_index, F.lit("settings.index is not an object"))
-    return F.struct(kept.alias("leaves"), problem.alias("problem"))
 
 
 def round_replicas(value: Column, dimensionality: int) -> Column:
     """Replica count whose number of copies is the next multiple of the dimensionality."""
-    copies = as_int(value) + 1
-    over = copies % dimensionality
-    return copies + F.when(over > 0, dimensionality - over).otherwise(0) - 1
+
+    def rounded(copies: Column) -> Column:
+        over = copies % dimensionality
+        return copies + F.when(over > 0, dimensionality - over).otherwise(0) - 1
+
+    return let(as_int(value) + 1, rounded)
 
 
 def replica_leaves(leaves: Column, dimensionality: int) -> Column:
     """Round `number_of_replicas`; a tree of that name reads as 0, an absent one stays absent."""
     name = "number_of_replicas"
-    mine = F.filter(leaves, lambda x: x["path"][0] == name)
-    fixed = F.transform(
-        F.slice(mine, 1, 1),
-        lambda x: _leaf(
-            F.array(F.lit(name)),
-            x["ord"],
-            round_replicas(
-                F.when(F.size(x["path"]) == 1, x["value"]).otherwise(F.lit("{}")), dimensionality
-            ).cast("string"),
+
+    def fixed(x: Column) -> Column:
+        value = F.when(F.size(x["path"]) == 1, x["value"]).otherwise(F.lit("{}"))
+        return _leaf(
+            F.array(F.lit(name)), x["ord"], round_replicas(value, dimensionality).cast("string")
+        )
+
+    return let(
+        leaves,
+        lambda all_: F.concat(
+            F.filter(all_, lambda x: x["path"][0] != name),
+            F.transform(F.slice(F.filter(all_, lambda x: x["path"][0] == name), 1, 1), fixed),
         ),
     )
-    return F.concat(F.filter(leaves, lambda x: x["path"][0] != name), fixed)
 
 
 def drop_rejected(leaves: Column, names: Sequence[str] = REJECTED_SETTINGS) -> Column:
@@ -222,12 +260,9 @@ def tree_text(leaves: Column) -> Column:
     In sorted order each leaf closes the levels it does not share with the one before it and opens its
     own, so the text is written in one pass whatever the depth.
     """
-    ordered = _sorted(leaves)
 
-    def piece(x: Column, i: Column) -> Column:
-        path = x["path"]
-        before = F.get(ordered, i - 1)["path"]
-        shared = F.size(
+    def shared_levels(path: Column, before: Column) -> Column:
+        return F.size(
             F.filter(
                 F.transform(path, lambda _, d: d + 1),
                 lambda d: F.coalesce(
@@ -235,7 +270,10 @@ def tree_text(leaves: Column) -> Column:
                 ),
             )
         )
-        closing = F.when(i == 0, F.lit("")).otherwise(
+
+    def piece(x: Column, before: Column, shared: Column) -> Column:
+        path = x["path"]
+        closing = F.when(before.isNull(), F.lit("")).otherwise(
             F.concat(F.repeat(F.lit("}"), F.size(before) - 1 - shared), F.lit(","))
         )
         opening = F.array_join(
@@ -247,44 +285,63 @@ def tree_text(leaves: Column) -> Column:
         )
         return F.concat(closing, opening, quote(F.element_at(path, -1)), F.lit(":"), x["value"])
 
-    body = F.array_join(F.transform(ordered, piece), "")
-    tail = F.repeat(F.lit("}"), F.coalesce(F.size(F.get(ordered, F.size(ordered) - 1)["path"]), F.lit(1)))
-    return F.when(F.size(ordered) == 0, F.lit("{}")).otherwise(F.concat(F.lit("{"), body, tail))
+    def write(ordered: Column) -> Column:
+        body = F.transform(
+            ordered,
+            lambda x, i: let(
+                F.get(ordered, i - 1)["path"],
+                lambda before: let(
+                    shared_levels(x["path"], before), lambda shared: piece(x, before, shared)
+                ),
+            ),
+        )
+        depth = F.size(F.get(ordered, F.size(ordered) - 1)["path"])
+        return F.when(F.size(ordered) == 0, F.lit("{}")).otherwise(
+            F.concat(F.lit("{"), F.array_join(body, ""), F.repeat(F.lit("}"), depth))
+        )
+
+    return let(_sorted(leaves), write)
 
 
 def flat_to_tree(text: Column) -> Column:
     """struct<value, problem>: flat settings text to tree text."""
-    tree = tree_leaves(text)
-    return F.struct(
-        F.when(tree["problem"].isNull(), tree_text(tree["leaves"])).alias("value"),
-        tree["problem"].alias("problem"),
+    return let(
+        tree_leaves(text),
+        lambda tree: F.struct(
+            F.when(tree["problem"].isNull(), tree_text(tree["leaves"])).alias("value"),
+            tree["problem"].alias("problem"),
+        ),
     )
 
 
 def hoist_members(items: Column) -> Column:
     """struct<items, problem> of settings that already are a tree: members of `index` move up and win."""
-    level = member(items, "index")
-    inner = entries(level)
-    names = F.transform(inner, lambda e: e["key"])
-    outer = F.filter(
-        items, lambda e: (e["key"] != "index") & ~F.array_contains(names, e["key"])
-    )
-    moved = F.concat(outer, F.filter(inner, lambda e: e["key"] != "index"))
-    present = has_member(items, "index")
-    problem = F.when(present & ~is_object(level), F.lit("settings.index is not an object"))
-    return F.struct(
-        F.when(present & is_object(level), moved).otherwise(items).alias("items"),
-        problem.alias("problem"),
-    )
+
+    def moved(all_: Column, inner: Column, names: Column) -> Column:
+        return F.concat(
+            F.filter(all_, lambda e: (e["key"] != "index") & ~F.array_contains(names, e["key"])),
+            F.filter(inner, lambda e: e["key"] != "index"),
+        )
+
+    def lift(all_: Column, level: Column) -> Column:
+        inside = let(
+            entries(level),
+            lambda inner: let(keys_of(inner), lambda names: moved(all_, inner, names)),
+        )
+        problem = F.when(level.isNotNull() & ~is_object(level), F.lit("settings.index is not an object"))
+        return F.struct(
+            F.when(is_object(level), inside).otherwise(all_).alias("items"), problem.alias("problem")
+        )
+
+    return let(items, lambda all_: let(member(all_, "index"), lambda level: lift(all_, level)))
 
 
 def replica_members(items: Column, dimensionality: int) -> Column:
     """Round a top-level `number_of_replicas` member if it is there."""
     name = "number_of_replicas"
-    return replace_member(
-        items, name, round_replicas(member(items, name), dimensionality).cast("string")
+    return let(
+        items,
+        lambda all_: replace_member(
+            all_, name, round_replicas(member(all_, name), dimensionality).cast("string")
+        ),
     )
-
-
-def drop_rejected_members(items: Column, names: Sequence[str] = REJECTED_SETTINGS) -> Column:
-    return drop_members(items, tuple(names))

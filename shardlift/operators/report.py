@@ -40,19 +40,29 @@ def index_summary(indices: DataFrame) -> DataFrame:
 
     Mappings that are not an array have no reading here and give a problem.
     """
-    unwrapped = unwrap_mappings(F.col("mappings"))
     keys = [c for c in indices.columns if c != "body"]
-    return index_parts(indices).select(
-        *keys,
-        shard_count(F.col("tree.leaves")).alias("n_shards"),
-        tree_text(F.col("tree.leaves")).alias("settings"),
-        F.when(is_array(F.col("mappings")), unwrapped["value"]).alias("mappings"),
-        "aliases",
-        F.coalesce(
-            F.col("tree.problem"),
-            F.when(~is_array(F.col("mappings")), F.lit("mappings are not an array")),
-            unwrapped["problem"],
-        ).alias("problem"),
+    return (
+        index_parts(indices)
+        .withColumn(
+            "r",
+            F.struct(
+                shard_count(F.col("tree.leaves")).alias("n_shards"),
+                tree_text(F.col("tree.leaves")).alias("settings"),
+                unwrap_mappings(F.col("mappings")).alias("unwrapped"),
+            ),
+        )
+        .select(
+            *keys,
+            "r.n_shards",
+            "r.settings",
+            F.when(is_array(F.col("mappings")), F.col("r.unwrapped.value")).alias("mappings"),
+            "aliases",
+            F.coalesce(
+                F.col("tree.problem"),
+                F.when(~is_array(F.col("mappings")), F.lit("mappings are not an array")),
+                F.col("r.unwrapped.problem"),
+            ).alias("problem"),
+        )
     )
 
 

@@ -14,6 +14,7 @@ from shardlift.functions.jsontext import (
     entries,
     has_member,
     is_object,
+    let,
     member,
     object_text,
     replace_member,
@@ -63,26 +64,78 @@ def template_rows(bodies: DataFrame) -> DataFrame:
     )
 
 
+def _done(value: Column, problem: Column) -> Column:
+    return F.struct(value.alias("value"), problem.alias("problem"))
+
+
+def _new_mappings(items: Column) -> Column:
+    """struct<items, problem> with the mappings out of their wrapper."""
+    return let(
+        unwrap_mappings(member(items, "mappings")),
+        lambda m: F.struct(
+            replace_member(items, "mappings", m["value"]).alias("items"), m["problem"].alias("problem")
+        ),
+    )
+
+
+def _new_settings(items: Column, dimensionality: int | None) -> Column:
+    """struct<items, problem> with the settings hoisted, and replicas rounded if a dimensionality is given."""
+
+    def put(settings: Column, hoisted: Column) -> Column:
+        inner = hoisted["items"]
+        if dimensionality is not None:
+            inner = replica_members(inner, dimensionality)
+        wrong = F.when(settings.isNotNull() & ~is_object(settings), F.lit("settings is not an object"))
+        return F.struct(
+            replace_member(items, "settings", object_text(inner)).alias("items"),
+            F.coalesce(wrong, hoisted["problem"]).alias("problem"),
+        )
+
+    return let(
+        member(items, "settings"),
+        lambda settings: let(hoist_members(entries(settings)), lambda h: put(settings, h)),
+    )
+
+
 def _rewritten(body: Column, steps: tuple[str, ...], dimensionality: int) -> Column:
     """struct<value, problem>: the steps applied to a template's mappings and settings."""
-    items = entries(body)
-    problems = [F.when(items.isNull(), F.lit("template is not an object"))]
-    if "unwrap" in steps:
-        unwrapped = unwrap_mappings(member(items, "mappings"))
-        items = replace_member(items, "mappings", unwrapped["value"])
-        problems.append(unwrapped["problem"])
-    if "hoist" in steps:
-        settings = member(items, "settings")
-        problems.append(
-            F.when(has_member(items, "settings") & ~is_object(settings), F.lit("settings is not an object"))
+
+    def settings(before: Column) -> Column:
+        return let(
+            _new_settings(before["items"], dimensionality if "replicas" in steps else None),
+            lambda after: _done(
+                object_text(after["items"]), F.coalesce(before["problem"], after["problem"])
+            ),
         )
-        hoisted = hoist_members(entries(settings))
-        inner = hoisted["items"]
-        problems.append(hoisted["problem"])
-        if "replicas" in steps:
-            inner = replica_members(inner, dimensionality)
-        items = replace_member(items, "settings", object_text(inner))
-    return F.struct(object_text(items).alias("value"), F.coalesce(*problems).alias("problem"))
+
+    def mappings(items: Column) -> Column:
+        same = F.struct(items.alias("items"), F.lit(None).cast("string").alias("problem"))
+        return let(_new_mappings(items) if "unwrap" in steps else same, settings)
+
+    none = F.lit(None).cast("string")
+    return let(
+        entries(body),
+        lambda items: F.when(items.isNull(), _done(none, F.lit("template is not an object"))).otherwise(
+            mappings(items)
+        ),
+    )
+
+
+def _inner_rewritten(body: Column, steps: tuple[str, ...], dimensionality: int) -> Column:
+    """The same for bodies that keep mappings and settings under `template`; without one they stay."""
+    none = F.lit(None).cast("string")
+
+    def put(items: Column, done: Column) -> Column:
+        return _done(object_text(replace_member(items, "template", done["value"])), done["problem"])
+
+    return let(
+        entries(body),
+        lambda items: F.when(items.isNull(), _done(none, F.lit("template is not an object")))
+        .when(~has_member(items, "template"), _done(body, none))
+        .otherwise(
+            let(_rewritten(member(items, "template"), steps, dimensionality), lambda d: put(items, d))
+        ),
+    )
 
 
 def transform_templates(
@@ -104,32 +157,21 @@ def transform_templates(
         if kind == "index":
             continue
         if kind == "template" and source == "7.10":
-            plain = _rewritten(F.col("body"), (*steps, "replicas") if legacy_replica_fix else steps, dimensionality)
-            beside = object_text(replica_members(entries(plain["value"]), dimensionality))
-            done = F.struct(
-                F.when(F.col("name") == "settings", beside).otherwise(plain["value"]).alias("value"),
-                plain["problem"].alias("problem"),
+            if legacy_replica_fix:
+                steps = (*steps, "replicas")
+            done = let(
+                _rewritten(F.col("body"), steps, dimensionality),
+                lambda d: F.when(
+                    F.col("name") == "settings",
+                    _done(object_text(replica_members(entries(d["value"]), dimensionality)), d["problem"]),
+                ).otherwise(d),
             )
         elif "inner" in steps:
-            items = entries(F.col("body"))
-            inner = member(items, "template")
-            changed = _rewritten(inner, steps, dimensionality)
-            done = F.when(
-                has_member(items, "template"),
-                F.struct(
-                    object_text(replace_member(items, "template", changed["value"])).alias("value"),
-                    changed["problem"].alias("problem"),
-                ),
-            ).otherwise(
-                F.struct(
-                    F.col("body").alias("value"),
-                    F.when(items.isNull(), F.lit("template is not an object")).alias("problem"),
-                )
-            )
+            done = _inner_rewritten(F.col("body"), steps, dimensionality)
         elif steps:
             done = _rewritten(F.col("body"), steps, dimensionality)
         else:
-            done = F.struct(F.col("body").alias("value"), F.lit(None).cast("string").alias("problem"))
+            done = _done(F.col("body"), F.lit(None).cast("string"))
         result = F.when(F.col("kind") == kind, done).otherwise(result)
     return (
         templates.where(F.col("kind").isin(*rules))
@@ -141,25 +183,24 @@ def transform_templates(
 
 def index_parts(indices: DataFrame) -> DataFrame:
     """Index metadata bodies with aliases, mappings and settings projected, settings as leaves."""
-    items = entries(F.col("body"))
-    return (
-        indices.withColumn("items", items)
-        .withColumns(
-            {
-                "aliases": member(F.col("items"), "aliases"),
-                "mappings": member(F.col("items"), "mappings"),
-                "tree": tree_leaves(member(F.col("items"), "settings")),
-            }
-        )
-        .drop("items")
+    projected = let(
+        entries(F.col("body")),
+        lambda items: F.struct(
+            member(items, "aliases").alias("aliases"),
+            member(items, "mappings").alias("mappings"),
+            tree_leaves(member(items, "settings")).alias("tree"),
+        ),
     )
+    return indices.withColumn("parts", projected).select(*indices.columns, "parts.*")
 
 
 def shard_count(leaves: Column) -> Column:
     """`index.number_of_shards`, null when it is not there."""
     inside = member(entries(leaf_value(leaves, ["index"])), "number_of_shards")
-    text = F.coalesce(leaf_value(leaves, ["index", "number_of_shards"]), inside)
-    return F.when(text.isNotNull(), as_int(text))
+    return let(
+        F.coalesce(leaf_value(leaves, ["index", "number_of_shards"]), inside),
+        lambda text: F.when(text.isNotNull(), as_int(text)),
+    )
 
 
 def transform_indices(
@@ -172,14 +213,19 @@ def transform_indices(
     steps = rules_for(source, target)["index"]
     assert steps == ("unwrap", "tree", "hoist", "replicas")
     keys = [c for c in indices.columns if c != "body"]
-    done = (
-        index_parts(indices)
-        .withColumn("unwrapped", unwrap_mappings(F.col("mappings")))
-        .withColumn("hoisted", hoist_leaves(F.col("tree.leaves")))
+    rewritten = F.struct(
+        unwrap_mappings(F.col("mappings")).alias("unwrapped"),
+        let(
+            hoist_leaves(F.col("tree.leaves")),
+            lambda h: F.struct(
+                tree_text(drop_rejected(replica_leaves(h["leaves"], dimensionality))).alias("settings"),
+                h["problem"].alias("problem"),
+            ),
+        ).alias("hoisted"),
+        shard_count(F.col("tree.leaves")).alias("n_shards"),
     )
-    mappings = F.col("unwrapped.value")
-    final = drop_rejected(replica_leaves(F.col("hoisted.leaves"), dimensionality))
-    shards = shard_count(F.col("tree.leaves"))
+    done = index_parts(indices).withColumn("r", rewritten).select("*", "r.*")
+    mappings, shards = F.col("unwrapped.value"), F.col("n_shards")
     settings_problem = F.coalesce(
         F.when(F.col("body").isNull(), F.lit("index metadata has no body for the index")),
         F.col("tree.problem"),
@@ -198,8 +244,8 @@ def transform_indices(
         *keys,
         F.coalesce("aliases", F.lit("null")).alias("aliases"),
         F.coalesce(mappings, F.lit("null")).alias("mappings"),
-        tree_text(final).alias("settings"),
-        shards.alias("n_shards"),
+        F.col("hoisted.settings").alias("settings"),
+        "n_shards",
         problem.alias("problem"),
         settings_problem.alias("settings_problem"),
     )
