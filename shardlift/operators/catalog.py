@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shardlift.unnest import unnest
+
 
 def list_snapshots(catalog: DataFrame) -> DataFrame:
-    return catalog.select("repo_id", F.posexplode("snapshots").alias("pos", "snapshot")).select(
+    return unnest(catalog.select("repo_id", "snapshots"), "snapshots", "pos", "snapshot").select(
         "repo_id",
         "pos",
         F.col("snapshot.name").alias("snapshot_name"),
@@ -27,11 +29,18 @@ def snapshot_id(name: Column | str) -> Column:
 
 def index_entries(catalog: DataFrame) -> DataFrame:
     """One row per index of each repository."""
-    return catalog.select("repo_id", F.explode("indices").alias("index_name", "entry")).select(
+    return unnest(catalog.select("repo_id", "indices"), "indices", "pos", "index_name", "entry").select(
         "repo_id", "index_name", F.col("entry.id").alias("index_id"), F.col("entry.snapshots").alias("members")
     )
 
 
+def _file_ids(catalog: DataFrame) -> DataFrame:
+    named = catalog.select("repo_id", "index_metadata_identifiers")
+    return unnest(named, "index_metadata_identifiers", "pos", "lookup_key", "file_id").select(
+        "repo_id", "lookup_key", "file_id"
+    )
+
+
 def indices_in_snapshot(catalog: DataFrame, name: Column | str, version: str) -> DataFrame:
     """(repo_id, snapshot_id, pos, index_name, index_id, file_id) of one named snapshot per repository.
 
@@ -44,35 +53,40 @@ def indices_in_snapshot(catalog: DataFrame, name: Column | str, version: str) ->
         matched = F.filter(
             F.map_entries("indices"), lambda e: F.array_contains(e["value"]["snapshots"], F.col("snapshot_id"))
         )
-        return (
-            catalog.withColumn("snapshot_id", snapshot_id(name))
-            .where(F.col("snapshot_id").isNotNull())
-            .select("repo_id", "snapshot_id", F.posexplode(matched).alias("pos", "index"))
-            .select(
-                "repo_id",
-                "snapshot_id",
-                "pos",
-                F.col("index.key").alias("index_name"),
-                F.col("index.value.id").alias("index_id"),
-                F.col("snapshot_id").alias("file_id"),
-            )
+        named = catalog.withColumn("snapshot_id", snapshot_id(name))
+        return unnest(named, matched, "pos", "index").select(
+            "repo_id",
+            "snapshot_id",
+            "pos",
+            F.col("index.key").alias("index_name"),
+            F.col("index.value.id").alias("index_id"),
+            F.col("snapshot_id").alias("file_id"),
         )
-    wanted = catalog.withColumn("snapshot", _first_named(name)).select(
-        "repo_id",
-        F.col("snapshot.uuid").alias("snapshot_id"),
-        F.posexplode("snapshot.index_metadata_lookup").alias("pos", "index_id", "lookup_key"),
-    )
+    chosen = catalog.select("repo_id", _first_named(name).alias("snapshot"))
+    wanted = unnest(
+        chosen, F.col("snapshot.index_metadata_lookup"), "pos", "index_id", "lookup_key"
+    ).select("repo_id", F.col("snapshot.uuid").alias("snapshot_id"), "pos", "index_id", "lookup_key")
     names = index_entries(catalog).select("repo_id", "index_id", "index_name")
-    files = catalog.select(
-        "repo_id", F.explode("index_metadata_identifiers").alias("lookup_key", "file_id")
-    )
     return (
         wanted.join(names, ["repo_id", "index_id"])
-        .join(files, ["repo_id", "lookup_key"], "left")
+        .join(_file_ids(catalog), ["repo_id", "lookup_key"], "left")
         .select("repo_id", "snapshot_id", "pos", "index_name", "index_id", "file_id")
     )
 
 
+def _lookups(catalog: DataFrame) -> DataFrame:
+    """One row per index id a 7.10 snapshot lists."""
+    shots = unnest(catalog.select("repo_id", "snapshots"), "snapshots", "pos", "s")
+    return unnest(shots, F.col("s.index_metadata_lookup"), "at", "index_id", "lookup_key").select(
+        "repo_id",
+        "pos",
+        F.col("s.name").alias("snapshot_name"),
+        F.col("s.uuid").alias("snapshot_id"),
+        "index_id",
+        "lookup_key",
+    )
+
+
 def all_snapshot_indices(catalog: DataFrame, version: str) -> DataFrame:
     """Indices of every snapshot (R2); a name used twice stands for its first snapshot."""
     listed = list_snapshots(catalog)
@@ -80,15 +94,11 @@ def all_snapshot_indices(catalog: DataFrame, version: str) -> DataFrame:
         F.min_by("snapshot_id", "pos").alias("snapshot_id"), F.min("pos").alias("snapshot_pos")
     )
     if version == "6.8":
-        held = index_entries(catalog).select(
-            "repo_id", "index_name", "index_id", F.explode(F.array_distinct("members")).alias("snapshot_id")
-        )
+        held = unnest(
+            index_entries(catalog), F.array_distinct("members"), "member_pos", "snapshot_id"
+        ).select("repo_id", "index_name", "index_id", "snapshot_id")
     else:
-        lookups = catalog.select("repo_id", F.explode("snapshots").alias("s")).select(
-            "repo_id",
-            F.col("s.uuid").alias("snapshot_id"),
-            F.explode(F.map_keys("s.index_metadata_lookup")).alias("index_id"),
-        )
+        lookups = _lookups(catalog).select("repo_id", "snapshot_id", "index_id")
         held = lookups.join(
             index_entries(catalog).select("repo_id", "index_id", "index_name"), ["repo_id", "index_id"]
         )
@@ -114,20 +124,12 @@ def index_file_ids(wanted: DataFrame, catalog: DataFrame, version: str) -> DataF
             F.min_by("snapshot_id", "pos").alias("file_id")
         )
         return rows.join(heads, ["repo_id", "snapshot_name"], "left")
-    lookups = catalog.select("repo_id", F.posexplode("snapshots").alias("pos", "s")).select(
-        "repo_id",
-        "pos",
-        F.col("s.name").alias("snapshot_name"),
-        F.explode("s.index_metadata_lookup").alias("index_id", "lookup_key"),
-    )
+    lookups = _lookups(catalog).drop("snapshot_id")
     # A name used twice: the first snapshot of that name answers, even when it lacks the index.
     heads = list_snapshots(catalog).groupBy("repo_id", "snapshot_name").agg(F.min("pos").alias("pos"))
     lookups = lookups.join(heads, ["repo_id", "snapshot_name", "pos"], "left_semi").drop("pos")
-    files = catalog.select(
-        "repo_id", F.explode("index_metadata_identifiers").alias("lookup_key", "file_id")
-    )
     return (
         rows.join(lookups, ["repo_id", "snapshot_name", "index_id"], "left")
-        .join(files, ["repo_id", "lookup_key"], "left")
+        .join(_file_ids(catalog), ["repo_id", "lookup_key"], "left")
         .drop("lookup_key")
     )

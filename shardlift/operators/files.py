@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardlift.functions.paths import is_inline, part_count, part_name
+from shardlift.unnest import unnest
 
 FILE_KEYS = ("repo_id", "index_id", "shard")
 CHUNK_BYTES = 64 * 1024 * 1024
@@ -15,36 +16,23 @@ CHUNK_BYTES = 64 * 1024 * 1024
 
 def shard_rows(indices: DataFrame, count: str = "n_shards") -> DataFrame:
     """One row per shard 0..n-1; an index without shards gives none."""
-    # sequence(0, -1) would count down, so empty ranges are nulled before the explode.
-    return indices.withColumn(
-        "shard", F.explode(F.when(F.col(count) > 0, F.sequence(F.lit(0), F.col(count) - 1)))
-    )
-
-
-def part_struct(length: Column, part_size: Column, name: Column) -> Column:
-    """array<struct<part, n_parts, blob_name, part_offset, part_length>> of one file."""
-    parts = part_count(length, part_size)
-
-    def one(i: Column) -> Column:
-        at = i * part_size
-        return F.struct(
-            i.alias("part"),
-            parts.alias("n_parts"),
-            part_name(name, parts, i).alias("blob_name"),
-            at.alias("part_offset"),
-            F.least(part_size, length - at).alias("part_length"),
-        )
-
-    return F.transform(F.sequence(F.lit(0).cast("bigint"), parts - 1), one)
+    # sequence(0, -1) would count down, so an empty range is no range at all.
+    span = F.when(F.col(count) > 0, F.sequence(F.lit(0), F.col(count) - 1))
+    return unnest(indices, span, "at", "shard").drop("at")
 
 
 def file_parts(files: DataFrame) -> DataFrame:
     """One row per blob of every file kept in blobs. Row-local: nothing is shuffled."""
-    parts = part_struct(F.col("length"), F.col("part_size"), F.col("name"))
-    return (
-        files.where(~is_inline(F.col("name")) & (F.col("part_size") > 0))
-        .withColumn("p", F.explode(parts))
-        .select(*files.columns, "p.*")
+    length, size, part = F.col("length"), F.col("part_size"), F.col("part")
+    stored = files.where(~is_inline(F.col("name")) & (size > 0)).withColumn("n_parts", part_count(length, size))
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.col("n_parts") - 1)
+    return unnest(stored, numbers, "at", "part").select(
+        *files.columns,
+        "part",
+        "n_parts",
+        part_name(F.col("name"), F.col("n_parts"), part).alias("blob_name"),
+        (part * size).alias("part_offset"),
+        F.least(size, length - part * size).alias("part_length"),
     )
 
 

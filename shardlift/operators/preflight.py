@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shardlift.fixed import SNAPSHOT_SUCCESS
 from shardlift.functions.versions import version_of
+from shardlift.unnest import unnest
 
 Rule = tuple[str, Column, Column]
 
@@ -24,9 +25,8 @@ def check(rows: DataFrame, subject: Column, rules: Sequence[Rule]) -> DataFrame:
         ),
         lambda v: v.isNotNull(),
     )
-    return rows.select(
-        "repo_id", subject.cast("string").alias("subject"), F.explode(found).alias("v")
-    ).select("repo_id", "v.rule", "subject", "v.detail")
+    checked = rows.select("repo_id", subject.cast("string").alias("subject"), found.alias("found"))
+    return unnest(checked, "found", "at", "v").select("repo_id", "v.rule", "subject", "v.detail")
 
 
 def catalog_rules() -> list[Rule]:

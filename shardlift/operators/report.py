@@ -13,6 +13,7 @@ from shardlift.functions.settings import tree_text
 from shardlift.operators.catalog import all_snapshot_indices, list_snapshots
 from shardlift.operators.transforms import index_parts, shard_count, template_rows
 from shardlift.schemas import DOCUMENT
+from shardlift.unnest import unnest
 
 
 def snapshots(catalog: DataFrame) -> DataFrame:
@@ -119,4 +120,4 @@ def document_fields(docs: DataFrame) -> DataFrame:
     )
     rows = F.when(gone, F.array(row("deleted", decode_id(F.col("_id"))))).otherwise(present)
     keys = [c for c in docs.columns if c in base and not c.startswith("_")]
-    return docs.select(*keys, F.explode(rows).alias("r")).select(*keys, "r.*")
+    return unnest(docs, rows, "at", "r").select(*keys, "r.*")

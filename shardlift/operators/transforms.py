@@ -30,6 +30,7 @@ from shardlift.functions.settings import (
     tree_leaves,
     tree_text,
 )
+from shardlift.unnest import unnest
 
 # (source, target, kind) -> steps, in order. A kind without a rule does not exist for that source.
 RULES = {
@@ -51,16 +52,20 @@ def rules_for(source: str, target: str) -> dict[str, tuple[str, ...]]:
 
 def template_rows(bodies: DataFrame) -> DataFrame:
     """(repo_id, kind, ord, name, body): the templates of global metadata, in document order."""
-    top = entries(F.col("body"))
-    nested = {k: member(entries(member(top, k)), k) for k in ("component_template", "index_template")}
-    buckets = F.array(
-        F.struct(F.lit("template").alias("kind"), entries(member(top, "templates")).alias("items")),
-        *[F.struct(F.lit(k).alias("kind"), entries(v).alias("items")) for k, v in nested.items()],
-    )
-    return (
-        bodies.select("repo_id", F.explode(buckets).alias("bucket"))
-        .select("repo_id", "bucket.kind", F.posexplode("bucket.items").alias("ord", "item"))
-        .select("repo_id", "kind", "ord", F.col("item.key").alias("name"), F.col("item.value").alias("body"))
+
+    def bucket(kind: str, items: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), entries(items).alias("items"))
+
+    def buckets(top: Column) -> Column:
+        nested = ("component_template", "index_template")
+        return F.array(
+            bucket("template", member(top, "templates")),
+            *[bucket(k, member(entries(member(top, k)), k)) for k in nested],
+        )
+
+    held = unnest(bodies.select("repo_id", let(entries(F.col("body")), buckets).alias("buckets")), "buckets", "at", "b")
+    return unnest(held, F.col("b.items"), "ord", "item").select(
+        "repo_id", F.col("b.kind").alias("kind"), "ord", F.col("item.key").alias("name"), F.col("item.value").alias("body")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shardlift.functions.versions import version_of
 from shardlift.operators import preflight, report
 from shardlift.operators.catalog import index_file_ids, indices_in_snapshot, list_snapshots
-from shardlift.queries.registry import query, table, text
+from shardlift.queries.registry import busy_table, query, text
 from shardlift.sources.catalog import parse_catalog
 from shardlift.sources.metadata import parse_snapshots
 
@@ -38,7 +38,7 @@ def order_catalogs(spark: SparkSession, folder: str, version: str) -> DataFrame:
             F.col("o_orderstatus"), first, mine, common, F.col("o_orderpriority"), second, common,
             mine, first, common, first, second, common, mine,
         )
-    return parse_catalog(table(spark, folder, "orders").select(key.alias("repo_id"), value.alias("value")), version)
+    return parse_catalog(busy_table(spark, folder, "orders").select(key.alias("repo_id"), value.alias("value")), version)
 
 
 _HELD = """
@@ -84,7 +84,7 @@ def catalog_7_10(spark: SparkSession, folder: str) -> DataFrame:
 def catalog_lookups(spark: SparkSession, folder: str) -> DataFrame:
     """Index and file ids asked by name; an index outside the snapshot has an id but no file."""
     names = F.array(*[F.lit(n) for n in ("order", "customer", "absent")])
-    wanted = table(spark, folder, "orders").select(
+    wanted = busy_table(spark, folder, "orders").select(
         text("o_orderkey").alias("repo_id"),
         F.col("o_orderpriority").alias("snapshot_name"),
         F.explode(names).alias("index_name"),
@@ -140,7 +140,7 @@ def order_snapshots(spark: SparkSession, folder: str) -> DataFrame:
         text("o_custkey"),
         F.when(F.col("o_totalprice") > 400000, ',"odd":1').otherwise(""),
     )
-    texts = table(spark, folder, "orders").select(text("o_orderkey").alias("repo_id"), value.alias("value"))
+    texts = busy_table(spark, folder, "orders").select(text("o_orderkey").alias("repo_id"), value.alias("value"))
     return parse_snapshots(texts, "7.10")
 
 

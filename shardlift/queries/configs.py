@@ -17,7 +17,7 @@ from shardlift.functions.settings import (
 from shardlift.operators.report import index_summary, template_names
 from shardlift.operators.requests import index_body
 from shardlift.operators.transforms import template_rows, transform_indices, transform_templates
-from shardlift.queries.registry import query, table, text
+from shardlift.queries.registry import busy_table, query, text
 
 
 def fill(pattern: str, *values: Column) -> Column:
@@ -48,7 +48,7 @@ def flat_settings() -> Column:
 )
 def settings_tree(spark: SparkSession, folder: str) -> DataFrame:
     return (
-        table(spark, folder, "part")
+        busy_table(spark, folder, "part")
         .select("p_partkey", tree_leaves(flat_settings()).alias("t"))
         .select(
             "p_partkey",
@@ -82,7 +82,7 @@ def settings_conflicts(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == "ECONOMY", fill('{"a.b":1,"a":%s}', size))
         .otherwise(fill('{"a":{"b":1},"a.c":%s}', size))
     )
-    return table(spark, folder, "part").select("p_partkey", flat_to_tree(flat).alias("t")).select(
+    return busy_table(spark, folder, "part").select("p_partkey", flat_to_tree(flat).alias("t")).select(
         "p_partkey", F.col("t.value").alias("tree"), "t.problem"
     )
 
@@ -115,7 +115,7 @@ def replicas(spark: SparkSession, folder: str) -> DataFrame:
             for d in (2, 3, 5)
         ]
     )
-    return table(spark, folder, "part").select("p_partkey", F.inline(rounded))
+    return busy_table(spark, folder, "part").select("p_partkey", F.inline(rounded))
 
 
 _BODY = """'{"properties":{"n":{"type":"long","x":' || p_size || '}}}'"""
@@ -141,7 +141,7 @@ def mappings(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == "PROMO", F.lit("[]"))
         .otherwise(fill('[{"%s":%s}]', F.coalesce(wrapper, F.lit("other")), body))
     )
-    return table(spark, folder, "part").select("p_partkey", unwrap_mappings(stored).alias("m")).select(
+    return busy_table(spark, folder, "part").select("p_partkey", unwrap_mappings(stored).alias("m")).select(
         "p_partkey", F.col("m.value").alias("mappings"), "m.problem"
     )
 
@@ -161,7 +161,7 @@ def customer_globals(spark: SparkSession, folder: str) -> DataFrame:
         '"bare_%s":{"composed_of":["ct"]}}},"component_template":{"component_template":{"ct":{"template":%s}}}}',
         name, body, name, nation, body, name, body,
     )
-    return table(spark, folder, "customer").select(text("c_custkey").alias("repo_id"), whole.alias("body"))
+    return busy_table(spark, folder, "customer").select(text("c_custkey").alias("repo_id"), whole.alias("body"))
 
 
 _C = """
@@ -235,7 +235,7 @@ def part_indices(spark: SparkSession, folder: str) -> DataFrame:
         '"settings":%s}',
         text("p_size"), F.col("p_brand"), flat_settings(),
     )
-    return table(spark, folder, "part").select(text("p_partkey").alias("index_name"), body.alias("body"))
+    return busy_table(spark, folder, "part").select(text("p_partkey").alias("index_name"), body.alias("body"))
 
 
 _P = """

@@ -112,7 +112,8 @@ def event_documents(spark: SparkSession, folder: str) -> DataFrame:
 )
 def doc_upsert(spark: SparkSession, folder: str) -> DataFrame:
     docs = decoded(event_documents(spark, folder)).withColumn("target_index", target_name(F.col("index")))
-    return last_write_wins(docs).select("target_index", "id", "shard", "ord", "source")
+    last = last_write_wins(docs, shared=True)
+    return last.select("target_index", "id", "shard", "ord", "source")
 
 
 @query(
@@ -127,7 +128,7 @@ def doc_upsert(spark: SparkSession, folder: str) -> DataFrame:
 def doc_bulk(spark: SparkSession, folder: str) -> DataFrame:
     """The documents that would be written, under which id, in which index."""
     docs = decoded(live(labelled_documents(spark, folder)))
-    last = last_write_wins(docs.withColumn("target_index", target_name(F.col("index"))))
+    last = last_write_wins(docs.withColumn("target_index", target_name(F.col("index"))), shared=True)
     return bulk_rows(last).select(
         "target_index", "id", "shard", "ord", "action", F.md5("source").alias("source_md5")
     )

@@ -18,7 +18,7 @@ from shardlift.operators.files import (
 )
 from shardlift.operators.preflight import check
 from shardlift.operators.report import shard_manifests
-from shardlift.queries.registry import query, table, text
+from shardlift.queries.registry import busy_table, query, table, text
 from shardlift.sources.catalog import newest
 from shardlift.sources.containers import container_problem
 from shardlift.sources.metadata import explode_files, parse_shards
@@ -27,7 +27,7 @@ from shardlift.sources.metadata import explode_files, parse_shards
 def line_files(spark: SparkSession, folder: str) -> DataFrame:
     """lineitem as file records: cents as length, a part size by return flag."""
     flag = F.col("l_returnflag")
-    return table(spark, folder, "lineitem").select(
+    return busy_table(spark, folder, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("repo_id"),
         F.col("l_partkey").cast("string").alias("index_id"),
         F.col("l_linenumber").alias("shard"),
@@ -100,7 +100,7 @@ def text_files(spark: SparkSession, folder: str) -> DataFrame:
     """documents as files of 1000-byte parts; those of source src0 are kept in the manifest."""
     body = F.encode("text", "UTF-8")
     inline = F.col("source") == "src0"
-    return table(spark, folder, "documents").select(
+    return busy_table(spark, folder, "documents").select(
         F.col("doc_id"),
         F.concat(F.when(inline, "v__").otherwise("__"), text("doc_id")).alias("name"),
         text("doc_id").alias("physical_name"),
@@ -196,7 +196,7 @@ def envelope_audit(spark: SparkSession, folder: str) -> DataFrame:
     checksum = F.crc32("body") + F.when(kind == "checksum", 1).otherwise(0)
     whole = F.concat("body", F.unhex(F.lpad(F.hex(checksum), 16, "0")))
     return (
-        table(spark, folder, "pages")
+        busy_table(spark, folder, "pages")
         .withColumn("spoiled", spoiled)
         .select("page_id", "spoiled", body.alias("body"))
         .select("page_id", container_problem(whole, F.lit("snapshot")).alias("problem"))
@@ -221,7 +221,7 @@ def locators(spark: SparkSession, folder: str) -> DataFrame:
     slash = F.when(F.col("l_returnflag") == "A", "/").otherwise("")
     root = F.concat(F.lit("s3a://r/"), text("l_orderkey"), slash)
     part, supp, line = text("l_partkey"), text("l_suppkey"), F.col("l_linenumber")
-    return table(spark, folder, "lineitem").select(
+    return busy_table(spark, folder, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
@@ -283,7 +283,7 @@ def shards(spark: SparkSession, folder: str) -> DataFrame:
     """One row per shard of indices with 0 to 5 shards."""
     count = F.floor(F.col("l_quantity") / 10).cast("int")
     return shard_rows(
-        table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", count.alias("n_shards"))
+        busy_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", count.alias("n_shards"))
     ).drop("n_shards")
 
 
@@ -316,7 +316,7 @@ def line_manifests(spark: SparkSession, folder: str) -> DataFrame:
         (cents + 1).alias("total_size"),
         files.alias("files"),
     )
-    return table(spark, folder, "lineitem").select(
+    return busy_table(spark, folder, "lineitem").select(
         text("l_orderkey").alias("repo_id"),
         text("l_partkey").alias("index_id"),
         F.col("l_linenumber").alias("shard"),

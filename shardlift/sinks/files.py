@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shardlift.operators.files import file_parts, inline_files
 from shardlift.sources.blobs import TASK_BYTES, byte_ranges, read_ranges, with_blob_paths
+from shardlift.unnest import unnest
 
 
 def file_ranges(files: DataFrame) -> DataFrame:
@@ -16,11 +17,11 @@ def file_ranges(files: DataFrame) -> DataFrame:
     bytes is spread over as many tasks as it needs, and small shards stay together.
     """
     parts = with_blob_paths(file_parts(files))
-    ranges = F.explode(byte_ranges(F.col("part_offset"), F.col("part_length")))
+    ranges = byte_ranges(F.col("part_offset"), F.col("part_length"))
     buckets = F.call_function("div", F.coalesce("total_size", F.lit(0)), F.lit(TASK_BYTES)) + 1
     spot = F.xxhash64("physical_name", F.call_function("div", F.col("offset"), F.lit(TASK_BYTES)))
     return (
-        parts.withColumn("r", ranges)
+        unnest(parts, ranges, "i", "r")
         .select(
             "repo_id", "index_name", "index_id", "shard", "physical_name", "total_size", "path",
             "r.at", "r.count", "r.offset",

@@ -16,6 +16,7 @@ from shardlift.sources.catalog import (
     strict_json,
     unknown_keys,
 )
+from shardlift.unnest import unnest
 
 # Where each kind sits below the repository root, and the ids its path carries.
 _LAYOUT = {
@@ -100,7 +101,7 @@ def parse_shards(texts: DataFrame) -> DataFrame:
 def explode_files(shards: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per file of each manifest; inline bytes come out of base64."""
     return (
-        shards.select(*keys, F.explode("files").alias("file"))
+        unnest(shards.select(*keys, "files"), "files", "at", "file")
         .select(*keys, "file.*")
         .withColumn("meta_hash", F.unbase64("meta_hash"))
     )
