@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 # Tasks that run Python find the package here; on a cluster it is shipped with --py-files.
 ROOT = str(pathlib.Path(__file__).resolve().parent.parent)
 sys.path.insert(0, ROOT)
-os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "")])
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, f"{ROOT}/tests", os.environ.get("PYTHONPATH", "")])
 
 
 @pytest.fixture(scope="session")
