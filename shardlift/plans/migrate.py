@@ -83,6 +83,10 @@ def _missing_catalogs(spark: SparkSession, repos, catalog: DataFrame) -> DataFra
     return _flag(asked.join(found, "bare", "left_anti"), "catalog_missing", "repo_id", "no index-<n> file")
 
 
+def _present(texts: DataFrame) -> DataFrame:
+    return texts.withColumn("present", F.col("value").isNotNull())
+
+
 def build_plan(
     spark: SparkSession,
     repos: str | Sequence[str],
@@ -138,15 +142,15 @@ def build_plan(
 
     held = indices_in_snapshot(catalog, snapshot, source)
     texts = held.join(read_metadata(spark, repos, "index"), ["repo_id", "index_id", "file_id"], "left")
-    broken.append(_flag(texts.where(F.col("value").isNull()), "file_missing", "index_name", "index metadata"))
-    bodies = index_bodies(texts.where(F.col("value").isNotNull()))
-    # Used by requests, shards and documents alike.
-    indices = write_shared(
-        transform_indices(bodies, source, target, dimensionality).withColumn(
+    # Used by checks, requests, shards and documents alike: read and rewritten once.
+    listed = write_shared(
+        transform_indices(index_bodies(_present(texts)), source, target, dimensionality).withColumn(
             "target_index", docs_ops.target_name(F.col("index_name"), suffix)
         ),
         "indices",
     )
+    broken.append(_flag(listed.where(~F.col("present")), "file_missing", "index_name", "index metadata"))
+    indices = listed.where("present").drop("present")
     index_problem = F.col("problem") if with_metadata else F.col("settings_problem")
     broken.append(
         preflight.check(
@@ -156,12 +160,15 @@ def build_plan(
 
     wanted = [requests.index_requests(indices)]
     if with_metadata:
-        globals_ = chosen.join(read_metadata(spark, repos, "global"), ["repo_id", "snapshot_id"], "left")
+        globals_ = read_metadata(spark, repos, "global").join(chosen, ["repo_id", "snapshot_id"], "left_semi")
         broken.append(
-            _flag(globals_.where(F.col("value").isNull()), "file_missing", "snapshot_id", "global metadata")
+            _flag(chosen.join(globals_, "repo_id", "left_anti"), "file_missing", "snapshot_id", "global metadata")
         )
-        templates = transform_templates(
-            template_rows(global_bodies(globals_)), source, target, dimensionality, legacy_replica_fix
+        templates = write_shared(
+            transform_templates(
+                template_rows(global_bodies(globals_)), source, target, dimensionality, legacy_replica_fix
+            ),
+            "templates",
         )
         kept = requests.allowed(templates, allow)
         warnings.append(
@@ -186,21 +193,15 @@ def build_plan(
             read_metadata(spark, repos, "shard"), ["repo_id", "index_id", "shard", "snapshot_id"], "left"
         )
         where = F.concat_ws("/", "index_name", "shard")
-        broken.append(
-            _flag(
-                manifests.where(F.col("value").isNull()).withColumn("at", where),
-                "file_missing",
-                "at",
-                "shard metadata",
-            )
-        )
-        parsed = parse_shards(manifests.where(F.col("value").isNotNull()))
-        broken.append(preflight.check(parsed, where, preflight.shard_rules()))
+        parsed = write_shared(parse_shards(_present(manifests)), "manifests").withColumn("at", where)
+        broken.append(_flag(parsed.where(~F.col("present")), "file_missing", "at", "shard metadata"))
+        parsed = parsed.where("present")
+        broken.append(preflight.check(parsed, F.col("at"), preflight.shard_rules()))
         files = write_shared(
             explode_files(parsed, ["repo_id", "index_name", "index_id", "shard", "total_size"]), "files"
         )
         broken.append(preflight.check(files, F.col("physical_name"), file_rules()))
-        sized = blob_sizes(with_blob_paths(file_parts(files)))
+        sized = blob_sizes(with_blob_paths(file_parts(files)).select("repo_id", "path", "part_length"))
         broken.append(
             preflight.check(
                 sized,

@@ -8,6 +8,8 @@ the ranges are spread over tasks and each task reads its own. File content is ne
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -20,12 +22,19 @@ RANGE_BYTES = 32 * 1024 * 1024
 TASK_BYTES = 512 * 1024 * 1024
 
 
-def _open(uri: str):
+@lru_cache(maxsize=64)
+def _file_system(root: str):
     from pyarrow import fs
 
-    if uri.startswith("s3a://"):
-        uri = "s3://" + uri[6:]
-    return fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(root)
+
+
+def _open(uri: str):
+    """File system and path of a URI as Spark reports it; one client per bucket and process."""
+    parts = urlsplit(uri)
+    scheme = "s3" if parts.scheme in ("s3a", "s3n") else parts.scheme
+    files, base = _file_system(f"{scheme}://{parts.netloc}/")
+    return files, base.rstrip("/") + unquote(parts.path)
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,9 +51,13 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def blob_sizes(parts: DataFrame) -> DataFrame:
-    """Parts with `blob_length`, null when the blob is not there. Looks at files, reads none."""
+    """Parts with `blob_length`, null when the blob is not there. Looks at files, reads none.
+
+    Looking is slow and rows are narrow, so they are spread wider than their bytes ask for.
+    """
     schema = T.StructType([*parts.schema.fields, T.StructField("blob_length", T.LongType())])
-    return parts.mapInArrow(_sizes, schema)
+    tasks = parts.sparkSession.sparkContext.defaultParallelism * 4
+    return parts.repartition(tasks).mapInArrow(_sizes, schema)
 
 
 def with_blob_paths(parts: DataFrame) -> DataFrame:

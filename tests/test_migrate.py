@@ -120,9 +120,9 @@ def test_movements(spark, tmp_path):
 
 
 def test_fleet(spark, tmp_path):
-    make_repo(tmp_path / "fleet" / "a", "6.8")
+    make_repo(tmp_path / "fleet" / "of a", "6.8")
     make_repo(tmp_path / "fleet" / "b", "6.8")
-    plan = build_plan(spark, f"{tmp_path}/fleet/*", "nightly0", "6.8", movement="metadata")
+    plan = build_plan(spark, f"{tmp_path}/fleet/*", "nightly0", "6.8")
     counts = {r["repo_id"][-1]: r["count"] for r in plan.requests.groupBy("repo_id").count().collect()}
     assert counts == {"a": 4, "b": 4}
     assert plan.violations.count() == 0
