@@ -17,13 +17,13 @@ def write_ndjson(rows: DataFrame, path: str, by_index: bool = False) -> None:
     """(target_index, action, source) as action and source lines.
 
     The action line names its index, so files may mix indices and are written as the rows lie.
-    `by_index` puts every index in a folder of its own.
+    `by_index` puts every index in a folder of its own. Running it again replaces the files.
     """
     line = F.concat(F.col("action"), F.lit("\n"), F.col("source")).alias("value")
     if by_index:
-        rows.select("target_index", line).write.partitionBy("target_index").text(path)
+        rows.select("target_index", line).write.mode("overwrite").partitionBy("target_index").text(path)
     else:
-        rows.select(line).write.text(path)
+        rows.select(line).write.mode("overwrite").text(path)
 
 
 @dataclass

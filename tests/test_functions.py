@@ -27,7 +27,7 @@ from shardlift.functions.settings import (
     tree_text,
 )
 from shardlift.functions.versions import version_of
-from shardlift.sources.containers import container_problem
+from shardlift.sources.containers import container_problem, read_containers
 
 
 def apply(spark, values, kind, make):
@@ -189,3 +189,12 @@ def test_containers(spark):
     ]
     got = apply(spark, [c[0] for c in cases], "binary", lambda x: container_problem(x, F.lit("snapshot")))
     assert got == [c[1] for c in cases]
+
+
+def test_container_files(spark, tmp_path):
+    (tmp_path / "meta-a.dat").write_bytes(container())
+    (tmp_path / "meta-b.dat").write_bytes(container(shift=1))
+    found = read_containers(spark, f"{tmp_path}/meta-*.dat").select(
+        "path", container_problem(F.col("content"), F.lit("snapshot")).alias("problem")
+    )
+    assert {r["path"][-5]: r["problem"] for r in found.collect()} == {"a": None, "b": "checksum"}

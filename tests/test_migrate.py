@@ -119,6 +119,16 @@ def test_movements(spark, tmp_path):
     assert meta.requests.count() == 4 and meta.documents is None and meta.files is None
 
 
+def test_again_is_the_same(spark, tmp_path):
+    repo, docs, out = make_repo(tmp_path / "repo", "6.8"), make_documents(tmp_path / "docs"), str(tmp_path / "out")
+    seen = []
+    for _ in range(2):
+        migrate(spark, str(repo), "nightly0", "6.8", movement="data", documents=docs, output=out)
+        lines = sorted(r["value"] for r in spark.read.text(f"{out}/bulk").collect())
+        seen.append((lines, spark.read.parquet(f"{out}/shard_files").count()))
+    assert seen[0] == seen[1] and len(seen[0][0]) == 6
+
+
 def test_fleet(spark, tmp_path):
     make_repo(tmp_path / "fleet" / "of a", "6.8")
     make_repo(tmp_path / "fleet" / "b", "6.8")
