@@ -172,14 +172,14 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(_counts_of(text), schema).groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _windows_of(text: str):
+def _windows_of(text: str, most: int):
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text):
             data, offsets = raw(texts_of(batch.column(text)))
             out = []
             for a, b in itertools.pairwise(offsets.tolist()):
                 words = words_of(data[a:b].tobytes())
-                n = min(WINDOWS, len(words))
+                n = min(most, len(words))
                 padded = [b""] * SIDE + words + [b""] * SIDE
                 for k in range(n):
                     at = (2 * k + 1) * len(words) // (2 * n)
@@ -249,7 +249,7 @@ class Model:
     network: Network
 
 
-def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Model:
+def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, per_document: int = WINDOWS) -> Model:
     """Counts all words, keeps the most frequent ones and trains on windows of all documents.
 
     The vocabulary and the network have a fixed size, and only they come to the driver. Blocks of parameters are
@@ -266,7 +266,7 @@ def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Model:
     mass[frequent:] = max(0, total - mass.sum()) / BUCKETS
     network = Network.new(mass)
     window = T.StructType([T.StructField("words", T.ArrayType(T.BinaryType()))])
-    windows = write_shared(docs.select(text).mapInArrow(_windows_of(text), window), "windows")
+    windows = write_shared(docs.select(text).mapInArrow(_windows_of(text, per_document), window), "windows")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for step in range(rounds):
         trained = windows.mapInArrow(_train_batches(vocabulary, network, step), _BLOCKS)
