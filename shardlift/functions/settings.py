@@ -84,29 +84,28 @@ def _overlaps(leaves: Column) -> Column:
     )
 
 
-def _expand_shared(leaves: Column, writes: Column, depth: int) -> Column:
-    """Open object values that a longer key writes into, `depth` levels down at most."""
-    for _ in range(depth):
-        leaves = F.flatten(
+def _expand_shared(leaves: Column, writes: Column) -> Column:
+    """Open object values that a longer key writes into, as deep as the row's longest key goes."""
+
+    def written_into(x: Column) -> Column:
+        return F.exists(
+            writes,
+            lambda w: (F.size(w["path"]) > F.size(x["path"])) & _starts_with(w["path"], x["path"]),
+        )
+
+    def one_level(opened: Column) -> Column:
+        return F.flatten(
             F.transform(
-                leaves,
-                lambda x: F.when(
-                    _open_object(
-                        x,
-                        F.exists(
-                            writes,
-                            lambda w: (F.size(w["path"]) > F.size(x["path"]))
-                            & _starts_with(w["path"], x["path"]),
-                        ),
-                    ),
-                    _nested(x),
-                ).otherwise(F.array(x)),
+                opened,
+                lambda x: F.when(_open_object(x, written_into(x)), _nested(x)).otherwise(F.array(x)),
             )
         )
-    return leaves
+
+    longest = F.array_max(F.transform(writes, lambda w: F.size(w["path"])))
+    return F.aggregate(F.sequence(F.lit(1), longest), leaves, lambda opened, _: one_level(opened))
 
 
-def tree_leaves(text: Column, merge_depth: int = 4) -> Column:
+def tree_leaves(text: Column) -> Column:
     """struct<leaves, problem> of a flat settings object.
 
     Keys apply in document order. A later key replaces whatever stands at its path; a key that has to
@@ -156,7 +155,7 @@ def tree_leaves(text: Column, merge_depth: int = 4) -> Column:
 
     def merged(writes: Column) -> Column:
         return let(
-            _expand_shared(writes, writes, merge_depth),
+            _expand_shared(writes, writes),
             lambda opened: _tree(
                 let(survivors(writes, opened), without_filled),
                 F.when(blocked(writes, opened), F.lit("settings key passes through a value")),

@@ -17,7 +17,7 @@ from shardlift.functions.settings import (
 from shardlift.operators.report import index_summary, template_names
 from shardlift.operators.requests import index_body
 from shardlift.operators.transforms import template_rows, transform_indices, transform_templates
-from shardlift.queries.registry import busy_table, query, text
+from shardlift.queries.registry import query, table, text
 
 
 def fill(pattern: str, *values: Column) -> Column:
@@ -48,7 +48,7 @@ def flat_settings() -> Column:
 )
 def settings_tree(spark: SparkSession, folder: str) -> DataFrame:
     return (
-        busy_table(spark, folder, "part")
+        table(spark, folder, "part")
         .select("p_partkey", tree_leaves(flat_settings()).alias("t"))
         .select(
             "p_partkey",
@@ -58,13 +58,27 @@ def settings_tree(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Levels of an object that a dotted key reaches into.
+_DEPTHS = (1, 5, 8, 12)
+
+
+def _levels(depth: int) -> list[str]:
+    return [f"a{k}" for k in range(depth)]
+
+
+def _deep_merged(depth: int) -> str:
+    """The tree of `_deep_settings`, as SQL."""
+    return "'" + "".join(f'{{"{k}":' for k in _levels(depth)) + '{"b":1,"c":\' || p_size || \'}' + "}" * depth + "'"
+
+
 @query(
-    """
+    f"""
     SELECT p_partkey,
       CASE WHEN p_type IN ('SMALL', 'MEDIUM', 'LARGE') THEN NULL ELSE
-        CASE p_type WHEN 'PROMO' THEN '{"a":{"b":' || p_size || '}}'
-                    WHEN 'ECONOMY' THEN '{"a":' || p_size || '}'
-                    ELSE '{"a":{"b":1,"c":' || p_size || '}}' END END AS tree,
+        CASE p_type WHEN 'PROMO' THEN '{{"a":{{"b":' || p_size || '}}}}'
+                    WHEN 'ECONOMY' THEN '{{"a":' || p_size || '}}'
+                    ELSE CASE p_partkey % 4 {" ".join(f"WHEN {k} THEN {_deep_merged(d)}" for k, d in enumerate(_DEPTHS))} END
+        END END AS tree,
       CASE p_type WHEN 'SMALL' THEN 'settings key passes through a value'
                   WHEN 'MEDIUM' THEN 'settings key has no name'
                   WHEN 'LARGE' THEN 'settings are missing or not an object' END AS problem
@@ -72,17 +86,24 @@ def settings_tree(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def settings_conflicts(spark: SparkSession, folder: str) -> DataFrame:
-    """Keys that meet: value then child, child then value, trailing dots, an object merged into."""
+    """Keys that meet: value then child, child then value, trailing dots, an object merged into at some depth."""
     kind, size = F.col("p_type"), text("p_size")
+
+    def deep(depth: int) -> Column:
+        names = _levels(depth)
+        opened = "".join(f'{{"{k}":' for k in names) + '{"b":1}' + "}" * (depth - 1)
+        return fill(f'{opened},"{".".join(names)}.c":%s}}', size)
+
+    merging = F.coalesce(*(F.when(F.col("p_partkey") % 4 == k, deep(d)) for k, d in enumerate(_DEPTHS)))
     flat = (
         F.when(kind == "SMALL", fill('{"a":%s,"a.b":1}', size))
         .when(kind == "MEDIUM", fill('{"..":%s}', size))
         .when(kind == "LARGE", fill("[%s]", size))
         .when(kind == "PROMO", fill('{"a.b..":%s}', size))
         .when(kind == "ECONOMY", fill('{"a.b":1,"a":%s}', size))
-        .otherwise(fill('{"a":{"b":1},"a.c":%s}', size))
+        .otherwise(merging)
     )
-    return busy_table(spark, folder, "part").select("p_partkey", flat_to_tree(flat).alias("t")).select(
+    return table(spark, folder, "part").select("p_partkey", flat_to_tree(flat).alias("t")).select(
         "p_partkey", F.col("t.value").alias("tree"), "t.problem"
     )
 
@@ -115,7 +136,7 @@ def replicas(spark: SparkSession, folder: str) -> DataFrame:
             for d in (2, 3, 5)
         ]
     )
-    return busy_table(spark, folder, "part").select("p_partkey", F.inline(rounded))
+    return table(spark, folder, "part").select("p_partkey", F.inline(rounded))
 
 
 _BODY = """'{"properties":{"n":{"type":"long","x":' || p_size || '}}}'"""
@@ -141,7 +162,7 @@ def mappings(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == "PROMO", F.lit("[]"))
         .otherwise(fill('[{"%s":%s}]', F.coalesce(wrapper, F.lit("other")), body))
     )
-    return busy_table(spark, folder, "part").select("p_partkey", unwrap_mappings(stored).alias("m")).select(
+    return table(spark, folder, "part").select("p_partkey", unwrap_mappings(stored).alias("m")).select(
         "p_partkey", F.col("m.value").alias("mappings"), "m.problem"
     )
 
@@ -161,7 +182,7 @@ def customer_globals(spark: SparkSession, folder: str) -> DataFrame:
         '"bare_%s":{"composed_of":["ct"]}}},"component_template":{"component_template":{"ct":{"template":%s}}}}',
         name, body, name, nation, body, name, body,
     )
-    return busy_table(spark, folder, "customer").select(text("c_custkey").alias("repo_id"), whole.alias("body"))
+    return table(spark, folder, "customer").select(text("c_custkey").alias("repo_id"), whole.alias("body"))
 
 
 _C = """
@@ -235,7 +256,7 @@ def part_indices(spark: SparkSession, folder: str) -> DataFrame:
         '"settings":%s}',
         text("p_size"), F.col("p_brand"), flat_settings(),
     )
-    return busy_table(spark, folder, "part").select(text("p_partkey").alias("index_name"), body.alias("body"))
+    return table(spark, folder, "part").select(text("p_partkey").alias("index_name"), body.alias("body"))
 
 
 _P = """

@@ -26,16 +26,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def busy_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table whose rows take much work each: spread out when its scan would leave half the cores idle.
-
-    A large table has splits enough and is left as it lies.
-    """
-    rows = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() * 2 < cores else rows
-
-
 def text(column: str) -> Column:
     return F.col(column).cast("string")
 

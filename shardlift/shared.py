@@ -9,19 +9,46 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _LOCAL: dict[str, str] = {}
+_RUNS: list[SharedRun] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`; only where it is unset, as in tests, a new local one."""
-    folder = spark.conf.get(_SETTING, None)
+    """The folder named by `spark.checkpoint.dir`, else the one given to `setCheckpointDir`.
+
+    Only where neither is set and everything runs in one process, as in tests, it is a new local folder.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if not folder:
-        app = spark.sparkContext.applicationId
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError(f"{_SETTING} has to name a folder that all executors share")
+        app = context.applicationId
         if app not in _LOCAL:
             _LOCAL[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         folder = _LOCAL[app]
     return folder.rstrip("/")
 
 
+class SharedRun:
+    """Tables written while it is open lie in one folder, which `close` deletes when they are not needed any more."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> SharedRun:
+        _RUNS.append(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        _RUNS.remove(self)
+
+    def close(self) -> None:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_shared(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
@@ -29,6 +56,7 @@ def write_shared(df: DataFrame, name: str) -> DataFrame:
     for its choice of joins.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = _RUNS[-1].folder if _RUNS else shared_folder(spark)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
