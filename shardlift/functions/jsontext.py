@@ -2,16 +2,19 @@
 
 Config bodies have no schema, so a body is handled as its top-level entries: the value of each
 entry is JSON text that keeps its type (`"1"` and `1` differ) and, for objects and arrays, the
-order and number formats of the input. A change to one member touches that member only.
+order of the input; numbers may be written anew (`1.10` as `1.1`). A change to one member touches that
+member only. Of keys that an object repeats, at any depth, the last value counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+_REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` of a value that is evaluated once, however often the body uses it."""
@@ -33,8 +36,19 @@ def is_array(text: Column) -> Column:
     return F.coalesce(F.startswith(text, F.lit("[")), F.lit(False))
 
 
+def _allow_repeated_keys() -> None:
+    """Variants are used to tell strings from the rest, and by default refuse objects that repeat a key."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.conf.get(_REPEATED_KEYS, "false") != "true":
+        spark.conf.set(_REPEATED_KEYS, "true")
+
+
 def entries(text: Column) -> Column:
-    """array<struct<key, value>> of a JSON object in document order; null if it is not an object."""
+    """array<struct<key, value>> of a JSON object in document order; null if it is not an object.
+
+    A repeated key stands where it is first, with its last value.
+    """
+    _allow_repeated_keys()
 
     def entry(pair: Column, value: Column) -> Column:
         kept = let(
@@ -45,13 +59,27 @@ def entries(text: Column) -> Column:
         )
         return F.struct(pair["key"].alias("key"), kept.alias("value"))
 
+    def last_of(items: Column, key: Column) -> Column:
+        return F.element_at(F.filter(items, lambda e: e["key"] == key), -1)
+
+    def single(items: Column) -> Column:
+        return let(
+            F.array_distinct(keys_of(items)),
+            lambda keys: F.when(F.size(keys) == F.size(items), items).otherwise(
+                F.transform(keys, lambda k: last_of(items, k))
+            ),
+        )
+
     return let(
-        text,
-        lambda t: F.zip_with(
-            F.map_entries(F.from_json(t, "map<string,string>")),
-            F.map_values(F.from_json(t, "map<string,variant>")),
-            entry,
+        let(
+            text,
+            lambda t: F.zip_with(
+                F.map_entries(F.from_json(t, "map<string,string>")),
+                F.map_values(F.from_json(t, "map<string,variant>")),
+                entry,
+            ),
         ),
+        single,
     )
 
 

@@ -69,6 +69,24 @@ def template_rows(bodies: DataFrame) -> DataFrame:
     )
 
 
+def with_global_problem(bodies: DataFrame) -> DataFrame:
+    """Adds `problem`: global metadata, or a group of templates in it, that is there but cannot be read."""
+
+    def unreadable(top: Column) -> Column:
+        def told(what: str, value: Column) -> Column:
+            return F.when(value.isNotNull() & entries(value).isNull(), F.lit(f"{what} is not an object"))
+
+        nested = [
+            F.coalesce(told(k, member(top, k)), told(f"{k}.{k}", member(entries(member(top, k)), k)))
+            for k in ("component_template", "index_template")
+        ]
+        return F.when(top.isNull(), F.lit("no readable meta-data")).otherwise(
+            F.coalesce(told("templates", member(top, "templates")), *nested)
+        )
+
+    return bodies.withColumn("problem", let(entries(F.col("body")), unreadable))
+
+
 def _done(value: Column, problem: Column) -> Column:
     return F.struct(value.alias("value"), problem.alias("problem"))
 

@@ -14,10 +14,17 @@ from shardlift.functions.settings import (
     tree_leaves,
     tree_text,
 )
+from shardlift.operators import preflight
 from shardlift.operators.report import index_summary, template_names
 from shardlift.operators.requests import index_body
-from shardlift.operators.transforms import template_rows, transform_indices, transform_templates
+from shardlift.operators.transforms import (
+    template_rows,
+    transform_indices,
+    transform_templates,
+    with_global_problem,
+)
 from shardlift.queries.registry import query, table, text
+from shardlift.sources.metadata import global_bodies, index_bodies
 
 
 def fill(pattern: str, *values: Column) -> Column:
@@ -182,7 +189,33 @@ def customer_globals(spark: SparkSession, folder: str) -> DataFrame:
         '"bare_%s":{"composed_of":["ct"]}}},"component_template":{"component_template":{"ct":{"template":%s}}}}',
         name, body, name, nation, body, name, body,
     )
-    return table(spark, folder, "customer").select(text("c_custkey").alias("repo_id"), whole.alias("body"))
+    value = F.concat(F.lit('{"version":7,"meta-data":'), whole, F.lit("}"))
+    texts = table(spark, folder, "customer").select(text("c_custkey").alias("repo_id"), value.alias("value"))
+    return global_bodies(texts)
+
+
+@query(
+    """
+    SELECT CAST(c_custkey AS VARCHAR) AS repo_id, 'global_metadata' AS rule, CAST(c_custkey AS VARCHAR) AS subject,
+      CASE c_custkey % 6 WHEN 1 THEN 'no readable meta-data' WHEN 2 THEN 'no readable meta-data'
+        WHEN 3 THEN 'templates is not an object' ELSE 'index_template.index_template is not an object' END AS detail
+    FROM customer WHERE c_custkey % 6 IN (1, 2, 3, 4)
+    """
+)
+def global_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """Broken text, no `meta-data`, buckets of a wrong kind; repeated keys are no fault."""
+    key, name = F.col("c_custkey"), F.col("c_mktsegment")
+    value = (
+        F.when(key % 6 == 1, fill('{"meta-data":{"templates":{"%s"', name))
+        .when(key % 6 == 2, fill('{"other":{"templates":{"%s":{}}}}', name))
+        .when(key % 6 == 3, fill('{"meta-data":{"templates":["%s"]}}', name))
+        .when(key % 6 == 4, fill('{"meta-data":{"index_template":{"index_template":"%s"}}}', name))
+        .when(key % 6 == 5, fill('{"meta-data":{"templates":{"%s":{"order":1,"order":2}}}}', name))
+        .otherwise(fill('{"meta-data":{"templates":{"%s":{}}}}', name))
+    )
+    texts = table(spark, folder, "customer").select(text("c_custkey").alias("repo_id"), value.alias("value"))
+    bodies = with_global_problem(global_bodies(texts))
+    return preflight.check(bodies, F.col("repo_id"), preflight.problem_rule("global_metadata"))
 
 
 _C = """
@@ -256,7 +289,9 @@ def part_indices(spark: SparkSession, folder: str) -> DataFrame:
         '"settings":%s}',
         text("p_size"), F.col("p_brand"), flat_settings(),
     )
-    return table(spark, folder, "part").select(text("p_partkey").alias("index_name"), body.alias("body"))
+    name = text("p_partkey")
+    value = F.concat(fill('{"%s":', name), body, F.lit("}"))
+    return index_bodies(table(spark, folder, "part").select(name.alias("index_name"), value.alias("value")))
 
 
 _P = """
