@@ -14,8 +14,12 @@ from shardlift.shared import write_shared
 
 
 def live(docs: DataFrame) -> DataFrame:
-    """Documents that have a source. Only the source decides."""
-    return docs.where(F.length("_source") > 0)
+    """Documents that have a source. Only the source decides.
+
+    A table with `source_size` says so without its sources: passes that need no source then read none.
+    """
+    size = F.col("source_size") if "source_size" in docs.columns else F.length("_source")
+    return docs.where(size > 0)
 
 
 def with_id_problem(docs: DataFrame) -> DataFrame:
@@ -25,7 +29,7 @@ def with_id_problem(docs: DataFrame) -> DataFrame:
 def decoded(docs: DataFrame) -> DataFrame:
     """Stored id and source as text; the stored columns go."""
     return docs.withColumns({"id": decode_id(F.col("_id")), "source": source_text(F.col("_source"))}).drop(
-        "_id", "_source"
+        "_id", "_source", "source_size"
     )
 
 
@@ -42,13 +46,24 @@ def route(docs: DataFrame, plan: DataFrame, keys: Sequence[str] = ("repo_id", "i
     return docs.join(plan, list(keys))
 
 
-def position(shard: Column, ord_: Column) -> Column:
-    """Order of writes as one fixed-width number, so that its maximum is a hash aggregate."""
+def position(shard: Column, ord_: Column, place: Column | None = None) -> Column:
+    """Order of writes as one fixed-width number, so that its maximum is a hash aggregate.
+
+    `place` orders the indices that go to one target; a place that is not known comes before all others.
+    """
+    shard, ord_ = F.coalesce(shard, F.lit(-1)), F.coalesce(ord_, F.lit(-1))
+    if place is not None:
+        before = F.coalesce(place, F.lit(0)).cast("decimal(8,0)") * F.lit("1" + "0" * 29).cast("decimal(30,0)")
+        return (before + position(shard, ord_)).cast("decimal(38,0)")
     return shard.cast("decimal(10,0)") * F.lit("18446744073709551616").cast("decimal(20,0)") + ord_.cast(
         "decimal(20,0)"
     )
 
 
+def _position_of(docs: DataFrame) -> Column:
+    return position(F.col("shard"), F.col("ord"), F.col("place") if "place" in docs.columns else None)
+
+
 def repeated_keys(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys written more than once, with the position of their last write.
 
@@ -56,7 +71,7 @@ def repeated_keys(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
     rows sends one row per task.
     """
     return (
-        docs.select(*keys, position(F.col("shard"), F.col("ord")).alias("pos"))
+        docs.select(*keys, _position_of(docs).alias("pos"))
         .groupBy(*keys)
         .agg(F.max("pos").alias("last"), F.count(F.lit(1)).alias("writes"))
         .where(F.col("writes") > 1)
@@ -78,7 +93,7 @@ def last_write_wins(
     again = repeated_keys(docs, keys)
     if shared:
         again = write_shared(again, "repeated_keys")
-    pos = position(F.col("shard"), F.col("ord"))
+    pos = _position_of(docs)
     return (
         docs.join(again, list(keys), "left")
         .where(F.col("last").isNull() | (F.col("last") == pos))

@@ -78,3 +78,62 @@ def shard_rules() -> list[Rule]:
 def problem_rule(rule: str) -> list[Rule]:
     """Rows that carry a `problem` of their own."""
     return [(rule, F.col("problem").isNotNull(), F.col("problem"))]
+
+
+def missing_catalogs(asked: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Repositories that were asked for (repo_id) and have no catalog."""
+    lost = asked.select("repo_id").distinct().join(catalog.select("repo_id"), "repo_id", "left_anti")
+    return lost.select(
+        "repo_id",
+        F.lit("catalog_missing").alias("rule"),
+        F.col("repo_id").alias("subject"),
+        F.lit("no index-<n> file").alias("detail"),
+    )
+
+
+def target_collisions(sources: DataFrame, keys: Sequence[str], rule: str, body: str | None = None) -> DataFrame:
+    """Targets (`keys`) that more than one source would create; reported once, for the first repository.
+
+    With `body`, sources that say the same are no collision.
+    """
+    differ = F.min(body) != F.max(body) if body else F.lit(True)
+    return (
+        sources.groupBy(*keys)
+        .agg(F.min("repo_id").alias("repo_id"), F.count("*").alias("n"), differ.alias("differ"))
+        .where("n > 1 and differ")
+        .select(
+            "repo_id",
+            F.lit(rule).alias("rule"),
+            F.concat_ws(" ", *keys).alias("subject"),
+            F.concat(F.col("n").cast("string"), F.lit(" sources for one target")).alias("detail"),
+        )
+    )
+
+
+def document_coverage(docs: DataFrame, plan: DataFrame, repositories: DataFrame) -> DataFrame:
+    """Documents of repositories nobody knows, planned indices that have no documents, and documents without a place.
+
+    Documents are counted by (repo_id, index) first, on the map side, so what is joined is a row for each index.
+    """
+    lost = F.count_if(F.col("shard").isNull() | F.col("ord").isNull())
+    held = docs.groupBy("repo_id", "index").agg(F.count("*").alias("n"), lost.alias("lost"))
+    unknown = held.join(repositories.select("repo_id"), "repo_id", "left_anti")
+    strangers = unknown.groupBy("repo_id").agg(F.sum("n").alias("n")).select(
+        "repo_id",
+        F.lit("document_repository").alias("rule"),
+        F.col("repo_id").alias("subject"),
+        F.concat(F.col("n").cast("string"), F.lit(" documents of an unknown repository")).alias("detail"),
+    )
+    empty = plan.select("repo_id", "index").join(held, ["repo_id", "index"], "left_anti").select(
+        "repo_id",
+        F.lit("index_without_documents").alias("rule"),
+        F.col("index").alias("subject"),
+        F.lit("no documents").alias("detail"),
+    )
+    unplaced = held.where("lost > 0").select(
+        "repo_id",
+        F.lit("document_order").alias("rule"),
+        F.col("index").alias("subject"),
+        F.concat(F.col("lost").cast("string"), F.lit(" documents without shard or order")).alias("detail"),
+    )
+    return strangers.unionByName(empty).unionByName(unplaced)

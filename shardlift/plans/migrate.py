@@ -6,10 +6,11 @@ A plan is a set of lazy tables; `migrate` checks it, writes it and sends it. Eve
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shardlift.fixed import STAGES, TARGET_SUFFIX
@@ -24,14 +25,15 @@ from shardlift.operators.transforms import (
     template_rows,
     transform_indices,
     transform_templates,
+    with_global_problem,
 )
 from shardlift.schemas import TARGET_STATE, VIOLATION
-from shardlift.shared import write_shared
+from shardlift.shared import SharedRun, write_shared
 from shardlift.sinks.bulk import write_ndjson
 from shardlift.sinks.files import write_shard_files
-from shardlift.sinks.transport import Transport, deliver, with_outcome
+from shardlift.sinks.transport import Transport, deliver, probed, with_outcome
 from shardlift.sources.blobs import blob_sizes, with_blob_paths
-from shardlift.sources.catalog import read_catalog, roots_of
+from shardlift.sources.catalog import asked_names, is_pattern, read_catalog, repo_name, roots_of
 from shardlift.sources.documents import read_documents
 from shardlift.sources.metadata import (
     explode_files,
@@ -55,15 +57,25 @@ class Plan:
     requests: DataFrame
     files: DataFrame | None
     documents: DataFrame | None
+    run: SharedRun | None = None
 
+    def close(self) -> None:
+        """Deletes the intermediate tables; the tables of the plan cannot be computed any more."""
+        if self.run is not None:
+            self.run.close()
 
-def _is_pattern(root: str) -> bool:
-    return any(c in root for c in "*?[{")
 
+def _in_a_run(build):
+    """Intermediate tables of a plan lie in a folder of their own."""
 
-def _bare(path):
-    """A path without scheme, to compare what was asked for with what Spark reports."""
-    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+    @functools.wraps(build)
+    def run_and_build(spark: SparkSession, *args, **options) -> Plan:
+        with SharedRun(spark) as run:
+            plan = build(spark, *args, **options)
+        plan.run = run
+        return plan
+
+    return run_and_build
 
 
 def _flag(rows: DataFrame, rule: str, subject: str, detail: str) -> DataFrame:
@@ -75,18 +87,27 @@ def _flag(rows: DataFrame, rule: str, subject: str, detail: str) -> DataFrame:
     )
 
 
-def _missing_catalogs(spark: SparkSession, repos, catalog: DataFrame) -> DataFrame:
-    asked = spark.createDataFrame(
-        [(r,) for r in roots_of(repos) if not _is_pattern(r)], "repo_id string"
-    ).withColumn("bare", _bare(F.col("repo_id")))
-    found = catalog.select(_bare(F.col("repo_id")).alias("bare"))
-    return _flag(asked.join(found, "bare", "left_anti"), "catalog_missing", "repo_id", "no index-<n> file")
+def _asked(spark: SparkSession, repos: str | Sequence[str]) -> DataFrame:
+    """Names of the repositories that were asked for by their roots."""
+    names = [(name,) for root, name in asked_names(spark, repos).items() if not is_pattern(root)]
+    return spark.createDataFrame(names, "repo_id string").select(repo_name(F.col("repo_id")).alias("repo_id"))
+
+
+def _document_repositories(spark: SparkSession, repos: str | Sequence[str], docs: DataFrame) -> DataFrame:
+    """Documents with the repository named as everywhere else, whichever form of its root they carry."""
+    asked = {root: name for root, name in asked_names(spark, repos).items() if root != name}
+    root = F.regexp_replace("repo_id", "(?<=[^/])/+$", "")
+    if asked:
+        known = F.create_map(*(F.lit(x) for pair in asked.items() for x in pair))
+        root = F.coalesce(F.element_at(known, root), root)
+    return docs.withColumn("repo_id", repo_name(root))
 
 
 def _present(texts: DataFrame) -> DataFrame:
     return texts.withColumn("present", F.col("value").isNotNull())
 
 
+@_in_a_run
 def build_plan(
     spark: SparkSession,
     repos: str | Sequence[str],
@@ -121,7 +142,7 @@ def build_plan(
     catalog = write_shared(read_catalog(spark, repos, source), "catalog")
     chosen = catalog.select("repo_id", snapshot_id(snapshot).alias("snapshot_id"))
     broken = [
-        _missing_catalogs(spark, repos, catalog),
+        preflight.missing_catalogs(_asked(spark, repos), catalog),
         preflight.check(catalog, F.lit("catalog"), preflight.catalog_rules()),
     ]
     absent = chosen.where(F.col("snapshot_id").isNull()).withColumn("name", F.lit(snapshot))
@@ -158,15 +179,21 @@ def build_plan(
         )
     )
 
+    broken.append(preflight.target_collisions(indices, ["target_index"], "target_collision"))
+
     wanted = [requests.index_requests(indices)]
     if with_metadata:
         globals_ = read_metadata(spark, repos, "global").join(chosen, ["repo_id", "snapshot_id"], "left_semi")
         broken.append(
             _flag(chosen.join(globals_, "repo_id", "left_anti"), "file_missing", "snapshot_id", "global metadata")
         )
+        bodies = with_global_problem(global_bodies(globals_))
+        broken.append(
+            preflight.check(bodies, F.col("snapshot_id"), preflight.problem_rule("global_metadata"))
+        )
         templates = write_shared(
             transform_templates(
-                template_rows(global_bodies(globals_)), source, target, dimensionality, legacy_replica_fix
+                template_rows(bodies), source, target, dimensionality, legacy_replica_fix
             ),
             "templates",
         )
@@ -180,6 +207,7 @@ def build_plan(
             )
         )
         broken.append(preflight.check(templates, F.col("name"), preflight.problem_rule("template")))
+        broken.append(preflight.target_collisions(kept, ["kind", "name"], "template_collision", "body"))
         wanted.insert(0, requests.template_requests(kept))
     state = target_state if target_state is not None else spark.createDataFrame([], TARGET_STATE)
     planned = requests.in_movement(
@@ -225,11 +253,29 @@ def build_plan(
             keys = ["repo_id", "index"]
             if "repo_id" not in stored.columns:
                 roots = roots_of(repos)
-                if len(roots) > 1 or _is_pattern(roots[0]):
+                if len(roots) > 1 or is_pattern(roots[0]):
                     raise ValueError("documents of several repositories need a repo_id column")
                 keys = ["index"]
+            else:
+                stored = _document_repositories(spark, repos, stored)
             alive = docs_ops.live(stored)
-            plan = indices.select("repo_id", F.col("index_name").alias("index"), "target_index")
+            # Indices of one target, which only a run that is not strict has, are written in this order.
+            order = Window.partitionBy("target_index").orderBy("repo_id", "pos")
+            plan = indices.select(
+                "repo_id",
+                F.col("index_name").alias("index"),
+                "target_index",
+                F.row_number().over(order).alias("place"),
+            )
+            placed = stored
+            if "repo_id" not in stored.columns:
+                (name,) = asked_names(spark, repos).values()
+                placed = stored.withColumn("repo_id", repo_name(F.lit(name)))
+            coverage = write_shared(
+                preflight.document_coverage(placed, plan, catalog.select("repo_id")), "coverage"
+            )
+            broken.append(coverage.where(F.col("rule") != "index_without_documents"))
+            warnings.append(coverage.where(F.col("rule") == "index_without_documents"))
             if check_documents:
                 broken.append(
                     preflight.check(
@@ -244,8 +290,8 @@ def build_plan(
                 id_problem(F.col("_id")).isNotNull(), F.raise_error(id_problem(F.col("_id"))).cast("binary")
             ).otherwise(F.col("_id"))
             last = docs_ops.last_write_wins(
-                docs_ops.decoded(routed.withColumn("_id", safe)), ("repo_id", "target_index", "id"), shared=True
-            )
+                docs_ops.decoded(routed.withColumn("_id", safe)), ("target_index", "id"), shared=True
+            ).drop("place")
             moved = docs_ops.bulk_rows(last)
 
     empty = spark.createDataFrame([], VIOLATION)
@@ -293,10 +339,18 @@ def migrate(
     if plan.files is not None:
         write_shard_files(plan.files, f"{output}/shard_files")
     if transport is not None:
-        written = spark.read.parquet(f"{output}/requests").where(F.col("decision") == "create")
+        written = spark.read.parquet(f"{output}/requests")
         for stage in sorted(set(STAGES.values()) - {STAGES["document"]}):
+            mode = "overwrite" if stage == 0 else "append"
+            wanted = written.where(F.col("stage") == stage)
+            if options.get("target_state") is None:
+                # Nothing is created that was not looked for.
+                state = write_shared(probed(wanted.where(F.col("decision") == "create"), transport), "state")
+                wanted = requests.with_decisions(wanted.drop("stage", "decision"), state)
+            wanted.write.mode(mode).parquet(f"{output}/request_decisions")
+            decided = spark.read.parquet(f"{output}/request_decisions").where(F.col("stage") == stage)
             sent = deliver(
-                written.where(F.col("stage") == stage).withColumn(
+                decided.where(F.col("decision") == "create").withColumn(
                     "head", F.to_json(F.struct(F.col("path").alias("put")))
                 ),
                 ["repo_id", "kind", "name", "stage"],
@@ -304,9 +358,7 @@ def migrate(
                 "body",
                 transport,
             )
-            with_outcome(sent).write.mode("overwrite" if stage == 0 else "append").parquet(
-                f"{output}/request_results"
-            )
+            with_outcome(sent).write.mode(mode).parquet(f"{output}/request_results")
     if plan.documents is not None:
         if transport is None:
             write_ndjson(plan.documents, f"{output}/bulk")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,10 @@ from shardlift.operators.documents import (
 )
 from shardlift.operators.report import document_fields
 from shardlift.queries.registry import encoded_bytes, encoded_number, encoded_text, query, table
+from shardlift.shared import shared_folder
+from shardlift.sinks.bulk import write_ndjson
 from shardlift.sinks.transport import with_outcome
+from shardlift.sources.documents import read_documents
 
 
 def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -134,6 +139,25 @@ def doc_bulk(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    f"""
+    WITH w AS (
+      SELECT index_name, id, translate(text, chr(13) || chr(10), '  ') AS source FROM ({_LABELLED}) WHERE NOT gone
+      QUALIFY row_number() OVER (PARTITION BY index_name, id ORDER BY shard DESC, ord DESC) = 1)
+    SELECT md5('{{"index":{{"_index":"' || index_name || '_reindexed","_id":"' || id || '"}}}}') AS line_md5 FROM w
+    UNION ALL SELECT md5(source) FROM w
+    """
+)
+def bulk_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored document table read back, its last writes written as bulk files, and the lines of the files."""
+    base = f"{shared_folder(spark)}/bulk-{uuid.uuid4().hex}"
+    labelled_documents(spark, folder).write.partitionBy("index", "shard").parquet(f"{base}/documents")
+    docs = decoded(live(read_documents(spark, f"{base}/documents")))
+    last = last_write_wins(docs.withColumn("target_index", target_name(F.col("index"))), shared=True)
+    write_ndjson(bulk_rows(last), f"{base}/bulk")
+    return spark.read.text(f"{base}/bulk").select(F.md5("value").alias("line_md5"))
+
+
 @query(
     """
     SELECT e.event_id AS ord, p.p_brand || '_reindexed' AS target_index

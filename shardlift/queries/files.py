@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardlift.fixed import UNLIMITED_PART_SIZE
@@ -19,9 +21,12 @@ from shardlift.operators.files import (
 from shardlift.operators.preflight import check
 from shardlift.operators.report import shard_manifests
 from shardlift.queries.registry import query, table, text
-from shardlift.sources.catalog import newest
+from shardlift.shared import shared_folder
+from shardlift.sinks.files import shard_file_rows, write_blobs
+from shardlift.sources.catalog import newest, repo_name
 from shardlift.sources.containers import container_problem
 from shardlift.sources.metadata import explode_files, parse_shards
+from shardlift.unnest import unnest
 
 
 def line_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -110,6 +115,63 @@ def text_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def text_blobs(spark: SparkSession, folder: str, size: int) -> DataFrame:
+    """documents as the blobs (doc_id, blob_name, content) that their parts are kept in, cut inside each row."""
+    body = F.encode("text", "UTF-8")
+    rows = table(spark, folder, "documents").select(
+        "doc_id", "lang", body.alias("body"), paths.part_count(F.length(body).cast("bigint"), F.lit(size)).alias("n")
+    )
+    name = F.concat(F.lit("__"), text("doc_id"))
+
+    def blob(i: Column) -> Column:
+        return F.struct(
+            paths.part_name(name, F.col("n"), i).alias("blob_name"),
+            F.substring("body", (i * size + 1).cast("int"), F.lit(size)).alias("content"),
+        )
+
+    cut = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1), blob)
+    return unnest(rows, cut, "i", "b").select("doc_id", "lang", "b.*")
+
+
+_PART = 16384
+
+
+@query(
+    f"""
+    SELECT doc_id, CAST(i * {_PART} AS BIGINT) AS "offset",
+           md5(array_slice(body, i * {_PART} + 1, least(len, (i + 1) * {_PART}))) AS content_md5
+    FROM (SELECT doc_id, body, len, unnest(range(greatest(1, (len + {_PART} - 1) // {_PART}))) AS i
+          FROM (SELECT doc_id, encode(text) AS body, octet_length(encode(text)) AS len FROM documents))
+    """
+)
+def shard_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts as blobs of a repository that tasks write, with a shard for each language, read back by byte ranges."""
+    root = f"{shared_folder(spark)}/repo-{uuid.uuid4().hex}"
+    blobs = text_blobs(spark, folder, _PART)
+    path = paths.blob_path(F.lit(root), F.lit("idx"), _language_shard(), F.col("blob_name"))
+    write_blobs(blobs.select(path.alias("path"), "content"))
+    body = F.encode("text", "UTF-8")
+    files = table(spark, folder, "documents").select(
+        repo_name(F.lit(root)).alias("repo_id"),
+        F.lit("texts").alias("index_name"),
+        F.lit("idx").alias("index_id"),
+        _language_shard().alias("shard"),
+        F.concat(F.lit("__"), text("doc_id")).alias("name"),
+        text("doc_id").alias("physical_name"),
+        F.length(body).cast("bigint").alias("length"),
+        F.lit(_PART).cast("bigint").alias("part_size"),
+        F.lit(None).cast("binary").alias("meta_hash"),
+    )
+    rows = shard_file_rows(files, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.select(
+        F.col("physical_name").cast("bigint").alias("doc_id"), "offset", F.md5("content").alias("content_md5")
+    )
+
+
+def _language_shard() -> Column:
+    return F.when(F.col("lang") == "en", 0).when(F.col("lang") == "de", 1).otherwise(2)
+
+
 _CHUNKED = """
     WITH d AS (SELECT doc_id, source, encode(text) AS body, octet_length(encode(text)) AS len FROM documents),
     c AS (SELECT *, unnest(range(greatest(1, (len + 3999) // 4000))) AS chunk FROM d WHERE source <> 'src0')
@@ -125,13 +187,7 @@ _CHUNKED = """
 def parts_concat(spark: SparkSession, folder: str) -> DataFrame:
     """Texts cut into parts, the parts looked up as blobs and put together in chunks of four."""
     files = text_files(spark, folder)
-    body = F.encode("text", "UTF-8")
-    start, size = F.col("part_offset").cast("int") + 1, F.col("part_length").cast("int")
-    blobs = (
-        file_parts(files)
-        .join(table(spark, folder, "documents").select("doc_id", body.alias("body")), "doc_id")
-        .select("doc_id", "blob_name", F.substring("body", start, size).alias("content"))
-    )
+    blobs = text_blobs(spark, folder, 1000).select("doc_id", "blob_name", "content")
     found = join_blobs(file_parts(files), blobs, ["doc_id"]).where("present")
     chunks = concat_parts(found, ["doc_id"], 4000)
     return chunks.unionByName(inline_chunks(files, ["doc_id"])).select(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shardlift.operators import preflight
+from shardlift.operators.documents import target_name
 from shardlift.operators.requests import (
     allowed,
     in_movement,
@@ -133,3 +135,61 @@ def movements(spark: SparkSession, folder: str) -> DataFrame:
             for m in ("metadata", "data", "everything")
         ]
     )
+
+
+@query(
+    """
+    SELECT min(p_brand) AS repo_id, 'target_collision' AS rule, p_name || '_reindexed' AS subject,
+           count(*) || ' sources for one target' AS detail
+    FROM part GROUP BY p_name HAVING count(*) > 1
+    """
+)
+def target_collisions(spark: SparkSession, folder: str) -> DataFrame:
+    """part rows as indices of the repository of their brand, several with one name."""
+    indices = table(spark, folder, "part").select(
+        F.col("p_brand").alias("repo_id"), target_name(F.col("p_name")).alias("target_index")
+    )
+    return preflight.target_collisions(indices, ["target_index"], "target_collision")
+
+
+@query(
+    """
+    SELECT CAST(o_orderkey AS VARCHAR) AS repo_id, 'catalog_missing' AS rule, CAST(o_orderkey AS VARCHAR) AS subject,
+           'no index-<n> file' AS detail
+    FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
+    """
+)
+def catalog_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as repositories that are asked for; those with a returned line have a catalog."""
+    asked = table(spark, folder, "orders").select(text("o_orderkey").alias("repo_id"))
+    returned = table(spark, folder, "lineitem").where("l_returnflag = 'R'")
+    return preflight.missing_catalogs(asked, returned.select(text("l_orderkey").alias("repo_id")).distinct())
+
+
+@query(
+    """
+    WITH d AS (SELECT source AS repo_id, lang AS index_name, n_chars % 11 = 0 AS lost FROM documents),
+    known AS (SELECT DISTINCT repo_id FROM d WHERE repo_id NOT IN ('src1', 'src2')),
+    plan AS (SELECT repo_id, unnest(['en', 'fr', 'xx']) AS index_name FROM known)
+    SELECT repo_id, 'document_repository' AS rule, repo_id AS subject,
+           count(*) || ' documents of an unknown repository' AS detail
+    FROM d WHERE repo_id NOT IN (SELECT repo_id FROM known) GROUP BY repo_id
+    UNION ALL
+    SELECT repo_id, 'index_without_documents', index_name, 'no documents'
+    FROM plan WHERE (repo_id, index_name) NOT IN (SELECT (repo_id, index_name) FROM d)
+    UNION ALL
+    SELECT repo_id, 'document_order', index_name, sum(lost::INT) || ' documents without shard or order'
+    FROM d GROUP BY repo_id, index_name HAVING sum(lost::INT) > 0
+    """
+)
+def doc_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    """documents by source as repository and language as index, against a plan that leaves two sources out."""
+    docs = table(spark, folder, "documents").select(
+        F.col("source").alias("repo_id"),
+        F.col("lang").alias("index"),
+        F.when(F.col("n_chars") % 11 != 0, 0).alias("shard"),
+        F.col("doc_id").alias("ord"),
+    )
+    known = docs.select("repo_id").distinct().where("repo_id not in ('src1', 'src2')")
+    plan = known.withColumn("index", F.explode(F.array(F.lit("en"), F.lit("fr"), F.lit("xx"))))
+    return preflight.document_coverage(docs, plan, known)

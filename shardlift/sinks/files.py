@@ -2,32 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardlift.operators.files import file_parts, inline_files
-from shardlift.sources.blobs import TASK_BYTES, byte_ranges, read_ranges, with_blob_paths
+from shardlift.sources.blobs import TASK_BYTES, byte_ranges, open_path, read_ranges, with_blob_paths
 from shardlift.unnest import unnest
 
 
 def file_ranges(files: DataFrame) -> DataFrame:
-    """Byte ranges of all files kept in blobs, with a `bucket` of about one task's bytes per shard.
+    """Byte ranges of all files kept in blobs, with a `bucket` for each stretch of about one task's bytes of a file.
 
-    The shard's share of buckets follows its bytes, so one shard, or one file, with a large part of all
-    bytes is spread over as many tasks as it needs, and small shards stay together.
+    The stretches follow from each file's own length, so one file with a large part of all bytes is spread
+    over as many tasks as it needs, whatever the manifest says of the shard.
     """
     parts = with_blob_paths(file_parts(files))
     ranges = byte_ranges(F.col("part_offset"), F.col("part_length"))
-    buckets = F.call_function("div", F.coalesce("total_size", F.lit(0)), F.lit(TASK_BYTES)) + 1
     spot = F.xxhash64("physical_name", F.call_function("div", F.col("offset"), F.lit(TASK_BYTES)))
     return (
         unnest(parts, ranges, "i", "r")
         .select(
-            "repo_id", "index_name", "index_id", "shard", "physical_name", "total_size", "path",
+            "repo_id", "index_name", "index_id", "shard", "physical_name", "path",
             "r.at", "r.count", "r.offset",
         )
-        .withColumn("bucket", F.pmod(spot, buckets))
-        .drop("total_size")
+        .withColumn("bucket", spot)
     )
 
 
@@ -51,3 +52,21 @@ def write_shard_files(files: DataFrame, path: str) -> None:
     total = files.agg(F.sum("length").alias("n")).first()["n"] or 0
     tasks = max(1, -(-total // TASK_BYTES))
     shard_file_rows(files, tasks).write.mode("overwrite").parquet(path)
+
+
+def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes = []
+        for uri, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+            system, path = open_path(uri)
+            system.create_dir(path.rpartition("/")[0], recursive=True)
+            with system.open_output_stream(path, compression=None) as out:
+                out.write(content.as_buffer())
+            sizes.append(len(content.as_buffer()))
+        yield pa.RecordBatch.from_pydict({"bytes": pa.array(sizes, pa.int64())})
+
+
+def write_blobs(blobs: DataFrame) -> int:
+    """Writes (path, content) rows as files, from the tasks, and returns their bytes. Writing one again replaces it."""
+    written = blobs.select("path", "content").mapInArrow(_write, "bytes bigint")
+    return written.agg({"bytes": "sum"}).first()[0] or 0

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardlift.fixed import HTTP_CREATED, HTTP_OK
+from shardlift.fixed import HTTP_CREATED, HTTP_NOT_FOUND, HTTP_OK
 
 BATCH_ROWS = 1000
 BATCH_BYTES = 8 * 1024 * 1024
@@ -26,6 +26,10 @@ class Transport(Protocol):
         """Deliver (action or path, body) pairs; one status each, in order."""
         ...
 
+    def probe(self, paths: list[str]) -> list[int]:
+        """Look for paths at the target; one status each, in order: 200 where something is, 404 where nothing is."""
+        ...
+
 
 @dataclass
 class FileTransport:
@@ -44,6 +48,10 @@ class FileTransport:
                 out.write(f"{head}\n{body}\n".encode())
         return [HTTP_CREATED] * len(lines)
 
+    def probe(self, paths: list[str]) -> list[int]:
+        """Files take everything, so nothing is there before."""
+        return [HTTP_NOT_FOUND] * len(paths)
+
 
 
 def in_batches(
@@ -53,7 +61,7 @@ def in_batches(
     batch: list[tuple[str, str]] = []
     size = 0
     for head, body in rows:
-        extra = len(head) + len(body)
+        extra = len(head.encode()) + len(body.encode())
         if batch and (len(batch) >= max_rows or size + extra > max_bytes):
             yield batch
             batch, size = [], 0
@@ -94,6 +102,25 @@ def deliver(
     return rows.select(*dict.fromkeys([*keys, head, body])).mapInArrow(run, schema)
 
 
+def probed(requests: DataFrame, transport: Transport, max_rows: int = BATCH_ROWS) -> DataFrame:
+    """(kind, name, status) of requests (kind, name, path) at the target, looked up from each task."""
+    schema = requests.select("kind", "name", F.lit(0).alias("status")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, statuses = batch.column("path").to_pylist(), []
+            for at in range(0, len(paths), max_rows):
+                asked = paths[at : at + max_rows]
+                answer = transport.probe(asked)
+                if len(answer) != len(asked):
+                    raise RuntimeError(f"{len(asked)} paths got {len(answer)} answers")
+                statuses.extend(answer)
+            columns = [batch.column("kind"), batch.column("name"), pa.array(statuses, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["kind", "name", "status"])
+
+    return requests.select("kind", "name", "path").distinct().mapInArrow(run, schema)
+
+
 def classify(status: Column, quiet: bool = False) -> Column:
     """struct<outcome, level> of a response: 200 and 201 are fine, others errors unless kept quiet."""
     fine = status.isin(HTTP_OK, HTTP_CREATED)

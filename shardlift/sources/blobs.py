@@ -7,9 +7,9 @@ the ranges are spread over tasks and each task reads its own. File content is ne
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
-from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -20,6 +20,7 @@ from shardlift.functions.paths import blob_path
 
 RANGE_BYTES = 32 * 1024 * 1024
 TASK_BYTES = 512 * 1024 * 1024
+_WITH_SCHEME = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/]*)(/.*)$")
 
 
 @lru_cache(maxsize=64)
@@ -29,12 +30,14 @@ def _file_system(root: str):
     return fs.FileSystem.from_uri(root)
 
 
-def _open(uri: str):
-    """File system and path of a URI as Spark reports it; one client per bucket and process."""
-    parts = urlsplit(uri)
-    scheme = "s3" if parts.scheme in ("s3a", "s3n") else parts.scheme
-    files, base = _file_system(f"{scheme}://{parts.netloc}/")
-    return files, base.rstrip("/") + unquote(parts.path)
+def open_path(path: str):
+    """File system and path of a file; one client per bucket and process. Paths without a scheme are local."""
+    parts = _WITH_SCHEME.match(path)
+    if not parts or parts[1] == "file":
+        return _file_system("file:///")[0], parts[3] if parts else path.removeprefix("file:")
+    scheme = "s3" if parts[1] in ("s3a", "s3n") else parts[1]
+    files, base = _file_system(f"{scheme}://{parts[2]}/")
+    return files, base.rstrip("/") + parts[3]
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,7 +46,7 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = []
         for uri in batch.column("path").to_pylist():
-            files, path = _open(uri)
+            files, path = open_path(uri)
             info = files.get_file_info(path)
             sizes.append(info.size if info.type == fs.FileType.File else None)
         column = pa.array(sizes, pa.int64())
@@ -98,7 +101,7 @@ def read_ranges(ranges: DataFrame) -> DataFrame:
             )
             # One range per output batch: memory stays at one range whatever the batch held.
             for row, (uri, at, count) in enumerate(wanted):
-                files, path = _open(uri)
+                files, path = open_path(uri)
                 with files.open_input_file(path) as source:
                     source.seek(at)
                     content = source.read(count)

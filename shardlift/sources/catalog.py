@@ -14,6 +14,29 @@ from shardlift.schemas import CATALOG
 
 CORRUPT = "_corrupt"
 
+
+def repo_name(path: Column) -> Column:
+    """How a repository is named in all tables: its absolute root, local ones without a scheme.
+
+    Asked-for roots, roots of files that Spark found and `repo_id` of documents all go through this.
+    """
+    return F.regexp_replace(F.regexp_replace(path, r"^file:/+", "/"), r"(?<=[^/])/+$", "")
+
+
+def asked_names(spark: SparkSession, repos: str | Sequence[str]) -> dict[str, str]:
+    """The absolute form of each root as the caller gave it; patterns stay as they are."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = {}
+    for root in roots_of(repos):
+        path = jvm.org.apache.hadoop.fs.Path(root)
+        out[root] = root if is_pattern(root) else path.getFileSystem(conf).makeQualified(path).toString()
+    return out
+
+
+def is_pattern(root: str) -> bool:
+    return any(c in root for c in "*?[{")
+
+
 def roots_of(repos: str | Sequence[str]) -> list[str]:
     names = [repos] if isinstance(repos, str) else list(repos)
     return [n[:-1] if n.endswith("/") else n for n in names]
@@ -36,7 +59,9 @@ def read_whole_text(spark: SparkSession, patterns: Sequence[str]) -> DataFrame:
     reader = spark.read.option("wholetext", True)
 
     def load(paths: list[str]) -> DataFrame:
-        return reader.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+        # Spark reports paths as URLs, in which only `+` is not what `url_decode` takes it for.
+        shown = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
+        return reader.text(paths).select(repo_name(shown).alias("path"), "value")
 
     try:
         return load(list(patterns))

@@ -1,9 +1,12 @@
 import json
+import os
 
 import pytest
 from conftest import catalog_json, make_documents, make_repo
+from pyspark.sql import functions as F
 
 from shardlift import MigrationError, build_plan, inspect, migrate
+from shardlift.operators.documents import decoded, last_write_wins, live, repeated_keys
 from shardlift.sinks.transport import FileTransport
 
 
@@ -130,12 +133,97 @@ def test_again_is_the_same(spark, tmp_path):
 
 
 def test_fleet(spark, tmp_path):
-    make_repo(tmp_path / "fleet" / "of a", "6.8")
-    make_repo(tmp_path / "fleet" / "b", "6.8")
-    plan = build_plan(spark, f"{tmp_path}/fleet/*", "nightly0", "6.8")
-    counts = {r["repo_id"][-1]: r["count"] for r in plan.requests.groupBy("repo_id").count().collect()}
-    assert counts == {"a": 4, "b": 4}
+    a = make_repo(tmp_path / "fleet" / "of a+b %41", "6.8")
+    b = make_repo(tmp_path / "fleet" / "b", "6.8")
+    stored = spark.read.parquet(make_documents(tmp_path / "docs")).withColumn("shard", F.col("shard").cast("int"))
+    # Each repository under another form of its root, and one nobody knows.
+    names = [f"{a}/", f"file://{b}", "/elsewhere"]
+    docs = stored.withColumn("repo_id", F.explode(F.array(*map(F.lit, names))))
+    docs = docs.where("not (index = 'users' and repo_id like 'file:%')")
+    plan = build_plan(spark, f"{tmp_path}/fleet/*", "nightly0", "6.8", documents=docs)
+    counts = {r["repo_id"]: r["count"] for r in plan.requests.groupBy("repo_id").count().collect()}
+    assert counts == {str(a): 4, str(b): 4}
+    found = {(r["rule"], r["subject"], r["repo_id"]) for r in plan.violations.collect()}
+    assert found == {
+        ("target_collision", "logs_reindexed", min(str(a), str(b))),
+        ("target_collision", "users_reindexed", min(str(a), str(b))),
+        ("document_repository", "/elsewhere", "/elsewhere"),
+    }
+    assert [(r["rule"], r["subject"], r["repo_id"]) for r in plan.warnings.collect()] == [
+        ("index_without_documents", "users", str(b))
+    ]
+    # Of equal ids the index that is written last has the last word.
+    got = {(r["target_index"], r["id"]): r["repo_id"] for r in plan.documents.collect()}
+    assert plan.documents.count() == len(got) == 3
+    assert got["logs_reindexed", "12"] == max(str(a), str(b)) and got["users_reindexed", "12"] == str(a)
+    plan.close()
+    assert not os.path.exists(plan.run.folder)
+
+
+def test_relative_roots_and_roots_with_spaces(spark, tmp_path):
+    make_repo(tmp_path / "of a", "6.8")
+    relative = os.path.relpath(tmp_path / "of a")
+    docs = spark.read.parquet(make_documents(tmp_path / "docs")).withColumn("shard", F.col("shard").cast("int"))
+    for root in (f"{tmp_path}/of a", relative):
+        plan = build_plan(spark, root, "nightly0", "6.8", documents=docs.withColumn("repo_id", F.lit(root)))
+        assert plan.violations.count() == 0 and plan.warnings.count() == 0
+        assert plan.documents.count() == 3
+
+
+class Target:
+    """A target that has some paths already; what is sent to it goes to a file."""
+
+    def __init__(self, folder, there):
+        self.folder, self.there = str(folder), there
+
+    def probe(self, paths):
+        return [200 if p in self.there else 404 for p in paths]
+
+    def send(self, lines):
+        return FileTransport(self.folder).send(lines)
+
+
+def test_what_the_target_has_is_left_alone(spark, tmp_path):
+    repo = make_repo(tmp_path / "repo", "6.8")
+    target = Target(tmp_path / "sent", ["_template/posts", "/_template/posts"])
+    out = str(tmp_path / "out")
+    migrate(spark, str(repo), "nightly0", "6.8", movement="metadata", output=out, transport=target)
+    decided = {r["name"]: r["decision"] for r in spark.read.parquet(f"{out}/request_decisions").collect()}
+    assert decided == {
+        "posts": "skip: already exists",
+        "other": "create",
+        "logs_reindexed": "create",
+        "users_reindexed": "create",
+    }
+    sent = {r["name"] for r in spark.read.parquet(f"{out}/request_results").collect()}
+    assert sent == {"other", "logs_reindexed", "users_reindexed"}
+
+
+def test_global_metadata(spark, tmp_path):
+    repo = make_repo(tmp_path / "repo", "6.8")
+    path = repo / "meta-snapId0.json"
+    path.write_text('{"meta-data":{"templates":{"x":{"order":1,"order":2},"y":{"order":3}}}}')
+    plan = build_plan(spark, str(repo), "nightly0", "6.8", movement="metadata")
     assert plan.violations.count() == 0
+    made = {r["name"]: json.loads(r["body"]) for r in plan.requests.where("kind = 'template'").collect()}
+    assert made["x"]["order"] == 2 and made["y"]["order"] == 3
+    for text in ('{"meta-data":{"templates":[]}}', '{"meta-data":', "{}"):
+        path.write_text(text)
+        plan = build_plan(spark, str(repo), "nightly0", "6.8", movement="metadata")
+        assert [r["rule"] for r in plan.violations.collect()] == ["global_metadata"]
+
+
+def test_first_pass_over_documents_reads_no_sources(spark, tmp_path):
+    docs = spark.read.parquet(make_documents(tmp_path / "docs"))
+    sized = docs.withColumn("source_size", F.coalesce(F.length("_source"), F.lit(0)).cast("long"))
+    sized.write.parquet(str(tmp_path / "sized"))
+    stored = spark.read.parquet(str(tmp_path / "sized")).withColumn("target_index", F.col("index"))
+    again = repeated_keys(decoded(live(stored)), ("target_index", "id"))
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "source_size" in plan and "_source:" not in plan and "_source#" not in plan
+    assert last_write_wins(decoded(live(stored))).count() == last_write_wins(
+        decoded(live(docs.withColumn("target_index", F.col("index"))))
+    ).count()
 
 
 def test_violations_stop_the_run(spark, tmp_path):

@@ -7,6 +7,8 @@ import duckdb
 import pytest
 from conftest import ROOT
 
+from shardlift.queries import QUERIES
+
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"
@@ -33,7 +35,7 @@ def rows(columns, values):
     return sorted(repr([v[i] for i in order]) for v in values)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     got = entry.queries()[name](spark, FOLDER)
     want = duck.execute(entry.oracle_sql()[name])
