@@ -200,6 +200,7 @@ def mix(
         & F.col(key).cast("long").eqNullSafe(F.col("up.up_id"))
         & (F.col("size") == F.col("up.up_size"))
     )
-    joined = placed.alias("p").join(ups.alias("up"), same, "left")
+    # The chosen units are a fixed share of all documents, so they are merged at every size and never broadcast.
+    joined = placed.alias("p").join(ups.hint("merge").alias("up"), same, "left")
     copies = F.col("_whole") + F.col("up.sid").isNotNull().cast("long")
     return joined.select("p.*", copies.alias("copies")).drop("_sid", "_whole")
