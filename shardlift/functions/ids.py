@@ -22,7 +22,8 @@ def numeric_id(raw: Column) -> Column:
 
 
 def utf8_id(raw: Column) -> Column:
-    return _tail(raw).cast("string")
+    """Bytes that are no UTF-8 become the replacement character."""
+    return F.make_valid_utf8(_tail(raw).cast("string"))
 
 
 def base64_id(raw: Column) -> Column:
@@ -45,7 +46,7 @@ def decode_id(raw: Column) -> Column:
 
 def id_problem(raw: Column) -> Column:
     """Why an id cannot be decoded, or null."""
-    text = utf8_id(raw)
+    text = _tail(raw).cast("string")
     return (
         F.when(raw.isNull(), F.lit("id is missing"))
         .when(F.length(raw) == 0, F.lit("id is empty"))
@@ -56,6 +57,12 @@ def id_problem(raw: Column) -> Column:
     )
 
 
+def raised_if_undecodable(raw: Column) -> Column:
+    """The id, unless it is missing or empty: then the job stops."""
+    gone = raw.isNull() | (F.length(raw) == 0)
+    return F.when(gone, F.raise_error(id_problem(raw)).cast("binary")).otherwise(raw)
+
+
 def source_text(raw: Column) -> Column:
     """Document payload as text, byte for byte."""
     return raw.cast("string")

@@ -25,9 +25,8 @@ def unwrap_mappings(text: Column, wrappers: Sequence[str] = MAPPING_WRAPPERS) ->
             wrappers[1:],
             F.when(F.array_contains(names, wrappers[0]), member(holder, wrappers[0])),
         )
-        # Compact text, so an array whose first element is an object starts like this.
-        wrapped = F.startswith(t, F.lit("[{"))
-        problem = F.when(t == "[]", F.lit("mappings array is empty"))
+        wrapped = t.rlike(r"^\s*\[\s*\{")
+        problem = F.when(t.rlike(r"^\s*\[\s*\]\s*$"), F.lit("mappings array is empty"))
         return let(
             inner,
             lambda found: F.struct(
@@ -44,7 +43,7 @@ def unwrap_mappings(text: Column, wrappers: Sequence[str] = MAPPING_WRAPPERS) ->
     return let(
         text,
         lambda t: let(
-            F.when(is_array(t), first_element(t)),
+            F.when(is_array(F.ltrim(t)), first_element(t)),
             lambda holder: let(keys_of(holder), lambda names: choose(t, holder, names)),
         ),
     )

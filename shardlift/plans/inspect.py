@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shardlift.functions.versions import parse_source
 from shardlift.operators import report
@@ -29,22 +31,34 @@ def inspect(
     source: str,
     documents: str | DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Report tables of the repositories: all snapshots, and the contents of the named one."""
+    """Report tables of the repositories: all snapshots, and the contents of the named one.
+
+    `missing` names the metadata files that should be there and are not.
+    """
     source = parse_source(source)
     catalog = write_shared(read_catalog(spark, repos, source), "catalog")
     chosen = catalog.select("repo_id", snapshot_id(snapshot).alias("snapshot_id")).where("snapshot_id is not null")
     on_snapshot = ["repo_id", "snapshot_id"]
-    described = parse_snapshots(chosen.join(read_metadata(spark, repos, "snapshot"), on_snapshot), source)
-    globals_ = global_bodies(chosen.join(read_metadata(spark, repos, "global"), on_snapshot))
+    missing = []
+
+    def found(wanted: DataFrame, kind: str, keys: list[str], subject: str) -> DataFrame:
+        """The wanted files that are there; the others go to the table of missing files."""
+        joined = wanted.join(read_metadata(spark, repos, kind), keys, "left")
+        gone = joined.where(F.col("value").isNull())
+        missing.append(
+            gone.select("repo_id", F.lit(kind).alias("kind"), F.col(subject).cast("string").alias("subject"))
+        )
+        return joined.where(F.col("value").isNotNull())
+
+    described = parse_snapshots(found(chosen, "snapshot", on_snapshot, "snapshot_id"), source)
+    globals_ = global_bodies(found(chosen, "global", on_snapshot, "snapshot_id"))
     held = indices_in_snapshot(catalog, snapshot, source)
-    bodies = index_bodies(held.join(read_metadata(spark, repos, "index"), ["repo_id", "index_id", "file_id"]))
+    bodies = index_bodies(found(held, "index", ["repo_id", "index_id", "file_id"], "index_name"))
     indices = write_shared(report.index_summary(bodies), "index_summary")
     shards = shard_rows(indices.select("repo_id", "snapshot_id", "index_name", "index_id", "n_shards"))
-    manifests = parse_shards(
-        shards.drop("n_shards").join(
-            read_metadata(spark, repos, "shard"), ["repo_id", "index_id", "shard", "snapshot_id"]
-        )
-    )
+    shards = shards.withColumn("at", F.concat_ws("/", "index_name", "shard"))
+    on_shard = ["repo_id", "index_id", "shard", "snapshot_id"]
+    manifests = parse_shards(found(shards.drop("n_shards"), "shard", on_shard, "at").drop("at"))
     tables = {
         "snapshots": report.snapshots(catalog),
         "snapshot_indices": report.snapshot_indices(catalog, source),
@@ -52,6 +66,7 @@ def inspect(
         "templates": report.template_names(globals_, source),
         "indices": indices,
         "shards": report.shard_manifests(manifests),
+        "missing": reduce(DataFrame.unionByName, missing),
     }
     if documents is not None:
         stored = read_documents(spark, documents) if isinstance(documents, str) else documents

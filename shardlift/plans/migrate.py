@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shardlift.fixed import STAGES, TARGET_SUFFIX
-from shardlift.functions.ids import id_problem
+from shardlift.functions.ids import raised_if_undecodable
 from shardlift.functions.versions import parse_movement, parse_source, parse_target
 from shardlift.operators import documents as docs_ops
 from shardlift.operators import preflight, requests
@@ -276,19 +276,16 @@ def build_plan(
             )
             broken.append(coverage.where(F.col("rule") != "index_without_documents"))
             warnings.append(coverage.where(F.col("rule") == "index_without_documents"))
-            if check_documents:
-                broken.append(
-                    preflight.check(
-                        docs_ops.with_id_problem(docs_ops.route(alive, plan, keys)),
-                        F.concat_ws("/", "index", "shard", "ord"),
-                        preflight.problem_rule("document_id"),
-                    )
-                )
             routed = docs_ops.route(alive, plan, keys)
-            # The first id that cannot be decoded stops the run.
-            safe = F.when(
-                id_problem(F.col("_id")).isNotNull(), F.raise_error(id_problem(F.col("_id"))).cast("binary")
-            ).otherwise(F.col("_id"))
+            if check_documents:
+                # Bytes that are no text are replaced; ids that are not there stop the run.
+                checked = docs_ops.with_id_problem(routed)
+                replaced = F.col("problem") == "id is not valid UTF-8"
+                where = F.concat_ws("/", "index", "shard", "ord")
+                rule = preflight.problem_rule("document_id")
+                broken.append(preflight.check(checked.where(~replaced), where, rule))
+                warnings.append(preflight.check(checked.where(replaced), where, rule))
+            safe = raised_if_undecodable(F.col("_id"))
             last = docs_ops.last_write_wins(
                 docs_ops.decoded(routed.withColumn("_id", safe)), ("target_index", "id"), shared=True
             ).drop("place")

@@ -13,15 +13,21 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 from shardlift.sinks.transport import BATCH_BYTES, BATCH_ROWS, in_batches
 
 
+_FILES_PER_INDEX = 32
+
+
 def write_ndjson(rows: DataFrame, path: str, by_index: bool = False) -> None:
     """(target_index, action, source) as action and source lines.
 
     The action line names its index, so files may mix indices and are written as the rows lie.
-    `by_index` puts every index in a folder of its own. Running it again replaces the files.
+    `by_index` puts every index in a folder of its own, dealt to a few tasks each, so that there is a bounded
+    number of files for an index and a large one is no single task. Running it again replaces the files.
     """
     line = F.concat(F.col("action"), F.lit("\n"), F.col("source")).alias("value")
     if by_index:
-        rows.select("target_index", line).write.mode("overwrite").partitionBy("target_index").text(path)
+        salt = F.pmod(F.xxhash64("action"), F.lit(_FILES_PER_INDEX))
+        dealt = rows.repartition("target_index", salt)
+        dealt.select("target_index", line).write.mode("overwrite").partitionBy("target_index").text(path)
     else:
         rows.select(line).write.mode("overwrite").text(path)
 

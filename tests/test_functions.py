@@ -52,6 +52,7 @@ def test_ids(spark):
     assert apply(spark, [c[0] for c in cases], "binary", decode_id) == [c[1] for c in cases]
     with pytest.raises(Exception, match="cannot be empty"):
         apply(spark, [b""], "binary", decode_id)
+    assert apply(spark, [b"\xffa\xffb"], "binary", decode_id) == ["a\ufffdb"]
     problems = apply(spark, [None, b"", b"\xff\xff", b"\xffok", b"\xfe\x12"], "binary", id_problem)
     assert problems == ["id is missing", "id is empty", "id is not valid UTF-8", None, None]
 

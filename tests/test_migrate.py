@@ -226,6 +226,14 @@ def test_first_pass_over_documents_reads_no_sources(spark, tmp_path):
     ).count()
 
 
+def test_inspect_names_missing_files(spark, tmp_path):
+    repo = make_repo(tmp_path / "repo", "6.8")
+    (repo / "meta-snapId0.json").unlink()
+    (repo / "indices" / "idxUsers" / "0" / "snap-snapId0.json").unlink()
+    tables = inspect(spark, str(repo), "nightly0", "6.8")
+    assert {(r["kind"], r["subject"]) for r in tables["missing"].collect()} == {("global", "snapId0"), ("shard", "users/0")}
+
+
 def test_violations_stop_the_run(spark, tmp_path):
     repo = make_repo(tmp_path / "repo", "7.10")
     (repo / "index-11").write_text(json.dumps({**catalog_json("7.10", 2), "extra": 1}))
@@ -285,7 +293,7 @@ def test_inspect(spark, tmp_path, version):
         ("nightly0", "users"),
         ("nightly1", "logs"),
     ]
-    assert tables["snapshots"].count() == 2
+    assert tables["snapshots"].count() == 2 and tables["missing"].count() == 0
     assert tables["snapshot"].first()["state"] == "SUCCESS"
     names = sorted(r["name"] for r in tables["templates"].collect())
     assert names == (["other", "posts"] if version == "6.8" else ["bare", "part", "posts"])
