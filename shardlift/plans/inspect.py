@@ -18,9 +18,11 @@ from shardlift.sources.documents import read_documents
 from shardlift.sources.metadata import (
     global_bodies,
     index_bodies,
+    index_metadata_of,
     parse_shards,
     parse_snapshots,
     read_metadata,
+    shard_manifests_of,
 )
 
 
@@ -41,24 +43,26 @@ def inspect(
     on_snapshot = ["repo_id", "snapshot_id"]
     missing = []
 
-    def found(wanted: DataFrame, kind: str, keys: list[str], subject: str) -> DataFrame:
+    def found(joined: DataFrame, kind: str, subject: str) -> DataFrame:
         """The wanted files that are there; the others go to the table of missing files."""
-        joined = wanted.join(read_metadata(spark, repos, kind), keys, "left")
         gone = joined.where(F.col("value").isNull())
         missing.append(
             gone.select("repo_id", F.lit(kind).alias("kind"), F.col(subject).cast("string").alias("subject"))
         )
         return joined.where(F.col("value").isNotNull())
 
-    described = parse_snapshots(found(chosen, "snapshot", on_snapshot, "snapshot_id"), source)
-    globals_ = global_bodies(found(chosen, "global", on_snapshot, "snapshot_id"))
+    def listed(kind: str) -> DataFrame:
+        return chosen.join(read_metadata(spark, repos, kind), on_snapshot, "left")
+
+    described = parse_snapshots(found(listed("snapshot"), "snapshot", "snapshot_id"), source)
+    globals_ = global_bodies(found(listed("global"), "global", "snapshot_id"))
     held = indices_in_snapshot(catalog, snapshot, source)
-    bodies = index_bodies(found(held, "index", ["repo_id", "index_id", "file_id"], "index_name"))
+    bodies = index_bodies(found(write_shared(index_metadata_of(held), "index_texts"), "index", "index_name"))
     indices = write_shared(report.index_summary(bodies), "index_summary")
     shards = shard_rows(indices.select("repo_id", "snapshot_id", "index_name", "index_id", "n_shards"))
     shards = shards.withColumn("at", F.concat_ws("/", "index_name", "shard"))
-    on_shard = ["repo_id", "index_id", "shard", "snapshot_id"]
-    manifests = parse_shards(found(shards.drop("n_shards"), "shard", on_shard, "at").drop("at"))
+    texts = write_shared(shard_manifests_of(shards.drop("n_shards")), "manifest_texts")
+    manifests = parse_shards(found(texts, "shard", "at").drop("at"))
     tables = {
         "snapshots": report.snapshots(catalog),
         "snapshot_indices": report.snapshot_indices(catalog, source),

@@ -39,9 +39,11 @@ from shardlift.sources.metadata import (
     explode_files,
     global_bodies,
     index_bodies,
+    index_metadata_of,
     parse_shards,
     parse_snapshots,
     read_metadata,
+    shard_manifests_of,
 )
 
 
@@ -162,7 +164,7 @@ def build_plan(
     )
 
     held = indices_in_snapshot(catalog, snapshot, source)
-    texts = held.join(read_metadata(spark, repos, "index"), ["repo_id", "index_id", "file_id"], "left")
+    texts = index_metadata_of(held)
     # Used by checks, requests, shards and documents alike: read and rewritten once.
     listed = write_shared(
         transform_indices(index_bodies(_present(texts)), source, target, dimensionality).withColumn(
@@ -217,9 +219,7 @@ def build_plan(
     files = moved = None
     if with_data:
         shards = shard_rows(indices.where(F.col("n_shards").isNotNull()))
-        manifests = shards.select("repo_id", "snapshot_id", "index_name", "index_id", "shard").join(
-            read_metadata(spark, repos, "shard"), ["repo_id", "index_id", "shard", "snapshot_id"], "left"
-        )
+        manifests = shard_manifests_of(shards.select("repo_id", "snapshot_id", "index_name", "index_id", "shard"))
         where = F.concat_ws("/", "index_name", "shard")
         parsed = write_shared(parse_shards(_present(manifests)), "manifests").withColumn("at", where)
         broken.append(_flag(parsed.where(~F.col("present")), "file_missing", "at", "shard metadata"))

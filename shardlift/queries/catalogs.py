@@ -9,6 +9,7 @@ from shardlift.functions.versions import version_of
 from shardlift.operators import preflight, report
 from shardlift.operators.catalog import index_file_ids, indices_in_snapshot, list_snapshots
 from shardlift.queries.registry import query, table, text
+from shardlift.shared import write_shared
 from shardlift.sources.catalog import parse_catalog
 from shardlift.sources.metadata import parse_snapshots
 
@@ -38,7 +39,9 @@ def order_catalogs(spark: SparkSession, folder: str, version: str) -> DataFrame:
             F.col("o_orderstatus"), first, mine, common, F.col("o_orderpriority"), second, common,
             mine, first, common, first, second, common, mine,
         )
-    return parse_catalog(table(spark, folder, "orders").select(key.alias("repo_id"), value.alias("value")), version)
+    catalog = parse_catalog(table(spark, folder, "orders").select(key.alias("repo_id"), value.alias("value")), version)
+    # The lookups of 7.10 join a catalog with itself: parsed once, as a migration does.
+    return write_shared(catalog, "catalog") if version == "7.10" else catalog
 
 
 _HELD = """

@@ -63,6 +63,32 @@ def blob_sizes(parts: DataFrame) -> DataFrame:
     return parts.repartition(tasks).mapInArrow(_sizes, schema)
 
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyarrow import fs
+
+    for batch in batches:
+        texts = []
+        for uri in batch.column("path").to_pylist():
+            if uri is None:
+                texts.append(None)
+                continue
+            files, path = open_path(uri)
+            if files.get_file_info(path).type != fs.FileType.File:
+                texts.append(None)
+                continue
+            with files.open_input_file(path) as source:
+                texts.append(source.read().decode("utf-8", "replace"))
+        column = pa.array(texts, pa.string())
+        yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, "value"])
+
+
+def read_texts(rows: DataFrame) -> DataFrame:
+    """Rows with the text of the file at `path` in `value`, null where there is none; nothing is listed."""
+    schema = T.StructType([*rows.schema.fields, T.StructField("value", T.StringType())])
+    tasks = rows.sparkSession.sparkContext.defaultParallelism * 4
+    return rows.repartition(tasks).mapInArrow(_texts, schema)
+
+
 def with_blob_paths(parts: DataFrame) -> DataFrame:
     return parts.withColumn(
         "path", blob_path(F.col("repo_id"), F.col("index_id"), F.col("shard"), F.col("blob_name"))

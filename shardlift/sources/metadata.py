@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardlift.functions.jsontext import entries, member
+from shardlift.functions.paths import index_metadata_path, shard_path
 from shardlift.schemas import FILE_INFO_REQUIRED, SHARD, SNAPSHOT
+from shardlift.sources.blobs import read_texts
 from shardlift.sources.catalog import (
     CORRUPT,
     read_whole_text,
@@ -46,6 +48,18 @@ def read_metadata(spark: SparkSession, repos: str | Sequence[str], kind: str) ->
     return table
 
 
+def index_metadata_of(indices: DataFrame) -> DataFrame:
+    """Rows (repo_id, index_id, file_id, ...) with `value`, the text of the index's metadata file."""
+    path = index_metadata_path(F.col("repo_id"), F.col("index_id"), F.col("file_id"), ".json")
+    return read_texts(indices.withColumn("path", path)).drop("path")
+
+
+def shard_manifests_of(shards: DataFrame) -> DataFrame:
+    """Rows (repo_id, index_id, shard, snapshot_id, ...) with `value`, the text of the shard's manifest."""
+    path = shard_path(F.col("repo_id"), F.col("snapshot_id"), F.col("index_id"), F.col("shard"), ".json")
+    return read_texts(shards.withColumn("path", path)).drop("path")
+
+
 def parse_snapshots(texts: DataFrame, version: str) -> DataFrame:
     """Snapshot records, found under `snapshot`, with `malformed` and `unknown`."""
     schema = SNAPSHOT[version]
