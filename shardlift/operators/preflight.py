@@ -91,6 +91,16 @@ def missing_catalogs(asked: DataFrame, catalog: DataFrame) -> DataFrame:
     )
 
 
+def missing_snapshots(chosen: DataFrame, name: str) -> DataFrame:
+    """Repositories (repo_id, snapshot_id) without a snapshot of that name; nothing of theirs is moved."""
+    return chosen.where(F.col("snapshot_id").isNull()).select(
+        "repo_id",
+        F.lit("snapshot_missing").alias("rule"),
+        F.lit(name).alias("subject"),
+        F.lit("snapshot not found, nothing is moved").alias("detail"),
+    )
+
+
 def target_collisions(sources: DataFrame, keys: Sequence[str], rule: str, body: str | None = None) -> DataFrame:
     """Targets (`keys`) that more than one source would create; reported once, for the first repository.
 

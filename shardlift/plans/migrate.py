@@ -147,8 +147,7 @@ def build_plan(
         preflight.missing_catalogs(_asked(spark, repos), catalog),
         preflight.check(catalog, F.lit("catalog"), preflight.catalog_rules()),
     ]
-    absent = chosen.where(F.col("snapshot_id").isNull()).withColumn("name", F.lit(snapshot))
-    warnings = [_flag(absent, "snapshot_missing", "name", "snapshot not found, nothing is moved")]
+    warnings = [preflight.missing_snapshots(chosen, snapshot)]
     chosen = chosen.where(F.col("snapshot_id").isNotNull())
 
     described = chosen.join(read_metadata(spark, repos, "snapshot"), ["repo_id", "snapshot_id"], "left")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shardlift.functions.versions import version_of
 from shardlift.operators import preflight, report
-from shardlift.operators.catalog import index_file_ids, indices_in_snapshot, list_snapshots
+from shardlift.operators.catalog import index_file_ids, indices_in_snapshot, list_snapshots, snapshot_id
 from shardlift.queries.registry import query, table, text
 from shardlift.shared import write_shared
 from shardlift.sources.catalog import parse_catalog
@@ -63,6 +63,19 @@ def catalog_6_8(spark: SparkSession, folder: str) -> DataFrame:
     return indices_in_snapshot(order_catalogs(spark, folder, "6.8"), "F", "6.8")
 
 
+@query(
+    _HELD
+    + """
+    SELECT k AS repo_id, 'snapshot_missing' AS rule, 'F' AS subject,
+           'snapshot not found, nothing is moved' AS detail FROM o WHERE st <> 'F' AND pr <> 'F'
+    """
+)
+def snapshot_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """Repositories that have no snapshot called F."""
+    catalog = order_catalogs(spark, folder, "6.8")
+    return preflight.missing_snapshots(catalog.select("repo_id", snapshot_id("F").alias("snapshot_id")), "F")
+
+
 @query(
     _HELD
     + """

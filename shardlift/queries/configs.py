@@ -282,6 +282,11 @@ def report_templates(spark: SparkSession, folder: str) -> DataFrame:
     return template_names(customer_globals(spark, folder), "7.10")
 
 
+@query(f"SELECT repo_id, 'template' AS kind, 0 AS ord, 'legacy_' || seg AS name FROM ({_C})")
+def report_templates_6_8(spark: SparkSession, folder: str) -> DataFrame:
+    return template_names(customer_globals(spark, folder), "6.8")
+
+
 def part_indices(spark: SparkSession, folder: str) -> DataFrame:
     """part rows as index metadata."""
     body = fill(
