@@ -3,7 +3,18 @@
 Nothing else in the library imports this package.
 """
 
-from shardlift.llm import q_chat, q_encoding, q_mixing, q_multiindex, q_prefixes, q_pseudolikelihood, q_rules, q_simhash, q_toxicity, q_warc  # noqa: F401
+from shardlift.llm import (  # noqa: F401
+    q_chat,
+    q_encoding,
+    q_mixing,
+    q_multiindex,
+    q_prefixes,
+    q_pseudolikelihood,
+    q_rules,
+    q_simhash,
+    q_toxicity,
+    q_warc,
+)
 from shardlift.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

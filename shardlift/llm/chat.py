@@ -145,7 +145,8 @@ def _call_depths(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     keys = ["conv_id", "call_id"]
     names = calls.groupBy(*keys).agg(F.min("turn").alias("turn"))
-    needs = calls.select(*keys, "turn", F.explode(F.array_distinct(F.regexp_extract_all("arguments", F.lit(_REFERENCE), F.lit(1)))).alias("need"))
+    named = F.array_distinct(F.regexp_extract_all("arguments", F.lit(_REFERENCE), F.lit(1)))
+    needs = calls.select(*keys, "turn", F.explode(named).alias("need"))
     needs = needs.alias("n").join(
         names.select(F.col("conv_id").alias("c"), F.col("call_id").alias("i"), F.col("turn").alias("needed_turn")),
         (F.col("n.conv_id") == F.col("c")) & (F.col("n.need") == F.col("i")),
@@ -206,9 +207,9 @@ def format_chats(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     depths, waits = _call_depths(calls)
     waits = waits.groupBy(*keys).agg(F.array_sort(F.collect_set("problem")).alias("waits"))
     copies = calls.groupBy(*keys).agg(F.count("*").alias("n_calls")).where("n_calls > 1")
-    linked = (
-        calls.join(named.hint("SHUFFLE_HASH"), keys, "left").join(depths, keys, "left").join(waits, keys, "left").join(copies, keys, "left")
-    )
+    linked = calls.join(named.hint("SHUFFLE_HASH"), keys, "left")
+    for found in (depths, waits, copies):
+        linked = linked.join(found, keys, "left")
     none = F.array().cast("array<string>")
     linked = linked.withColumn(
         "problems",

@@ -104,7 +104,8 @@ class Encoder:
         if new:
             self._learn(new)
         known = self.known
-        return np.fromiter((known[word] for word in every), np.int64, len(every)), np.fromiter(map(len, split), np.int64, len(split))
+        numbers = np.fromiter((known[word] for word in every), np.int64, len(every))
+        return numbers, np.fromiter(map(len, split), np.int64, len(split))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All tokens in a row, and the number of tokens of each text."""

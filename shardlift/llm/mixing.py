@@ -187,10 +187,18 @@ def mix(
     open_units = (
         u.join(t, F.col("u.source").eqNullSafe(F.col("t.source")))
         .where("u.size > 0 and t.p > 0")
-        .select("t.sid", "t.units", "u.doc_id", "u.size", (F.col("u.size") * F.col("rows")).cast("double").alias("mass"), "t.p")
+        .select(
+            "t.sid",
+            "t.units",
+            "u.doc_id",
+            "u.size",
+            (F.col("u.size") * F.col("rows")).cast("double").alias("mass"),
+            "t.p",
+        )
     )
     ups = rounded(open_units, most_units, fan_in, seed)
-    ups = write_shared(ups.where("up = 1").select("sid", F.col("doc_id").alias("up_id"), F.col("size").alias("up_size")), "ups")
+    chosen = ups.where("up = 1")
+    ups = write_shared(chosen.select("sid", F.col("doc_id").alias("up_id"), F.col("size").alias("up_size")), "ups")
     d = sized.alias("d")
     placed = d.join(t, F.col(f"d.{source}").eqNullSafe(F.col("t.source"))).select(
         "d.*", "t.source_size", "t.target", F.col("t.sid").alias("_sid"), F.col("t.whole").alias("_whole")

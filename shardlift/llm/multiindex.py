@@ -289,7 +289,9 @@ def near_vectors(
     """
     small_batches(vectors)
     rows = vectors.select(
-        F.col(key).cast("long").alias("vec_id"), F.col(label).alias("label"), F.col(vector).cast("array<float>").alias("vector")
+        F.col(key).cast("long").alias("vec_id"),
+        F.col(label).alias("label"),
+        F.col(vector).cast("array<float>").alias("vector"),
     )
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists("vector", lambda x: x != 0)
@@ -301,7 +303,12 @@ def near_vectors(
     classes = (
         named.where("usable")
         .groupBy("h1", "h2")
-        .agg(F.min("vec_id").alias("cid"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("vector").alias("vector"))
+        .agg(
+            F.min("vec_id").alias("cid"),
+            F.count("*").alias("copies"),
+            F.first("label").alias("label"),
+            F.first("vector").alias("vector"),
+        )
     )
     # Labels of any kind as numbers.
     classes = write_shared(classes.withColumn("label", F.xxhash64("label")), "classes")

@@ -178,7 +178,8 @@ class PrefixCounter:
         if new:
             self._learn(new)
         known = self.known
-        return np.fromiter((known[word] for word in every), np.int64, len(every)), np.fromiter(map(len, split), np.int64, len(split))
+        numbers = np.fromiter((known[word] for word in every), np.int64, len(every))
+        return numbers, np.fromiter(map(len, split), np.int64, len(split))
 
     def texts(self, texts: list[str]) -> TextCounts:
         word, n_words = self.words(texts)

@@ -40,7 +40,8 @@ def framed(rows: DataFrame) -> DataFrame:
     calls = F.concat("text", call("reply", reply_id, arguments), call("measure", measure_id, F.struct("text")))
 
     def result(call_id, content):
-        return F.struct(F.lit("tool").alias("role"), F.to_json(F.struct(call_id.alias("call_id"), content.alias("content"))).alias("text"))
+        body = F.to_json(F.struct(call_id.alias("call_id"), content.alias("content")))
+        return F.struct(F.lit("tool").alias("role"), body.alias("text"))
 
     said = F.struct("role", "text")
     answered = F.concat(F.lit("b"), (F.col("turn") - 1).cast("string"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardlift.llm.batches import pieces, raw, small_batches, texts_of, with_columns
+from shardlift.llm.batches import pieces, raw, small_batches, texts_of
 from shardlift.llm.components import components
 from shardlift.shared import write_shared
 

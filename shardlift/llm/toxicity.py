@@ -246,7 +246,11 @@ def _contexts(lexicon: Lexicon):
                     word = re.compile(r"[^\W\d_]*").match(folded, begin).group()
                     before = re.search(r"([^\W\d_]+ )$", folded[max(0, begin - 40) : begin])
                     after = re.match(r" [^\W\d_]+", folded[begin + len(word) : begin + len(word) + 40])
-                    phrases |= {x for x in ((before.group() + word) if before else "", (word + after.group()) if after else "", word) if x}
+                    phrases.add(word)
+                    if before:
+                        phrases.add(before.group() + word)
+                    if after:
+                        phrases.add(word + after.group())
                 out["phrase"].append(sorted(phrases))
                 out["toxic"].append(label)
                 out["weight"].append(sum(weight for _, _, weight in hits))

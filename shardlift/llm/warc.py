@@ -137,7 +137,8 @@ def _write_batches(folder: str, date: str, level: int, most: int):
                             raise ValueError(f"the chunks of page {row['page_id']} do not make up its payload")
                         index.append((archive.path, start, archive.written - start, row["page_id"]))
                 columns = zip(*index, strict=True) if index else [[]] * 4
-                arrays = [pa.array(list(c), f) for c, f in zip(columns, [pa.string(), pa.int64(), pa.int64(), pa.int64()], strict=True)]
+                kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
+                arrays = [pa.array(list(c), kind) for c, kind in zip(columns, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=_INDEX.names)
         finally:
             if archive is not None:
@@ -152,7 +153,11 @@ def records(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     Pages are matched by digest and length; only digests that occur more than once meet the pages again.
     """
     payload = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
+    rows = pages.select(
+        F.col("page_id").cast("long").alias("page_id"),
+        F.col("url").cast("string").alias("url"),
+        payload.alias("payload"),
+    )
     rows = rows.withColumn("payload_bytes", F.octet_length("payload").cast("long"))
     rows = rows.withColumn("payload_digest", F.sha2("payload", 256))
     repeated = (
