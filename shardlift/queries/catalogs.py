@@ -39,9 +39,12 @@ def order_catalogs(spark: SparkSession, folder: str, version: str) -> DataFrame:
             F.col("o_orderstatus"), first, mine, common, F.col("o_orderpriority"), second, common,
             mine, first, common, first, second, common, mine,
         )
-    catalog = parse_catalog(table(spark, folder, "orders").select(key.alias("repo_id"), value.alias("value")), version)
-    # The lookups of 7.10 join a catalog with itself: parsed once, as a migration does.
-    return write_shared(catalog, "catalog") if version == "7.10" else catalog
+    return parse_catalog(table(spark, folder, "orders").select(key.alias("repo_id"), value.alias("value")), version)
+
+
+def stored_catalogs(spark: SparkSession, folder: str) -> DataFrame:
+    """Catalogs of 7.10, whose lookups join a catalog with itself: parsed once, as a migration does."""
+    return write_shared(order_catalogs(spark, folder, "7.10").drop("malformed", "unknown"), "catalog")
 
 
 _HELD = """
@@ -85,7 +88,7 @@ def snapshot_missing(spark: SparkSession, folder: str) -> DataFrame:
 )
 def catalog_7_10(spark: SparkSession, folder: str) -> DataFrame:
     """Indices of the snapshot called 1-URGENT, with the file of their metadata."""
-    return indices_in_snapshot(order_catalogs(spark, folder, "7.10"), "1-URGENT", "7.10")
+    return indices_in_snapshot(stored_catalogs(spark, folder), "1-URGENT", "7.10")
 
 
 @query(
@@ -105,7 +108,7 @@ def catalog_lookups(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderpriority").alias("snapshot_name"),
         F.explode(names).alias("index_name"),
     )
-    return index_file_ids(wanted, order_catalogs(spark, folder, "7.10"), "7.10").select(
+    return index_file_ids(wanted, stored_catalogs(spark, folder), "7.10").select(
         "repo_id", "index_name", "snapshot_name", "index_id", "file_id"
     )
 
@@ -139,7 +142,7 @@ def report_indices_6_8(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_ALL_HELD)
 def report_indices_7_10(spark: SparkSession, folder: str) -> DataFrame:
-    return report.snapshot_indices(order_catalogs(spark, folder, "7.10"), "7.10")
+    return report.snapshot_indices(stored_catalogs(spark, folder), "7.10")
 
 
 def order_snapshots(spark: SparkSession, folder: str) -> DataFrame:
