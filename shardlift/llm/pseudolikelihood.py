@@ -1,8 +1,8 @@
 """Masked pseudo-likelihood: a small network predicts each word from the words on both sides.
 
 Words are counted over all documents; the most frequent ones are tokens, the rest fall into buckets by their shape.
-The network is trained in tasks, on windows from every document, and the tasks' parameters are averaged after
-each round. A document's score is the sum of the logarithms of its words' probabilities given their neighbours.
+The network is trained in tasks, on a window for every word of every document, and the tasks' parameters are
+averaged after each round. A document's score is the sum of the logarithms of its words' probabilities given their neighbours.
 """
 
 from __future__ import annotations
@@ -27,8 +27,6 @@ SIDE = 2
 # Tokens: classes of equal size, in order of frequency; the last ones are the buckets.
 CLASSES, CLASS_SIZE, BUCKETS = 64, 64, 256
 EMBEDDING, HIDDEN = 16, 32
-# Windows that each document gives to the training, spread over its whole length.
-WINDOWS = 8
 ROUNDS = 2
 BATCH = 256
 RATE = 0.1
@@ -38,6 +36,9 @@ _TOKENS = CLASSES * CLASS_SIZE
 _PAD = _TOKENS
 _CHUNK = 1 << 15
 _BLOCK = 4096
+_AROUND = np.array([k for k in range(-SIDE, SIDE + 1) if k])
+# Words that a task remembers the bucket of.
+_REMEMBERED = 500_000
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -100,31 +101,52 @@ class Network:
     def train(self, context: np.ndarray, target: np.ndarray, state: list[np.ndarray]) -> None:
         """One step of Adagrad on a batch of windows; `state` holds the sums of squared gradients."""
         n = len(target)
+        order = np.argsort(target, kind="stable")
+        context, (klass, word) = context[order], np.divmod(target[order], CLASS_SIZE)
+        rows = np.arange(n)
         inputs, hidden = self.hidden(context)
-        klass, word = np.divmod(target, CLASS_SIZE)
-        error = np.exp(_log_softmax(hidden @ self.classes.T + self.class_bias))
-        error[np.arange(n), klass] -= 1
+        error = _softmax(hidden @ self.classes.T + self.class_bias)
+        error[rows, klass] -= 1
         back = error @ self.classes
         self._step(3, slice(None), error.T @ hidden / n, state)
         self._step(4, slice(None), error.mean(axis=0), state)
-        for c, at in _by_class(klass):
-            inside = np.exp(_log_softmax(hidden[at] @ self.words[c].T + self.word_bias[c]))
-            inside[np.arange(len(at)), word[at]] -= 1
-            back[at] += inside @ self.words[c]
-            self._step(5, c, inside.T @ hidden[at] / n, state)
-            self._step(6, c, inside.sum(axis=0) / n, state)
+        begins = np.flatnonzero(np.concatenate([[True], klass[1:] != klass[:-1]]))
+        runs = list(zip(klass[begins].tolist(), begins.tolist(), [*begins[1:].tolist(), n], strict=True))
+        inside = np.empty((n, CLASS_SIZE), np.float32)
+        for c, a, b in runs:
+            np.matmul(hidden[a:b], self.words[c].T, out=inside[a:b])
+        inside = _softmax(inside + self.word_bias[klass])
+        inside[rows, word] -= 1
+        # Classes that are not in the batch have the gradient zero.
+        of_words = np.zeros_like(self.words)
+        for c, a, b in runs:
+            back[a:b] += inside[a:b] @ self.words[c]
+            np.matmul(inside[a:b].T, hidden[a:b], out=of_words[c])
+        of_words /= n
+        self._step(5, slice(None), of_words, state)
+        self._step(6, klass[begins], np.add.reduceat(inside, begins, axis=0) / n, state)
         back *= 1 - hidden * hidden
         towards = (back @ self.inner.T / n).reshape(-1, EMBEDDING)
         self._step(1, slice(None), inputs.T @ back / n, state)
         self._step(2, slice(None), back.mean(axis=0), state)
-        tokens, place = np.unique(context.ravel(), return_inverse=True)
-        gradient = np.zeros((len(tokens), EMBEDDING), np.float32)
-        np.add.at(gradient, place, towards)
-        self._step(0, tokens, gradient, state)
+        tokens = context.ravel()
+        order = np.argsort(tokens, kind="stable")
+        tokens = tokens[order]
+        begins = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        self._step(0, tokens[begins], np.add.reduceat(towards[order], begins, axis=0), state)
 
     def _step(self, k: int, at, gradient: np.ndarray, state: list[np.ndarray]) -> None:
         state[k][at] += gradient * gradient
-        getattr(self, fields(self)[k].name)[at] -= RATE * gradient / (np.sqrt(state[k][at]) + 1e-6)
+        getattr(self, _NAMES[k])[at] -= RATE * gradient / (np.sqrt(state[k][at]) + 1e-6)
+
+
+_NAMES = [f.name for f in fields(Network)]
+
+
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    logits = np.exp(logits - logits.max(axis=1, keepdims=True))
+    logits /= logits.sum(axis=1, keepdims=True)
+    return logits
 
 
 def _log_softmax(logits: np.ndarray) -> np.ndarray:
@@ -144,7 +166,10 @@ class Vocabulary(dict):
     """Token of a word; words outside get a bucket by their length and last characters, worked out once."""
 
     def __missing__(self, word: bytes) -> int:
-        return _TOKENS - BUCKETS + zlib.crc32(word[-3:], min(len(word), 20)) % BUCKETS
+        token = _TOKENS - BUCKETS + zlib.crc32(word[-3:], min(len(word), 20)) % BUCKETS
+        if len(self) < _REMEMBERED:
+            self[word] = token
+        return token
 
 
 def _counts_of(text: str):
@@ -172,37 +197,25 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(_counts_of(text), schema).groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _windows_of(text: str, most: int):
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text):
-            data, offsets = raw(texts_of(batch.column(text)))
-            out = []
-            for a, b in itertools.pairwise(offsets.tolist()):
-                words = words_of(data[a:b].tobytes())
-                n = min(most, len(words))
-                padded = [b""] * SIDE + words + [b""] * SIDE
-                for k in range(n):
-                    at = (2 * k + 1) * len(words) // (2 * n)
-                    out.append(padded[at : at + 2 * SIDE + 1])
-            yield pa.RecordBatch.from_pydict({"words": pa.array(out, pa.list_(pa.binary()))})
-
-    return windows
-
-
-def _train_batches(vocabulary: dict[bytes, int], start: Network, seed: int):
+def _train_batches(vocabulary: dict[bytes, int], start: Network, seed: int, text: str, most: int | None):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vocabulary(vocabulary)
         network = Network.of_flat(start.flat().copy(), start)
         state = [np.full(getattr(network, f.name).shape, 1e-2, np.float32) for f in fields(network)]
         random, seen = np.random.default_rng(seed), 0
-        for batch in batches:
-            words = batch.column("words").flatten().to_pylist()
-            tokens = np.fromiter((known[word] if word else _PAD for word in words), np.int64, len(words))
-            tokens = tokens.reshape(-1, 2 * SIDE + 1)
-            tokens = tokens[random.permutation(len(tokens))]
-            context, target = np.delete(tokens, SIDE, axis=1), tokens[:, SIDE]
+        for batch in pieces(batches, text):
+            data, offsets = raw(texts_of(batch.column(text)))
+            tokens = []
+            for a, b in itertools.pairwise(offsets.tolist()):
+                words = words_of(data[a:b].tobytes())
+                tokens.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
+            line, target = _line(tokens)
+            if most is not None:
+                target = _spread(target, [len(t) for t in tokens], most)
+            random.shuffle(target)
             for a in range(0, len(target), BATCH):
-                network.train(context[a : a + BATCH], target[a : a + BATCH], state)
+                at = target[a : a + BATCH]
+                network.train(line[at[:, None] + _AROUND], line[at], state)
             seen += len(target)
         if seen:
             flat = network.flat() * np.float32(seen)
@@ -218,6 +231,22 @@ def _train_batches(vocabulary: dict[bytes, int], start: Network, seed: int):
     return train
 
 
+def _line(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All texts in a row, padded between, and where their words are."""
+    gap = np.full(SIDE, _PAD, np.int32)
+    line = np.concatenate([gap, *itertools.chain.from_iterable((t, gap) for t in tokens)])
+    return line, np.flatnonzero(line != _PAD)
+
+
+def _spread(target: np.ndarray, n_words: list[int], most: int) -> np.ndarray:
+    """At most so many places of each text, spread over its whole length."""
+    ends = np.cumsum([0, *n_words])
+    chosen = [
+        a + (2 * np.arange(k := min(most, n)) + 1) * n // (2 * k) for a, n in zip(ends[:-1], n_words, strict=True) if n
+    ]
+    return target[np.concatenate(chosen)] if chosen else target
+
+
 def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, tuple[np.ndarray, int]] = {}
     for batch in batches:
@@ -249,8 +278,11 @@ class Model:
     network: Network
 
 
-def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, per_document: int = WINDOWS) -> Model:
-    """Counts all words, keeps the most frequent ones and trains on windows of all documents.
+def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, per_document: int | None = None) -> Model:
+    """Counts all words, keeps the most frequent ones and trains on a window for each word of all documents.
+
+    Tasks read the texts in each round, and windows are never rows. `per_document` bounds the windows that a document
+    gives, spread over its whole length; without it there is no bound.
 
     The vocabulary and the network have a fixed size, and only they come to the driver. Blocks of parameters are
     summed by a shuffle, not on the driver. Without any words the network gives every token the same probability.
@@ -265,11 +297,9 @@ def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, per_documen
     total = counts.agg(F.sum("n")).first()[0] or 0
     mass[frequent:] = max(0, total - mass.sum()) / BUCKETS
     network = Network.new(mass)
-    window = T.StructType([T.StructField("words", T.ArrayType(T.BinaryType()))])
-    windows = write_shared(docs.select(text).mapInArrow(_windows_of(text, per_document), window), "windows")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for step in range(rounds):
-        trained = windows.mapInArrow(_train_batches(vocabulary, network, step), _BLOCKS)
+        trained = docs.select(text).mapInArrow(_train_batches(vocabulary, network, step, text, per_document), _BLOCKS)
         summed = trained.repartition(parts, "block").mapInArrow(_sum_blocks, _BLOCKS)
         # A network's worth of rows, however many tasks there were.
         rows = sorted(summed.collect(), key=lambda row: row["block"])
@@ -301,16 +331,13 @@ def _score_batches(model: Model, text: str):
 
 
 def _sums(network: Network, tokens: list[np.ndarray], n_words: np.ndarray) -> np.ndarray:
-    """Sums of the words' log-probabilities; all texts in a row, padded between."""
-    gap = np.full(SIDE, _PAD, np.int32)
-    line = np.concatenate([gap, *itertools.chain.from_iterable((t, gap) for t in tokens)])
-    target = np.flatnonzero(line != _PAD)
+    """Sums of the words' log-probabilities."""
+    line, target = _line(tokens)
     text = np.repeat(np.arange(len(tokens)), n_words)
-    steps = np.array([k for k in range(-SIDE, SIDE + 1) if k])
     sums = np.zeros(len(tokens))
     for a in range(0, len(target), _CHUNK):
         at = target[a : a + _CHUNK]
-        found = network.log_probabilities(line[at[:, None] + steps], line[at])
+        found = network.log_probabilities(line[at[:, None] + _AROUND], line[at])
         sums += np.bincount(text[a : a + _CHUNK], found, len(tokens))
     return sums
 

@@ -216,6 +216,22 @@ def test_language_model(spark):
     assert abs(total - got[0]["log_likelihood"]) < 1e-2
 
 
+def test_language_model_learns_from_every_word(spark):
+    draw, texts = random.Random(5), []
+    for _ in range(24):
+        words = [0]
+        while len(words) < 6000:
+            words.append((words[-1] * 7 + draw.choice((1, 2))) % 50)
+        texts.append(" ".join(f"t{w}" for w in words))
+    docs = spark.createDataFrame([*enumerate(texts), (90, "t1 t2"), (91, None)], "doc_id long, text string")
+    model = pseudolikelihood.learn(docs)
+    train = pseudolikelihood._train_batches(model.vocabulary, model.network, 0, "text", None)
+    trained = docs.select("text").mapInArrow(train, pseudolikelihood._BLOCKS)
+    assert trained.where("block = 0").agg(F.sum("seen")).first()[0] == 24 * 6000 + 2
+    long = pseudolikelihood.score(docs, model).where("doc_id < 24").agg(F.avg("per_word")).first()[0]
+    assert long > -math.log(50) + 0.5
+
+
 @pytest.mark.parametrize("kind", ["rules", "encoding", "prefixes", "toxicity", "lm"])
 def test_empty_tables(spark, kind):
     docs = spark.createDataFrame([], DOCS)
