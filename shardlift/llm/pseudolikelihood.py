@@ -2,7 +2,8 @@
 
 Words are counted over all documents; the most frequent ones are tokens, the rest fall into buckets by their shape.
 The network is trained in tasks, on a window for every word of every document, and the tasks' parameters are
-averaged after each round. A document's score is the sum of the logarithms of its words' probabilities given their neighbours.
+averaged after each round. A document's score is the sum of the logarithms of its words' probabilities given their neighbours. A
+word of a bucket has the bucket's probability times its share of the bucket's words, from the counts of all words.
 """
 
 from __future__ import annotations
@@ -197,6 +198,18 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(_counts_of(text), schema).groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _bucket_counts(vocabulary: dict[bytes, int]):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, sums = Vocabulary(vocabulary), np.zeros(_TOKENS, np.int64)
+        for batch in batches:
+            tokens = np.fromiter((known[word] for word in batch.column("word").to_pylist()), np.int64, batch.num_rows)
+            np.add.at(sums, tokens, batch.column("n").to_numpy())
+        buckets = np.flatnonzero(sums[-BUCKETS:])
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array(buckets, pa.int32()), "n": sums[-BUCKETS:][buckets]})
+
+    return count
+
+
 def _train_batches(vocabulary: dict[bytes, int], start: Network, seed: int, text: str, most: int | None):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vocabulary(vocabulary)
@@ -276,6 +289,8 @@ _BLOCKS = T.StructType(
 class Model:
     vocabulary: dict[bytes, int]
     network: Network
+    counts: DataFrame  # (word, n) of all words
+    buckets: np.ndarray  # words in each bucket
 
 
 def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, per_document: int | None = None) -> Model:
@@ -294,8 +309,10 @@ def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, per_documen
     vocabulary = {bytes(row["word"]): k for k, row in enumerate(top)}
     mass = np.zeros(_TOKENS)
     mass[: len(top)] = [row["n"] for row in top]
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    mass[frequent:] = max(0, total - mass.sum()) / BUCKETS
+    schema = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("n", T.LongType())])
+    summed = counts.mapInArrow(_bucket_counts(vocabulary), schema).groupBy("bucket").agg(F.sum("n").alias("n"))
+    for row in summed.collect():
+        mass[frequent + row["bucket"]] = row["n"]
     network = Network.new(mass)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for step in range(rounds):
@@ -306,26 +323,46 @@ def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, per_documen
         if not rows:
             break
         network = Network.of_flat(np.concatenate([np.frombuffer(row["values"], np.float32) for row in rows]), network)
-    return Model(vocabulary, network)
+    return Model(vocabulary, network, counts, mass[frequent:])
+
 
+_RARE = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("times", T.LongType())]))
+# Logarithms are added as whole numbers, so the order of rows doesn't matter.
+_SCALE = 1e9
+
+
+def _score_batches(vocabulary: dict[bytes, int], network: Network, buckets: np.ndarray, text: str, keep_text: bool):
+    # The share of a word is n / (all + 1), and of words that were not counted 1 / (all + 1) together. Here only the
+    # divisor is known.
+    divisors = np.concatenate([np.zeros(_TOKENS - BUCKETS), np.log(buckets + 1)])
 
-def _score_batches(model: Model, text: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Vocabulary(model.vocabulary)
+        known = Vocabulary(vocabulary)
         for batch in pieces(batches, text):
             data, offsets = raw(texts_of(batch.column(text)))
-            n_words, tokens = [], []
+            n_words, tokens, rare, times, ends, divided = [], [], [], [], [0], []
             for a, b in itertools.pairwise(offsets.tolist()):
                 words = words_of(data[a:b].tobytes())
+                found = np.fromiter(map(known.__getitem__, words), np.int32, len(words))
+                outside = Counter(itertools.compress(words, (found >= _TOKENS - BUCKETS).tolist()))
+                rare += outside
+                times += outside.values()
+                ends.append(len(rare))
                 n_words.append(len(words))
-                tokens.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
+                tokens.append(found)
+                divided.append(divisors[found].sum())
             n_words = np.array(n_words, np.int64)
-            sums = _sums(model.network, tokens, n_words)
-            mean = pa.array(np.round(sums / np.maximum(n_words, 1), 6), mask=n_words == 0)
-            yield with_columns(
+            sums = _sums(network, tokens, n_words) - np.array(divided)
+            outside = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64())], ["word", "times"])
+            rows = with_columns(
                 batch,
-                {"n_words": pa.array(n_words), "log_likelihood": pa.array(np.round(sums, 4)), "per_word": mean},
+                {
+                    "n_words": pa.array(n_words),
+                    "log_likelihood": pa.array(sums),
+                    "__rare": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), outside),
+                },
             )
+            yield rows if keep_text else rows.drop_columns([text])
 
     return score
 
@@ -342,12 +379,31 @@ def _sums(network: Network, tokens: list[np.ndarray], n_words: np.ndarray) -> np
     return sums
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = True) -> DataFrame:
     """All rows of `docs` with `n_words`, `log_likelihood` (their sum) and `per_word` (their mean).
 
     Null and blank texts have no words, the sum 0 and the mean null. Repeated rows are scored each, an empty table
-    gives no rows, and columns of `docs` named like a result give way.
+    gives no rows, and columns of `docs` named like a result give way. Words outside the vocabulary are joined with
+    the counts of all words; rows carry their number through that, and the texts are not shuffled for it when
+    `keep_text` leaves them out.
     """
     small_batches(docs)
-    added = {"n_words": T.LongType(), "log_likelihood": T.DoubleType(), "per_word": T.DoubleType()}
-    return docs.mapInArrow(_score_batches(model, text), widened(docs, **added))
+    added = {"n_words": T.LongType(), "log_likelihood": T.DoubleType()}
+    docs = docs.drop("per_word") if text != "per_word" else docs
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    schema = widened(numbered, **added, __rare=_RARE)
+    if not keep_text:
+        schema = T.StructType([field for field in schema.fields if field.name != text])
+    batches = _score_batches(model.vocabulary, model.network, model.buckets, text, keep_text)
+    scored = write_shared(numbered.mapInArrow(batches, schema), "scored")
+    rare = scored.select("__row", F.inline("__rare"))
+    # The logarithm of 1 is 0, for words that occur once as for words that were not counted.
+    counts = model.counts.where("n > 1").select("word", F.round(F.ln("n") * _SCALE).cast("long").alias("__log"))
+    shares = rare.join(counts, "word").groupBy("__row").agg(F.sum(F.col("times") * F.col("__log")).alias("__shares"))
+    total = F.col("log_likelihood") + F.coalesce(F.col("__shares") / _SCALE, F.lit(0.0))
+    kept = [F.col(name) for name in scored.columns if name not in ("__row", "__rare", "log_likelihood")]
+    return scored.drop("__rare").join(shares, "__row", "left").select(
+        *kept,
+        F.round(total, 4).alias("log_likelihood"),
+        F.when(F.col("n_words") > 0, F.round(total / F.col("n_words"), 6)).alias("per_word"),
+    )

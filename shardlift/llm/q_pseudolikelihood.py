@@ -11,4 +11,4 @@ from shardlift.llm.registry import query, table
 @query()
 def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return score(docs, learn(docs)).select("doc_id", "n_words", "log_likelihood", "per_word")
+    return score(docs, learn(docs), keep_text=False).select("doc_id", "n_words", "log_likelihood", "per_word")

@@ -232,6 +232,30 @@ def test_language_model_learns_from_every_word(spark):
     assert long > -math.log(50) + 0.5
 
 
+def test_language_model_gives_words_of_a_bucket_their_shares(spark):
+    # The frequent words fill the vocabulary; x00q and the others have one length and ending, so they share a bucket.
+    common = " ".join(f"c{k}" for k in range(3840))
+    rare = ["x00qqq"] * 3 + ["x01qqq"] * 2 + ["x02qqq"]
+    rows = [(k, common) for k in range(4)] + [(10 + k, f"c1 {word} c2") for k, word in enumerate(rare)]
+    rows += [(20, "c1 x99qqq c2"), (21, "x00qqq x00qqq x02qqq"), (22, None)]
+    docs = spark.createDataFrame(rows[:-3], "doc_id long, text string")
+    model = pseudolikelihood.learn(docs)
+    assert not {b"x00qqq", b"x99qqq"} & set(model.vocabulary)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {row["doc_id"]: row for row in pseudolikelihood.score(frame, model).collect()}
+    assert len(got) == len(rows) and all(got[k]["text"] == text for k, text in rows)
+    bucket = pseudolikelihood.Vocabulary(model.vocabulary)[b"x00qqq"]
+    ids = [model.vocabulary[b"c1"], bucket, model.vocabulary[b"c2"]]
+    whole = pseudolikelihood._sums(model.network, [np.array(ids, np.int32)], np.array([3]))[0]
+    for k, n in ((10, 3), (13, 2), (15, 1), (20, 1)):  # a word that was not counted has the place of one more
+        assert abs(got[k]["log_likelihood"] - whole - math.log(n / (6 + 1))) < 1e-3
+    alone = pseudolikelihood._sums(model.network, [np.array([bucket] * 3, np.int32)], np.array([3]))[0]
+    assert abs(got[21]["log_likelihood"] - alone - math.log(3 * 3 * 1 / 7**3)) < 1e-3
+    assert abs(got[21]["per_word"] - got[21]["log_likelihood"] / 3) < 1e-4 and got[22]["log_likelihood"] == 0
+    columns = pseudolikelihood.score(frame, model, keep_text=False).columns
+    assert columns == ["doc_id", "n_words", "log_likelihood", "per_word"]
+
+
 @pytest.mark.parametrize("kind", ["rules", "encoding", "prefixes", "toxicity", "lm"])
 def test_empty_tables(spark, kind):
     docs = spark.createDataFrame([], DOCS)
