@@ -255,12 +255,16 @@ def _count_batches(path: str, text: str, budget: int, steps: bool):
             columns = {
                 "n_bytes": pa.array(np.diff(raw(texts)[1])),
                 "n_tokens": pa.array(found.totals),
-                "fits_chars": pa.array([found.longest(k, budget) for k in range(len(texts))], pa.int64()),
             }
             if steps:
-                columns["steps"] = pa.array(
-                    [np.diff(found.prefixes(k)).astype(np.int8).tobytes() for k in range(len(texts))], pa.binary()
-                )
+                fits, stored = [], []
+                for k in range(len(texts)):
+                    tokens = found.prefixes(k)
+                    fits.append(int(np.flatnonzero(tokens <= budget)[-1]))
+                    stored.append(np.diff(tokens).astype(np.int8).tobytes())
+                columns |= {"fits_chars": pa.array(fits, pa.int64()), "steps": pa.array(stored, pa.binary())}
+            else:
+                columns["fits_chars"] = pa.array([found.longest(k, budget) for k in range(len(texts))], pa.int64())
             yield with_columns(batch, columns)
 
     return count
@@ -281,22 +285,28 @@ def prefix_counts(docs: DataFrame, path: str, text: str = "text", budget: int =
     return docs.mapInArrow(_count_batches(path, text, budget, steps), widened(docs, **added))
 
 
-def _answer_batches(budget: int, name: str):
+def _answer_batches(budget: int, name: str, total: str | None):
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fits = []
+            fits, totals = [], []
             for steps in batch.column("steps"):
                 counts = np.cumsum(np.frombuffer(steps.as_py() or b"", np.int8), dtype=np.int64)
                 within = np.flatnonzero(counts <= budget)
                 fits.append(int(within[-1]) + 1 if len(within) else 0)
-            yield with_columns(batch, {name: pa.array(fits, pa.int64())})
+                totals.append(int(counts[-1]) if len(counts) else 0)
+            answers = {name: pa.array(fits, pa.int64())}
+            yield with_columns(batch, answers | ({total: pa.array(totals, pa.int64())} if total else {}))
 
     return answer
 
 
-def longest_prefix(counted: DataFrame, budget: int, name: str = "fits_chars") -> DataFrame:
-    """From stored `steps`: the length of the longest prefix within a budget, without encoding again."""
-    return counted.mapInArrow(_answer_batches(budget, name), widened(counted, **{name: T.LongType()}))
+def longest_prefix(counted: DataFrame, budget: int, name: str = "fits_chars", total: str | None = None) -> DataFrame:
+    """From stored `steps`: the length of the longest prefix within a budget, without encoding again.
+
+    The tokens of the whole text are added as the column `total`, if it is named.
+    """
+    added = {name: T.LongType()} | ({total: T.LongType()} if total else {})
+    return counted.mapInArrow(_answer_batches(budget, name, total), widened(counted, **added))
 
 
 def tokens_at(length: Column) -> Column:

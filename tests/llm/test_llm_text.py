@@ -1,5 +1,6 @@
 """Rules, encoding, token counts, toxicity and language-model scores against plain Python."""
 
+import glob
 import hashlib
 import math
 import random
@@ -13,6 +14,8 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from shardlift.llm import encoding, prefixes, pseudolikelihood, rules, toxicity
+from shardlift.llm.registry import QUERIES
+from shardlift.shared import shared_folder
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -134,6 +137,27 @@ def test_prefix_counts(docs, library):
     assert at["n"] == len(library.encode(TEXTS[7][:20]))
 
 
+def test_query_stores_the_count_at_every_prefix(spark, library, tmp_path):
+    long = "some words of one text, " * 1200
+    texts = [None, "", "one two  three", "é中😀 x", long]
+    spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    shared = shared_folder(spark).removeprefix("file://")
+    before = set(glob.glob(f"{shared}/**/prefixes-*", recursive=True))
+    got = {row["doc_id"]: row for row in QUERIES["op2_token_counts"](spark, str(tmp_path)).collect()}
+    (store,) = set(glob.glob(f"{shared}/**/prefixes-*", recursive=True)) - before
+    stored = {row["doc_id"]: row["steps"] for row in spark.read.parquet(store).collect()}
+    assert set(got) == set(stored) == set(range(len(texts)))
+    for k, text in enumerate(texts):
+        counts = [0, *np.cumsum(np.frombuffer(stored[k], np.int8), dtype=int).tolist()]
+        assert len(counts) == len(text or "") + 1
+        for n in range(0, len(counts), 1 if len(counts) < 100 else 997):
+            assert counts[n] == len(library.encode((text or "")[:n]))
+        assert got[k]["n_tokens"] == counts[-1] == len(library.encode(text or ""))
+        assert got[k]["fits_chars"] == max(n for n, c in enumerate(counts) if c <= 4096)
+        assert got[k]["over_limit"] == (counts[-1] > 4096)
+    assert got[4]["over_limit"] and got[4]["n_bytes"] == len(long)
+
+
 def test_prefixes_of_random_texts(library):
     counter, draw = prefixes.PrefixCounter(PATH), random.Random(4)
     some = [" ", "  ", "a", "b", "th", "ing", "=", "0", "é", "中", "\n", "▁", "😀", "aa", "ll", "0000"]
