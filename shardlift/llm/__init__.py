@@ -6,6 +6,7 @@ Nothing else in the library imports this package.
 from shardlift.llm import (  # noqa: F401
     q_audit,
     q_chat,
+    q_collocations,
     q_encoding,
     q_mixing,
     q_multiindex,
