@@ -14,6 +14,7 @@ from shardlift.llm import (  # noqa: F401
     q_pseudolikelihood,
     q_rules,
     q_simhash,
+    q_styletree,
     q_toxicity,
     q_warc,
 )
