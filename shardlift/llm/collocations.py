@@ -27,6 +27,8 @@ HELD = 1_500_000
 # A filter has 16 bits for each word or pair it holds, up to this many bits in all (32 MB). Beyond that it lets more
 # through; what it lets through is counted exactly, so results do not depend on it.
 FILTER_BITS = 1 << 28
+# Words by which runs are dealt to partitions: few enough to keep subtrees together, enough to divide a common word.
+PREFIX = 2
 # Bits of one row of Spark's bitmap aggregate.
 _ROW_BITS = 32768
 _SALTS = 64
@@ -149,11 +151,14 @@ class LangCounter:
         return np.stack([keys >> s & ((1 << BITS) - 1) for s in shifts], axis=1)
 
     def spill(self, keep: int) -> Iterator[pa.RecordBatch]:
+        """Runs (prefix, rest, n): the first two words and the language in one text, the other words in another."""
+        names = pa.array(self.names, pa.binary()).cast(pa.string())
         for keys, counts in self.trie.spill(keep):
-            ids = self._columns(keys)
-            names = [[self.names[i] for i in ids[:, k].tolist()] for k in range(self.length)]
-            columns = {"lang": pa.array([self.lang.decode()] * len(keys), pa.string())}
-            columns |= {f"w{k + 1}": pa.array(name, pa.binary()).cast(pa.string()) for k, name in enumerate(names)}
+            words = [names.take(pa.array(ids)) for ids in self._columns(keys).T]
+            lang = pa.scalar(self.lang.decode())
+            columns = {"prefix": pc.binary_join_element_wise(*words[:PREFIX], lang, " ")}
+            if self.length > PREFIX:
+                columns["rest"] = pc.binary_join_element_wise(*words[PREFIX:], " ")
             yield pa.RecordBatch.from_pydict(columns | {"n": pa.array(counts, pa.int64())})
         if not self.trie.size:
             self._forget()
@@ -194,11 +199,18 @@ def phrase_counts(
     Tasks give sorted runs of their subtrees; runs of one prefix, the first two words at most, meet in one partition
     and are merged there. A phrase is at most one row in a run, so a frequent one is a row for each run only.
     """
-    names = [f"w{k + 1}" for k in range(length)]
-    schema = ", ".join(["lang string", *(f"{name} string" for name in names), "n long"])
+    first, last = min(length, PREFIX), max(0, length - PREFIX)
+    keys = ["prefix", "rest"] if last else ["prefix"]
+    schema = ", ".join([*(f"{key} string" for key in keys), "n long"])
     runs = docs.mapInArrow(_counting(length, words, shorter, held), schema)
-    merged = runs.repartition("lang", *names[:2]).groupBy("lang", *names)
-    return merged.agg(F.sum("n").alias("n"))
+    merged = runs.repartition("prefix").groupBy(*keys).agg(F.sum("n").alias("n"))
+    # Words hold no spaces; a language may, and stands last.
+    parts = F.split("prefix", " ", first + 1)
+    taken = [parts[k].alias(f"w{k + 1}") for k in range(first)]
+    if last:
+        rest = F.split("rest", " ")
+        taken += [rest[k].alias(f"w{first + k + 1}") for k in range(last)]
+    return merged.select(parts[first].alias("lang"), *taken, "n")
 
 
 def _positions(names: list[str], size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
