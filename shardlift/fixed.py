@@ -30,6 +30,7 @@ REJECTED_SETTINGS = ("creation_date", "provided_name", "uuid", "version")
 
 SNAPSHOT_SUCCESS = "SUCCESS"
 INLINE_FILE_PREFIX = "v__"
+BLOB_PREFIX = "__"
 TARGET_SUFFIX = "_reindexed"
 UNLIMITED_PART_SIZE = 9223372036854775807
 

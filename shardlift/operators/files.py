@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shardlift.fixed import BLOB_PREFIX
 from shardlift.functions.paths import is_inline, part_count, part_name
 from shardlift.unnest import unnest
 
@@ -96,3 +97,27 @@ def file_rules() -> list[tuple[str, Column, Column]]:
         ),
         ("inline_bytes", inline & F.col("meta_hash").isNull(), F.lit("inline file without bytes")),
     ]
+
+
+def reconciled(parts: DataFrame, found: DataFrame) -> DataFrame:
+    """Expected blobs (repo_id, folder, blob_name, part_length) against listed files (repo_id, folder, name, length).
+
+    Rows (repo_id, folder, name, part_length, blob_length, state) with the state `fits`, `missing`, `wrong size` or
+    `orphan`: a blob in a shard's folder that no manifest names. Other files of the folder are not looked at. Both
+    sides are narrow and sorted by folder and name, then merged. A blob that manifests name twice is a row each time.
+    """
+    expected = parts.select(
+        F.col("repo_id").alias("asked"), "folder", F.col("blob_name").alias("name"), "part_length"
+    )
+    blobs = found.where(F.startswith("name", F.lit(BLOB_PREFIX))).select(
+        F.col("repo_id").alias("has"), "folder", "name", F.col("length").alias("blob_length")
+    )
+    state = (
+        F.when(F.col("part_length").isNull(), "orphan")
+        .when(F.col("blob_length").isNull(), "missing")
+        .when(F.col("blob_length") != F.col("part_length"), "wrong size")
+        .otherwise("fits")
+    )
+    return expected.join(blobs, ["folder", "name"], "full").select(
+        F.coalesce("asked", "has").alias("repo_id"), "folder", "name", "part_length", "blob_length", state.alias("state")
+    )

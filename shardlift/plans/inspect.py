@@ -14,6 +14,7 @@ from shardlift.operators.catalog import indices_in_snapshot, snapshot_id
 from shardlift.operators.files import shard_rows
 from shardlift.shared import write_shared
 from shardlift.sources.catalog import read_catalog
+from shardlift.sources.containers import container_files, container_problems
 from shardlift.sources.documents import read_documents
 from shardlift.sources.metadata import (
     global_bodies,
@@ -35,7 +36,8 @@ def inspect(
 ) -> dict[str, DataFrame]:
     """Report tables of the repositories: all snapshots, and the contents of the named one.
 
-    `missing` names the metadata files that should be there and are not.
+    `missing` names the metadata files that should be there and are not, `broken` the containers whose header, footer
+    or checksum is wrong.
     """
     source = parse_source(source)
     catalog = write_shared(read_catalog(spark, repos, source), "catalog")
@@ -63,6 +65,12 @@ def inspect(
     shards = shards.withColumn("at", F.concat_ws("/", "index_name", "shard"))
     texts = write_shared(shard_manifests_of(shards.drop("n_shards")), "manifest_texts")
     manifests = parse_shards(found(texts, "shard", "at").drop("at"))
+    containers = [
+        container_files("snapshot", chosen),
+        container_files("global", chosen),
+        container_files("index", held),
+        container_files("shard", shards),
+    ]
     tables = {
         "snapshots": report.snapshots(catalog),
         "snapshot_indices": report.snapshot_indices(catalog, source),
@@ -71,6 +79,7 @@ def inspect(
         "indices": indices,
         "shards": report.shard_manifests(manifests),
         "missing": reduce(DataFrame.unionByName, missing),
+        "broken": write_shared(container_problems(reduce(DataFrame.unionByName, containers)), "containers"),
     }
     if documents is not None:
         stored = read_documents(spark, documents) if isinstance(documents, str) else documents

@@ -19,7 +19,7 @@ from shardlift.functions.versions import parse_movement, parse_source, parse_tar
 from shardlift.operators import documents as docs_ops
 from shardlift.operators import preflight, requests
 from shardlift.operators.catalog import indices_in_snapshot, snapshot_id
-from shardlift.operators.files import file_parts, file_rules, shard_rows
+from shardlift.operators.files import file_parts, file_rules, reconciled, shard_rows
 from shardlift.operators.transforms import (
     rules_for,
     template_rows,
@@ -30,10 +30,11 @@ from shardlift.operators.transforms import (
 from shardlift.schemas import TARGET_STATE, VIOLATION
 from shardlift.shared import SharedRun, write_shared
 from shardlift.sinks.bulk import write_ndjson
-from shardlift.sinks.files import write_shard_files
+from shardlift.sinks.files import write_shard_files, write_shard_rows
 from shardlift.sinks.transport import Transport, deliver, probed, with_outcome
-from shardlift.sources.blobs import blob_sizes, with_blob_paths
+from shardlift.sources.blobs import listed_files, with_blob_paths
 from shardlift.sources.catalog import asked_names, is_pattern, read_catalog, repo_name, roots_of
+from shardlift.sources.containers import container_files, container_problems
 from shardlift.sources.documents import read_documents
 from shardlift.sources.metadata import (
     explode_files,
@@ -163,6 +164,7 @@ def build_plan(
     )
 
     held = indices_in_snapshot(catalog, snapshot, source)
+    containers = [container_files("snapshot", chosen), container_files("index", held)]
     texts = index_metadata_of(held)
     # Used by checks, requests, shards and documents alike: read and rewritten once.
     listed = write_shared(
@@ -184,6 +186,7 @@ def build_plan(
 
     wanted = [requests.index_requests(indices)]
     if with_metadata:
+        containers.append(container_files("global", chosen))
         globals_ = read_metadata(spark, repos, "global").join(chosen, ["repo_id", "snapshot_id"], "left_semi")
         broken.append(
             _flag(chosen.join(globals_, "repo_id", "left_anti"), "file_missing", "snapshot_id", "global metadata")
@@ -218,6 +221,7 @@ def build_plan(
     files = moved = None
     if with_data:
         shards = shard_rows(indices.where(F.col("n_shards").isNotNull()))
+        containers.append(container_files("shard", shards))
         manifests = shard_manifests_of(shards.select("repo_id", "snapshot_id", "index_name", "index_id", "shard"))
         where = F.concat_ws("/", "index_name", "shard")
         parsed = write_shared(parse_shards(_present(manifests)), "manifests").withColumn("at", where)
@@ -228,25 +232,28 @@ def build_plan(
             explode_files(parsed, ["repo_id", "index_name", "index_id", "shard", "total_size"]), "files"
         )
         broken.append(preflight.check(files, F.col("physical_name"), file_rules()))
-        sized = blob_sizes(with_blob_paths(file_parts(files)).select("repo_id", "path", "part_length"))
+        parts = with_blob_paths(file_parts(files)).select("repo_id", "folder", "blob_name", "part_length")
+        folders = with_blob_paths(shards.withColumn("blob_name", F.lit(""))).select("repo_id", "folder").distinct()
+        blobs = write_shared(reconciled(parts, listed_files(folders)).where("state <> 'fits'"), "blobs")
+        at = F.concat_ws("/", "folder", "name")
+        differs = F.concat(
+            F.col("blob_length").cast("string"),
+            F.lit(" bytes instead of "),
+            F.col("part_length").cast("string"),
+        )
         broken.append(
             preflight.check(
-                sized,
-                F.col("path"),
+                blobs,
+                at,
                 [
-                    ("blob_missing", F.col("blob_length").isNull(), F.lit("no such blob")),
-                    (
-                        "blob_length",
-                        F.col("blob_length") != F.col("part_length"),
-                        F.concat(
-                            F.col("blob_length").cast("string"),
-                            F.lit(" bytes instead of "),
-                            F.col("part_length").cast("string"),
-                        ),
-                    ),
+                    ("blob_missing", F.col("state") == "missing", F.lit("no such blob")),
+                    ("blob_length", F.col("state") == "wrong size", differs),
                 ],
             )
         )
+        warnings.append(
+            preflight.check(blobs, at, [("blob_orphan", F.col("state") == "orphan", F.lit("in no manifest"))])
+        )
         if documents is not None:
             stored = read_documents(spark, documents) if isinstance(documents, str) else documents
             keys = ["repo_id", "index"]
@@ -290,6 +297,9 @@ def build_plan(
             ).drop("place")
             moved = docs_ops.bulk_rows(last)
 
+    damaged = write_shared(container_problems(requests.union_requests(*containers)), "containers")
+    broken.append(preflight.check(damaged, F.col("path"), preflight.problem_rule("container")))
+
     empty = spark.createDataFrame([], VIOLATION)
     return Plan(
         violations=requests.union_requests(empty, *broken),
@@ -312,15 +322,19 @@ def migrate(
     output: str,
     transport: Transport | None = None,
     strict: bool = True,
+    shard_files: str = "rows",
     **options,
 ) -> Plan:
     """Build, check and carry out a plan; tables of what was done go below `output`.
 
     `violations` and `warnings` are written first, and with `strict` any violation stops the run there.
-    Then `requests`, `shard_files` and `bulk`. With a transport, requests whose decision is to create are
+    Then `requests`, `shard_files` and `bulk`. Shard files are rows of bytes, or with `shard_files="files"` files of
+    their own, of which `_manifest` lists those that count. With a transport, requests whose decision is to create are
     sent stage by stage and documents in batches, with a status per row in `request_results` and
     `document_results`; without one the documents are written as NDJSON.
     """
+    if shard_files not in ("rows", "files"):
+        raise ValueError("shard_files must be rows or files")
     plan = build_plan(spark, repos, snapshot, source, target, movement, **options)
     plan.violations.write.mode("overwrite").parquet(f"{output}/violations")
     plan.warnings.write.mode("overwrite").parquet(f"{output}/warnings")
@@ -333,7 +347,11 @@ def migrate(
 
     plan.requests.write.mode("overwrite").parquet(f"{output}/requests")
     if plan.files is not None:
-        write_shard_files(plan.files, f"{output}/shard_files")
+        if shard_files == "files":
+            fleet = len(roots_of(repos)) > 1 or any(map(is_pattern, roots_of(repos)))
+            write_shard_files(plan.files, f"{output}/shard_files", by_repo=fleet)
+        else:
+            write_shard_rows(plan.files, f"{output}/shard_files")
     if transport is not None:
         written = spark.read.parquet(f"{output}/requests")
         for stage in sorted(set(STAGES.values()) - {STAGES["document"]}):

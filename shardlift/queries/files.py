@@ -162,7 +162,7 @@ def shard_files(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(_PART).cast("bigint").alias("part_size"),
         F.lit(None).cast("binary").alias("meta_hash"),
     )
-    rows = shard_file_rows(files, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = shard_file_rows(files)
     return rows.select(
         F.col("physical_name").cast("bigint").alias("doc_id"), "offset", F.md5("content").alias("content_md5")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -44,9 +45,26 @@ class SharedRun:
         _RUNS.remove(self)
 
     def close(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(self.spark, self.folder)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """A path and its file system, with Spark's own settings."""
+    context = spark.sparkContext
+    found = context._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path, files = _hadoop(spark, folder)
+    files.delete(path, True)
+
+
+def shared_name(spark: SparkSession, path: str) -> str:
+    """The absolute form of a path, as tasks have to know it; local ones without a scheme."""
+    found, files = _hadoop(spark, path)
+    name = files.makeQualified(found).toString()
+    return re.sub(r"^file:/+", "/", name)
 
 
 def write_shared(df: DataFrame, name: str) -> DataFrame:

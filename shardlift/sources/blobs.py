@@ -16,10 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardlift.functions.paths import blob_path
+from shardlift.functions.paths import blob_path, shard_dir
+from shardlift.operators.packing import packed
 
 RANGE_BYTES = 32 * 1024 * 1024
 TASK_BYTES = 512 * 1024 * 1024
+# Folders that one task lists, files that one task reads whole, and files of one batch of a listing.
+TASK_FOLDERS = 64
+TASK_TEXTS = 64
+LISTED_ROWS = 10_000
 _WITH_SCHEME = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/]*)(/.*)$")
 
 
@@ -40,27 +45,32 @@ def open_path(path: str):
     return files, base.rstrip("/") + parts[3]
 
 
-def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyarrow import fs
 
     for batch in batches:
-        sizes = []
-        for uri in batch.column("path").to_pylist():
-            files, path = open_path(uri)
-            info = files.get_file_info(path)
-            sizes.append(info.size if info.type == fs.FileType.File else None)
-        column = pa.array(sizes, pa.int64())
-        yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, "blob_length"])
+        for row in range(batch.num_rows):
+            files, path = open_path(batch.column("folder")[row].as_py())
+            found = files.get_file_info(fs.FileSelector(path, allow_not_found=True))
+            names = [(f.base_name, f.size) for f in found if f.type == fs.FileType.File]
+            one = batch.slice(row, 1)
+            for start in range(0, len(names), LISTED_ROWS):
+                part = names[start : start + LISTED_ROWS]
+                kept = one.take(pa.array([0] * len(part), pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, pa.array([n for n, _ in part]), pa.array([z for _, z in part], pa.int64())],
+                    [*batch.schema.names, "name", "length"],
+                )
 
 
-def blob_sizes(parts: DataFrame) -> DataFrame:
-    """Parts with `blob_length`, null when the blob is not there. Looks at files, reads none.
+def listed_files(folders: DataFrame) -> DataFrame:
+    """Rows with a `folder` to a row for each file right in it, with `name` and `length`; none where it is not there.
 
-    Looking is slow and rows are narrow, so they are spread wider than their bytes ask for.
+    Each row is one listing, done in a task; give every folder once. Nothing is listed on the driver.
     """
-    schema = T.StructType([*parts.schema.fields, T.StructField("blob_length", T.LongType())])
-    tasks = parts.sparkSession.sparkContext.defaultParallelism * 4
-    return parts.repartition(tasks).mapInArrow(_sizes, schema)
+    columns = [T.StructField("name", T.StringType()), T.StructField("length", T.LongType())]
+    schema = T.StructType([*folders.schema.fields, *columns])
+    return packed(folders, F.lit(1), ["folder"], TASK_FOLDERS).mapInArrow(_listed, schema)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,14 +95,13 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_texts(rows: DataFrame) -> DataFrame:
     """Rows with the text of the file at `path` in `value`, null where there is none; nothing is listed."""
     schema = T.StructType([*rows.schema.fields, T.StructField("value", T.StringType())])
-    tasks = rows.sparkSession.sparkContext.defaultParallelism * 4
-    return rows.repartition(tasks).mapInArrow(_texts, schema)
+    return packed(rows, F.lit(1), ["path"], TASK_TEXTS).mapInArrow(_texts, schema)
 
 
 def with_blob_paths(parts: DataFrame) -> DataFrame:
     return parts.withColumn(
         "path", blob_path(F.col("repo_id"), F.col("index_id"), F.col("shard"), F.col("blob_name"))
-    )
+    ).withColumn("folder", shard_dir(F.col("repo_id"), F.col("index_id"), F.col("shard")))
 
 
 def byte_ranges(start: Column, length: Column, size: int = RANGE_BYTES) -> Column:
