@@ -16,15 +16,17 @@ from shardlift.operators.files import (
     file_rules,
     inline_chunks,
     join_blobs,
+    reconciled,
     shard_rows,
 )
 from shardlift.operators.preflight import check
 from shardlift.operators.report import shard_manifests
 from shardlift.queries.registry import query, table, text
 from shardlift.shared import shared_folder
-from shardlift.sinks.files import shard_file_rows, write_blobs
+from shardlift.sinks.files import shard_file_rows, write_blobs, write_shard_files
+from shardlift.sources.blobs import byte_ranges, listed_files, read_ranges, with_blob_paths
 from shardlift.sources.catalog import newest, repo_name
-from shardlift.sources.containers import container_problem
+from shardlift.sources.containers import audited, container_problem, listed_containers
 from shardlift.sources.metadata import explode_files, parse_shards
 from shardlift.unnest import unnest
 
@@ -150,18 +152,7 @@ def shard_files(spark: SparkSession, folder: str) -> DataFrame:
     blobs = text_blobs(spark, folder, _PART)
     path = paths.blob_path(F.lit(root), F.lit("idx"), _language_shard(), F.col("blob_name"))
     write_blobs(blobs.select(path.alias("path"), "content"))
-    body = F.encode("text", "UTF-8")
-    files = table(spark, folder, "documents").select(
-        repo_name(F.lit(root)).alias("repo_id"),
-        F.lit("texts").alias("index_name"),
-        F.lit("idx").alias("index_id"),
-        _language_shard().alias("shard"),
-        F.concat(F.lit("__"), text("doc_id")).alias("name"),
-        text("doc_id").alias("physical_name"),
-        F.length(body).cast("bigint").alias("length"),
-        F.lit(_PART).cast("bigint").alias("part_size"),
-        F.lit(None).cast("binary").alias("meta_hash"),
-    )
+    files = _text_records(spark, folder, root)
     rows = shard_file_rows(files)
     return rows.select(
         F.col("physical_name").cast("bigint").alias("doc_id"), "offset", F.md5("content").alias("content_md5")
@@ -231,32 +222,8 @@ _PAGE_PROBLEM = """
 @query(f"SELECT page_id, {_PAGE_PROBLEM} AS problem FROM pages")
 def envelope_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Pages wrapped as containers, each kind of damage on a group of urls."""
-    url = F.col("url")
-    spoiled = (
-        F.when(url.like("https://spam%"), "checksum")
-        .when(url.like("http://%"), "name")
-        .when(url.like("%#top"), "footer")
-        .when(url.like("%.html"), "version")
-        .when(url.like("%utm_source%"), "header")
-    )
-    kind = F.coalesce("spoiled", F.lit("none"))
-    name = F.when(kind == "name", "snapshit").otherwise("snapshot")
-    head = F.concat(
-        F.unhex(F.when(kind == "header", "3FD76C18").otherwise("3FD76C17")),
-        F.unhex(F.lit("08")),
-        F.encode(name, "UTF-8"),
-        F.unhex(F.when(kind == "version", "00000002").otherwise("00000001")),
-    )
-    foot = F.unhex(F.concat(F.when(kind == "footer", "C02893E9").otherwise("C02893E8"), F.lit("00000000")))
-    body = F.concat(head, F.encode("html", "UTF-8"), foot)
-    checksum = F.crc32("body") + F.when(kind == "checksum", 1).otherwise(0)
-    whole = F.concat("body", F.unhex(F.lpad(F.hex(checksum), 16, "0")))
-    return (
-        table(spark, folder, "pages")
-        .withColumn("spoiled", spoiled)
-        .select("page_id", "spoiled", body.alias("body"))
-        .select("page_id", container_problem(whole, F.lit("snapshot")).alias("problem"))
-    )
+    problem = container_problem(F.col("content"), F.lit("snapshot"))
+    return _page_containers(spark, folder).select("page_id", problem.alias("problem"))
 
 
 @query(
@@ -421,3 +388,121 @@ def report_shards(spark: SparkSession, folder: str) -> DataFrame:
         F.get_json_object(at, "$.files[0].numberOfParts").cast("bigint").alias("first_parts"),
         F.unbase64(F.get_json_object(at, "$.files[1].metaHash")).cast("string").alias("second_bytes"),
     )
+
+
+def _page_containers(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages as container files (page_id, content), each kind of damage on a group of urls."""
+    url = F.col("url")
+    spoiled = (
+        F.when(url.like("https://spam%"), "checksum")
+        .when(url.like("http://%"), "name")
+        .when(url.like("%#top"), "footer")
+        .when(url.like("%.html"), "version")
+        .when(url.like("%utm_source%"), "header")
+        .otherwise("none")
+    )
+    rows = table(spark, folder, "pages").select("page_id", spoiled.alias("spoiled"), F.encode("html", "UTF-8").alias("html"))
+    kind = F.col("spoiled")
+    body = F.concat(
+        F.unhex(F.when(kind == "header", "3FD76C18").otherwise("3FD76C17")),
+        F.unhex(F.lit("08")),
+        F.encode(F.when(kind == "name", "snapshit").otherwise("snapshot"), "UTF-8"),
+        F.unhex(F.when(kind == "version", "00000002").otherwise("00000001")),
+        F.col("html"),
+        F.unhex(F.concat(F.when(kind == "footer", "C02893E9").otherwise("C02893E8"), F.lit("00000000"))),
+    )
+    rows = rows.select("page_id", "spoiled", body.alias("body"))
+    checksum = F.crc32("body") + F.when(kind == "checksum", 1).otherwise(0)
+    return rows.select("page_id", F.concat("body", F.unhex(F.lpad(F.hex(checksum), 16, "0"))).alias("content"))
+
+
+_RANGE = 4096
+
+
+@query(f"SELECT page_id, {_PAGE_PROBLEM} AS problem FROM pages")
+def envelope_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """Container files that tasks write, listed by folder and audited in ranges of 4 KB whose checksums are combined."""
+    root = repo_name(F.lit(f"{shared_folder(spark)}/containers-{uuid.uuid4().hex}"))
+    pages = _page_containers(spark, folder)
+    spot = F.concat_ws("/", root, (F.col("page_id") % 8).cast("string"))
+    name = F.concat(F.lit("snap-"), text("page_id"), F.lit(".dat"))
+    write_blobs(pages.select(F.concat_ws("/", spot, name).alias("path"), "content"))
+    wanted = table(spark, folder, "pages").select(
+        spot.alias("folder"), name.alias("name"), F.lit("snapshot").alias("format")
+    )
+    audit = audited(listed_containers(wanted), _RANGE)
+    page = F.regexp_extract("path", r"snap-(-?\d+)\.dat$", 1).cast("bigint")
+    return audit.select(page.alias("page_id"), "problem")
+
+
+@query(
+    f"""
+    WITH d AS (SELECT doc_id, octet_length(encode(text)) AS len FROM documents),
+    p AS (SELECT doc_id, len, greatest(1, (len + {_PART} - 1) // {_PART}) AS n FROM d),
+    b AS (SELECT doc_id, n, unnest(range(n)) AS part, len FROM p),
+    s AS (SELECT doc_id, CASE WHEN n > 1 THEN '__' || doc_id || '.part' || part ELSE '__' || doc_id END AS name,
+                 least({_PART}, len - part * {_PART}) AS part_length,
+                 CASE WHEN doc_id % 7 = 1 THEN 'missing' WHEN doc_id % 7 = 2 AND part = 0 THEN 'wrong size'
+                      WHEN doc_id % 7 = 3 THEN 'orphan' ELSE 'fits' END AS state
+          FROM b)
+    SELECT name, CAST(CASE WHEN state <> 'orphan' THEN part_length END AS BIGINT) AS part_length,
+           CAST(CASE state WHEN 'missing' THEN NULL WHEN 'wrong size' THEN part_length + 1 ELSE part_length END AS BIGINT)
+             AS blob_length,
+           state
+    FROM s
+    """
+)
+def blob_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts as blobs of three shards, some left out, some too long, some that no manifest names, against the listing."""
+    root = f"{shared_folder(spark)}/repo-{uuid.uuid4().hex}"
+    case = F.col("doc_id") % 7
+    spoiled = (case == 2) & ~F.col("blob_name").rlike(r"\.part[1-9]")
+    blobs = text_blobs(spark, folder, _PART).where(case != 1)
+    path = paths.blob_path(F.lit(root), F.lit("idx"), _language_shard(), F.col("blob_name"))
+    content = F.when(spoiled, F.concat("content", F.unhex(F.lit("00")))).otherwise(F.col("content"))
+    write_blobs(blobs.select(path.alias("path"), content.alias("content")))
+    files = _text_records(spark, folder, root).where(F.col("physical_name").cast("bigint") % 7 != 3)
+    parts = with_blob_paths(file_parts(files)).select("repo_id", "folder", "blob_name", "part_length")
+    shards = spark.range(3).select(repo_name(F.lit(root)).alias("repo_id"), F.lit("idx").alias("index_id"), F.col("id").alias("shard"))
+    folders = with_blob_paths(shards.withColumn("blob_name", F.lit(""))).select("repo_id", "folder")
+    return reconciled(parts, listed_files(folders)).select("name", "part_length", "blob_length", "state")
+
+
+@query(
+    f"""
+    SELECT doc_id, CAST(i * {_PART} AS BIGINT) AS "offset", len AS length,
+           md5(array_slice(body, i * {_PART} + 1, least(len, (i + 1) * {_PART}))) AS content_md5
+    FROM (SELECT doc_id, body, len, unnest(range((len + {_PART} - 1) // {_PART})) AS i
+          FROM (SELECT doc_id, encode(text) AS body, octet_length(encode(text)) AS len FROM documents))
+    """
+)
+def shard_files_committed(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts as blobs, put together as one file each, committed, and read back where the manifest says."""
+    root = f"{shared_folder(spark)}/repo-{uuid.uuid4().hex}"
+    blobs = text_blobs(spark, folder, _PART)
+    path = paths.blob_path(F.lit(root), F.lit("idx"), _language_shard(), F.col("blob_name"))
+    write_blobs(blobs.select(path.alias("path"), "content"))
+    manifest = write_shard_files(
+        _text_records(spark, folder, root), f"{root}-files", task_bytes=32 << 20, range_bytes=3000
+    )
+    rows = manifest.select("physical_name", "path", "length")
+    ranges = unnest(rows, byte_ranges(F.lit(0).cast("bigint"), F.col("length"), _PART), "i", "r")
+    read = read_ranges(ranges.select("physical_name", "length", "path", "r.at", "r.count", F.col("r.at").alias("offset")))
+    return read.select(
+        F.col("physical_name").cast("bigint").alias("doc_id"), "offset", "length", F.md5("content").alias("content_md5")
+    )
+
+
+def _text_records(spark: SparkSession, folder: str, root: str) -> DataFrame:
+    """documents as file records of one index with a shard for each language."""
+    return table(spark, folder, "documents").select(
+        repo_name(F.lit(root)).alias("repo_id"),
+        F.lit("texts").alias("index_name"),
+        F.lit("idx").alias("index_id"),
+        _language_shard().alias("shard"),
+        F.concat(F.lit("__"), text("doc_id")).alias("name"),
+        text("doc_id").alias("physical_name"),
+        F.length(F.encode("text", "UTF-8")).cast("bigint").alias("length"),
+        F.lit(_PART).cast("bigint").alias("part_size"),
+        F.lit(None).cast("binary").alias("meta_hash"),
+    )
