@@ -84,81 +84,165 @@ def _overlaps(leaves: Column) -> Column:
     )
 
 
+def _in_path_order(leaves: Column, writes: Column) -> Column:
+    """Leaves and writes as one array: what extends a path follows it directly, in one block."""
+
+    def item(is_leaf: bool, value: bool):
+        return lambda x: F.struct(
+            x["path"].alias("path"),
+            F.lit(is_leaf).alias("leaf"),
+            x["ord"].alias("ord"),
+            (x["value"] if value else F.lit(None).cast("string")).alias("value"),
+        )
+
+    return F.array_sort(F.concat(F.transform(leaves, item(True, True)), F.transform(writes, item(False, False))))
+
+
+def _flagged(items: Column, flags: Column) -> Column:
+    """The items whose flag is 1; flags are a text with a character for each item.
+
+    A pass that gathers rows in an array would copy it at every step; a text costs next to nothing.
+    """
+    return F.filter(items, lambda x, i: F.substring(flags, i + 1, F.lit(1)) == "1")
+
+
+def _below(ordered: Column) -> Column:
+    """Flags, from the last of the items in path order to the first: whether a write goes to a path under its own.
+
+    One pass: a path is written below if the next one extends it.
+    """
+
+    def step(after: Column, x: Column) -> Column:
+        same = F.coalesce(after["path"] == x["path"], F.lit(False))
+        extends = F.coalesce(_starts_with(after["path"], x["path"]), F.lit(False))
+        below = F.when(F.when(same, after["below"]).otherwise(extends), "1").otherwise("0")
+        return F.struct(
+            x["path"].alias("path"), (below == "1").alias("below"), F.concat(after["flags"], below).alias("flags")
+        )
+
+    none = F.struct(
+        F.lit(None).cast("array<string>").alias("path"), F.lit(False).alias("below"), F.lit("").alias("flags")
+    )
+    return F.aggregate(F.reverse(ordered), none, step)["flags"]
+
+
 def _expand_shared(leaves: Column, writes: Column) -> Column:
     """Open object values that a longer key writes into, as deep as the row's longest key goes."""
 
-    def written_into(x: Column) -> Column:
-        return F.exists(
-            writes,
-            lambda w: (F.size(w["path"]) > F.size(x["path"])) & _starts_with(w["path"], x["path"]),
-        )
+    def opened_where(items: Column, flags: Column) -> Column:
+        last = F.size(items)
+
+        def open_one(x: Column, i: Column) -> Column:
+            leaf = _leaf(x["path"], x["ord"], x["value"])
+            below = F.substring(flags, last - i, F.lit(1)) == "1"
+            none = F.array().cast(LEAVES)
+            return F.when(~x["leaf"], none).when(_open_object(x, below), _nested(leaf)).otherwise(F.array(leaf))
+
+        return F.flatten(F.transform(items, open_one))
 
     def one_level(opened: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                opened,
-                lambda x: F.when(_open_object(x, written_into(x)), _nested(x)).otherwise(F.array(x)),
-            )
-        )
+        closed = F.exists(opened, lambda x: _open_object(x, F.lit(True)))
+        done = let(_in_path_order(opened, writes), lambda items: let(_below(items), lambda f: opened_where(items, f)))
+        return F.when(closed, done).otherwise(opened)
 
     longest = F.array_max(F.transform(writes, lambda w: F.size(w["path"])))
     return F.aggregate(F.sequence(F.lit(1), longest), leaves, lambda opened, _: one_level(opened))
 
 
-def tree_leaves(text: Column) -> Column:
-    """struct<leaves, problem> of a flat settings object.
+_STACK = (
+    "array<struct<path:array<string>,latest:int,writes:array<int>,values:array<struct<ord:int,value:string>>>>"
+)
 
-    Keys apply in document order. A later key replaces whatever stands at its path; a key that has to
-    pass through a plain value is a problem; a key that passes through an object value merges into it.
+
+def _applied(leaves: Column, writes: Column) -> Column:
+    """struct<kept, blocked>: leaves that no later write replaced, and whether a write had to pass through a value.
+
+    One pass in path order with a stack of the paths above the present one. An entry holds the latest write at its
+    path or above, all writes there, and the values that stood at its path. A leaf is replaced by a later write at
+    its own path or above; a write is blocked by a value above it which no write had replaced between the two.
     """
 
-    def alive_before(writes: Column, leaf: Column, write: Column) -> Column:
-        return ~F.exists(
-            writes,
-            lambda w: (w["ord"] > leaf["ord"])
-            & (w["ord"] < write["ord"])
-            & _starts_with(leaf["path"], w["path"]),
+    def above(stack: Column, x: Column) -> Column:
+        return F.filter(stack, lambda e: _starts_with(x["path"], e["path"]))
+
+    def stops(stack: Column, x: Column) -> Column:
+        def stands(e: Column) -> Column:
+            return F.exists(
+                e["values"],
+                lambda v: (v["ord"] < x["ord"])
+                & ~F.exists(e["writes"], lambda o: (o > v["ord"]) & (o < x["ord"])),
+            )
+
+        return F.exists(stack, lambda e: (F.size(e["path"]) < F.size(x["path"])) & stands(e))
+
+    def pushed(stack: Column, x: Column) -> Column:
+        """The stack with the item in the entry of its path, which is new unless the top has it."""
+        top = F.get(stack, F.size(stack) - 1)
+        same = F.coalesce(top["path"] == x["path"], F.lit(False))
+        below = F.when(same, F.slice(stack, F.lit(1), F.size(stack) - 1)).otherwise(stack)
+        value = F.array(F.struct(x["ord"].alias("ord"), x["value"].alias("value")))
+        none = F.array().cast("array<struct<ord:int,value:string>>")
+        own = F.when(same, top["values"]).otherwise(none)
+        wrote = F.when(x["leaf"], F.array().cast("array<int>")).otherwise(F.array(x["ord"]))
+        entry = F.struct(
+            x["path"].alias("path"),
+            F.when(x["leaf"], top["latest"]).otherwise(F.greatest(top["latest"], x["ord"])).alias("latest"),
+            F.concat(F.coalesce(top["writes"], F.array().cast("array<int>")), wrote).alias("writes"),
+            F.concat(own, F.when(x["leaf"] & (x["value"] != "{}"), value).otherwise(none)).alias("values"),
         )
+        return F.concat(below, F.array(entry))
 
-    def blocked(writes: Column, opened: Column) -> Column:
-        return F.exists(
-            writes,
-            lambda w: F.exists(
-                opened,
-                lambda x: (x["ord"] < w["ord"])
-                & (F.size(x["path"]) < F.size(w["path"]))
-                & _starts_with(w["path"], x["path"])
-                & (x["value"] != "{}")
-                & alive_before(writes, x, w),
-            ),
+    def looked_at(stack: Column, x: Column, so_far: Column) -> Column:
+        latest = F.get(stack, F.size(stack) - 1)["latest"]
+        kept = x["leaf"] & F.coalesce(latest <= x["ord"], F.lit(True))
+        return F.struct(
+            pushed(stack, x).alias("stack"),
+            F.concat(so_far["flags"], F.when(kept, "1").otherwise("0")).alias("flags"),
+            (so_far["blocked"] | (~x["leaf"] & stops(stack, x))).alias("blocked"),
         )
 
-    def survivors(writes: Column, opened: Column) -> Column:
-        return F.filter(
-            opened,
-            lambda x: ~F.exists(
-                writes, lambda w: (w["ord"] > x["ord"]) & _starts_with(x["path"], w["path"])
-            ),
+    def step(so_far: Column, x: Column) -> Column:
+        return let(above(so_far["stack"], x), lambda stack: looked_at(stack, x, so_far))
+
+    def kept(items: Column) -> Column:
+        none = F.struct(
+            F.array().cast(_STACK).alias("stack"), F.lit("").alias("flags"), F.lit(False).alias("blocked")
+        )
+        return let(
+            F.aggregate(items, none, step),
+            lambda d: F.struct(_flagged(items, d["flags"]).alias("kept"), d["blocked"].alias("blocked")),
         )
 
-    def without_filled(leaves: Column) -> Column:
-        return F.filter(
-            leaves,
-            lambda x: ~(
-                (x["value"] == "{}")
-                & F.exists(
-                    leaves,
-                    lambda y: (F.size(y["path"]) > F.size(x["path"])) & _starts_with(y["path"], x["path"]),
-                )
+    return let(_in_path_order(leaves, writes), kept)
+
+
+def tree_leaves(text: Column) -> Column:
+    """struct<leaves, problem> of a flat settings object.
+
+    Keys apply in document order. A later key replaces whatever stands at its path; a key that has to
+    pass through a plain value is a problem; a key that passes through an object value merges into it.
+    """
+
+    def without_filled(kept: Column) -> Column:
+        """Empty objects go when something stands under them; the items are leaves, in path order."""
+        filled = let(
+            _below(kept),
+            lambda flags: F.filter(
+                kept,
+                lambda x, i: (x["value"] != "{}") | (F.substring(flags, F.size(kept) - i, F.lit(1)) == "0"),
             ),
         )
+        return F.transform(
+            F.when(F.exists(kept, lambda x: x["value"] == "{}"), filled).otherwise(kept),
+            lambda x: _leaf(x["path"], x["ord"], x["value"]),
+        )
 
     def merged(writes: Column) -> Column:
         return let(
-            _expand_shared(writes, writes),
-            lambda opened: _tree(
-                let(survivors(writes, opened), without_filled),
-                F.when(blocked(writes, opened), F.lit("settings key passes through a value")),
+            _applied(_expand_shared(writes, writes), writes),
+            lambda done: _tree(
+                without_filled(done["kept"]),
+                F.when(done["blocked"], F.lit("settings key passes through a value")),
             ),
         )
 

@@ -1,4 +1,6 @@
 import json
+import random
+import time
 import zlib
 
 import pytest
@@ -91,6 +93,46 @@ def test_flat_to_tree(spark, flat, tree, hoisted):
     assert json.loads(up[0]) == hoisted
 
 
+def simulated(flat):
+    """The tree by writing key after key; none if a key has to pass through a value."""
+    tree = {}
+    for key, value in flat.items():
+        *above, last = key.rstrip(".").split(".")
+        node = tree
+        for step in above:
+            if not isinstance(node.get(step, {}), dict):
+                return None
+            node = node.setdefault(step, {})
+        node[last] = json.loads(json.dumps(value))
+    return tree
+
+
+def test_flat_to_tree_by_simulation(spark):
+    draw = random.Random(3)
+
+    def value(depth=0):
+        if depth < 2 and draw.random() < 0.4:
+            return {draw.choice("abc"): value(depth + 1) for _ in range(draw.randrange(3))}
+        return draw.choice([1, "x", [1]])
+
+    cases = []
+    for _ in range(800):
+        keys = [".".join(draw.choice("abc") for _ in range(draw.randrange(1, 4))) for _ in range(draw.randrange(1, 8))]
+        cases.append({key + draw.choice(["", "", "", "."]): value() for key in keys})
+    got = apply(spark, [json.dumps(c) for c in cases], "string", flat_to_tree)
+    trees = [None if g["problem"] else json.loads(g["value"]) for g in got]
+    assert trees == [simulated(c) for c in cases] and None in trees
+
+
+def test_many_overlapping_keys(spark):
+    flat = {"a": {"x": 1}} | {f"a.k{i}": i for i in range(2500)}
+    flat |= {f"b.k{i}": {"u": 1} for i in range(1250)} | {f"b.k{i}.v": 2 for i in range(1250)}
+    begin = time.monotonic()
+    got = apply(spark, [json.dumps(flat)], "string", flat_to_tree)[0]
+    assert got["problem"] is None and json.loads(got["value"]) == simulated(flat)
+    assert time.monotonic() - begin < 60
+
+
 def test_flat_to_tree_problems(spark):
     bad = ['{"a":1,"a.b":2}', '{"a":1,"a.b":2,"a":3}', '{"a":{"x":5},"a.x.w":3}', '{"...":1}', "[]", None]
     through, none = "settings key passes through a value", "settings are missing or not an object"
