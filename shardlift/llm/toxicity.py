@@ -8,9 +8,11 @@ it. The sum of the hits' weights and their density over the words give the score
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -25,8 +27,6 @@ from shardlift.shared import write_shared
 
 # Bound on the labelled documents that the lexicon and the weights are learned from, picked by a hash of the id.
 TRAIN_DOCS = 12_000
-# Bound on the terms that are weighed, the most frequent ones in toxic documents.
-CANDIDATES = 50_000
 # Terms are words and beginnings of words of these lengths.
 STEMS = (4, 5, 6, 7, 8)
 # A term is in the lexicon if this share of the documents with it is toxic, in this many toxic ones at least.
@@ -144,7 +144,16 @@ class Matcher:
                     best[begin] = end, weight
         out = [(begin, end, weight) for begin, (end, weight) in sorted(best.items())]
         if spared:
-            out = [hit for hit in out if not any(a <= hit[0] and hit[1] <= b for a, b in spared)]
+            # The end that is furthest among the exceptions that begin at a place or before it.
+            spared.sort()
+            begins = [a for a, _ in spared]
+            reach = list(accumulate((b for _, b in spared), max))
+
+            def covered(begin: int, end: int) -> bool:
+                k = bisect_right(begins, begin)
+                return k > 0 and reach[k - 1] >= end
+
+            out = [hit for hit in out if not covered(hit[0], hit[1])]
         return out
 
 
@@ -190,28 +199,35 @@ def training_rows(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -
     return write_shared(chosen.select("text", "toxic"), "training")
 
 
-def _count_terms(toxic: bool, wanted: frozenset[str] | None):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
-        for batch in batches:
-            for text in texts_of(batch.column("text")).to_pylist():
-                terms = terms_of(fold(text))
-                counts.update(terms if wanted is None else terms & wanted)
-        yield pa.RecordBatch.from_pydict(
-            {"term": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())}
-        )
-
-    return count
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts: Counter[tuple[str, int]] = Counter()
+    for batch in batches:
+        labels = batch.column("toxic").to_pylist()
+        for text, label in zip(texts_of(batch.column("text")).to_pylist(), labels, strict=True):
+            counts.update((term, label) for term in terms_of(fold(text)))
+    terms, labels = zip(*counts, strict=True) if counts else ((), ())
+    yield pa.RecordBatch.from_pydict(
+        {
+            "term": pa.array(terms, pa.string()),
+            "toxic": pa.array(labels, pa.int32()),
+            "n": pa.array(list(counts.values()), pa.int64()),
+        }
+    )
 
 
-def _term_counts(rows: DataFrame, toxic: int, wanted: frozenset[str] | None) -> DataFrame:
-    schema = T.StructType([T.StructField("term", T.StringType()), T.StructField("n", T.LongType())])
-    of_class = rows.where(F.col("toxic") == toxic).select("text")
-    return of_class.mapInArrow(_count_terms(bool(toxic), wanted), schema).groupBy("term").agg(F.sum("n").alias("n"))
+def pure_terms(rows: DataFrame) -> DataFrame:
+    """Rows (term, toxic, clean): in how many documents of each kind, for terms that are toxic in nearly all of theirs."""
+    counts = rows.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(
+        _count_terms, "term string, toxic int, n long"
+    )
+    in_class = {name: F.sum(F.when(F.col("toxic") == k, F.col("n")).otherwise(0)) for name, k in (("t", 1), ("c", 0))}
+    both = counts.groupBy("term").agg(in_class["t"].alias("n_toxic"), in_class["c"].alias("n_clean"))
+    pure = (F.col("n_toxic") >= MIN_TOXIC) & (F.col("n_toxic") >= PURITY * (F.col("n_toxic") + F.col("n_clean")))
+    return both.where(pure)
 
 
 def _choose(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int) -> dict[str, float]:
-    pure = {t: n for t, n in toxic.items() if n >= PURITY * (n + clean.get(t, 0))}
+    pure = toxic
     # A beginning gives way to a longer one, or a word, that stands for nearly all of its documents.
     chosen = dict(pure)
     for term, n in pure.items():
@@ -232,35 +248,74 @@ def _choose(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean:
     }
 
 
-def _contexts(lexicon: Lexicon):
+def _is_letter(character: str) -> bool:
+    """As in `_WORD`."""
+    return character.isalnum() and not character.isdecimal()
+
+
+def contexts(text: str, hits: list[tuple[int, int, float]]) -> set[str]:
+    """The hit words of a folded text, each with the whole word before it, and with the whole word after it."""
+    phrases = set()
+    for begin, _, _ in hits:
+        word = _WORD.match(text, begin)
+        word = word.group() if word else ""
+        phrases.add(word)
+        if begin > 1 and text[begin - 1] == " ":
+            start = begin - 1
+            while start and _is_letter(text[start - 1]):
+                start -= 1
+            if start < begin - 1:
+                phrases.add(text[start:begin] + word)
+        after = _NEXT.match(text, begin + len(word))
+        if after:
+            phrases.add(word + after.group())
+    return phrases
+
+
+_NEXT = re.compile(r" [^\W\d_]+")
+
+
+def _phrases(lexicon: Lexicon):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(lexicon)
+        counts: Counter[tuple[str, int]] = Counter()
         for batch in batches:
-            out = {"phrase": [], "toxic": [], "weight": [], "n_words": []}
             labels = batch.column("toxic").to_pylist()
             for text, label in zip(texts_of(batch.column("text")).to_pylist(), labels, strict=True):
                 folded = fold(text)
-                hits = matcher.hits(folded)
-                phrases = set()
-                for begin, end, _ in hits:
-                    word = re.compile(r"[^\W\d_]*").match(folded, begin).group()
-                    before = re.search(r"([^\W\d_]+ )$", folded[max(0, begin - 40) : begin])
-                    after = re.match(r" [^\W\d_]+", folded[begin + len(word) : begin + len(word) + 40])
-                    phrases.add(word)
-                    if before:
-                        phrases.add(before.group() + word)
-                    if after:
-                        phrases.add(word + after.group())
-                out["phrase"].append(sorted(phrases))
-                out["toxic"].append(label)
-                out["weight"].append(sum(weight for _, _, weight in hits))
-                out["n_words"].append(len(folded.split()))
+                counts.update((phrase, label) for phrase in contexts(folded, matcher.hits(folded)))
+        phrases, labels = zip(*counts, strict=True) if counts else ((), ())
+        yield pa.RecordBatch.from_pydict(
+            {
+                "phrase": pa.array(phrases, pa.string()),
+                "toxic": pa.array(labels, pa.int32()),
+                "n": pa.array(list(counts.values()), pa.int64()),
+            }
+        )
+
+    return find
+
+
+def exception_phrases(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """Phrases around hits that `MIN_TOXIC` clean documents have, and at most a ninth as many toxic ones."""
+    counts = rows.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(
+        _phrases(lexicon), "phrase string, toxic int, n long"
+    )
+    in_class = {name: F.sum(F.when(F.col("toxic") == k, F.col("n")).otherwise(0)) for name, k in (("t", 1), ("c", 0))}
+    both = counts.groupBy("phrase").agg(in_class["t"].alias("n_toxic"), in_class["c"].alias("n_clean"))
+    return both.where((F.col("n_clean") >= MIN_TOXIC) & (F.col("n_toxic") * 9 <= F.col("n_clean"))).select("phrase")
+
+
+def _weights_of_rows(lexicon: Lexicon):
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(lexicon)
+        for batch in batches:
+            found = [_features(matcher, text) for text in texts_of(batch.column("text")).to_pylist()]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "phrase": pa.array(out["phrase"], pa.list_(pa.string())),
-                    "toxic": pa.array(out["toxic"], pa.int32()),
-                    "weight": pa.array(out["weight"], pa.float64()),
-                    "n_words": pa.array(out["n_words"], pa.int64()),
+                    "toxic": batch.column("toxic").cast(pa.int32()),
+                    "weight": pa.array([weight for weight, _, _ in found], pa.float64()),
+                    "n_words": pa.array([words for _, _, words in found], pa.int64()),
                 }
             )
 
@@ -268,16 +323,8 @@ def _contexts(lexicon: Lexicon):
 
 
 def _on(rows: DataFrame, lexicon: Lexicon) -> pd.DataFrame:
-    """Hits and contexts in the training rows, of which there is a bounded number."""
-    schema = T.StructType(
-        [
-            T.StructField("phrase", T.ArrayType(T.StringType())),
-            T.StructField("toxic", T.IntegerType()),
-            T.StructField("weight", T.DoubleType()),
-            T.StructField("n_words", T.LongType()),
-        ]
-    )
-    return rows.mapInArrow(_contexts(lexicon), schema).toPandas()
+    """Three numbers for each training row, of which there is a bounded number."""
+    return rows.mapInArrow(_weights_of_rows(lexicon), "toxic int, weight double, n_words long").toPandas()
 
 
 def learn(rows: DataFrame, exceptions: tuple[str, ...] = ()) -> Lexicon:
@@ -292,17 +339,15 @@ def learn(rows: DataFrame, exceptions: tuple[str, ...] = ()) -> Lexicon:
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
         return Lexicon({}, exceptions)
-    toxic = _term_counts(rows, 1, None).where(F.col("n") >= MIN_TOXIC)
-    toxic = {r["term"]: r["n"] for r in toxic.orderBy(F.desc("n"), "term").limit(CANDIDATES).collect()}
-    clean = {r["term"]: r["n"] for r in _term_counts(rows, 0, frozenset(toxic)).collect()}
+    # Only what enters the lexicon, or nearly does, comes to the driver.
+    counted = pure_terms(rows).collect()
+    toxic = {r["term"]: r["n_toxic"] for r in counted}
+    clean = {r["term"]: r["n_clean"] for r in counted}
     weights = _choose(toxic, clean, n_toxic, n_clean)
     lexicon = Lexicon(weights, tuple(sorted(exceptions)))
+    learned = {r["phrase"] for r in exception_phrases(rows, lexicon).collect()}
+    lexicon = Lexicon(weights, tuple(sorted(learned | set(exceptions))))
     found = _on(rows, lexicon)
-    in_toxic, in_clean = (Counter(p for phrases in found[found.toxic == k].phrase for p in phrases) for k in (1, 0))
-    learned = {p for p, n in in_clean.items() if n >= MIN_TOXIC and in_toxic[p] * 9 <= n}
-    if learned:
-        lexicon = Lexicon(weights, tuple(sorted(learned | set(exceptions))))
-        found = _on(rows, lexicon)
     inputs = _inputs(found.weight.to_numpy(), found.n_words.to_numpy())
     return Lexicon(weights, lexicon.exceptions, _fit(inputs, found.toxic.to_numpy(float)))
 

@@ -4,6 +4,8 @@ import glob
 import hashlib
 import math
 import random
+import re
+import time
 import zlib
 from collections import Counter
 
@@ -179,6 +181,54 @@ def test_matching():
     assert toxicity.Matcher(toxicity.Lexicon({})).hits("scum") == []
 
 
+def test_matching_against_brute_force():
+    draw = random.Random(5)
+    words = ["aa", "ab", "aab", "ba", "b", "abab"]
+    for _ in range(200):
+        weights = {draw.choice(words) + draw.choice(["", "*"]): draw.random() for _ in range(3)}
+        phrases = tuple({" ".join(draw.choice(words) for _ in range(draw.randrange(1, 4))) for _ in range(2)} - set(weights))
+        text = " ".join(draw.choice(words) for _ in range(12))
+
+        def places(term, whole, text=text):
+            for m in re.finditer(f"(?={re.escape(term)})", text):
+                a, b = m.start(), m.start() + len(term)
+                if (a == 0 or text[a - 1] == " ") and (not whole or b == len(text) or text[b] == " "):
+                    yield a, b
+
+        best = {}
+        for term, weight in weights.items():
+            for a, b in places(term.rstrip("*"), not term.endswith("*")):
+                if a not in best or weight > best[a][1]:
+                    best[a] = b, weight
+        spared = [x for phrase in phrases for x in places(phrase, True)]
+        want = [(a, b, w) for a, (b, w) in sorted(best.items()) if not any(c <= a and b <= d for c, d in spared)]
+        assert toxicity.Matcher(toxicity.Lexicon(weights, phrases)).hits(text) == want
+
+
+def test_many_exceptions_in_one_text():
+    matcher = toxicity.Matcher(toxicity.Lexicon({"scum": 1.0}, ("pond scum",)))
+    begin = time.monotonic()
+    assert len(matcher.hits("pond scum scum " * 8000)) == 8000
+    assert time.monotonic() - begin < 1
+
+
+def test_contexts_are_whole_words():
+    long = "abcde" * 12
+    text = f"{long} scum {long}"
+    hits = toxicity.Matcher(toxicity.Lexicon({"scum": 1.0})).hits(text)
+    assert toxicity.contexts(text, hits) == {"scum", f"{long} scum", f"scum {long}"}
+    assert toxicity.contexts("scum", [(0, 4, 1.0)]) == {"scum"}
+
+
+def test_no_term_is_left_out(spark):
+    """More terms than the former bound, the rare ones last: all that are toxic in nearly all of their documents."""
+    words = ["".join(chr(97 + k // 26**n % 26) for n in range(4)) for k in range(60_000)]
+    rows = [(" ".join(words), 1)] * 5 + [(" ".join(words[:30_000]), 1)] * 2 + [(" ".join(words[:50]), 0)] * 9
+    found = toxicity.pure_terms(spark.createDataFrame(rows, "text string, toxic int"))
+    assert {r["term"] for r in found.collect()} == set(words[50:])
+    assert toxicity.learn(spark.createDataFrame([], "text string, toxic int")) == toxicity.Lexicon({})
+
+
 def test_toxicity_learns_words_and_exceptions(spark):
     draw = random.Random(1)
     words = [f"w{chr(97 + a)}{chr(97 + b)}" for a in range(20) for b in range(20)]
