@@ -154,27 +154,28 @@ def _links_of_group(fp: np.ndarray, node: np.ndarray, tile: np.ndarray, radius:
 
 def _tile_links(radius: int):
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("group", "fp", "node", "tile")
-        rest = [np.empty(0, np.int64)] * 4
+        names = ("number", "bits", "low", "high", "fp", "node", "tile")
+        rest = [np.empty(0, np.int64)] * len(names)
         for batch in itertools.chain(batches, [None]):
             if batch is not None:
                 new = [batch.column(name).to_numpy(zero_copy_only=False) for name in names]
                 rest = [np.concatenate(x) for x in zip(rest, new, strict=True)]
-            group = rest[0]
-            if not len(group):
+            if not len(rest[0]):
                 continue
-            cuts = np.concatenate([[0], np.flatnonzero(group[1:] != group[:-1]) + 1, [len(group)]])
+            # A group is a key and two tiles; rows of one group stand together.
+            other = np.logical_or.reduce([part[1:] != part[:-1] for part in rest[:4]])
+            cuts = np.concatenate([[0], np.flatnonzero(other) + 1, [len(rest[0])]])
             done = len(cuts) - 1 if batch is None else len(cuts) - 2  # the last group may go on
             sides = [(np.empty(0, np.int64), np.empty(0, np.int64))]
-            fps = rest[1].view(np.uint64)
+            fps, nodes, tiles = rest[4].view(np.uint64), rest[5], rest[6]
             sizes = np.diff(cuts[: done + 1])
             pairs = cuts[:-1][:done][sizes == 2]
             close = np.bitwise_count(fps[pairs] ^ fps[pairs + 1]) <= radius
             if len(pairs):
-                sides.append((rest[2][pairs[close]], rest[2][pairs[close] + 1]))
+                sides.append((nodes[pairs[close]], nodes[pairs[close] + 1]))
             for k in np.flatnonzero(sizes > 2):
                 a, b = cuts[k], cuts[k + 1]
-                sides.append(_links_of_group(fps[a:b], rest[2][a:b], rest[3][a:b], radius))
+                sides.append(_links_of_group(fps[a:b], nodes[a:b], tiles[a:b], radius))
             a, b = (np.concatenate(side) for side in zip(*sides, strict=True))
             if len(a):
                 yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
@@ -216,33 +217,63 @@ def fingerprint_links(classes: DataFrame, blocks: int = BLOCKS, radius: int = RA
     )
     rows = rows.withColumn("other", F.explode(F.coalesce(others, F.array(F.lit(0).cast("long")))))
     rows = rows.select(
-        F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")).alias("group"), "fp", "node", "tile"
+        F.col("key.number").cast("long").alias("number"),
+        F.col("key.bits").alias("bits"),
+        F.least("tile", "other").alias("low"),
+        F.greatest("tile", "other").alias("high"),
+        "fp",
+        "node",
+        "tile",
     )
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.repartition(parts, "group").sortWithinPartitions("group", "fp", "tile")
+    group = ["number", "bits", "low", "high"]
+    placed = rows.repartition(parts, *group).sortWithinPartitions(*group, "fp", "tile")
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
     return placed.mapInArrow(_tile_links(radius), schema)
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", blocks: int = BLOCKS) -> DataFrame:
-    """Rows (doc_id, fingerprint, component_id), one for each row of `docs`.
+def _classes(prints: DataFrame, most: int) -> DataFrame:
+    """Rows (fp, node, doc): each fingerprint, its least doc_id, and a number that is the least doc_id where it has one.
 
-    Null texts count as empty; texts without words have fingerprint zero and are linked like any other.
-    Rows with the same doc_id are one document. Rows without one get the component of the documents with
-    their fingerprint, else null. Equal fingerprints are one class before anything is compared.
+    Fingerprints that only rows without a doc_id have get numbers above `most`, the largest doc_id, so that they are linked like any
+    other and never are the least of a component with documents.
     """
-    prints = write_shared(fingerprint_rows(docs, text, key), "prints")
-    classes = write_shared(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "classes")
-    named = classes.where(F.col("node").isNotNull())
-    links = fingerprint_links(named, blocks)
+    found = prints.groupBy("fp").agg(F.min("doc_id").alias("doc"))
+    above = F.lit(most).cast("long") + 1 + F.monotonically_increasing_id()
+    return write_shared(found.select("fp", F.coalesce("doc", above).alias("node"), "doc"), "classes")
+
+
+def fingerprint_components(prints: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+    """Rows (fp, component, component_id) from rows (doc_id, fp): the least doc_id, null where no row has one.
+
+    `component` is a number for every component, the same as component_id where that is not null.
+    """
+    largest = prints.agg(F.max("doc_id")).first()[0]
+    most = -1 if largest is None else largest
+    classes = _classes(prints, most)
+    links = fingerprint_links(classes.select("fp", "node"), blocks)
     # Different texts under one doc_id hang together as well.
     same_id = prints.join(classes, "fp").where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     shared_ids = prints.groupBy("doc_id").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).where("x <> y")
     both = same_id.join(shared_ids.select(F.col("doc_id").alias("a")), "a", "left_semi")
     found = components(links.unionByName(both))
-    of_class = classes.join(found, classes.node == found.node, "left").select(
-        "fp", F.coalesce("component", classes.node).alias("component_id")
-    )
+    joined = classes.join(found, classes.node == found.node, "left")
+    component = F.coalesce("component", classes.node)
+    # Components above all doc_ids have none.
+    has_document = (component <= most) if largest is not None else F.lit(False)
+    return joined.select("fp", component.alias("component"), F.when(has_document, component).alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", blocks: int = BLOCKS) -> DataFrame:
+    """Rows (doc_id, fingerprint, component_id), one for each row of `docs`.
+
+    Null texts count as empty; texts without words have fingerprint zero and are linked like any other.
+    Rows with the same doc_id are one document. Rows without one are linked and link others like any; their
+    component_id is null only where nothing in the component has a doc_id. Equal fingerprints are one class before
+    anything is compared.
+    """
+    prints = write_shared(fingerprint_rows(docs, text, key), "prints")
+    of_class = fingerprint_components(prints, blocks)
     return prints.join(of_class, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
@@ -251,11 +282,34 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", bl
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The documents with one of each component left: the row of the smallest doc_id, and of repeated rows the least.
 
-    Rows without a doc_id cannot be told apart and stay.
+    Rows without a doc_id stay only where nothing in their component has one: the least row of it.
     """
-    kept = near_duplicates(docs, text, key).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
+    prints = write_shared(fingerprint_rows(docs, text, key), "prints")
+    of_class = write_shared(fingerprint_components(prints), "components")
+    kept = prints.join(of_class, "fp").where("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
     kept = write_shared(kept.distinct(), "kept")
     rest = [name for name in docs.columns if name != key]
     stay = docs.join(kept, F.col(key).cast("long") == F.col("kept_id"), "left_semi")
-    single = stay.groupBy(key).agg(F.min(F.struct(*rest)).alias("row")).select(key, "row.*")
-    return single.select(docs.columns).unionByName(docs.where(F.col(key).isNull()))
+    single = stay.groupBy(key).agg(F.min(F.struct(*rest)).alias("row")).select(key, "row.*").select(docs.columns)
+    lost = docs.where(F.col(key).isNull())
+    alone = of_class.where("component_id is null")
+    if not alone.limit(1).count():
+        return single
+    # The texts of these rows are looked at again, since nothing else tells the rows apart.
+    whole = F.struct(*docs.columns).alias("_row")
+    marked = _fingerprints_beside(lost.select(F.col(text).alias("text"), whole))
+    lone = marked.join(alone.select("fp", "component"), "fp").groupBy("component").agg(F.min("_row").alias("_row"))
+    return single.unionByName(lone.select("_row.*"))
+
+
+def _fingerprints_beside(rows: DataFrame) -> DataFrame:
+    """Rows (text, _row) to (_row, fp)."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            data, offsets = raw(texts_of(batch.column("text")))
+            texts = [data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            found = pa.array(fingerprints(texts).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), found], ["_row", "fp"])
+
+    return rows.mapInArrow(add, T.StructType([rows.schema["_row"], T.StructField("fp", T.LongType())]))
