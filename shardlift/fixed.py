@@ -65,3 +65,6 @@ CONTAINER_NAMES = {
 HTTP_OK = 200
 HTTP_CREATED = 201
 HTTP_NOT_FOUND = 404
+HTTP_BUSY = 429
+HTTP_SERVER_ERROR = 500
+HTTP_UNAVAILABLE = 503

@@ -10,7 +10,7 @@ import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shardlift.fixed import STAGES, TARGET_SUFFIX
@@ -28,10 +28,10 @@ from shardlift.operators.transforms import (
     with_global_problem,
 )
 from shardlift.schemas import TARGET_STATE, VIOLATION
-from shardlift.shared import SharedRun, write_shared
+from shardlift.shared import SharedRun, delete_folder, shared_name, write_shared
 from shardlift.sinks.bulk import write_ndjson
 from shardlift.sinks.files import write_shard_files, write_shard_rows
-from shardlift.sinks.transport import Transport, deliver, probed, with_outcome
+from shardlift.sinks.transport import Patience, Transport, deliver, delivered, probed, undelivered, with_outcome
 from shardlift.sources.blobs import listed_files, with_blob_paths
 from shardlift.sources.catalog import asked_names, is_pattern, read_catalog, repo_name, roots_of
 from shardlift.sources.containers import container_files, container_problems
@@ -323,6 +323,8 @@ def migrate(
     transport: Transport | None = None,
     strict: bool = True,
     shard_files: str = "rows",
+    resume: bool = False,
+    patience: Patience = Patience(),
     **options,
 ) -> Plan:
     """Build, check and carry out a plan; tables of what was done go below `output`.
@@ -332,6 +334,11 @@ def migrate(
     their own, of which `_manifest` lists those that count. With a transport, requests whose decision is to create are
     sent stage by stage and documents in batches, with a status per row in `request_results` and
     `document_results`; without one the documents are written as NDJSON.
+
+    A target that is busy is asked again with growing `patience`. What it refuses for good stands in `dead_letters`
+    (documents) or `request_results`, and with `strict` stops the run: after a stage of requests before the next one,
+    after the documents at the end. Tasks note delivered documents in `ledger`; with `resume` a run goes on from
+    there and sends what is not noted or has changed, without it the ledger begins anew.
     """
     if shard_files not in ("rows", "files"):
         raise ValueError("shard_files must be rows or files")
@@ -371,14 +378,45 @@ def migrate(
                 "head",
                 "body",
                 transport,
+                patience=patience,
             )
             with_outcome(sent).write.mode(mode).parquet(f"{output}/request_results")
+            _stop_at_errors(spark, f"{output}/request_results", strict, F.col("stage") == stage)
     if plan.documents is not None:
         if transport is None:
             write_ndjson(plan.documents, f"{output}/bulk")
         else:
-            sent = deliver(
-                plan.documents, ["repo_id", "target_index", "id"], "action", "source", transport
-            )
-            with_outcome(sent).write.mode("overwrite").parquet(f"{output}/document_results")
+            _deliver_documents(spark, plan.documents, output, transport, patience, resume)
+            _stop_at_errors(spark, f"{output}/document_results", strict)
     return plan
+
+
+def _stop_at_errors(spark: SparkSession, path: str, strict: bool, which: Column | None = None) -> None:
+    results = spark.read.parquet(path).where("outcome = 'error'")
+    if strict:
+        n = results.where(which if which is not None else F.lit(True)).count()
+        if n:
+            raise MigrationError(f"{n} refused (see {path})")
+
+
+def _deliver_documents(
+    spark: SparkSession, documents: DataFrame, output: str, transport: Transport, patience: Patience, resume: bool
+) -> None:
+    """Sends what the ledger does not have; writes `document_results` for all documents, and `dead_letters`."""
+    keys = ["repo_id", "target_index", "id"]
+    ledger = shared_name(spark, f"{output}/ledger")
+    waiting, before = documents, None
+    if resume:
+        # A written table, so that Spark knows whether the join has to shuffle documents.
+        before = write_shared(delivered(documents, keys, ledger), "delivered")
+        waiting = undelivered(documents, keys, "action", "source", before)
+    else:
+        delete_folder(spark, ledger)
+    sent = deliver(waiting, keys, "action", "source", transport, patience=patience, ledger=ledger)
+    results = write_shared(sent, "sent")
+    if before is not None:
+        # Documents that were sent again, since they changed, have a new result.
+        results = results.unionByName(before.select(*results.columns).join(results, keys, "left_anti"))
+    with_outcome(results).write.mode("overwrite").parquet(f"{output}/document_results")
+    refused = spark.read.parquet(f"{output}/document_results").where("outcome = 'error'").select(*keys, "status")
+    documents.join(refused, keys).write.mode("overwrite").parquet(f"{output}/dead_letters")
