@@ -265,6 +265,16 @@ def tree_leaves(text: Column) -> Column:
     return let(entries(text), build)
 
 
+def plain_leaves(text: Column) -> Column:
+    """struct<leaves, problem> of a settings object whose keys are taken as they are, dots and all."""
+    return let(
+        entries(text),
+        lambda items: F.when(items.isNull(), _tree(_no_leaves(), F.lit("settings are missing or not an object"))).otherwise(
+            _tree(F.transform(items, lambda e, i: _leaf(F.array(e["key"]), i, e["value"])), F.lit(None).cast("string"))
+        ),
+    )
+
+
 def leaf_value(leaves: Column, path: Sequence[str]) -> Column:
     wanted = F.array(*[F.lit(p) for p in path])
     return F.get(F.filter(leaves, lambda x: x["path"] == wanted), F.lit(0))["value"]

@@ -6,7 +6,7 @@ versions, and all objects of all repositories are rewritten row by row without a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardlift.functions.jsontext import (
@@ -25,6 +25,7 @@ from shardlift.functions.settings import (
     hoist_leaves,
     hoist_members,
     leaf_value,
+    plain_leaves,
     replica_leaves,
     replica_members,
     tree_leaves,
@@ -43,6 +44,9 @@ RULES = {
 }
 
 
+INDEX_STEPS = frozenset(["unwrap", "tree", "hoist", "replicas"])
+
+
 def rules_for(source: str, target: str) -> dict[str, tuple[str, ...]]:
     rules = {kind: steps for (s, t, kind), steps in RULES.items() if (s, t) == (source, target)}
     if not rules:
@@ -50,6 +54,22 @@ def rules_for(source: str, target: str) -> dict[str, tuple[str, ...]]:
     return rules
 
 
+def rule_rows(spark: SparkSession) -> DataFrame:
+    """The rules as rows (source, target, kind, steps)."""
+    rows = [(*key, list(steps)) for key, steps in RULES.items()]
+    return spark.createDataFrame(rows, "source string, target string, kind string, steps array<string>")
+
+
+def picked_rules(pairs: DataFrame) -> DataFrame:
+    """Rows with (source, target) to a row for each kind of object, with its steps; or one with a `problem`.
+
+    The rules are a handful of rows, so Spark broadcasts them by their own size.
+    """
+    found = pairs.join(rule_rows(pairs.sparkSession), ["source", "target"], "left")
+    told = F.concat(F.lit("no transformation from "), F.coalesce("source", F.lit("null")), F.lit(" to "), F.coalesce("target", F.lit("null")))
+    return found.withColumn("problem", F.when(F.col("kind").isNull(), told))
+
+
 def template_rows(bodies: DataFrame) -> DataFrame:
     """(repo_id, kind, ord, name, body): the templates of global metadata, in document order."""
 
@@ -204,19 +224,42 @@ def transform_templates(
     )
 
 
-def index_parts(indices: DataFrame) -> DataFrame:
-    """Index metadata bodies with aliases, mappings and settings projected, settings as leaves."""
+def index_parts(indices: DataFrame, flat: bool = True) -> DataFrame:
+    """Index metadata bodies with aliases, mappings and settings projected, settings as leaves.
+
+    Dotted keys of `flat` settings become paths; otherwise members are taken as they are.
+    """
     projected = let(
         entries(F.col("body")),
         lambda items: F.struct(
             member(items, "aliases").alias("aliases"),
             member(items, "mappings").alias("mappings"),
-            tree_leaves(member(items, "settings")).alias("tree"),
+            (tree_leaves if flat else plain_leaves)(member(items, "settings")).alias("tree"),
         ),
     )
     return indices.withColumn("parts", projected).select(*indices.columns, "parts.*")
 
 
+def _index_settings(leaves: Column, steps: tuple[str, ...], dimensionality: int) -> Column:
+    """struct<leaves, problem>: the settings after the steps that concern them, in their order."""
+    done = F.struct(leaves.alias("leaves"), F.lit(None).cast("string").alias("problem"))
+    for step in steps:
+        if step == "hoist":
+            done = let(
+                done,
+                lambda d: let(
+                    hoist_leaves(d["leaves"]),
+                    lambda h: F.struct(h["leaves"].alias("leaves"), F.coalesce(d["problem"], h["problem"]).alias("problem")),
+                ),
+            )
+        elif step == "replicas":
+            done = let(
+                done,
+                lambda d: F.struct(replica_leaves(d["leaves"], dimensionality).alias("leaves"), d["problem"].alias("problem")),
+            )
+    return done
+
+
 def shard_count(leaves: Column) -> Column:
     """`index.number_of_shards`, null when it is not there."""
     inside = member(entries(leaf_value(leaves, ["index"])), "number_of_shards")
@@ -231,23 +274,25 @@ def transform_indices(
 ) -> DataFrame:
     """(keys, aliases, mappings, settings, n_shards, problem) of index metadata bodies.
 
-    `settings` has the fields the target rejects already removed.
+    `settings` has the fields the target rejects already removed. The steps are those of the rule, in its order.
     """
     steps = rules_for(source, target)["index"]
-    assert steps == ("unwrap", "tree", "hoist", "replicas")
+    unknown = set(steps) - INDEX_STEPS
+    if unknown:
+        raise ValueError(f"no such steps for an index: {', '.join(sorted(unknown))}")
+    same = F.struct(F.col("mappings").alias("value"), F.lit(None).cast("string").alias("problem"))
     keys = [c for c in indices.columns if c != "body"]
     rewritten = F.struct(
-        unwrap_mappings(F.col("mappings")).alias("unwrapped"),
+        (unwrap_mappings(F.col("mappings")) if "unwrap" in steps else same).alias("unwrapped"),
         let(
-            hoist_leaves(F.col("tree.leaves")),
-            lambda h: F.struct(
-                tree_text(drop_rejected(replica_leaves(h["leaves"], dimensionality))).alias("settings"),
-                h["problem"].alias("problem"),
+            _index_settings(F.col("tree.leaves"), steps, dimensionality),
+            lambda d: F.struct(
+                tree_text(drop_rejected(d["leaves"])).alias("settings"), d["problem"].alias("problem")
             ),
         ).alias("hoisted"),
         shard_count(F.col("tree.leaves")).alias("n_shards"),
     )
-    done = index_parts(indices).withColumn("r", rewritten).select("*", "r.*")
+    done = index_parts(indices, "tree" in steps).withColumn("r", rewritten).select("*", "r.*")
     mappings, shards = F.col("unwrapped.value"), F.col("n_shards")
     settings_problem = F.coalesce(
         F.when(F.col("body").isNull(), F.lit("index metadata has no body for the index")),

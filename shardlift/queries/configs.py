@@ -18,6 +18,7 @@ from shardlift.operators import preflight
 from shardlift.operators.report import index_summary, template_names
 from shardlift.operators.requests import index_body
 from shardlift.operators.transforms import (
+    picked_rules,
     template_rows,
     transform_indices,
     transform_templates,
@@ -339,3 +340,31 @@ def index_7_10(spark: SparkSession, folder: str) -> DataFrame:
 )
 def report_index(spark: SparkSession, folder: str) -> DataFrame:
     return index_summary(part_indices(spark, folder)).drop("problem")
+
+
+@query(
+    """
+    WITH p AS (
+      SELECT l_orderkey, l_linenumber,
+             CASE l_returnflag WHEN 'A' THEN '6.8' WHEN 'N' THEN '7.10' ELSE '5.6' END AS source,
+             CASE l_linestatus WHEN 'F' THEN '2.11' ELSE CASE WHEN l_linenumber < 4 THEN '2.11' ELSE '1.3' END END AS target
+      FROM lineitem),
+    r(source, kind, steps) AS (VALUES
+      ('6.8', 'template', 'unwrap,hoist,replicas'), ('6.8', 'index', 'unwrap,tree,hoist,replicas'),
+      ('7.10', 'template', 'hoist'), ('7.10', 'index_template', 'inner,hoist,replicas'),
+      ('7.10', 'component_template', ''), ('7.10', 'index', 'unwrap,tree,hoist,replicas'))
+    SELECT l_orderkey, l_linenumber, kind, steps,
+           CASE WHEN kind IS NULL THEN 'no transformation from ' || p.source || ' to ' || p.target END AS problem
+    FROM p LEFT JOIN r ON r.source = p.source AND p.target = '2.11'
+    """
+)
+def rule_choice(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as pairs of versions, each with the rules of its kinds of objects, or a problem."""
+    flag, at = F.col("l_returnflag"), F.col("l_linenumber")
+    pairs = table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.when(flag == "A", "6.8").when(flag == "N", "7.10").otherwise("5.6").alias("source"),
+        F.when((F.col("l_linestatus") == "F") | (at < 4), "2.11").otherwise("1.3").alias("target"),
+    )
+    return picked_rules(pairs).select("l_orderkey", "l_linenumber", "kind", F.array_join("steps", ",").alias("steps"), "problem")

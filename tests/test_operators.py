@@ -10,7 +10,14 @@ from shardlift.operators.documents import last_write_wins
 from shardlift.operators.files import concat_parts, file_parts, shard_rows
 from shardlift.operators.preflight import catalog_rules, check, shard_rules
 from shardlift.operators.requests import allowed, decide, missing_names
-from shardlift.operators.transforms import rules_for, template_rows, transform_indices, transform_templates
+from shardlift.operators.transforms import (
+    RULES,
+    picked_rules,
+    rules_for,
+    template_rows,
+    transform_indices,
+    transform_templates,
+)
 from shardlift.sinks.bulk import register, write_ndjson
 from shardlift.sinks.transport import deliver, in_batches, with_outcome
 from shardlift.sources.blobs import byte_ranges
@@ -146,6 +153,34 @@ def test_rules():
         rules_for("2.11", "6.8")
 
 
+def test_rules_as_rows(spark):
+    pairs = spark.createDataFrame([("6.8", "2.11"), ("5.6", "2.11"), (None, "2.11")], "source string, target string")
+    got = {(r["source"], r["kind"]): (r["steps"], r["problem"]) for r in picked_rules(pairs).collect()}
+    assert got == {
+        ("6.8", "template"): (["unwrap", "hoist", "replicas"], None),
+        ("6.8", "index"): (["unwrap", "tree", "hoist", "replicas"], None),
+        ("5.6", None): (None, "no transformation from 5.6 to 2.11"),
+        (None, None): (None, "no transformation from null to 2.11"),
+    }
+
+
+def test_index_steps_follow_the_rule(spark, monkeypatch):
+    body = json.dumps({"settings": {"index": {"number_of_shards": "1", "a.b": 1}, "number_of_replicas": "1"}, "mappings": [{}]})
+    rows = spark.createDataFrame([("r", body)], "repo_id string, body string")
+
+    def run(*steps):
+        monkeypatch.setitem(RULES, ("6.8", "2.11", "index"), steps)
+        return transform_indices(rows, "6.8").first()
+
+    assert json.loads(run("tree")["settings"]) == {"index": {"number_of_shards": "1", "a.b": 1}, "number_of_replicas": "1"}
+    assert json.loads(run("tree", "replicas")["settings"])["number_of_replicas"] == 2
+    hoisted = run("hoist", "replicas")
+    assert json.loads(hoisted["settings"]) == {"number_of_shards": "1", "a.b": 1, "number_of_replicas": 2}
+    assert hoisted["mappings"] == "[{}]" and hoisted["problem"] == "mappings are not an object"
+    with pytest.raises(ValueError, match="inner"):
+        run("inner")
+
+
 def test_template_rules(spark):
     settings = {"index": {"number_of_replicas": "1"}}
     body = json.dumps(
