@@ -104,9 +104,12 @@ def missing_snapshots(chosen: DataFrame, name: str) -> DataFrame:
 def target_collisions(sources: DataFrame, keys: Sequence[str], rule: str, body: str | None = None) -> DataFrame:
     """Targets (`keys`) that more than one source would create; reported once, for the first repository.
 
-    With `body`, sources that say the same are no collision.
+    With `body`, sources that say the same are no collision; a missing body says something else than any other.
     """
-    differ = F.min(body) != F.max(body) if body else F.lit(True)
+    differ = F.lit(True)
+    if body:
+        some_missing = (F.count(body) > 0) & (F.count(body) < F.count("*"))
+        differ = F.coalesce(F.min(body) != F.max(body), F.lit(False)) | some_missing
     return (
         sources.groupBy(*keys)
         .agg(F.min("repo_id").alias("repo_id"), F.count("*").alias("n"), differ.alias("differ"))

@@ -33,7 +33,7 @@ from shardlift.sinks.bulk import write_ndjson
 from shardlift.sinks.files import write_shard_files, write_shard_rows
 from shardlift.sinks.transport import Patience, Transport, deliver, delivered, probed, undelivered, with_outcome
 from shardlift.sources.blobs import listed_files, with_blob_paths
-from shardlift.sources.catalog import asked_names, is_pattern, read_catalog, repo_name, roots_of
+from shardlift.sources.catalog import read_catalog
 from shardlift.sources.containers import container_files, container_problems
 from shardlift.sources.documents import read_documents
 from shardlift.sources.metadata import (
@@ -46,6 +46,7 @@ from shardlift.sources.metadata import (
     read_metadata,
     shard_manifests_of,
 )
+from shardlift.sources.roots import asked_names, is_pattern, repo_name, roots_of
 
 
 class MigrationError(RuntimeError):

@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shardlift.functions import paths
 from shardlift.functions.versions import version_of
 from shardlift.operators import preflight, report
 from shardlift.operators.catalog import index_file_ids, indices_in_snapshot, list_snapshots, snapshot_id
+from shardlift.operators.files import shard_rows
+from shardlift.operators.report import index_summary
 from shardlift.queries.registry import query, table, text
-from shardlift.shared import write_shared
-from shardlift.sources.catalog import parse_catalog
-from shardlift.sources.metadata import parse_snapshots
+from shardlift.shared import shared_folder, write_shared
+from shardlift.sinks.files import write_blobs
+from shardlift.sources.catalog import parse_catalog, read_catalog
+from shardlift.sources.metadata import (
+    index_bodies,
+    index_metadata_of,
+    parse_shards,
+    parse_snapshots,
+    shard_manifests_of,
+)
 
 
 def order_catalogs(spark: SparkSession, folder: str, version: str) -> DataFrame:
@@ -213,3 +225,56 @@ def report_summary(spark: SparkSession, folder: str) -> DataFrame:
         "total_shards",
         "successful_shards",
     )
+
+
+@query(
+    """
+    SELECT s_nationkey, s_suppkey, CAST(unnest(range(1 + s_suppkey % 2)) AS INTEGER) AS shard,
+           CAST(1 + s_suppkey % 2 AS INTEGER) AS n_shards, CAST(round(s_acctbal * 100) AS BIGINT) AS total_size
+    FROM supplier
+    """
+)
+def metadata_read_back(spark: SparkSession, folder: str) -> DataFrame:
+    """Suppliers as indices of their nation's repository: files written, found through the catalogs and read by path."""
+    root = f"{shared_folder(spark)}/nations-{uuid.uuid4().hex}"
+    suppliers = table(spark, folder, "supplier").select(
+        F.concat_ws("/", F.lit(root), text("s_nationkey")).alias("repo"),
+        text("s_suppkey").alias("name"),
+        (F.col("s_suppkey") % 2 + 1).cast("int").alias("n_shards"),
+        F.round(F.col("s_acctbal") * 100).cast("bigint").alias("cents"),
+    )
+    # A catalog holds all indices of its repository, as in any snapshot.
+    member = F.format_string('"%s":{"id":"%s","snapshots":["s"]}', "name", "name")
+    catalogs = suppliers.groupBy("repo").agg(F.array_join(F.collect_list(member), ",").alias("members"))
+    body = F.concat(
+        F.lit('{"snapshots":[{"name":"nightly","uuid":"s","state":1}],"indices":{'), F.col("members"), F.lit("}}")
+    )
+    write_blobs(
+        catalogs.select(F.concat("repo", F.lit("/index-7")).alias("path"), F.encode(body, "UTF-8").alias("content"))
+    )
+    described = F.format_string(
+        '{"%s":{"settings":{"index.number_of_shards":"%s"},"mappings":[],"aliases":{}}}', "name", text("n_shards")
+    )
+    path = paths.index_metadata_path(F.col("repo"), F.col("name"), F.lit("s"), ".json")
+    write_blobs(suppliers.select(path.alias("path"), F.encode(described, "UTF-8").alias("content")))
+    shards = shard_rows(suppliers)
+    manifest = F.format_string(
+        '{"name":"n","index_version":1,"start_time":1,"time":1,"number_of_files":0,"total_size":%s,"files":[]}', text("cents")
+    )
+    path = paths.shard_path(F.col("repo"), F.lit("s"), F.col("name"), F.col("shard"), ".json")
+    write_blobs(shards.select(path.alias("path"), F.encode(manifest, "UTF-8").alias("content")))
+
+    # A row for each nation, of which there is a fixed number.
+    roots = [f"{root}/{r[0]}" for r in table(spark, folder, "nation").select("n_nationkey").collect()]
+    held = indices_in_snapshot(read_catalog(spark, roots, "6.8"), "nightly", "6.8")
+    indices = index_summary(index_bodies(index_metadata_of(held)))
+    wanted = shard_rows(indices.select("repo_id", "snapshot_id", "index_id", "n_shards"))
+    found = parse_shards(shard_manifests_of(wanted))
+    nation = F.regexp_extract("repo_id", "([^/]+)$", 1).cast("int")
+    return found.select(
+        nation.alias("s_nationkey"),
+        F.col("index_id").cast("bigint").alias("s_suppkey"),
+        "shard",
+        "n_shards",
+        "total_size",
+    )

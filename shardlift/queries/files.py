@@ -25,9 +25,10 @@ from shardlift.queries.registry import query, table, text
 from shardlift.shared import shared_folder
 from shardlift.sinks.files import shard_file_rows, write_blobs, write_shard_files
 from shardlift.sources.blobs import byte_ranges, listed_files, read_ranges, with_blob_paths
-from shardlift.sources.catalog import newest, repo_name
+from shardlift.sources.catalog import newest
 from shardlift.sources.containers import audited, container_problem, listed_containers
 from shardlift.sources.metadata import explode_files, parse_shards
+from shardlift.sources.roots import repo_name
 from shardlift.unnest import unnest
 
 

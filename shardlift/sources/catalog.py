@@ -11,37 +11,12 @@ from pyspark.sql import types as T
 
 from shardlift.functions.paths import GENERATION, generation
 from shardlift.schemas import CATALOG
+from shardlift.sources.repository import metadata_files
+from shardlift.sources.roots import is_pattern, repo_name, roots_of
 
 CORRUPT = "_corrupt"
 
 
-def repo_name(path: Column) -> Column:
-    """How a repository is named in all tables: its absolute root, local ones without a scheme.
-
-    Asked-for roots, roots of files that Spark found and `repo_id` of documents all go through this.
-    """
-    return F.regexp_replace(F.regexp_replace(path, r"^file:/+", "/"), r"(?<=[^/])/+$", "")
-
-
-def asked_names(spark: SparkSession, repos: str | Sequence[str]) -> dict[str, str]:
-    """The absolute form of each root as the caller gave it; patterns stay as they are."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    out = {}
-    for root in roots_of(repos):
-        path = jvm.org.apache.hadoop.fs.Path(root)
-        out[root] = root if is_pattern(root) else path.getFileSystem(conf).makeQualified(path).toString()
-    return out
-
-
-def is_pattern(root: str) -> bool:
-    return any(c in root for c in "*?[{")
-
-
-def roots_of(repos: str | Sequence[str]) -> list[str]:
-    names = [repos] if isinstance(repos, str) else list(repos)
-    return [n[:-1] if n.endswith("/") else n for n in names]
-
-
 def strict_json(text: Column, schema: T.StructType) -> Column:
     """A record of a fixed schema; `_corrupt` holds the text of one that does not fit it."""
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
@@ -97,7 +72,12 @@ def newest(files: DataFrame, keep: str = "value") -> DataFrame:
 
 
 def read_catalog_files(spark: SparkSession, repos: str | Sequence[str]) -> DataFrame:
-    """(repo_id, file_name, value) of the catalog files at the top level of each repository."""
+    """(repo_id, file_name, value) of the catalog files at the top level of each repository.
+
+    Of a repository named by its root it is the newest one only, found in a task.
+    """
+    if not any(map(is_pattern, roots_of(repos))):
+        return metadata_files(spark, repos, "catalog")
     files = read_whole_text(spark, [f"{root}/index-*" for root in roots_of(repos)])
     return files.select(
         F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("repo_id"),

@@ -14,10 +14,11 @@ from shardlift.sources.blobs import read_texts
 from shardlift.sources.catalog import (
     CORRUPT,
     read_whole_text,
-    roots_of,
     strict_json,
     unknown_keys,
 )
+from shardlift.sources.repository import metadata_files
+from shardlift.sources.roots import is_pattern, roots_of
 from shardlift.unnest import unnest
 
 # Where each kind sits below the repository root, and the ids its path carries.
@@ -38,7 +39,12 @@ _LAYOUT = {
 
 
 def read_metadata(spark: SparkSession, repos: str | Sequence[str], kind: str) -> DataFrame:
-    """(repo_id, ids of the path, value) of all metadata files of a kind."""
+    """(repo_id, ids of the path, value) of all metadata files of a kind.
+
+    Repositories named by their roots are listed in tasks; patterns of roots are matched by Spark's own listing.
+    """
+    if not any(map(is_pattern, roots_of(repos))):
+        return metadata_files(spark, repos, kind)
     pattern, shape, names = _LAYOUT[kind]
     files = read_whole_text(spark, [f"{root}/{pattern}" for root in roots_of(repos)])
     ids = [F.regexp_extract("path", shape, i + 2).alias(n) for i, n in enumerate(names)]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shardlift.operators.catalog import index_file_ids, indices_in_snapshot, snapshot_id
 from shardlift.operators.documents import last_write_wins
 from shardlift.operators.files import concat_parts, file_parts, shard_rows
-from shardlift.operators.preflight import catalog_rules, check, shard_rules
+from shardlift.operators.preflight import catalog_rules, check, shard_rules, target_collisions
 from shardlift.operators.requests import allowed, decide, missing_names
 from shardlift.operators.transforms import (
     RULES,
@@ -122,6 +122,14 @@ def test_byte_ranges(spark):
     ]
 
 
+def test_target_collisions(spark):
+    rows = [("a", "same", "x"), ("b", "same", "x"), ("a", "other", "x"), ("b", "other", "y"), ("a", "lost", None), ("b", "lost", "x"),
+            ("a", "none", None), ("b", "none", None), ("a", "once", "x")]
+    table = spark.createDataFrame(rows, "repo_id string, name string, body string")
+    assert {r["subject"] for r in target_collisions(table, ["name"], "c", "body").collect()} == {"other", "lost"}
+    assert {r["subject"] for r in target_collisions(table, ["name"], "c").collect()} == {"same", "other", "lost", "none"}
+
+
 def test_shard_rows(spark):
     df = spark.createDataFrame([("a", 0), ("b", 2), ("c", None)], "i string, n_shards int")
     assert [(r["i"], r["shard"]) for r in shard_rows(df).collect()] == [("b", 0), ("b", 1)]
