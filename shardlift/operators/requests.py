@@ -67,6 +67,27 @@ def missing_names(entities: DataFrame, repos: DataFrame, allow: AllowLists) -> D
     return asked.select("repo_id", "w.*").join(entities, ["repo_id", "kind", "name"], "left_anti")
 
 
+def component_links(templates: DataFrame) -> DataFrame:
+    """(repo_id, name, component): the component templates that index templates are composed of, once each."""
+    named = templates.where(F.col("kind") == "index_template")
+    parts = F.from_json(F.get_json_object("body", "$.composed_of"), "array<string>")
+    return named.select("repo_id", "name", F.explode(parts).alias("component")).distinct()
+
+
+def with_components(kept: DataFrame, templates: DataFrame) -> DataFrame:
+    """The kept templates and all component templates that kept index templates need, whatever the lists say."""
+    needed = component_links(kept).select("repo_id", F.col("component").alias("name")).distinct()
+    components = templates.where(F.col("kind") == "component_template").join(needed, ["repo_id", "name"], "left_semi")
+    have = kept.where(F.col("kind") == "component_template").select("repo_id", "name")
+    return kept.unionByName(components.join(have, ["repo_id", "name"], "left_anti").select(*kept.columns))
+
+
+def missing_components(kept: DataFrame) -> DataFrame:
+    """(repo_id, name, component): kept index templates whose component template is not among those to be created."""
+    have = kept.where(F.col("kind") == "component_template").select("repo_id", F.col("name").alias("component"))
+    return component_links(kept).join(have, ["repo_id", "component"], "left_anti")
+
+
 def union_requests(*tables: DataFrame) -> DataFrame:
     head, *rest = tables
     for table in rest:

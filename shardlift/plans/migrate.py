@@ -126,12 +126,15 @@ def build_plan(
     dimensionality: int = 3,
     suffix: str = TARGET_SUFFIX,
     legacy_replica_fix: bool = False,
+    close_components: bool = False,
     check_documents: bool = False,
 ) -> Plan:
     """Tables of a migration, and everything that speaks against it.
 
     `documents` is a document table (or its path): index, shard, ord, _id, _source, and repo_id when
     there are several repositories. `target_state` says what the target answers for (kind, name).
+    With `close_components` the component templates that kept index templates are composed of are created too, whatever
+    the lists say, and one that is nowhere is a violation; without it, one that is not created is a warning.
     `check_documents` reports undecodable ids beforehand at the price of a scan; otherwise the first one
     stops the run.
     """
@@ -203,6 +206,15 @@ def build_plan(
             "templates",
         )
         kept = requests.allowed(templates, allow)
+        if close_components:
+            kept = requests.with_components(kept, templates)
+        lacking = requests.missing_components(kept).select(
+            "repo_id",
+            F.lit("component_missing").alias("rule"),
+            F.col("name").alias("subject"),
+            F.concat(F.lit("composed of "), F.col("component")).alias("detail"),
+        )
+        (broken if close_components else warnings).append(lacking)
         warnings.append(
             requests.missing_names(templates, chosen, allow).select(
                 "repo_id",

@@ -16,7 +16,7 @@ from shardlift.functions.settings import (
 )
 from shardlift.operators import preflight
 from shardlift.operators.report import index_summary, template_names
-from shardlift.operators.requests import index_body
+from shardlift.operators.requests import component_links, index_body, missing_components, with_components
 from shardlift.operators.transforms import (
     picked_rules,
     template_rows,
@@ -368,3 +368,35 @@ def rule_choice(spark: SparkSession, folder: str) -> DataFrame:
         F.when((F.col("l_linestatus") == "F") | (at < 4), "2.11").otherwise("1.3").alias("target"),
     )
     return picked_rules(pairs).select("l_orderkey", "l_linenumber", "kind", F.array_join("steps", ",").alias("steps"), "problem")
+
+
+@query(
+    """
+    WITH t AS (SELECT p_partkey, p_size, p_brand, p_partkey % 3 <> 0 AS kept FROM part),
+    l AS (SELECT DISTINCT p_partkey, 's' || p_size AS component FROM t WHERE kept
+          UNION SELECT p_partkey, p_brand FROM t WHERE kept),
+    c AS (SELECT DISTINCT 's' || p_size AS component, p_size % 5 <> 0 AS listed FROM t WHERE p_size % 7 <> 0)
+    SELECT p_partkey, l.component,
+           CASE WHEN c.component IS NULL THEN 'missing' WHEN c.listed THEN 'listed' ELSE 'added' END AS state
+    FROM l LEFT JOIN c USING (component)
+    """
+)
+def template_components(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts as index templates composed of their size and brand; some sizes are listed components, some only needed."""
+    parts = table(spark, folder, "part").withColumn("repo_id", F.lit("r"))
+    size = F.concat(F.lit("s"), text("p_size"))
+    body = F.format_string('{"index_patterns":["%s"],"composed_of":["%s","%s"]}', text("p_partkey"), size, F.col("p_brand"))
+    none = F.lit("{}").alias("body")
+    indices = parts.select("repo_id", F.lit("index_template").alias("kind"), text("p_partkey").alias("name"), body.alias("body"))
+    components = parts.where(F.col("p_size") % 7 != 0).select("repo_id", F.lit("component_template").alias("kind"), size.alias("name"), none)
+    templates = indices.unionByName(components.distinct())
+    number = F.col("name").try_cast("bigint")
+    listed = F.regexp_extract("name", "([0-9]+)$", 1).try_cast("bigint") % 5 != 0
+    kept = templates.where(F.when(F.col("kind") == "index_template", number % 3 != 0).otherwise(listed))
+    closed = with_components(kept, templates)
+    have = closed.where("kind = 'component_template'").select(F.col("name").alias("component"))
+    listed_ones = kept.where("kind = 'component_template'").select(F.col("name").alias("component"), F.lit("listed").alias("is"))
+    lacking = missing_components(closed).select("name", "component", F.lit("missing").alias("state"))
+    found = component_links(closed).join(have, "component").join(listed_ones, "component", "left")
+    rows = found.select("name", "component", F.coalesce("is", F.lit("added")).alias("state")).unionByName(lacking)
+    return rows.select(F.col("name").cast("bigint").alias("p_partkey"), "component", "state")

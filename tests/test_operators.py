@@ -9,7 +9,7 @@ from shardlift.operators.catalog import index_file_ids, indices_in_snapshot, sna
 from shardlift.operators.documents import last_write_wins
 from shardlift.operators.files import concat_parts, file_parts, shard_rows
 from shardlift.operators.preflight import catalog_rules, check, shard_rules, target_collisions
-from shardlift.operators.requests import allowed, decide, missing_names
+from shardlift.operators.requests import allowed, decide, missing_components, missing_names, with_components
 from shardlift.operators.transforms import (
     RULES,
     picked_rules,
@@ -148,6 +148,26 @@ def test_allow_lists(spark):
     assert [(r["kind"], r["name"]) for r in missing] == [("template", "x")]
 
 
+def test_components_of_templates(spark):
+    rows = [
+        ("r", "index_template", "a", '{"composed_of":["c1","c2","c2"]}'),
+        ("r", "index_template", "b", '{"composed_of":[]}'),
+        ("r", "index_template", "c", "{}"),
+        ("r", "index_template", "d", None),
+        ("q", "index_template", "a", '{"composed_of":["c3"]}'),
+        ("r", "component_template", "c1", "{}"),
+        ("r", "component_template", "c3", "{}"),
+        ("r", "template", "c2", "{}"),
+    ]
+    table = spark.createDataFrame(rows, "repo_id string, kind string, name string, body string").withColumn("ord", F.lit(0))
+    kept = table.where("kind <> 'component_template'")
+    closed = with_components(kept, table)
+    assert [(r["repo_id"], r["name"]) for r in closed.where("kind = 'component_template'").collect()] == [("r", "c1")]
+    assert with_components(closed, table).count() == closed.count()
+    lacking = {(r["repo_id"], r["name"], r["component"]) for r in missing_components(closed).collect()}
+    assert lacking == {("r", "a", "c2"), ("q", "a", "c3")}
+
+
 def test_decisions(spark):
     df = spark.createDataFrame([(404,), (None,), (200,), (500,)], "s int")
     assert [r[0] for r in df.select(decide(F.col("s"))).collect()] == [
