@@ -58,7 +58,7 @@ def inspect(
 
     described = parse_snapshots(found(listed("snapshot"), "snapshot", "snapshot_id"), source)
     globals_ = global_bodies(found(listed("global"), "global", "snapshot_id"))
-    held = indices_in_snapshot(catalog, snapshot, source)
+    held = write_shared(indices_in_snapshot(catalog, snapshot, source), "held")
     bodies = index_bodies(found(write_shared(index_metadata_of(held), "index_texts"), "index", "index_name"))
     indices = write_shared(report.index_summary(bodies), "index_summary")
     shards = shard_rows(indices.select("repo_id", "snapshot_id", "index_name", "index_id", "n_shards"))

@@ -167,7 +167,7 @@ def build_plan(
         )
     )
 
-    held = indices_in_snapshot(catalog, snapshot, source)
+    held = write_shared(indices_in_snapshot(catalog, snapshot, source), "held")
     containers = [container_files("snapshot", chosen), container_files("index", held)]
     texts = index_metadata_of(held)
     # Used by checks, requests, shards and documents alike: read and rewritten once.

@@ -266,8 +266,8 @@ def metadata_read_back(spark: SparkSession, folder: str) -> DataFrame:
 
     # A row for each nation, of which there is a fixed number.
     roots = [f"{root}/{r[0]}" for r in table(spark, folder, "nation").select("n_nationkey").collect()]
-    held = indices_in_snapshot(read_catalog(spark, roots, "6.8"), "nightly", "6.8")
-    indices = index_summary(index_bodies(index_metadata_of(held)))
+    held = write_shared(indices_in_snapshot(read_catalog(spark, roots, "6.8"), "nightly", "6.8"), "held")
+    indices = write_shared(index_summary(index_bodies(index_metadata_of(held))), "indices")
     wanted = shard_rows(indices.select("repo_id", "snapshot_id", "index_id", "n_shards"))
     found = parse_shards(shard_manifests_of(wanted))
     nation = F.regexp_extract("repo_id", "([^/]+)$", 1).cast("int")
