@@ -384,7 +384,7 @@ def test_query_with_sql(spark, duck, name):
 
 
 def test_queries_of_all_operators():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")
