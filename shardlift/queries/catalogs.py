@@ -55,7 +55,7 @@ def order_catalogs(spark: SparkSession, folder: str, version: str) -> DataFrame:
 
 
 def stored_catalogs(spark: SparkSession, folder: str) -> DataFrame:
-    """Catalogs of 7.10, whose lookups join a catalog with itself: parsed once, as a migration does."""
+    """Catalogs of 7.10 that two sides of a lookup read: parsed once, as a migration does."""
     return write_shared(order_catalogs(spark, folder, "7.10").drop("malformed", "unknown"), "catalog")
 
 
@@ -100,7 +100,7 @@ def snapshot_missing(spark: SparkSession, folder: str) -> DataFrame:
 )
 def catalog_7_10(spark: SparkSession, folder: str) -> DataFrame:
     """Indices of the snapshot called 1-URGENT, with the file of their metadata."""
-    return indices_in_snapshot(stored_catalogs(spark, folder), "1-URGENT", "7.10")
+    return indices_in_snapshot(order_catalogs(spark, folder, "7.10"), "1-URGENT", "7.10")
 
 
 @query(
@@ -154,7 +154,7 @@ def report_indices_6_8(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_ALL_HELD)
 def report_indices_7_10(spark: SparkSession, folder: str) -> DataFrame:
-    return report.snapshot_indices(stored_catalogs(spark, folder), "7.10")
+    return report.snapshot_indices(order_catalogs(spark, folder, "7.10"), "7.10")
 
 
 def order_snapshots(spark: SparkSession, folder: str) -> DataFrame:

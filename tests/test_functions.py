@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from shardlift.functions.ids import decode_id, id_problem
-from shardlift.functions.jsontext import as_int, entries, object_text
+from shardlift.functions.inrow import BLOCK, blocks_of, found_in
+from shardlift.functions.jsontext import as_int, entries, let, object_text
 from shardlift.functions.mappings import unwrap_mappings
 from shardlift.functions.paths import (
     document_path,
@@ -241,3 +242,24 @@ def test_container_files(spark, tmp_path):
         "path", container_problem(F.col("content"), F.lit("snapshot")).alias("problem")
     )
     assert {r["path"][-5]: r["problem"] for r in found.collect()} == {"a": None, "b": "checksum"}
+
+
+def test_lookups_inside_a_row(spark):
+    """Against a dictionary: keys on both sides of block edges, unknown, repeated and missing ones."""
+    many = {f"k{i:04d}": f"v{i}" for i in range(3 * BLOCK + 1)}
+    texts = {
+        "many": json.dumps(many),
+        "one": '{"k0000":"x"}',
+        "none": "{}",
+        "repeated": "{" + ",".join(f'"k0007":"v{i}"' for i in range(2 * BLOCK)) + "}",
+    }
+    asked = [*many, "", "k", "k9999"]
+    rows = [(name, text, asked) for name, text in texts.items()] + [("missing", None, asked)]
+    held = spark.createDataFrame(rows, "name string, text string, asked array<string>")
+    blocks = blocks_of(F.from_json("text", "map<string,string>"))
+    got = held.select("name", let(blocks, lambda b: F.transform("asked", lambda k: found_in(b, k))).alias("found"))
+    for row in got.collect():
+        want = json.loads(texts.get(row["name"], "{}"))
+        assert [f and f["value"] for f in row["found"]] == [want.get(k) for k in asked]
+        if row["name"] == "many":
+            assert [f["pos"] for f in row["found"][: len(many)]] == list(range(len(many)))

@@ -5,7 +5,7 @@ import pytest
 from conftest import catalog_json, make_documents
 from pyspark.sql import functions as F
 
-from shardlift.operators.catalog import index_file_ids, indices_in_snapshot, snapshot_id
+from shardlift.operators.catalog import all_snapshot_indices, index_file_ids, indices_in_snapshot, snapshot_id
 from shardlift.operators.documents import last_write_wins
 from shardlift.operators.files import concat_parts, file_parts, shard_rows
 from shardlift.operators.preflight import catalog_rules, check, shard_rules, target_collisions
@@ -307,3 +307,28 @@ def test_ndjson_by_index(spark, tmp_path):
     rows = spark.createDataFrame([("i", "a1", "s1"), ("j", "a2", "s2")], "target_index string, action string, source string")
     write_ndjson(rows, str(tmp_path / "out"), by_index=True)
     assert "a1\ns1" in "".join(p.read_text() for p in (tmp_path / "out" / "target_index=i").glob("*.txt"))
+
+
+def test_lookups_of_7_10_with_shared_names_ids_and_keys(spark):
+    """Two snapshots of one name, two indices of one id, one metadata file for two indices, a key without a file."""
+    shots = [
+        {"name": "n", "uuid": "s1", "index_metadata_lookup": {"b": "k1", "a": "k1", "gone": "k1", "c": "lost"}},
+        {"name": "n", "uuid": "s2", "index_metadata_lookup": {"d": "k1"}},
+        {"name": "m", "uuid": "s3"},
+    ]
+    entries = {"A": {"id": "a"}, "A2": {"id": "a"}, "B": {"id": "b"}, "C": {"id": "c"}, "D": {"id": "d"}}
+    text = json.dumps({"snapshots": shots, "indices": entries, "index_metadata_identifiers": {"k1": "f1", "k2": "f2"}})
+    catalog = parse_catalog(spark.createDataFrame([("r", text)], "repo_id string, value string"), "7.10")
+    held = indices_in_snapshot(catalog, "n", "7.10").collect()
+    assert sorted((r["pos"], r["index_name"], r["index_id"], r["file_id"]) for r in held) == [
+        (0, "B", "b", "f1"), (1, "A", "a", "f1"), (1, "A2", "a", "f1"), (3, "C", "c", None),
+    ]
+    listed = all_snapshot_indices(catalog, "7.10").collect()
+    assert sorted(tuple(r) for r in listed) == [("r", "n", "s1", n, i) for n, i in zip(["A", "A2", "B", "C"], "aabc")]
+    wanted = spark.createDataFrame(
+        [("r", "n", "B"), ("r", "n", "D"), ("r", "m", "A")], "repo_id string, snapshot_name string, index_name string"
+    )
+    got = {r["index_name"]: (r["index_id"], r["file_id"]) for r in index_file_ids(wanted, catalog, "7.10").collect()}
+    assert got == {"B": ("b", "f1"), "D": ("d", None), "A": ("a", None)}
+    for rows in (indices_in_snapshot(catalog, "n", "7.10"), all_snapshot_indices(catalog, "7.10")):
+        assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
