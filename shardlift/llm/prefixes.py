@@ -23,6 +23,8 @@ from shardlift.llm.encoding import REMEMBERED, REMEMBERED_CHARS, gather
 REMEMBERED_PAIRS = 2_000_000
 # Words times length that are worked on at once.
 _CELLS = 1 << 20
+# Words of more characters are cut in parts where no piece crosses.
+_CUT = 48
 
 
 class PrefixCounter:
@@ -143,9 +145,17 @@ class PrefixCounter:
         return counts[:, 1:], bare[:, 1:]
 
     def _learn(self, words: list[str]) -> None:
-        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        words_lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
         flat = np.frombuffer((model.SPACE + model.SPACE.join(words)).encode("utf-32-le"), np.uint32).astype(np.int64)
-        begin = np.cumsum(lengths) - lengths
+        # Characters that never stand together in a piece cut a long word in parts, which run side by side.
+        word = np.repeat(np.arange(len(words)), words_lengths)
+        cut = word[1:] != word[:-1]
+        inside = np.flatnonzero(words_lengths[word[1:]] > _CUT)
+        pairs = flat[inside] << 21 | flat[inside + 1]
+        known = self.pieces.pair_codes
+        cut[inside] |= known[np.minimum(np.searchsorted(known, pairs), len(known) - 1)] != pairs
+        begin = np.concatenate([[0], np.flatnonzero(cut) + 1])
+        lengths = np.diff(np.append(begin, len(flat)))
         store, bare = np.zeros(len(flat), np.int32), np.zeros(len(flat), bool)
         order = np.argsort(lengths, kind="stable")
         start = 0
@@ -162,9 +172,19 @@ class PrefixCounter:
             codes[place] = flat[source]
             counts, firsts = self._table(codes.reshape(len(chosen), width), sizes)
             store[source], bare[source] = counts.ravel()[place], firsts.ravel()[place]
+        words_begin = np.cumsum(words_lengths) - words_lengths
+        if len(lengths) > len(words):
+            # Parts go on counting where the part before ends, and the first part has the word's first token.
+            full = np.cumsum(store[begin + lengths - 1]) - store[begin + lengths - 1]
+            head = np.searchsorted(begin, words_begin)
+            owner = word[begin]
+            store += np.repeat(full - full[head][owner], lengths).astype(np.int32)
+            later = np.repeat(np.arange(len(begin)) != head[owner], lengths)
+            first_bare = bare[begin[head] + lengths[head] - 1]
+            bare = np.where(later, first_bare[word], bare)
         self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
-        self.starts = np.concatenate([self.starts, len(self.store) + begin])
-        self.sizes = np.concatenate([self.sizes, lengths])
+        self.starts = np.concatenate([self.starts, len(self.store) + words_begin])
+        self.sizes = np.concatenate([self.sizes, words_lengths])
         self.store = np.concatenate([self.store, store])
         self.bare = np.concatenate([self.bare, bare])
         self.chars += len(flat)
@@ -261,7 +281,10 @@ def _count_batches(path: str, text: str, budget: int, steps: bool):
                 for k in range(len(texts)):
                     tokens = found.prefixes(k)
                     fits.append(int(np.flatnonzero(tokens <= budget)[-1]))
-                    stored.append(np.diff(tokens).astype(np.int8).tobytes())
+                    steps_of = np.diff(tokens)
+                    # One character adds or merges no more tokens than the longest piece has bytes.
+                    assert len(steps_of) == 0 or np.abs(steps_of).max() < 128, "a step does not fit its byte"
+                    stored.append(steps_of.astype(np.int8).tobytes())
                 columns |= {"fits_chars": pa.array(fits, pa.int64()), "steps": pa.array(stored, pa.binary())}
             else:
                 columns["fits_chars"] = pa.array([found.longest(k, budget) for k in range(len(texts))], pa.int64())

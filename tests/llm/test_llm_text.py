@@ -341,3 +341,22 @@ def test_empty_tables(spark, kind):
         "lm": lambda: pseudolikelihood.score(docs, pseudolikelihood.learn(docs)),
     }[kind]()
     assert got.collect() == []
+
+
+def test_prefixes_of_texts_without_spaces(library):
+    """Long words are cut where no piece crosses: counts and all prefixes as without the cut, in little time."""
+    rng = random.Random(5)
+    base64 = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=80_000))
+    chinese = "".join(chr(rng.randrange(0x4E00, 0x4E00 + 3000)) for _ in range(2_000))
+    texts = [base64, chinese, "x " + base64[:500] + " y", "é" * 200 + base64[:300], base64[:49], base64[:50]]
+    counter = prefixes.PrefixCounter(PATH)
+    start = time.perf_counter()
+    counted = counter.texts(texts)
+    taken = time.perf_counter() - start
+    assert counted.totals.tolist() == [len(library.encode(t)) for t in texts]
+    for k in (2, 3, 4, 5):
+        got = counted.prefixes(k).tolist()
+        assert got == [len(library.encode(texts[k][:n])) if n else 0 for n in range(len(texts[k]) + 1)]
+    ends = [1, 47, 48, 49, 1_000, 40_001]
+    assert counted.prefixes(0)[ends].tolist() == [len(library.encode(base64[:n])) for n in ends]
+    assert taken < 5
