@@ -27,32 +27,84 @@ _KINDS = {
     "array": ("ARRAY",),
     "null": ("VOID",),
 }
-_FIELD = "struct<kind:string,required:boolean,minimum:double,maximum:double,choices:array<string>>"
+_FIELD = (
+    "struct<kind:string,required:boolean,minimum:double,maximum:double,choices:array<string>,pattern:string,"
+    "shortest:int,longest:int>"
+)
+_TOOL_KEYWORDS = {"type", "properties", "required", "additionalProperties", "title", "description"}
+_FIELD_KEYWORDS = {
+    "type", "minimum", "maximum", "enum", "pattern", "minLength", "maxLength", "title", "description"
+}
 
 
 def schema_table(spark: SparkSession, schemas: dict[str, dict]) -> DataFrame:
     """Rows (name, fields, closed) from JSON schemas of the arguments of each tool: `properties` with `type`,
-    `minimum`, `maximum` and `enum`, `required`, `additionalProperties`."""
+    `minimum`, `maximum`, `enum`, `pattern`, `minLength` and `maxLength`, `required`, `additionalProperties`.
+
+    A keyword that is not checked here is refused, so that no call passes for a rule nobody looked at.
+    """
     rows = []
     for name, schema in sorted(schemas.items()):
-        fields = {
-            field: {
+        _refuse(name, set(schema) - _TOOL_KEYWORDS)
+        if schema.get("type", "object") != "object" or schema.get("additionalProperties") not in (None, True, False):
+            _refuse(name, {"type" if schema.get("type", "object") != "object" else "additionalProperties"})
+        fields = {}
+        for field in {**dict.fromkeys(schema.get("required", [])), **schema.get("properties", {})}:
+            rule = schema.get("properties", {}).get(field, {})
+            _refuse(f"{name}.{field}", set(rule) - _FIELD_KEYWORDS)
+            if not (rule.get("type") is None or isinstance(rule["type"], str) and rule["type"] in _KINDS):
+                _refuse(f"{name}.{field}", {"type"})
+            fields[field] = {
                 "kind": rule.get("type"),
                 "required": field in schema.get("required", []),
                 "minimum": rule.get("minimum"),
                 "maximum": rule.get("maximum"),
-                "choices": [str(x) for x in rule["enum"]] if "enum" in rule else None,
+                "choices": [json.dumps(x) for x in rule["enum"]] if "enum" in rule else None,
+                "pattern": rule.get("pattern"),
+                "shortest": rule.get("minLength"),
+                "longest": rule.get("maxLength"),
             }
-            for field, rule in schema.get("properties", {}).items()
-        }
         rows.append((name, json.dumps(fields), schema.get("additionalProperties") is False))
     table = spark.createDataFrame(rows, "tool string, fields string, closed boolean")
-    return table.withColumn("fields", F.from_json("fields", f"map<string,{_FIELD}>"))
+    comparable = lambda text: _comparable(F.try_parse_json(text))
+    return table.withColumn(
+        "fields",
+        F.transform_values(
+            F.from_json("fields", f"map<string,{_FIELD}>"),
+            lambda k, v: v.withField("choices", F.transform(v["choices"], comparable)),
+        ),
+    )
+
+
+def _refuse(where: str, keywords: set[str]) -> None:
+    if keywords:
+        raise ValueError(f"schema of {where}: not supported: {', '.join(sorted(keywords))}")
+
+
+def _kind_of(value: Column) -> Column:
+    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+
+
+def _comparable(value: Column) -> Column:
+    """A text that is the same for equal JSON values: `true` is not `"true"`, and 1.0 is 1."""
+    number = F.try_variant_get(value, "$", "decimal(38,18)").cast("string")
+    text = F.to_json(value)
+    return F.when(_kind_of(value).isin(*_KINDS["number"]), F.coalesce(number, text)).otherwise(text)
+
+
+def _members(text: Column) -> Column:
+    """How many members the objects of a JSON text have at all depths: colons outside strings."""
+    bare = F.regexp_replace(F.regexp_replace(text, r"(?s)\\.", ""), '"[^"]*"', "")
+    return F.length(F.regexp_replace(bare, "[^:]", ""))
 
 
 def canonical(text: Column) -> Column:
-    """JSON with members in order of their names, without blanks; null if it is no JSON or repeats a member."""
-    return F.to_json(F.try_parse_json(text))
+    """JSON with members in order of their names, without blanks; null if it is no JSON or repeats a member.
+
+    Repeated members are counted here, since what the parser makes of them is a setting of the session.
+    """
+    parsed = F.to_json(F.try_parse_json(text))
+    return F.when(_members(parsed) == _members(text), parsed)
 
 
 def message_calls(messages: DataFrame) -> DataFrame:
@@ -87,7 +139,6 @@ def validated(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     """Adds `problems`, the sorted violations of each call's arguments."""
     joined = calls.join(schemas, F.col("name") == F.col("tool"), "left")
     joined = joined.withColumn("args", F.from_json("arguments", "map<string,variant>"))
-    kind_of = lambda v: F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
     allowed = F.create_map(*(x for kind, of in _KINDS.items() for x in (F.lit(kind), F.array(*map(F.lit, of)))))
     reference = lambda v: F.coalesce(F.try_variant_get(v, "$", "string").startswith("$call:"), F.lit(False))
 
@@ -99,19 +150,31 @@ def validated(calls: DataFrame, schemas: DataFrame) -> DataFrame:
         entries,
         lambda e: rule(e)["kind"].isNotNull()
         & ~reference(e["value"])
-        & ~F.coalesce(F.array_contains(F.element_at(allowed, rule(e)["kind"]), kind_of(e["value"])), F.lit(True)),
+        & ~F.coalesce(F.array_contains(F.element_at(allowed, rule(e)["kind"]), _kind_of(e["value"])), F.lit(True)),
     )
     number = lambda e: F.try_variant_get(e["value"], "$", "double")
     out_of_range = F.filter(
         entries,
         lambda e: ~reference(e["value"])
-        & kind_of(e["value"]).isin(*_KINDS["number"])
+        & _kind_of(e["value"]).isin(*_KINDS["number"])
         & F.coalesce((number(e) < rule(e)["minimum"]) | (number(e) > rule(e)["maximum"]), F.lit(False)),
     )
     no_choice = F.filter(
         entries,
         lambda e: ~reference(e["value"])
-        & F.coalesce(~F.array_contains(rule(e)["choices"], F.try_variant_get(e["value"], "$", "string")), F.lit(False)),
+        & F.coalesce(~F.array_contains(rule(e)["choices"], _comparable(e["value"])), F.lit(False)),
+    )
+    string = lambda e: F.when(_kind_of(e["value"]) == "STRING", F.try_variant_get(e["value"], "$", "string"))
+    no_match = F.filter(
+        entries,
+        lambda e: ~reference(e["value"]) & F.coalesce(~F.regexp_like(string(e), rule(e)["pattern"]), F.lit(False)),
+    )
+    bad_length = F.filter(
+        entries,
+        lambda e: ~reference(e["value"])
+        & F.coalesce(
+            (F.length(string(e)) < rule(e)["shortest"]) | (F.length(string(e)) > rule(e)["longest"]), F.lit(False)
+        ),
     )
     unknown = F.filter(F.map_keys("args"), lambda k: F.col("closed") & ~F.map_contains_key("fields", k))
     required = F.map_keys(F.map_filter("fields", lambda k, v: v["required"]))
@@ -125,6 +188,8 @@ def validated(calls: DataFrame, schemas: DataFrame) -> DataFrame:
         told("wrong type", keys(wrong)),
         told("out of range", keys(out_of_range)),
         told("not a choice", keys(no_choice)),
+        told("no match", keys(no_match)),
+        told("wrong length", keys(bad_length)),
         told("unknown argument", unknown),
         told("missing argument", missing),
     )

@@ -4,6 +4,7 @@ import hashlib
 import json
 import os
 import random
+import re
 from collections import Counter, defaultdict
 
 import corpus_pipeline
@@ -456,3 +457,44 @@ def test_pipeline(spark, documents):
         assert list(ids) == [*library.encode(text or ""), 2]
     final = corpus_pipeline.run(spark, FOLDER).toPandas()
     assert sorted(final.doc_id) == sorted(encoded.doc_id)
+
+
+REPEATED = [
+    ('{"b":1,"a":1.10,"a":2}', None),
+    ('{"b":{"x":1,"x":1}}', None),
+    ('{"b":[{"x":1},{"x":1}],"a":"k:\\":v"}', '{"a":"k:\\":v","b":[{"x":1},{"x":1}]}'),
+    ("{", None),
+    (None, None),
+]
+
+
+@pytest.mark.parametrize("allowed", ["true", "false"])
+def test_canonical_json_is_the_same_in_every_session(spark, allowed):
+    other = spark.newSession()
+    other.conf.set("spark.sql.variant.allowDuplicateKeys", allowed)
+    rows = other.createDataFrame(REPEATED, "text string, want string").select("want", chat.canonical(F.col("text")).alias("got"))
+    assert [r for r in rows.collect() if r["want"] != r["got"]] == []
+
+
+def test_schemas_of_calls(spark):
+    """Enums by value and type, patterns and lengths against plain Python; unknown keywords are refused."""
+    fields = {
+        "flag": {"enum": [True, "1"]},
+        "n": {"enum": [1.0, 2]},
+        "code": {"type": "string", "pattern": "^[a-z]+$", "minLength": 2, "maxLength": 3},
+    }
+    values = {"flag": [True, "true", "1", 1, False], "n": [1, 1.0, 2, "2", 3], "code": ["ab", "abc", "a", "abcd", "A1"]}
+    wrong = {
+        "flag": lambda v: ["not a choice"] if not (v is True or v == "1" and isinstance(v, str)) else [],
+        "n": lambda v: ["not a choice"] if isinstance(v, str) or v not in (1, 2) else [],
+        "code": lambda v: ["no match"] * (not re.search("^[a-z]+$", v)) + ["wrong length"] * (not 2 <= len(v) <= 3),
+    }
+    rows = [(f"{k}{i}", "t", json.dumps({k: v}), False, ", ".join(wrong[k](v))) for k in values for i, v in enumerate(values[k])]
+    calls = spark.createDataFrame(rows, "call_id string, name string, arguments string, broken boolean, want string")
+    got = chat.validated(calls, chat.schema_table(spark, {"t": {"properties": fields}})).collect()
+    assert len(got) == len(rows)
+    for row in got:
+        assert ", ".join(p.split(":")[0] for p in row["problems"]) == row["want"], row
+    for bad in ({"items": {}}, {"type": ["string", "null"]}, {"properties": {}}):
+        with pytest.raises(ValueError, match="not supported"):
+            chat.schema_table(spark, {"t": {"properties": {"x": bad}}})
