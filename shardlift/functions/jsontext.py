@@ -43,6 +43,18 @@ def _allow_repeated_keys() -> None:
         spark.conf.set(_REPEATED_KEYS, "true")
 
 
+def _is_container(text: Column, value: Column) -> Column:
+    """Whether a variant of this text is an object or an array; otherwise it is a scalar, strings like `{` too.
+
+    The cast looks at the kind alone. Writing the variant as JSON, or its schema, would go through all it holds.
+    """
+
+    def held(kind: str) -> Column:
+        return F.try_variant_get(value, "$", kind).isNotNull()
+
+    return F.when(is_object(text), held("struct<>")).when(is_array(text), held("array<struct<>>"))
+
+
 def entries(text: Column) -> Column:
     """array<struct<key, value>> of a JSON object in document order; null if it is not an object.
 
@@ -51,11 +63,12 @@ def entries(text: Column) -> Column:
     _allow_repeated_keys()
 
     def entry(pair: Column, value: Column) -> Column:
-        kept = let(
-            F.to_json(value),
-            lambda encoded: F.when(F.startswith(encoded, F.lit('"')), encoded).otherwise(
-                F.coalesce(pair["value"], F.lit("null"))
-            ),
+        text_ = pair["value"]
+        kept = (
+            F.when(text_.isNull(), F.lit("null"))
+            .when(_is_container(text_, value), text_)
+            .when(F.schema_of_variant(value) == "STRING", quote(text_))
+            .otherwise(text_)
         )
         return F.struct(pair["key"].alias("key"), kept.alias("value"))
 

@@ -26,6 +26,7 @@ from shardlift.operators.transforms import (
 )
 from shardlift.queries.registry import query, table, text
 from shardlift.sources.metadata import global_bodies, index_bodies
+from shardlift.spread import spread
 
 
 def fill(pattern: str, *values: Column) -> Column:
@@ -38,6 +39,15 @@ FLAT = (
 )
 
 
+def spread_parts(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """part rows dealt out over the cores, as each becomes a config body."""
+    return spread(table(spark, folder, "part").select("p_partkey", *columns))
+
+
+def spread_customers(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    return spread(table(spark, folder, "customer").select("c_custkey", *columns))
+
+
 def flat_settings() -> Column:
     size, key = text("p_size"), text("p_partkey")
     return fill(FLAT, size, size, key, F.col("p_brand"), size)
@@ -144,7 +154,7 @@ def replicas(spark: SparkSession, folder: str) -> DataFrame:
             for d in (2, 3, 5)
         ]
     )
-    return table(spark, folder, "part").select("p_partkey", F.inline(rounded))
+    return spread_parts(spark, folder, "p_type", "p_size").select("p_partkey", F.inline(rounded))
 
 
 _BODY = """'{"properties":{"n":{"type":"long","x":' || p_size || '}}}'"""
@@ -170,7 +180,7 @@ def mappings(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == "PROMO", F.lit("[]"))
         .otherwise(fill('[{"%s":%s}]', F.coalesce(wrapper, F.lit("other")), body))
     )
-    return table(spark, folder, "part").select("p_partkey", unwrap_mappings(stored).alias("m")).select(
+    return spread_parts(spark, folder, "p_type", "p_size").select("p_partkey", unwrap_mappings(stored).alias("m")).select(
         "p_partkey", F.col("m.value").alias("mappings"), "m.problem"
     )
 
@@ -191,8 +201,8 @@ def customer_globals(spark: SparkSession, folder: str) -> DataFrame:
         name, body, name, nation, body, name, body,
     )
     value = F.concat(F.lit('{"version":7,"meta-data":'), whole, F.lit("}"))
-    texts = table(spark, folder, "customer").select(text("c_custkey").alias("repo_id"), value.alias("value"))
-    return global_bodies(texts)
+    rows = spread_customers(spark, folder, "c_nationkey", "c_mktsegment")
+    return global_bodies(rows.select(text("c_custkey").alias("repo_id"), value.alias("value")))
 
 
 @query(
@@ -214,7 +224,8 @@ def global_violations(spark: SparkSession, folder: str) -> DataFrame:
         .when(key % 6 == 5, fill('{"meta-data":{"templates":{"%s":{"order":1,"order":2}}}}', name))
         .otherwise(fill('{"meta-data":{"templates":{"%s":{}}}}', name))
     )
-    texts = table(spark, folder, "customer").select(text("c_custkey").alias("repo_id"), value.alias("value"))
+    rows = spread_customers(spark, folder, "c_mktsegment")
+    texts = rows.select(text("c_custkey").alias("repo_id"), value.alias("value"))
     bodies = with_global_problem(global_bodies(texts))
     return preflight.check(bodies, F.col("repo_id"), preflight.problem_rule("global_metadata"))
 

@@ -68,6 +68,13 @@ def test_entries_keep_order_and_types(spark):
     assert apply(spark, ["[1]", "5", "nope", None], "string", entries) == [None] * 4
 
 
+def test_entries_tell_strings_from_what_they_look_like(spark):
+    values = ['"{}"', "{}", '"[1]"', "[1]", '"{\\"a\\":true}"', '{"a":true}', '"1"', "1", '"true"', "true", '"null"', "null",
+              '[{"a":"x"},"y",null]', '{"":{"struct":[]}}', '""', '"\\u0001\\t"', '"\u00e9/"', "-1.5", '[["[]"]]']
+    text = "{" + ",".join(f'"k{i}":{v}' for i, v in enumerate(values)) + "}"
+    assert [e["value"] for e in apply(spark, [text], "string", entries)[0]] == values
+
+
 @pytest.mark.parametrize(
     ("flat", "tree", "hoisted"),
     [
