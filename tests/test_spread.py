@@ -11,6 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 # Queries whose rows each become a config body.
 SPREAD = [
     "templates_7_10_fixed",
+    "templates_7_10",
     "replicas",
     "mappings",
     "global_violations",
