@@ -12,6 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 SPREAD = [
     "templates_7_10_fixed",
     "templates_7_10",
+    "templates_6_8",
     "replicas",
     "mappings",
     "global_violations",
