@@ -308,7 +308,8 @@ def part_indices(spark: SparkSession, folder: str) -> DataFrame:
     )
     name = text("p_partkey")
     value = F.concat(fill('{"%s":', name), body, F.lit("}"))
-    return index_bodies(table(spark, folder, "part").select(name.alias("index_name"), value.alias("value")))
+    rows = spread_parts(spark, folder, "p_size", "p_brand")
+    return index_bodies(rows.select(name.alias("index_name"), value.alias("value")))
 
 
 _P = """

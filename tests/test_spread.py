@@ -13,6 +13,7 @@ SPREAD = [
     "templates_7_10_fixed",
     "templates_7_10",
     "templates_6_8",
+    "index_6_8",
     "replicas",
     "mappings",
     "global_violations",
