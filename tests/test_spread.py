@@ -14,6 +14,7 @@ SPREAD = [
     "templates_7_10",
     "templates_6_8",
     "index_6_8",
+    "index_7_10",
     "replicas",
     "mappings",
     "global_violations",
