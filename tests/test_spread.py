@@ -15,6 +15,7 @@ SPREAD = [
     "templates_6_8",
     "index_6_8",
     "index_7_10",
+    "report_index",
     "replicas",
     "mappings",
     "global_violations",
