@@ -16,6 +16,7 @@ SPREAD = [
     "index_6_8",
     "index_7_10",
     "report_index",
+    "report_templates",
     "replicas",
     "mappings",
     "global_violations",
