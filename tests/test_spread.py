@@ -17,6 +17,7 @@ SPREAD = [
     "index_7_10",
     "report_index",
     "report_templates",
+    "report_templates_6_8",
     "replicas",
     "mappings",
     "global_violations",
