@@ -66,7 +66,7 @@ def flat_settings() -> Column:
 )
 def settings_tree(spark: SparkSession, folder: str) -> DataFrame:
     return (
-        table(spark, folder, "part")
+        spread_parts(spark, folder, "p_brand", "p_size")
         .select("p_partkey", tree_leaves(flat_settings()).alias("t"))
         .select(
             "p_partkey",

@@ -18,6 +18,7 @@ SPREAD = [
     "report_index",
     "report_templates",
     "report_templates_6_8",
+    "settings_tree",
     "replicas",
     "mappings",
     "global_violations",
