@@ -121,7 +121,7 @@ def settings_conflicts(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == "ECONOMY", fill('{"a.b":1,"a":%s}', size))
         .otherwise(merging)
     )
-    return table(spark, folder, "part").select("p_partkey", flat_to_tree(flat).alias("t")).select(
+    return spread_parts(spark, folder, "p_type", "p_size").select("p_partkey", flat_to_tree(flat).alias("t")).select(
         "p_partkey", F.col("t.value").alias("tree"), "t.problem"
     )
 

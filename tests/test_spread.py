@@ -19,6 +19,7 @@ SPREAD = [
     "report_templates",
     "report_templates_6_8",
     "settings_tree",
+    "settings_conflicts",
     "replicas",
     "mappings",
     "global_violations",
