@@ -379,15 +379,17 @@ def manifest_files(spark: SparkSession, folder: str) -> DataFrame:
 def report_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Manifests printed as JSON, read back at a few places."""
     parsed = parse_shards(line_manifests(spark, folder)).withColumn("index_name", F.col("index_id"))
-    at = F.col("manifest")
-    return shard_manifests(parsed).select(
+    places = "struct<snapshotName:string,totalSize:bigint,files:array<struct<numberOfParts:bigint,metaHash:string>>>"
+    at = F.col("at")
+    # One parse for all places; each `get_json_object` would parse the whole manifest again.
+    return shard_manifests(parsed).withColumn("at", F.from_json("manifest", places)).select(
         "repo_id",
         F.col("index_name").alias("index_id"),
         "shard",
-        F.get_json_object(at, "$.snapshotName").alias("snapshot"),
-        F.get_json_object(at, "$.totalSize").cast("bigint").alias("total_size"),
-        F.get_json_object(at, "$.files[0].numberOfParts").cast("bigint").alias("first_parts"),
-        F.unbase64(F.get_json_object(at, "$.files[1].metaHash")).cast("string").alias("second_bytes"),
+        at["snapshotName"].alias("snapshot"),
+        at["totalSize"].alias("total_size"),
+        F.get(at["files"], F.lit(0))["numberOfParts"].alias("first_parts"),
+        F.unbase64(F.get(at["files"], F.lit(1))["metaHash"]).cast("string").alias("second_bytes"),
     )
 
 

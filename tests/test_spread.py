@@ -34,3 +34,10 @@ def test_tasks(spark, name):
     assert len(sizes) >= cores
     # Before, one task had all rows.
     assert max(sizes) <= 2 * sum(sizes) / cores
+
+
+@pytest.mark.skipif(not pathlib.Path(FOLDER).exists(), reason="test tables are not here")
+def test_report_shards_parses_twice(spark):
+    """The exported manifest once and the printed one once, not for each place that is read back."""
+    plan = QUERIES["report_shards"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") + plan.count("get_json_object(") == 2
