@@ -32,7 +32,9 @@ def packed_ranges(files: DataFrame, task_bytes: int = TASK_BYTES, range_bytes: i
     """The ranges in tasks of equal bytes, in the order of the files; a file runs over as many tasks as it needs."""
     spread = [*(F.col(k) for k in KEYS), F.call_function("div", F.col("offset"), F.lit(task_bytes))]
     ranges = file_ranges(files, range_bytes)
-    return packed(ranges, F.col("count") + OPENING_BYTES, [*KEYS, "offset"], task_bytes, spread)
+    # A blob stays open for its further ranges.
+    opening = F.when(F.col("at") == 0, OPENING_BYTES).otherwise(0)
+    return packed(ranges, F.col("count") + opening, [*KEYS, "offset"], task_bytes, spread)
 
 
 def _bare_rows(files: DataFrame) -> DataFrame:
@@ -63,33 +65,52 @@ def _pieces(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = uuid.uuid4().hex
         row: dict | None = None
-        out = None
+        out = source = None
+        opened: str | None = None
+        done: list[dict] = []
         n = 0
-        for batch in batches:
-            for wanted in batch.select([*KEYS, "path", "at", "count", "offset"]).to_pylist():
-                key = [wanted[k] for k in KEYS]
-                if row is None or [row[k] for k in KEYS] != key or row["offset"] + row["length"] != wanted["offset"]:
-                    if row is not None:
-                        out.close()
-                        yield pa.RecordBatch.from_pylist([row], _PIECES)
-                    piece = f"{folder}/{attempt}-{n}"
-                    n += 1
-                    files, path = open_path(piece)
-                    files.create_dir(path.rpartition("/")[0], recursive=True)
-                    out = files.open_output_stream(path, compression=None)
-                    row = dict(zip(KEYS, key, strict=True)) | {"offset": wanted["offset"], "length": 0, "piece": piece}
-                source_files, source_path = open_path(wanted["path"])
-                with source_files.open_input_file(source_path) as source:
+        files, base = open_path(folder)
+        try:
+            for batch in batches:
+                for wanted in batch.select([*KEYS, "path", "at", "count", "offset"]).to_pylist():
+                    key = [wanted[k] for k in KEYS]
+                    if row is None or [row[k] for k in KEYS] != key or row["offset"] + row["length"] != wanted["offset"]:
+                        if row is not None:
+                            out.close()
+                            done.append(row)
+                        if len(done) >= _BATCH_ROWS:
+                            yield pa.RecordBatch.from_pylist(done, _PIECES)
+                            done = []
+                        if n == 0:
+                            files.create_dir(base, recursive=True)
+                        name = f"{attempt}-{n}"
+                        n += 1
+                        out = files.open_output_stream(f"{base}/{name}", compression=None)
+                        row = dict(zip(KEYS, key, strict=True))
+                        row |= {"offset": wanted["offset"], "length": 0, "piece": f"{folder}/{name}"}
+                    # Neighbouring ranges mostly lie in one blob, which stays open.
+                    if wanted["path"] != opened:
+                        if source is not None:
+                            source.close()
+                        source_files, source_path = open_path(wanted["path"])
+                        source = source_files.open_input_file(source_path)
+                        opened = wanted["path"]
                     source.seek(wanted["at"])
                     _copy(source, out, wanted["count"], wanted["path"])
-                row["length"] += wanted["count"]
-        if row is not None:
-            out.close()
-            yield pa.RecordBatch.from_pylist([row], _PIECES)
+                    row["length"] += wanted["count"]
+            if row is not None:
+                out.close()
+                done.append(row)
+                yield pa.RecordBatch.from_pylist(done, _PIECES)
+        finally:
+            if source is not None:
+                source.close()
 
     return copy
 
 
+# Pieces of one batch: a batch for each piece would cost more than the piece.
+_BATCH_ROWS = 1000
 _PIECES = pa.schema(
     [
         ("repo_id", pa.string()),
@@ -126,6 +147,13 @@ def _commit(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
         return info.type == fs.FileType.File and info.size == length
 
     def commit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = set()
+
+        def make(files, parent: str) -> None:
+            if parent not in made:
+                files.create_dir(parent, recursive=True)
+                made.add(parent)
+
         for batch in batches:
             for row in batch.select(["path", "length", "pieces", "content"]).to_pylist():
                 # An earlier attempt of this task may have renamed it already.
@@ -136,7 +164,7 @@ def _commit(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                 own = row["pieces"][0]["piece"] if len(row["pieces"] or []) == 1 else f"{folder}/{uuid.uuid4().hex}"
                 files, at = open_path(own)
                 if len(row["pieces"] or []) != 1:
-                    files.create_dir(at.rpartition("/")[0], recursive=True)
+                    make(files, at.rpartition("/")[0])
                     with files.open_output_stream(at, compression=None) as out:
                         out.write(row["content"] or b"")
                         for piece in row["pieces"] or []:
@@ -144,7 +172,7 @@ def _commit(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                             with piece_files.open_input_file(piece_at) as source:
                                 _copy(source, out, piece["length"], piece["piece"])
                 _, final = open_path(row["path"])
-                files.create_dir(final.rpartition("/")[0], recursive=True)
+                make(files, final.rpartition("/")[0])
                 try:
                     files.move(at, final)
                 except OSError:

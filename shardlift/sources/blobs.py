@@ -21,6 +21,8 @@ from shardlift.operators.packing import packed
 
 RANGE_BYTES = 32 * 1024 * 1024
 TASK_BYTES = 512 * 1024 * 1024
+# Bytes of ranges after which an output batch ends.
+BATCH_BYTES = 1024 * 1024
 # Folders that one task lists, files that one task reads whole, and files of one batch of a listing.
 TASK_FOLDERS = 64
 TASK_TEXTS = 64
@@ -126,25 +128,45 @@ def read_ranges(ranges: DataFrame) -> DataFrame:
     schema = T.StructType([*columns, T.StructField("content", T.BinaryType())])
     names = [f.name for f in columns]
 
+    def rows(batch: pa.RecordBatch, start: int, contents: list[bytes]) -> pa.RecordBatch:
+        kept = [batch.column(n).slice(start, len(contents)) for n in names]
+        return pa.RecordBatch.from_arrays([*kept, pa.array(contents, pa.binary())], [*names, "content"])
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            wanted = zip(
-                batch.column("path").to_pylist(),
-                batch.column("at").to_pylist(),
-                batch.column("count").to_pylist(),
-                strict=True,
-            )
-            # One range per output batch: memory stays at one range whatever the batch held.
-            for row, (uri, at, count) in enumerate(wanted):
-                files, path = open_path(uri)
-                with files.open_input_file(path) as source:
+        source = None
+        opened: str | None = None
+        try:
+            for batch in batches:
+                wanted = zip(
+                    batch.column("path").to_pylist(),
+                    batch.column("at").to_pylist(),
+                    batch.column("count").to_pylist(),
+                    strict=True,
+                )
+                # Small ranges share an output batch; memory stays near one range whatever the batch held.
+                contents: list[bytes] = []
+                start = size = 0
+                for row, (uri, at, count) in enumerate(wanted):
+                    # Neighbouring ranges mostly lie in one blob, which stays open.
+                    if uri != opened:
+                        if source is not None:
+                            source.close()
+                        files, path = open_path(uri)
+                        source = files.open_input_file(path)
+                        opened = uri
                     source.seek(at)
                     content = source.read(count)
-                if len(content) != count:
-                    raise OSError(f"{uri} ends before byte {at + count}")
-                kept = [batch.column(n).slice(row, 1) for n in names]
-                yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array([content], pa.binary())], [*names, "content"]
-                )
+                    if len(content) != count:
+                        raise OSError(f"{uri} ends before byte {at + count}")
+                    contents.append(content)
+                    size += count
+                    if size >= BATCH_BYTES:
+                        yield rows(batch, start, contents)
+                        contents, start, size = [], row + 1, 0
+                if contents:
+                    yield rows(batch, start, contents)
+        finally:
+            if source is not None:
+                source.close()
 
     return ranges.mapInArrow(read, schema)

@@ -2,9 +2,12 @@
 
 import pathlib
 
+import pyarrow as pa
 import pytest
 
 from shardlift.queries import QUERIES
+from shardlift.sinks import files as sink
+from shardlift.sources.blobs import open_path
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -41,3 +44,26 @@ def test_report_shards_parses_twice(spark):
     """The exported manifest once and the printed one once, not for each place that is read back."""
     plan = QUERIES["report_shards"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") + plan.count("get_json_object(") == 2
+
+
+def test_blob_of_many_ranges_is_opened_once(tmp_path, monkeypatch):
+    source = tmp_path / "blob"
+    source.write_bytes(bytes(range(100)))
+    asked = []
+
+    def counted(path):
+        asked.append(path)
+        return open_path(path)
+
+    monkeypatch.setattr(sink, "open_path", counted)
+    keys = {"repo_id": "r", "index_name": "i", "shard": 0}
+    rows = [
+        {**keys, "physical_name": name, "path": str(source), "at": at, "count": 10, "offset": at}
+        for name in "ab"
+        for at in range(0, 100, 10)
+    ]
+    found = list(sink._pieces(str(tmp_path / "out"))(iter([pa.RecordBatch.from_pylist(rows)])))
+    assert asked.count(str(source)) == 1
+    # One batch for the two pieces.
+    assert [b.num_rows for b in found] == [2]
+    assert [open(r["piece"], "rb").read() for r in found[0].to_pylist()] == [bytes(range(100))] * 2
