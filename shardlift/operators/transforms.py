@@ -6,6 +6,8 @@ versions, and all objects of all repositories are rewritten row by row without a
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,18 +72,24 @@ def picked_rules(pairs: DataFrame) -> DataFrame:
     return found.withColumn("problem", F.when(F.col("kind").isNull(), told))
 
 
-def template_rows(bodies: DataFrame) -> DataFrame:
-    """(repo_id, kind, ord, name, body): the templates of global metadata, in document order."""
+# Where global metadata keeps templates: under `templates`, or under its own name twice.
+TEMPLATE_KINDS = ("template", "component_template", "index_template")
+
+
+def template_rows(bodies: DataFrame, kinds: Collection[str] = TEMPLATE_KINDS) -> DataFrame:
+    """(repo_id, kind, ord, name, body): the templates of global metadata, in document order.
+
+    Kinds that are not asked for are not parsed.
+    """
 
     def bucket(kind: str, items: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), entries(items).alias("items"))
 
+    def held_in(top: Column, kind: str) -> Column:
+        return member(top, "templates") if kind == "template" else member(entries(member(top, kind)), kind)
+
     def buckets(top: Column) -> Column:
-        nested = ("component_template", "index_template")
-        return F.array(
-            bucket("template", member(top, "templates")),
-            *[bucket(k, member(entries(member(top, k)), k)) for k in nested],
-        )
+        return F.array(*[bucket(k, held_in(top, k)) for k in TEMPLATE_KINDS if k in kinds])
 
     held = unnest(bodies.select("repo_id", let(entries(F.col("body")), buckets).alias("buckets")), "buckets", "at", "b")
     return unnest(held, F.col("b.items"), "ord", "item").select(

@@ -201,7 +201,7 @@ def build_plan(
         )
         templates = write_shared(
             transform_templates(
-                template_rows(bodies), source, target, dimensionality, legacy_replica_fix
+                template_rows(bodies, rules_for(source, target)), source, target, dimensionality, legacy_replica_fix
             ),
             "templates",
         )

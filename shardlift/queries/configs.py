@@ -19,6 +19,7 @@ from shardlift.operators.report import index_summary, template_names
 from shardlift.operators.requests import component_links, index_body, missing_components, with_components
 from shardlift.operators.transforms import (
     picked_rules,
+    rules_for,
     template_rows,
     transform_indices,
     transform_templates,
@@ -254,7 +255,7 @@ _QUOTED = """'"' || nat || '"'"""
     """
 )
 def templates_6_8(spark: SparkSession, folder: str) -> DataFrame:
-    rows = template_rows(customer_globals(spark, folder))
+    rows = template_rows(customer_globals(spark, folder), rules_for("6.8", "2.11"))
     return transform_templates(rows, "6.8").select("repo_id", "kind", "name", "body")
 
 

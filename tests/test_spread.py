@@ -5,7 +5,9 @@ import pathlib
 import pyarrow as pa
 import pytest
 
+from shardlift.operators.transforms import template_rows, transform_templates
 from shardlift.queries import QUERIES
+from shardlift.queries.configs import customer_globals
 from shardlift.sinks import files as sink
 from shardlift.sources.blobs import open_path
 
@@ -39,6 +41,19 @@ def test_tasks(spark, name):
     assert max(sizes) <= 2 * sum(sizes) / cores
 
 
+@pytest.mark.skipif(not pathlib.Path(FOLDER).exists(), reason="test tables are not here")
+def test_legacy_templates_are_rewritten_without_parsing_the_others(spark):
+    def parses(rows):
+        done = transform_templates(rows, "6.8").select("name", "body")
+        return done._jdf.queryExecution().executedPlan().toString().count("from_json(")
+
+    bodies = customer_globals(spark, FOLDER)
+    asked = parses(template_rows(bodies, ["template"]))
+    assert parses(template_rows(bodies)) - asked == 8
+    query = QUERIES["templates_6_8"](spark, FOLDER)
+    assert query._jdf.queryExecution().executedPlan().toString().count("from_json(") == asked
+
+
 @pytest.mark.skipif(not pathlib.Path(FOLDER).exists(), reason="test tables are not here")
 def test_report_shards_parses_twice(spark):
     """The exported manifest once and the printed one once, not for each place that is read back."""
