@@ -33,7 +33,7 @@ def snapshot_summary(snapshots_: DataFrame) -> DataFrame:
 def template_names(bodies: DataFrame, version: str) -> DataFrame:
     """Template names per bucket, one row each; which buckets are listed depends on the version."""
     kinds = ("template",) if version == "6.8" else ("index_template", "component_template")
-    return template_rows(bodies).where(F.col("kind").isin(*kinds)).select("repo_id", "kind", "ord", "name")
+    return template_rows(bodies, kinds).select("repo_id", "kind", "ord", "name")
 
 
 def index_summary(indices: DataFrame) -> DataFrame:
