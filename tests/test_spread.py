@@ -43,7 +43,7 @@ def test_tasks(spark, name):
 
 # Each level is parsed for its texts and once more for their kinds: the file, its metadata and what holds templates.
 @pytest.mark.skipif(not pathlib.Path(FOLDER).exists(), reason="test tables are not here")
-@pytest.mark.parametrize(("name", "parses"), [("report_templates", 12)])
+@pytest.mark.parametrize(("name", "parses"), [("report_templates_6_8", 6), ("report_templates", 12)])
 def test_only_the_kinds_asked_for_are_parsed(spark, name, parses):
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == parses
