@@ -29,13 +29,16 @@ SIDE = 2
 CLASSES, CLASS_SIZE, BUCKETS = 64, 64, 256
 EMBEDDING, HIDDEN = 16, 32
 ROUNDS = 2
-BATCH = 256
+# Windows in a step: few at first, then a share of those seen, up to a bound.
+FIRST_BATCH, GROWTH, BATCH = 256, 16, 4096
 RATE = 0.1
+# Sums of squared gradients begin near nothing, so that rare tokens, whose share of a batch is small, take full steps.
+START = 1e-6
 # Distinct words that a task counts before it hands its counts on.
 _COUNTED = 300_000
 _TOKENS = CLASSES * CLASS_SIZE
 _PAD = _TOKENS
-_CHUNK = 1 << 15
+_CHUNK = 1 << 13
 _BLOCK = 4096
 _AROUND = np.array([k for k in range(-SIDE, SIDE + 1) if k])
 # Words that a task remembers the bucket of.
@@ -84,83 +87,104 @@ class Network:
         return Network(*parts)
 
     def hidden(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        inputs = self.embedding[context].reshape(len(context), -1)
-        return inputs, np.tanh(inputs @ self.inner + self.inner_bias)
+        inputs = np.take(self.embedding, context.astype(np.intp), axis=0).reshape(len(context), -1)
+        hidden = inputs @ self.inner
+        hidden += self.inner_bias
+        return inputs, np.tanh(hidden, out=hidden)
+
+    def inside(self, hidden: np.ndarray, runs: list[tuple[int, int, int]]) -> np.ndarray:
+        """Logits of the words in the class of each row; rows lie in runs of one class."""
+        logits = np.empty((len(hidden), CLASS_SIZE), np.float32)
+        for c, a, b in runs:
+            np.matmul(hidden[a:b], self.words[c].T, out=logits[a:b])
+            logits[a:b] += self.word_bias[c]
+        return logits
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         out = np.empty(len(target))
         for a in range(0, len(target), _CHUNK):
-            _, hidden = self.hidden(context[a : a + _CHUNK])
-            klass, word = np.divmod(target[a : a + _CHUNK], CLASS_SIZE)
-            part = _log_softmax(hidden @ self.classes.T + self.class_bias)[np.arange(len(klass)), klass].astype(float)
-            for c, at in _by_class(klass):
-                logits = _log_softmax(hidden[at] @ self.words[c].T + self.word_bias[c])
-                part[at] += logits[np.arange(len(at)), word[at]]
-            out[a : a + _CHUNK] = part
+            order = _order(target[a : a + _CHUNK])
+            klass, word = np.divmod(target[a : a + _CHUNK][order], CLASS_SIZE)
+            _, hidden = self.hidden(context[a : a + _CHUNK][order])
+            outer = hidden @ self.classes.T
+            outer += self.class_bias
+            logits = self.inside(hidden, _runs(klass))
+            out[a + order] = _log_softmax_at(outer, klass) + _log_softmax_at(logits, word)
         return out
 
     def train(self, context: np.ndarray, target: np.ndarray, state: list[np.ndarray]) -> None:
         """One step of Adagrad on a batch of windows; `state` holds the sums of squared gradients."""
         n = len(target)
-        order = np.argsort(target, kind="stable")
+        order = _order(target)
         context, (klass, word) = context[order], np.divmod(target[order], CLASS_SIZE)
-        rows = np.arange(n)
+        rows, runs = np.arange(n), _runs(klass)
         inputs, hidden = self.hidden(context)
-        error = _softmax(hidden @ self.classes.T + self.class_bias)
+        error = hidden @ self.classes.T
+        error += self.class_bias
+        _softmax(error)
         error[rows, klass] -= 1
         back = error @ self.classes
-        self._step(3, slice(None), error.T @ hidden / n, state)
-        self._step(4, slice(None), error.mean(axis=0), state)
-        begins = np.flatnonzero(np.concatenate([[True], klass[1:] != klass[:-1]]))
-        runs = list(zip(klass[begins].tolist(), begins.tolist(), [*begins[1:].tolist(), n], strict=True))
-        inside = np.empty((n, CLASS_SIZE), np.float32)
-        for c, a, b in runs:
-            np.matmul(hidden[a:b], self.words[c].T, out=inside[a:b])
-        inside = _softmax(inside + self.word_bias[klass])
+        each = np.full(n, 1 / n, np.float32)
+        self._step(3, error.T @ hidden / n, state)
+        self._step(4, each @ error, state)
+        inside = self.inside(hidden, runs)
+        _softmax(inside)
         inside[rows, word] -= 1
         # Classes that are not in the batch have the gradient zero.
-        of_words = np.zeros_like(self.words)
+        of_words, of_bias = np.zeros_like(self.words), np.zeros_like(self.word_bias)
         for c, a, b in runs:
             back[a:b] += inside[a:b] @ self.words[c]
             np.matmul(inside[a:b].T, hidden[a:b], out=of_words[c])
+            np.matmul(each[a:b], inside[a:b], out=of_bias[c])
         of_words /= n
-        self._step(5, slice(None), of_words, state)
-        self._step(6, klass[begins], np.add.reduceat(inside, begins, axis=0) / n, state)
-        back *= 1 - hidden * hidden
-        towards = (back @ self.inner.T / n).reshape(-1, EMBEDDING)
-        self._step(1, slice(None), inputs.T @ back / n, state)
-        self._step(2, slice(None), back.mean(axis=0), state)
-        tokens = context.ravel()
-        order = np.argsort(tokens, kind="stable")
-        tokens = tokens[order]
-        begins = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-        self._step(0, tokens[begins], np.add.reduceat(towards[order], begins, axis=0), state)
-
-    def _step(self, k: int, at, gradient: np.ndarray, state: list[np.ndarray]) -> None:
-        state[k][at] += gradient * gradient
-        getattr(self, _NAMES[k])[at] -= RATE * gradient / (np.sqrt(state[k][at]) + 1e-6)
+        self._step(5, of_words, state)
+        self._step(6, of_bias, state)
+        hidden *= hidden
+        back *= np.subtract(1, hidden, out=hidden)
+        back /= n
+        # A row for each place and component, so that the sums by token run over neighbours.
+        towards = (self.inner @ back.T).reshape(2 * SIDE, EMBEDDING, n)
+        self._step(1, inputs.T @ back, state)
+        self._step(2, back.sum(axis=0), state)
+        tokens = context.T.ravel().astype(np.intp)
+        of_embedding = [np.bincount(tokens, towards[:, k].ravel(), _TOKENS + 1) for k in range(EMBEDDING)]
+        self._step(0, np.stack(of_embedding, axis=1).astype(np.float32), state)
+
+    def _step(self, k: int, gradient: np.ndarray, state: list[np.ndarray]) -> None:
+        parameters = getattr(self, _NAMES[k])
+        state[k] += gradient * gradient
+        gradient *= RATE
+        gradient /= np.sqrt(state[k])
+        parameters -= gradient
 
 
 _NAMES = [f.name for f in fields(Network)]
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits = np.exp(logits - logits.max(axis=1, keepdims=True))
-    logits /= logits.sum(axis=1, keepdims=True)
-    return logits
+def _softmax(logits: np.ndarray) -> None:
+    """In place."""
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= (logits @ np.ones(logits.shape[1], np.float32))[:, None]
+
+
+def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The logarithm of the probability at one place of each row; the logits are overwritten."""
+    logits -= logits.max(axis=1, keepdims=True)
+    found = logits[np.arange(len(at)), at].astype(float)
+    np.exp(logits, out=logits)
+    return found - np.log(logits @ np.ones(logits.shape[1], np.float32))
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def _order(tokens: np.ndarray) -> np.ndarray:
+    """Stable order of tokens; 16 bits hold them, and numpy sorts these by radix."""
+    return np.argsort(tokens.astype(np.int16), kind="stable")
 
 
-def _by_class(klass: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(klass, kind="stable")
-    cuts = np.flatnonzero(np.diff(klass[order])) + 1
-    for at in np.split(order, cuts):
-        if len(at):
-            yield int(klass[at[0]]), at
+def _runs(klass: np.ndarray) -> list[tuple[int, int, int]]:
+    """(class, begin, end) of the runs of a sorted array."""
+    begins = np.flatnonzero(np.concatenate([[True], klass[1:] != klass[:-1]]))
+    return list(zip(klass[begins].tolist(), begins.tolist(), [*begins[1:].tolist(), len(klass)], strict=True))
 
 
 class Vocabulary(dict):
@@ -214,7 +238,7 @@ def _train_batches(vocabulary: dict[bytes, int], start: Network, seed: int, text
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vocabulary(vocabulary)
         network = Network.of_flat(start.flat().copy(), start)
-        state = [np.full(getattr(network, f.name).shape, 1e-2, np.float32) for f in fields(network)]
+        state = [np.full(getattr(network, f.name).shape, START, np.float32) for f in fields(network)]
         random, seen = np.random.default_rng(seed), 0
         for batch in pieces(batches, text):
             data, offsets = raw(texts_of(batch.column(text)))
@@ -226,9 +250,11 @@ def _train_batches(vocabulary: dict[bytes, int], start: Network, seed: int, text
             if most is not None:
                 target = _spread(target, [len(t) for t in tokens], most)
             random.shuffle(target)
-            for a in range(0, len(target), BATCH):
-                at = target[a : a + BATCH]
+            a = 0
+            while a < len(target):
+                at = target[a : a + min(BATCH, max(FIRST_BATCH, (seen + a) // GROWTH))]
                 network.train(line[at[:, None] + _AROUND], line[at], state)
+                a += len(at)
             seen += len(target)
         if seen:
             flat = network.flat() * np.float32(seen)

@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -306,6 +307,40 @@ def test_language_model_learns_from_every_word(spark):
     assert long > -math.log(50) + 0.5
 
 
+def test_language_model_takes_larger_steps_over_every_word(monkeypatch):
+    steps = []
+    monkeypatch.setattr(pseudolikelihood.Network, "train", lambda self, context, target, state: steps.append(len(target)))
+    texts = pa.array([" ".join(f"t{k % 50}" for k in range(100_000))] * 3)
+    start = pseudolikelihood.Network.new(np.zeros(4096))
+    train = pseudolikelihood._train_batches({}, start, 0, "text", None)
+    (found,) = train(iter([pa.RecordBatch.from_pydict({"text": texts})]))
+    # Every window once, in few steps: before, each step had 256.
+    assert sum(steps) == found.column("seen")[0].as_py() == 300_000
+    assert steps[0] == 256 and max(steps) == 4096 and len(steps) < 300_000 / 256 / 4
+
+
+def test_language_model_learns_rare_words():
+    """Two rounds in one task: rare words follow each other as surely as frequent ones."""
+    draw = random.Random(3)
+    words = []
+    for _ in range(60_000):
+        k = draw.randrange(300)
+        words += [f"r{k}", f"s{k}"] if draw.random() < 0.1 else ["a"]
+    vocabulary = {w.encode(): k for k, (w, _) in enumerate(Counter(words).most_common())}
+    mass = np.zeros(4096)
+    mass[: len(vocabulary)] = [n for _, n in Counter(words).most_common()]
+    net = pseudolikelihood.Network.new(mass)
+    texts = pa.RecordBatch.from_pydict({"text": pa.array([" ".join(words)])})
+    for k in range(2):
+        (found,) = pseudolikelihood._train_batches(vocabulary, net, k, "text", None)(iter([texts]))
+        flat = np.concatenate([np.frombuffer(v, np.float32) for v in found.column("values").to_pylist()])
+        net = pseudolikelihood.Network.of_flat(flat / len(words), net)
+    tokens = np.array([vocabulary[w.encode()] for w in words], np.int32)
+    mean = pseudolikelihood._sums(net, [tokens], np.array([len(words)]))[0] / len(words)
+    # Before, the mean was -1.15.
+    assert mean > -0.8
+
+
 def test_language_model_gives_words_of_a_bucket_their_shares(spark):
     # The frequent words fill the vocabulary; x00q and the others have one length and ending, so they share a bucket.
     common = " ".join(f"c{k}" for k in range(3840))
