@@ -2,7 +2,7 @@
 
 Words are counted over all documents; the most frequent ones are tokens, the rest fall into buckets by their shape.
 The network is trained in tasks, on a window for every word of every document, and the tasks' parameters are
-averaged after each round. A document's score is the sum of the logarithms of its words' probabilities given their neighbours. A
+averaged after each round. Texts become token ids once, and rounds and scores read these. A document's score is the sum of the logarithms of its words' probabilities given their neighbours. A
 word of a bucket has the bucket's probability times its share of the bucket's words, from the counts of all words.
 """
 
@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import itertools
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +34,10 @@ FIRST_BATCH, GROWTH, BATCH = 256, 16, 4096
 RATE = 0.1
 # Sums of squared gradients begin near nothing, so that rare tokens, whose share of a batch is small, take full steps.
 START = 1e-6
+# Neighbouring words whose windows are in one step: their sums by token are over the words, not over the windows.
+RUN = 32
+# Words whose counts go to all tasks; the others' are joined.
+KNOWN = 1 << 17
 # Distinct words that a task counts before it hands its counts on.
 _COUNTED = 300_000
 _TOKENS = CLASSES * CLASS_SIZE
@@ -41,14 +45,35 @@ _PAD = _TOKENS
 _CHUNK = 1 << 13
 _BLOCK = 4096
 _AROUND = np.array([k for k in range(-SIDE, SIDE + 1) if k])
-# Words that a task remembers the bucket of.
+# Words that a `Vocabulary` remembers the bucket of.
 _REMEMBERED = 500_000
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+# Logits below this need no shift before their exponentials are taken.
+_SAFE = 60
+_ONES = {n: np.ones(n, np.float32) for n in {CLASSES, CLASS_SIZE}}
 
 
 def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def all_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """`words_of` all texts in a row, and how many each text has."""
+    data, offsets = raw(texts)
+    ink = ~_SPACE[data]
+    begins = ink.copy()
+    begins[1:] &= ~ink[:-1]
+    inner = offsets[offsets < len(data)]
+    begins[inner] = ink[inner]
+    kept = _LOWER[data[ink]]
+    ends = np.append(np.flatnonzero(begins[ink]), len(kept)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(kept)])
+    return words, np.diff(np.searchsorted(np.flatnonzero(begins), offsets))
+
+
 @dataclass
 class Network:
     embedding: np.ndarray  # tokens and padding
@@ -86,11 +111,12 @@ class Network:
             at += old.size
         return Network(*parts)
 
-    def hidden(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        inputs = np.take(self.embedding, context.astype(np.intp), axis=0).reshape(len(context), -1)
-        hidden = inputs @ self.inner
-        hidden += self.inner_bias
-        return inputs, np.tanh(hidden, out=hidden)
+    def hidden(self, context: np.ndarray) -> np.ndarray:
+        inner = self.inner.reshape(2 * SIDE, EMBEDDING, HIDDEN)
+        hidden = np.tile(self.inner_bias, (len(context), 1))
+        for k in range(2 * SIDE):
+            hidden += np.take(self.embedding @ inner[k], context[:, k], axis=0)
+        return np.tanh(hidden, out=hidden)
 
     def inside(self, hidden: np.ndarray, runs: list[tuple[int, int, int]]) -> np.ndarray:
         """Logits of the words in the class of each row; rows lie in runs of one class."""
@@ -101,79 +127,133 @@ class Network:
         return logits
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+        order = _order(target)
+        klass, word = np.divmod(target[order], CLASS_SIZE)
+        hidden = self.hidden(context[order])
+        outer = hidden @ self.classes.T
+        outer += self.class_bias
+        logits = self.inside(hidden, _runs(klass))
         out = np.empty(len(target))
-        for a in range(0, len(target), _CHUNK):
-            order = _order(target[a : a + _CHUNK])
-            klass, word = np.divmod(target[a : a + _CHUNK][order], CLASS_SIZE)
-            _, hidden = self.hidden(context[a : a + _CHUNK][order])
-            outer = hidden @ self.classes.T
-            outer += self.class_bias
-            logits = self.inside(hidden, _runs(klass))
-            out[a + order] = _log_softmax_at(outer, klass) + _log_softmax_at(logits, word)
+        out[order] = _log_softmax_at(outer, klass) + _log_softmax_at(logits, word)
         return out
 
-    def train(self, context: np.ndarray, target: np.ndarray, state: list[np.ndarray]) -> None:
-        """One step of Adagrad on a batch of windows; `state` holds the sums of squared gradients."""
-        n = len(target)
-        order = _order(target)
-        context, (klass, word) = context[order], np.divmod(target[order], CLASS_SIZE)
-        rows, runs = np.arange(n), _runs(klass)
-        inputs, hidden = self.hidden(context)
-        error = hidden @ self.classes.T
-        error += self.class_bias
+    def train(self, line: np.ndarray, places: np.ndarray, state: Adagrad) -> None:
+        """One step of Adagrad on the windows around these places of a line, which are `SIDE` or more from its ends."""
+        n = len(places)
+        order = _order(line[places])
+        at = places[order]
+        klass, word = np.divmod(line[at], CLASS_SIZE)
+        runs, starts = _runs(klass), np.arange(n) * CLASS_SIZE
+        gradient, classes, words = state.gradient, state.classes, state.words
+        inputs = np.take(self.embedding, line[at[:, None] + _AROUND], axis=0).reshape(n, -1)
+        # The last column is for the biases.
+        hidden = np.ones((n, HIDDEN + 1), np.float32)
+        inner = inputs @ self.inner
+        inner += self.inner_bias
+        np.tanh(inner, out=hidden[:, :-1])
+        error = hidden @ classes.T
         _softmax(error)
-        error[rows, klass] -= 1
+        error.ravel()[np.arange(n) * CLASSES + klass] -= 1
         back = error @ self.classes
-        each = np.full(n, 1 / n, np.float32)
-        self._step(3, error.T @ hidden / n, state)
-        self._step(4, each @ error, state)
-        inside = self.inside(hidden, runs)
+        np.matmul(error.T, hidden, out=gradient["classes"])
+        inside = np.empty((n, CLASS_SIZE), np.float32)
+        for c, a, b in runs:
+            np.matmul(hidden[a:b], words[c].T, out=inside[a:b])
         _softmax(inside)
-        inside[rows, word] -= 1
+        inside.ravel()[starts + word] -= 1
         # Classes that are not in the batch have the gradient zero.
-        of_words, of_bias = np.zeros_like(self.words), np.zeros_like(self.word_bias)
+        gradient["words"][:] = 0
+        more = np.empty_like(back)
         for c, a, b in runs:
-            back[a:b] += inside[a:b] @ self.words[c]
-            np.matmul(inside[a:b].T, hidden[a:b], out=of_words[c])
-            np.matmul(each[a:b], inside[a:b], out=of_bias[c])
-        of_words /= n
-        self._step(5, of_words, state)
-        self._step(6, of_bias, state)
-        hidden *= hidden
-        back *= np.subtract(1, hidden, out=hidden)
-        back /= n
-        # A row for each place and component, so that the sums by token run over neighbours.
-        towards = (self.inner @ back.T).reshape(2 * SIDE, EMBEDDING, n)
-        self._step(1, inputs.T @ back, state)
-        self._step(2, back.sum(axis=0), state)
-        tokens = context.T.ravel().astype(np.intp)
-        of_embedding = [np.bincount(tokens, towards[:, k].ravel(), _TOKENS + 1) for k in range(EMBEDDING)]
-        self._step(0, np.stack(of_embedding, axis=1).astype(np.float32), state)
-
-    def _step(self, k: int, gradient: np.ndarray, state: list[np.ndarray]) -> None:
-        parameters = getattr(self, _NAMES[k])
-        state[k] += gradient * gradient
-        gradient *= RATE
-        gradient /= np.sqrt(state[k])
-        parameters -= gradient
-
-
-_NAMES = [f.name for f in fields(Network)]
+            np.matmul(inside[a:b], self.words[c], out=more[a:b])
+            np.matmul(inside[a:b].T, hidden[a:b], out=gradient["words"][c])
+        back += more
+        inner = hidden[:, :-1] * hidden[:, :-1]
+        back *= np.subtract(1, inner, out=inner)
+        np.matmul(inputs.T, back, out=gradient["inner"])
+        np.matmul(np.ones(n, np.float32), back, out=gradient["inner_bias"])
+        gradient["embedding"][:] = self._by_token(line, at, back)
+        state.step(n)
+
+    def _by_token(self, line: np.ndarray, at: np.ndarray, back: np.ndarray) -> np.ndarray:
+        """The gradient of the embedding."""
+        n, m = len(at), len(line)
+        if m >= 2 * n:
+            # A row for each neighbour and component, so that the sums by token run over neighbours.
+            towards = (self.inner @ back.T).reshape(2 * SIDE, EMBEDDING, n)
+            tokens = line[at[:, None] + _AROUND].T.ravel()
+            sums, line = [towards[:, k].ravel() for k in range(EMBEDDING)], tokens
+        else:
+            # Windows overlap: a row for each place, so that they run once over the line and not for each neighbour.
+            placed = np.zeros((m, HIDDEN), np.float32)
+            placed[at] = back
+            towards = (self.inner @ placed.T).reshape(2 * SIDE, EMBEDDING, m)
+            sums = np.zeros((EMBEDDING, m))
+            for k, d in enumerate(_AROUND.tolist()):
+                sums[:, max(d, 0) : m + min(d, 0)] += towards[k, :, max(-d, 0) : m - max(d, 0)]
+        return np.stack([np.bincount(line, row, _TOKENS + 1) for row in sums], axis=1)
+
+
+class Adagrad:
+    """Holds a network's parameters in one array while it is trained, each bias beside its weights."""
+
+    def __init__(self, network: Network) -> None:
+        biased = {"classes": "class_bias", "words": "word_bias"}
+        held = {name: getattr(network, name) for name in ("embedding", "inner", "inner_bias")}
+        for name, bias in biased.items():
+            held[name] = np.concatenate([getattr(network, name), getattr(network, bias)[..., None]], axis=-1)
+        self.parameters = np.concatenate([part.ravel() for part in held.values()])
+        self.squares = np.full_like(self.parameters, START)
+        self.gradients, self.scratch = np.zeros_like(self.parameters), np.empty_like(self.parameters)
+        ends = np.cumsum([part.size for part in held.values()])[:-1]
+
+        def views(flat: np.ndarray) -> dict[str, np.ndarray]:
+            parts = zip(held.items(), np.split(flat, ends), strict=True)
+            return {name: part.reshape(like.shape) for (name, like), part in parts}
+
+        self.gradient, own = views(self.gradients), views(self.parameters)
+        self.classes, self.words = own["classes"], own["words"]
+        for name, part in own.items():
+            if name in biased:
+                setattr(network, biased[name], part[..., -1])
+                part = part[..., :-1]
+            setattr(network, name, part)
+
+    def step(self, n: int) -> None:
+        """The gradients are of the sum over so many windows."""
+        self.gradients /= np.float32(n)
+        np.multiply(self.gradients, self.gradients, out=self.scratch)
+        self.squares += self.scratch
+        np.sqrt(self.squares, out=self.scratch)
+        self.gradients *= np.float32(RATE)
+        np.divide(self.gradients, self.scratch, out=self.scratch)
+        self.parameters -= self.scratch
+
+
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray | float, np.ndarray]:
+    """What was taken from each row so that the exponentials, which replace the logits, have sums in range; the sums."""
+    ones = _ONES[logits.shape[1]]
+    # Rows are rarely near the bounds of 32 bits; the largest logit of each row costs more than the exponentials.
+    if logits.max(initial=0) < _SAFE and logits.min(initial=0) > -_SAFE:
+        np.exp(logits, out=logits)
+        return 0.0, logits @ ones
+    most = logits.max(axis=1, keepdims=True)
+    logits -= most
+    np.exp(logits, out=logits)
+    return most[:, 0], logits @ ones
 
 
 def _softmax(logits: np.ndarray) -> None:
     """In place."""
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= (logits @ np.ones(logits.shape[1], np.float32))[:, None]
+    _, sums = _exponentials(logits)
+    logits *= np.divide(1, sums, out=sums)[:, None]
 
 
 def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The logarithm of the probability at one place of each row; the logits are overwritten."""
-    logits -= logits.max(axis=1, keepdims=True)
     found = logits[np.arange(len(at)), at].astype(float)
-    np.exp(logits, out=logits)
-    return found - np.log(logits @ np.ones(logits.shape[1], np.float32))
+    taken, sums = _exponentials(logits)
+    return found - taken - np.log(sums)
 
 
 def _order(tokens: np.ndarray) -> np.ndarray:
@@ -197,21 +277,76 @@ class Vocabulary(dict):
         return token
 
 
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+_CRC = _crc_table()
+
+
+def buckets_of(words: pa.Array) -> np.ndarray:
+    """The tokens that `Vocabulary` gives words outside it."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    if not len(words):
+        return np.empty(0, np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    ends, sizes = offsets[1:], np.diff(offsets)
+    crc = np.minimum(sizes, 20).astype(np.uint32) ^ np.uint32(0xFFFFFFFF)
+    for back in (3, 2, 1):
+        some = np.flatnonzero(sizes >= back)
+        crc[some] = _CRC[(crc[some] ^ data[ends[some] - back]) & 255] ^ (crc[some] >> 8)
+    return _TOKENS - BUCKETS + ((crc ^ np.uint32(0xFFFFFFFF)) % BUCKETS).astype(np.int64)
+
+
+@dataclass(frozen=True)
+class Words:
+    """The words that tasks know, in order of frequency: the first ones are tokens."""
+
+    known: pa.Array
+    n: np.ndarray
+
+    @staticmethod
+    def of(vocabulary: dict[bytes, int]) -> Words:
+        return Words(pa.array(sorted(vocabulary, key=vocabulary.get), pa.binary()), np.ones(len(vocabulary), np.int64))
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Places among the known words; -1 for others."""
+        return pc.fill_null(pc.index_in(words, value_set=self.known), -1).to_numpy()
+
+    def tokens(self, words: pa.Array, places: np.ndarray) -> np.ndarray:
+        return np.where((places >= 0) & (places < _TOKENS - BUCKETS), places, buckets_of(words))
+
+    def read(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+        """Tokens of all words of all texts, words of each text, distinct words, their places, and which each word is."""
+        words, n_words = all_words(texts)
+        found = words.dictionary_encode()
+        distinct, which = found.dictionary, found.indices.to_numpy()
+        places = self.places(distinct)
+        return self.tokens(distinct, places).astype(np.int16)[which], n_words, distinct, places, which
+
+
 def _counts_of(text: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(counts: Counter[bytes]) -> pa.RecordBatch:
-            words = pa.array(list(counts), pa.binary())
-            return pa.RecordBatch.from_pydict({"word": words, "n": pa.array(list(counts.values()), pa.int64())})
+        def merged(held: list[pa.Table]) -> pa.Table:
+            sums = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            return sums.rename_columns({"n_sum": "n"}).select(["word", "n"])
 
-        counts: Counter[bytes] = Counter()
+        held, n_rows = [], 0
         for batch in pieces(batches, text):
-            data, offsets = raw(texts_of(batch.column(text)))
-            for a, b in itertools.pairwise(offsets.tolist()):
-                counts.update(words_of(data[a:b].tobytes()))
-            if len(counts) > _COUNTED:
-                yield rows(counts)
-                counts = Counter()
-        yield rows(counts)
+            words, n = all_words(texts_of(batch.column(text)))[0].value_counts().flatten()
+            held.append(pa.table({"word": words, "n": n}))
+            n_rows += len(words)
+            if n_rows > 2 * _COUNTED:
+                held = [merged(held)]
+                n_rows = held[0].num_rows
+                if n_rows > _COUNTED:
+                    yield from held[0].to_batches()
+                    held, n_rows = [], 0
+        if held:
+            yield from merged(held).to_batches()
 
     return count
 
@@ -222,40 +357,44 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(_counts_of(text), schema).groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _bucket_counts(vocabulary: dict[bytes, int]):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, sums = Vocabulary(vocabulary), np.zeros(_TOKENS, np.int64)
-        for batch in batches:
-            tokens = np.fromiter((known[word] for word in batch.column("word").to_pylist()), np.int64, batch.num_rows)
-            np.add.at(sums, tokens, batch.column("n").to_numpy())
-        buckets = np.flatnonzero(sums[-BUCKETS:])
-        yield pa.RecordBatch.from_pydict({"bucket": pa.array(buckets, pa.int32()), "n": sums[-BUCKETS:][buckets]})
+def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums = np.zeros(_TOKENS, np.int64)
+    for batch in batches:
+        np.add.at(sums, buckets_of(batch.column("word")), batch.column("n").to_numpy())
+    buckets = np.flatnonzero(sums[-BUCKETS:])
+    yield pa.RecordBatch.from_pydict({"bucket": pa.array(buckets, pa.int32()), "n": sums[-BUCKETS:][buckets]})
 
-    return count
 
+def _train_batches(vocabulary: dict[bytes, int], start: Network, seed: int, column: str, most: int | None):
+    """The column has texts, or token ids as bytes."""
 
-def _train_batches(vocabulary: dict[bytes, int], start: Network, seed: int, text: str, most: int | None):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Vocabulary(vocabulary)
+        words = Words.of(vocabulary)
         network = Network.of_flat(start.flat().copy(), start)
-        state = [np.full(getattr(network, f.name).shape, START, np.float32) for f in fields(network)]
+        state = Adagrad(network)
         random, seen = np.random.default_rng(seed), 0
-        for batch in pieces(batches, text):
-            data, offsets = raw(texts_of(batch.column(text)))
-            tokens = []
-            for a, b in itertools.pairwise(offsets.tolist()):
-                words = words_of(data[a:b].tobytes())
-                tokens.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
-            line, target = _line(tokens)
+        for batch in pieces(batches, column):
+            held = batch.column(column)
+            if pa.types.is_binary(held.type):
+                tokens, n_words = _tokens_in(held)
+            else:
+                tokens, n_words, *_ = words.read(texts_of(held))
+            line, target = _line(tokens, n_words)
             if most is not None:
-                target = _spread(target, [len(t) for t in tokens], most)
-            random.shuffle(target)
-            a = 0
-            while a < len(target):
-                at = target[a : a + min(BATCH, max(FIRST_BATCH, (seen + a) // GROWTH))]
-                network.train(line[at[:, None] + _AROUND], line[at], state)
-                a += len(at)
-            seen += len(target)
+                target = _spread(target, n_words.tolist(), most)
+            if not len(target):
+                continue
+            # The first steps have few windows, so these are from everywhere.
+            begins, sizes = _neighbours(target, 1 if seen < GROWTH * BATCH else RUN)
+            order = random.permutation(len(begins))
+            begins, ends = begins[order], np.cumsum(sizes[order])
+            a = done = 0
+            while a < len(begins):
+                size = min(BATCH, max(FIRST_BATCH, (seen + done) // GROWTH))
+                b = max(a + 1, int(np.searchsorted(ends, done + size, "right")))
+                network.train(*_cut_out(line, begins[a:b], np.diff(ends[a:b], prepend=done)), state)
+                a, done = b, int(ends[b - 1])
+            seen += done
         if seen:
             flat = network.flat() * np.float32(seen)
             blocks = [flat[a : a + _BLOCK].tobytes() for a in range(0, len(flat), _BLOCK)]
@@ -270,11 +409,36 @@ def _train_batches(vocabulary: dict[bytes, int], start: Network, seed: int, text
     return train
 
 
-def _line(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts in a row, padded between, and where their words are."""
-    gap = np.full(SIDE, _PAD, np.int32)
-    line = np.concatenate([gap, *itertools.chain.from_iterable((t, gap) for t in tokens)])
-    return line, np.flatnonzero(line != _PAD)
+def _tokens_in(held: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    data, offsets = raw(pc.fill_null(held.cast(pa.large_binary()), b""))
+    return data.view(np.int16), np.diff(offsets) // 2
+
+
+def _line(tokens: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All texts in a row, padded before, between and after, and where their words are."""
+    before = np.repeat(SIDE * np.arange(1, len(n_words) + 1), n_words)
+    target = before + np.arange(len(tokens))
+    line = np.full(len(tokens) + SIDE * (len(n_words) + 1), _PAD, np.int64)
+    line[target] = tokens
+    return line, target
+
+
+def _neighbours(target: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and sizes of runs of places that follow each other, so many at most."""
+    fresh = np.concatenate([[True], np.diff(target) != 1])
+    since = np.arange(len(target))
+    since -= np.maximum.accumulate(np.where(fresh, since, 0))
+    begins = np.flatnonzero(since % most == 0)
+    return target[begins], np.diff(begins, append=len(target))
+
+
+def _cut_out(line: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs with `SIDE` neighbours before and after each as a line of their own, and the places of their words."""
+    wide = sizes + 2 * SIDE
+    starts = np.cumsum(wide) - wide
+    within = np.arange(wide.sum()) - np.repeat(starts, wide)
+    places = np.flatnonzero((within >= SIDE) & (within < np.repeat(sizes + SIDE, wide)))
+    return line[np.repeat(begins - SIDE, wide) + within], places
 
 
 def _spread(target: np.ndarray, n_words: list[int], most: int) -> np.ndarray:
@@ -317,39 +481,86 @@ class Model:
     network: Network
     counts: DataFrame  # (word, n) of all words
     buckets: np.ndarray  # words in each bucket
+    words: Words
 
 
-def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, per_document: int | None = None) -> Model:
-    """Counts all words, keeps the most frequent ones and trains on a window for each word of all documents.
-
-    Tasks read the texts in each round, and windows are never rows. `per_document` bounds the windows that a document
-    gives, spread over its whole length; without it there is no bound.
-
-    The vocabulary and the network have a fixed size, and only they come to the driver. Blocks of parameters are
-    summed by a shuffle, not on the driver. Without any words the network gives every token the same probability.
-    """
-    small_batches(docs)
-    frequent = _TOKENS - BUCKETS
+def _most_frequent(counts: DataFrame) -> tuple[list[bytes], list[int]]:
+    """Some of the most frequent words and their counts, enough for the tokens and `KNOWN` at most, in order."""
+    step = F.floor(16 * F.log2("n")).cast("int")
+    sizes = {row["step"]: row["count"] for row in counts.groupBy(step.alias("step")).count().collect()}
+    least, n_words = None, 0
+    for k in sorted(sizes, reverse=True):
+        if n_words + sizes[k] > KNOWN:
+            break
+        least, n_words = k, n_words + sizes[k]
+    if n_words == sum(sizes.values()) or n_words >= _TOKENS - BUCKETS:
+        rows = counts.where(step >= least).collect() if n_words else []
+    else:
+        # Very many words of nearly one count.
+        rows = counts.orderBy(F.desc("n"), "word").limit(_TOKENS - BUCKETS).collect()
+    found = sorted((-row["n"], bytes(row["word"])) for row in rows)
+    return [word for _, word in found], [-n for n, _ in found]
+
+
+def _count(docs: DataFrame, text: str) -> tuple[Words, DataFrame, np.ndarray]:
+    """The known words, the counts of all words, and the words of each token."""
     counts = write_shared(word_counts(docs, text), "words")
-    top = counts.orderBy(F.desc("n"), "word").limit(frequent).collect()
-    vocabulary = {bytes(row["word"]): k for k, row in enumerate(top)}
+    known, n = _most_frequent(counts)
+    words, frequent = Words(pa.array(known, pa.binary()), np.array(n, np.int64)), _TOKENS - BUCKETS
     mass = np.zeros(_TOKENS)
-    mass[: len(top)] = [row["n"] for row in top]
+    mass[: len(n[:frequent])] = n[:frequent]
+    # All words by their buckets, less those that are tokens.
+    np.subtract.at(mass, buckets_of(words.known[:frequent]), n[:frequent])
     schema = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("n", T.LongType())])
-    summed = counts.mapInArrow(_bucket_counts(vocabulary), schema).groupBy("bucket").agg(F.sum("n").alias("n"))
+    summed = counts.mapInArrow(_bucket_counts, schema).groupBy("bucket").agg(F.sum("n").alias("n"))
     for row in summed.collect():
-        mass[frequent + row["bucket"]] = row["n"]
+        mass[frequent + row["bucket"]] += row["n"]
+    return words, counts, mass
+
+
+def _train(encoded: DataFrame, mass: np.ndarray, rounds: int, most: int | None) -> Network:
     network = Network.new(mass)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for step in range(rounds):
-        trained = docs.select(text).mapInArrow(_train_batches(vocabulary, network, step, text, per_document), _BLOCKS)
+        trained = encoded.select("__tokens").mapInArrow(_train_batches({}, network, step, "__tokens", most), _BLOCKS)
         summed = trained.repartition(parts, "block").mapInArrow(_sum_blocks, _BLOCKS)
         # A network's worth of rows, however many tasks there were.
         rows = sorted(summed.collect(), key=lambda row: row["block"])
         if not rows:
             break
         network = Network.of_flat(np.concatenate([np.frombuffer(row["values"], np.float32) for row in rows]), network)
-    return Model(vocabulary, network, counts, mass[frequent:])
+    return network
+
+
+def _learned(
+    docs: DataFrame, text: str, rounds: int, per_document: int | None, keep_text: bool
+) -> tuple[Model, DataFrame]:
+    """The model, and the documents as token ids."""
+    small_batches(docs)
+    words, counts, mass = _count(docs, text)
+    buckets = mass[_TOKENS - BUCKETS :]
+    encoded = _encoded(docs, words, buckets, text, keep_text)
+    vocabulary = {word: k for k, word in enumerate(words.known[: _TOKENS - BUCKETS].to_pylist())}
+    return Model(vocabulary, _train(encoded, mass, rounds, per_document), counts, buckets, words), encoded
+
+
+def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, per_document: int | None = None) -> Model:
+    """Counts all words, keeps the most frequent ones and trains on a window for each word of all documents.
+
+    Token ids are written once and read in each round, and windows are never rows. `per_document` bounds the windows
+    that a document gives, spread over its whole length; without it there is no bound.
+
+    The known words and the network have a bounded size, and only they come to the driver. Blocks of parameters are
+    summed by a shuffle, not on the driver. Without any words the network gives every token the same probability.
+    """
+    return _learned(docs.select(text), text, rounds, per_document, False)[0]
+
+
+def learn_and_score(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, keep_text: bool = True) -> DataFrame:
+    """`score` of the documents by the model that `learn` makes of them, with their token ids written once for both."""
+    docs = docs.drop("per_word") if text != "per_word" else docs
+    model, encoded = _learned(docs, text, rounds, None, keep_text)
+    return _scored(encoded, model)
 
 
 _RARE = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("times", T.LongType())]))
@@ -357,54 +568,76 @@ _RARE = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.Struc
 _SCALE = 1e9
 
 
-def _score_batches(vocabulary: dict[bytes, int], network: Network, buckets: np.ndarray, text: str, keep_text: bool):
-    # The share of a word is n / (all + 1), and of words that were not counted 1 / (all + 1) together. Here only the
-    # divisor is known.
+def _encode_batches(words: Words, buckets: np.ndarray, text: str, keep_text: bool):
+    # The share of a word is n / (all + 1), and of words that were not counted 1 / (all + 1) together. Here the divisor
+    # is known, and the counts of the known words.
     divisors = np.concatenate([np.zeros(_TOKENS - BUCKETS), np.log(buckets + 1)])
+    logs = np.concatenate([np.log(words.n), [0.0]])
+    logs[: min(len(words.n), _TOKENS - BUCKETS)] = 0
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Vocabulary(vocabulary)
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text):
-            data, offsets = raw(texts_of(batch.column(text)))
-            n_words, tokens, rare, times, ends, divided = [], [], [], [], [0], []
-            for a, b in itertools.pairwise(offsets.tolist()):
-                words = words_of(data[a:b].tobytes())
-                found = np.fromiter(map(known.__getitem__, words), np.int32, len(words))
-                outside = Counter(itertools.compress(words, (found >= _TOKENS - BUCKETS).tolist()))
-                rare += outside
-                times += outside.values()
-                ends.append(len(rare))
-                n_words.append(len(words))
-                tokens.append(found)
-                divided.append(divisors[found].sum())
-            n_words = np.array(n_words, np.int64)
-            sums = _sums(network, tokens, n_words) - np.array(divided)
-            outside = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64())], ["word", "times"])
-            rows = with_columns(
+            tokens, n_words, distinct, places, which = words.read(texts_of(batch.column(text)))
+            shares = logs[places] - divisors[words.tokens(distinct, places)]
+            row = np.repeat(np.arange(len(n_words)), n_words)
+            unknown = np.flatnonzero((places < 0)[which])
+            keys, times = np.unique(row[unknown] * np.int64(len(distinct) + 1) + which[unknown], return_counts=True)
+            rows, word = np.divmod(keys, np.int64(len(distinct) + 1))
+            rare = pa.StructArray.from_arrays([distinct.take(pa.array(word)), pa.array(times, pa.int64())], ["word", "times"])
+            ends = np.searchsorted(rows, np.arange(len(n_words) + 1)).astype(np.int32)
+            at = (2 * np.concatenate([[0], np.cumsum(n_words)])).astype(np.int32)
+            ids = pa.Array.from_buffers(pa.binary(), len(n_words), [None, pa.py_buffer(at), pa.py_buffer(tokens)])
+            done = with_columns(
                 batch,
                 {
-                    "n_words": pa.array(n_words),
-                    "log_likelihood": pa.array(sums),
-                    "__rare": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), outside),
+                    "n_words": pa.array(n_words, pa.int64()),
+                    "log_likelihood": pa.array(np.bincount(row, shares[which], len(n_words))),
+                    "__tokens": ids,
+                    "__rare": pa.ListArray.from_arrays(pa.array(ends), rare),
                 },
             )
-            yield rows if keep_text else rows.drop_columns([text])
+            yield done if keep_text else done.drop_columns([text])
+
+    return encode
+
+
+def _encoded(docs: DataFrame, words: Words, buckets: np.ndarray, text: str, keep_text: bool) -> DataFrame:
+    """Writes the rows with a number, their token ids, what the known words' shares add, and the other words."""
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    added = {"n_words": T.LongType(), "log_likelihood": T.DoubleType(), "__tokens": T.BinaryType()}
+    schema = widened(numbered, **added, __rare=_RARE)
+    if not keep_text:
+        schema = T.StructType([field for field in schema.fields if field.name != text])
+    return write_shared(numbered.mapInArrow(_encode_batches(words, buckets, text, keep_text), schema), "encoded")
+
+
+def _score_batches(network: Network):
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "__tokens"):
+            tokens, n_words = _tokens_in(batch.column("__tokens"))
+            total = batch.column("log_likelihood").to_numpy() + _sums_of(network, tokens, n_words)
+            yield with_columns(batch, {"log_likelihood": pa.array(total)}).drop_columns(["__tokens"])
 
     return score
 
 
 def _sums(network: Network, tokens: list[np.ndarray], n_words: np.ndarray) -> np.ndarray:
     """Sums of the words' log-probabilities."""
-    line, target = _line(tokens)
-    text = np.repeat(np.arange(len(tokens)), n_words)
-    sums = np.zeros(len(tokens))
+    return _sums_of(network, np.concatenate([np.empty(0, np.int16), *tokens]), n_words)
+
+
+def _sums_of(network: Network, tokens: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+    line, target = _line(tokens, n_words)
+    text = np.repeat(np.arange(len(n_words)), n_words)
+    sums = np.zeros(len(n_words))
     for a in range(0, len(target), _CHUNK):
         at = target[a : a + _CHUNK]
         found = network.log_probabilities(line[at[:, None] + _AROUND], line[at])
-        sums += np.bincount(text[a : a + _CHUNK], found, len(tokens))
+        sums += np.bincount(text[a : a + _CHUNK], found, len(n_words))
     return sums
 
 
+
 def score(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = True) -> DataFrame:
     """All rows of `docs` with `n_words`, `log_likelihood` (their sum) and `per_word` (their mean).
 
@@ -414,21 +647,21 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = T
     `keep_text` leaves them out.
     """
     small_batches(docs)
-    added = {"n_words": T.LongType(), "log_likelihood": T.DoubleType()}
     docs = docs.drop("per_word") if text != "per_word" else docs
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    schema = widened(numbered, **added, __rare=_RARE)
-    if not keep_text:
-        schema = T.StructType([field for field in schema.fields if field.name != text])
-    batches = _score_batches(model.vocabulary, model.network, model.buckets, text, keep_text)
-    scored = write_shared(numbered.mapInArrow(batches, schema), "scored")
-    rare = scored.select("__row", F.inline("__rare"))
+    return _scored(_encoded(docs, model.words, model.buckets, text, keep_text), model)
+
+
+def _scored(encoded: DataFrame, model: Model) -> DataFrame:
+    numbered = encoded.drop("__rare")
+    schema = T.StructType([field for field in widened(numbered, log_likelihood=T.DoubleType()).fields if field.name != "__tokens"])
+    scored = numbered.mapInArrow(_score_batches(model.network), schema)
+    rare = encoded.select("__row", F.inline("__rare"))
     # The logarithm of 1 is 0, for words that occur once as for words that were not counted.
     counts = model.counts.where("n > 1").select("word", F.round(F.ln("n") * _SCALE).cast("long").alias("__log"))
     shares = rare.join(counts, "word").groupBy("__row").agg(F.sum(F.col("times") * F.col("__log")).alias("__shares"))
     total = F.col("log_likelihood") + F.coalesce(F.col("__shares") / _SCALE, F.lit(0.0))
-    kept = [F.col(name) for name in scored.columns if name not in ("__row", "__rare", "log_likelihood")]
-    return scored.drop("__rare").join(shares, "__row", "left").select(
+    kept = [F.col(name) for name in scored.columns if name not in ("__row", "log_likelihood")]
+    return scored.join(shares, "__row", "left").select(
         *kept,
         F.round(total, 4).alias("log_likelihood"),
         F.when(F.col("n_words") > 0, F.round(total / F.col("n_words"), 6)).alias("per_word"),
