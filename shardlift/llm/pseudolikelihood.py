@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import itertools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, fields
 
 import numpy as np
@@ -44,6 +44,8 @@ _TOKENS = CLASSES * CLASS_SIZE
 _PAD = _TOKENS
 _CHUNK = 1 << 13
 _BLOCK = 4096
+# Parameters that are worked on at once.
+_PARAMETERS = 1 << 16
 _AROUND = np.array([k for k in range(-SIDE, SIDE + 1) if k])
 # Words that a `Vocabulary` remembers the bucket of.
 _REMEMBERED = 500_000
@@ -111,87 +113,107 @@ class Network:
             at += old.size
         return Network(*parts)
 
-    def hidden(self, context: np.ndarray) -> np.ndarray:
+    def scorer(self) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+        """Log-probabilities of targets in their contexts; what only the parameters decide is worked out once."""
         inner = self.inner.reshape(2 * SIDE, EMBEDDING, HIDDEN)
-        hidden = np.tile(self.inner_bias, (len(context), 1))
-        for k in range(2 * SIDE):
-            hidden += np.take(self.embedding @ inner[k], context[:, k], axis=0)
-        return np.tanh(hidden, out=hidden)
-
-    def inside(self, hidden: np.ndarray, runs: list[tuple[int, int, int]]) -> np.ndarray:
-        """Logits of the words in the class of each row; rows lie in runs of one class."""
-        logits = np.empty((len(hidden), CLASS_SIZE), np.float32)
-        for c, a, b in runs:
-            np.matmul(hidden[a:b], self.words[c].T, out=logits[a:b])
-            logits[a:b] += self.word_bias[c]
-        return logits
-
-    def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        order = _order(target)
-        klass, word = np.divmod(target[order], CLASS_SIZE)
-        hidden = self.hidden(context[order])
-        outer = hidden @ self.classes.T
-        outer += self.class_bias
-        logits = self.inside(hidden, _runs(klass))
-        out = np.empty(len(target))
-        out[order] = _log_softmax_at(outer, klass) + _log_softmax_at(logits, word)
-        return out
+        towards = [self.embedding @ inner[k] for k in range(2 * SIDE)]
+        classes = np.ascontiguousarray(np.concatenate([self.classes, self.class_bias[:, None]], axis=1).T)
+        words = np.concatenate([self.words, self.word_bias[..., None]], axis=2)
+        words = np.ascontiguousarray(words.transpose(0, 2, 1))
+
+        def score(context: np.ndarray, target: np.ndarray) -> np.ndarray:
+            order = _order(target)
+            context, (klass, word) = context[order], np.divmod(target[order], CLASS_SIZE)
+            inner = np.take(towards[0], context[:, 0], axis=0)
+            for k in range(1, 2 * SIDE):
+                inner += np.take(towards[k], context[:, k], axis=0)
+            inner += self.inner_bias
+            # The last column is for the biases.
+            hidden = np.ones((len(target), HIDDEN + 1), np.float32)
+            np.tanh(inner, out=hidden[:, :-1])
+            logits = _product(hidden, classes)
+            found = _log_softmax_at(logits, klass)
+            for c, a, b in _runs(klass):
+                np.matmul(hidden[a:b], words[c], out=logits[a:b])
+            out = np.empty(len(target))
+            out[order] = found + _log_softmax_at(logits, word)
+            return out
+
+        return score
 
     def train(self, line: np.ndarray, places: np.ndarray, state: Adagrad) -> None:
         """One step of Adagrad on the windows around these places of a line, which are `SIDE` or more from its ends."""
         n = len(places)
-        order = _order(line[places])
-        at = places[order]
+        at = places[_order(line[places])]
         klass, word = np.divmod(line[at], CLASS_SIZE)
-        runs, starts = _runs(klass), np.arange(n) * CLASS_SIZE
-        gradient, classes, words = state.gradient, state.classes, state.words
+        runs, rows, share = _runs(klass), np.arange(n), np.float32(1 / n)
+        gradient, classes, of_class = state.gradient, state.classes, state.of_class
         inputs = np.take(self.embedding, line[at[:, None] + _AROUND], axis=0).reshape(n, -1)
         # The last column is for the biases.
         hidden = np.ones((n, HIDDEN + 1), np.float32)
-        inner = inputs @ self.inner
+        inner = _product(inputs, self.inner)
         inner += self.inner_bias
         np.tanh(inner, out=hidden[:, :-1])
-        error = hidden @ classes.T
-        _softmax(error)
-        error.ravel()[np.arange(n) * CLASSES + klass] -= 1
-        back = error @ self.classes
-        np.matmul(error.T, hidden, out=gradient["classes"])
-        inside = np.empty((n, CLASS_SIZE), np.float32)
-        for c, a, b in runs:
-            np.matmul(hidden[a:b], words[c].T, out=inside[a:b])
-        _softmax(inside)
-        inside.ravel()[starts + word] -= 1
+        error = _product(hidden, np.ascontiguousarray(classes.T))
+        _softmax(error, share)
+        error.ravel()[rows * CLASSES + klass] -= share
+        back = _product(error, self.classes)
+        gradient["classes"][:] = _crossed(error, hidden)
+        inside = error
+        parts = [(of_class[c], hidden[a:b], inside[a:b], inner[a:b]) for c, a, b in runs]
+        for (words, *_), given, out, _ in parts:
+            np.matmul(given, words, out=out)
+        _softmax(inside, share)
+        inside.ravel()[rows * CLASS_SIZE + word] -= share
         # Classes that are not in the batch have the gradient zero.
         gradient["words"][:] = 0
-        more = np.empty_like(back)
-        for c, a, b in runs:
-            np.matmul(inside[a:b], self.words[c], out=more[a:b])
-            np.matmul(inside[a:b].T, hidden[a:b], out=gradient["words"][c])
-        back += more
-        inner = hidden[:, :-1] * hidden[:, :-1]
+        for (_, words, of_words), given, wrong, more in parts:
+            np.matmul(wrong, words, out=more)
+            of_words += wrong.T @ given
+        back += inner
+        np.multiply(hidden[:, :-1], hidden[:, :-1], out=inner)
         back *= np.subtract(1, inner, out=inner)
-        np.matmul(inputs.T, back, out=gradient["inner"])
-        np.matmul(np.ones(n, np.float32), back, out=gradient["inner_bias"])
-        gradient["embedding"][:] = self._by_token(line, at, back)
-        state.step(n)
+        gradient["inner"][:] = _crossed(inputs, back)
+        gradient["inner_bias"][:] = np.ones(n, np.float32) @ back
+        self._embedding_gradient(line, at, back, gradient["embedding"])
+        state.step()
 
-    def _by_token(self, line: np.ndarray, at: np.ndarray, back: np.ndarray) -> np.ndarray:
-        """The gradient of the embedding."""
+    def _embedding_gradient(self, line: np.ndarray, at: np.ndarray, back: np.ndarray, out: np.ndarray) -> None:
         n, m = len(at), len(line)
+        towards = np.ascontiguousarray(self.inner.T)
         if m >= 2 * n:
-            # A row for each neighbour and component, so that the sums by token run over neighbours.
-            towards = (self.inner @ back.T).reshape(2 * SIDE, EMBEDDING, n)
-            tokens = line[at[:, None] + _AROUND].T.ravel()
-            sums, line = [towards[:, k].ravel() for k in range(EMBEDDING)], tokens
+            # A row for each neighbour, so that the sums by token run over neighbours.
+            sums, line = _product(back, towards).reshape(-1, EMBEDDING), line[at[:, None] + _AROUND].ravel()
         else:
             # Windows overlap: a row for each place, so that they run once over the line and not for each neighbour.
             placed = np.zeros((m, HIDDEN), np.float32)
             placed[at] = back
-            towards = (self.inner @ placed.T).reshape(2 * SIDE, EMBEDDING, m)
-            sums = np.zeros((EMBEDDING, m))
+            each = _product(placed, towards).reshape(m, 2 * SIDE, EMBEDDING)
+            sums = np.zeros((m, EMBEDDING), np.float32)
             for k, d in enumerate(_AROUND.tolist()):
-                sums[:, max(d, 0) : m + min(d, 0)] += towards[k, :, max(-d, 0) : m - max(d, 0)]
-        return np.stack([np.bincount(line, row, _TOKENS + 1) for row in sums], axis=1)
+                sums[max(d, 0) : m + min(d, 0)] += each[max(-d, 0) : m - max(d, 0), k]
+        sums = np.ascontiguousarray(sums.T)
+        for k in range(EMBEDDING):
+            out[:, k] = np.bincount(line, sums[k], _TOKENS + 1)
+
+
+# Products of many rows with few columns: in blocks of so many rows they are quicker, as small ones need no packing.
+_ROWS = 256
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = np.empty((len(a), b.shape[1]), np.float32)
+    whole = len(a) // _ROWS * _ROWS
+    np.matmul(a[:whole].reshape(-1, _ROWS, a.shape[1]), b, out=out[:whole].reshape(-1, _ROWS, b.shape[1]))
+    np.matmul(a[whole:], b, out=out[whole:])
+    return out
+
+
+def _crossed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a.T @ b"""
+    whole = len(a) // _ROWS * _ROWS
+    blocks = a[:whole].reshape(-1, _ROWS, a.shape[1]).transpose(0, 2, 1) @ b[:whole].reshape(-1, _ROWS, b.shape[1])
+    return blocks.sum(axis=0) + a[whole:].T @ b[whole:]
 
 
 class Adagrad:
@@ -212,22 +234,24 @@ class Adagrad:
             return {name: part.reshape(like.shape) for (name, like), part in parts}
 
         self.gradient, own = views(self.gradients), views(self.parameters)
-        self.classes, self.words = own["classes"], own["words"]
+        self.classes = own["classes"]
+        # Of each class: parameters by word, weights by component, gradient.
+        self.of_class = [(w.T, w[:, :-1], g) for w, g in zip(own["words"], self.gradient["words"], strict=True)]
         for name, part in own.items():
             if name in biased:
                 setattr(network, biased[name], part[..., -1])
                 part = part[..., :-1]
             setattr(network, name, part)
 
-    def step(self, n: int) -> None:
-        """The gradients are of the sum over so many windows."""
-        self.gradients /= np.float32(n)
-        np.multiply(self.gradients, self.gradients, out=self.scratch)
-        self.squares += self.scratch
-        np.sqrt(self.squares, out=self.scratch)
-        self.gradients *= np.float32(RATE)
-        np.divide(self.gradients, self.scratch, out=self.scratch)
-        self.parameters -= self.scratch
+    def step(self) -> None:
+        for a in range(0, len(self.parameters), _PARAMETERS):
+            gradient, squares, scratch = (x[a : a + _PARAMETERS] for x in (self.gradients, self.squares, self.scratch))
+            np.multiply(gradient, gradient, out=scratch)
+            squares += scratch
+            np.sqrt(squares, out=scratch)
+            np.divide(gradient, scratch, out=scratch)
+            scratch *= np.float32(RATE)
+            self.parameters[a : a + _PARAMETERS] -= scratch
 
 
 def _exponentials(logits: np.ndarray) -> tuple[np.ndarray | float, np.ndarray]:
@@ -243,10 +267,10 @@ def _exponentials(logits: np.ndarray) -> tuple[np.ndarray | float, np.ndarray]:
     return most[:, 0], logits @ ones
 
 
-def _softmax(logits: np.ndarray) -> None:
-    """In place."""
+def _softmax(logits: np.ndarray, whole: np.float32) -> None:
+    """In place, with this sum."""
     _, sums = _exponentials(logits)
-    logits *= np.divide(1, sums, out=sums)[:, None]
+    logits *= np.divide(whole, sums, out=sums)[:, None]
 
 
 def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -262,8 +286,12 @@ def _order(tokens: np.ndarray) -> np.ndarray:
 
 
 def _runs(klass: np.ndarray) -> list[tuple[int, int, int]]:
-    """(class, begin, end) of the runs of a sorted array."""
+    """(class, begin, end) of the runs of a sorted array, in pieces of `_ROWS` at most."""
     begins = np.flatnonzero(np.concatenate([[True], klass[1:] != klass[:-1]]))
+    sizes = np.diff(begins, append=len(klass))
+    if sizes.max(initial=0) > _ROWS:
+        since = np.arange(len(klass)) - np.repeat(begins, sizes)
+        begins = np.flatnonzero(since % _ROWS == 0)
     return list(zip(klass[begins].tolist(), begins.tolist(), [*begins[1:].tolist(), len(klass)], strict=True))
 
 
@@ -385,14 +413,17 @@ def _train_batches(vocabulary: dict[bytes, int], start: Network, seed: int, colu
             if not len(target):
                 continue
             # The first steps have few windows, so these are from everywhere.
-            begins, sizes = _neighbours(target, 1 if seen < GROWTH * BATCH else RUN)
+            longest = 1 if seen < GROWTH * BATCH else RUN
+            begins, sizes = _neighbours(target, longest)
+            # Short runs may reach over the end.
+            line = np.append(line, np.full(longest, _PAD))
             order = random.permutation(len(begins))
             begins, ends = begins[order], np.cumsum(sizes[order])
             a = done = 0
             while a < len(begins):
                 size = min(BATCH, max(FIRST_BATCH, (seen + done) // GROWTH))
                 b = max(a + 1, int(np.searchsorted(ends, done + size, "right")))
-                network.train(*_cut_out(line, begins[a:b], np.diff(ends[a:b], prepend=done)), state)
+                network.train(*_cut_out(line, begins[a:b], np.diff(ends[a:b], prepend=done), longest), state)
                 a, done = b, int(ends[b - 1])
             seen += done
         if seen:
@@ -432,13 +463,11 @@ def _neighbours(target: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return target[begins], np.diff(begins, append=len(target))
 
 
-def _cut_out(line: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _cut_out(line: np.ndarray, begins: np.ndarray, sizes: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
     """The runs with `SIDE` neighbours before and after each as a line of their own, and the places of their words."""
-    wide = sizes + 2 * SIDE
-    starts = np.cumsum(wide) - wide
-    within = np.arange(wide.sum()) - np.repeat(starts, wide)
-    places = np.flatnonzero((within >= SIDE) & (within < np.repeat(sizes + SIDE, wide)))
-    return line[np.repeat(begins - SIDE, wide) + within], places
+    within = np.arange(-SIDE, longest + SIDE)
+    inside = (within >= 0) & (within < sizes[:, None])
+    return line[begins[:, None] + within].ravel(), np.flatnonzero(inside)
 
 
 def _spread(target: np.ndarray, n_words: list[int], most: int) -> np.ndarray:
@@ -613,9 +642,10 @@ def _encoded(docs: DataFrame, words: Words, buckets: np.ndarray, text: str, keep
 
 def _score_batches(network: Network):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scored = network.scorer()
         for batch in pieces(batches, "__tokens"):
             tokens, n_words = _tokens_in(batch.column("__tokens"))
-            total = batch.column("log_likelihood").to_numpy() + _sums_of(network, tokens, n_words)
+            total = batch.column("log_likelihood").to_numpy() + _sums_of(scored, tokens, n_words)
             yield with_columns(batch, {"log_likelihood": pa.array(total)}).drop_columns(["__tokens"])
 
     return score
@@ -623,16 +653,16 @@ def _score_batches(network: Network):
 
 def _sums(network: Network, tokens: list[np.ndarray], n_words: np.ndarray) -> np.ndarray:
     """Sums of the words' log-probabilities."""
-    return _sums_of(network, np.concatenate([np.empty(0, np.int16), *tokens]), n_words)
+    return _sums_of(network.scorer(), np.concatenate([np.empty(0, np.int16), *tokens]), n_words)
 
 
-def _sums_of(network: Network, tokens: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+def _sums_of(scored: Callable[[np.ndarray, np.ndarray], np.ndarray], tokens: np.ndarray, n_words: np.ndarray) -> np.ndarray:
     line, target = _line(tokens, n_words)
     text = np.repeat(np.arange(len(n_words)), n_words)
     sums = np.zeros(len(n_words))
     for a in range(0, len(target), _CHUNK):
         at = target[a : a + _CHUNK]
-        found = network.log_probabilities(line[at[:, None] + _AROUND], line[at])
+        found = scored(line[at[:, None] + _AROUND], line[at])
         sums += np.bincount(text[a : a + _CHUNK], found, len(n_words))
     return sums
 
