@@ -123,7 +123,7 @@ class Network:
 
         def score(context: np.ndarray, target: np.ndarray) -> np.ndarray:
             order = _order(target)
-            context, (klass, word) = context[order], np.divmod(target[order], CLASS_SIZE)
+            context, (klass, word) = context[order], _split(target[order])
             inner = np.take(towards[0], context[:, 0], axis=0)
             for k in range(1, 2 * SIDE):
                 inner += np.take(towards[k], context[:, k], axis=0)
@@ -145,12 +145,13 @@ class Network:
         """One step of Adagrad on the windows around these places of a line, which are `SIDE` or more from its ends."""
         n = len(places)
         at = places[_order(line[places])]
-        klass, word = np.divmod(line[at], CLASS_SIZE)
+        klass, word = _split(line[at])
         runs, rows, share = _runs(klass), np.arange(n), np.float32(1 / n)
         gradient, classes, of_class = state.gradient, state.classes, state.of_class
         inputs = np.take(self.embedding, line[at[:, None] + _AROUND], axis=0).reshape(n, -1)
         # The last column is for the biases.
-        hidden = np.ones((n, HIDDEN + 1), np.float32)
+        hidden = np.empty((n, HIDDEN + 1), np.float32)
+        hidden[:, -1] = 1
         inner = _product(inputs, self.inner)
         inner += self.inner_bias
         np.tanh(inner, out=hidden[:, :-1])
@@ -166,10 +167,14 @@ class Network:
         _softmax(inside, share)
         inside.ravel()[rows * CLASS_SIZE + word] -= share
         # Classes that are not in the batch have the gradient zero.
-        gradient["words"][:] = 0
+        gradient["words"][list(set(range(CLASSES)).difference(c for c, _, _ in runs))] = 0
+        last = None
         for (_, words, of_words), given, wrong, more in parts:
             np.matmul(wrong, words, out=more)
-            of_words += wrong.T @ given
+            if of_words is last:
+                of_words += wrong.T @ given
+            else:
+                last = np.matmul(wrong.T, given, out=of_words)
         back += inner
         np.multiply(hidden[:, :-1], hidden[:, :-1], out=inner)
         back *= np.subtract(1, inner, out=inner)
@@ -193,8 +198,10 @@ class Network:
             for k, d in enumerate(_AROUND.tolist()):
                 sums[max(d, 0) : m + min(d, 0)] += each[max(-d, 0) : m - max(d, 0), k]
         sums = np.ascontiguousarray(sums.T)
+        by_token = np.empty((EMBEDDING, _TOKENS + 1), np.float32)
         for k in range(EMBEDDING):
-            out[:, k] = np.bincount(line, sums[k], _TOKENS + 1)
+            by_token[k] = np.bincount(line, sums[k], _TOKENS + 1)
+        out[:] = by_token.T
 
 
 # Products of many rows with few columns: in blocks of so many rows they are quicker, as small ones need no packing.
@@ -285,14 +292,17 @@ def _order(tokens: np.ndarray) -> np.ndarray:
     return np.argsort(tokens.astype(np.int16), kind="stable")
 
 
+def _split(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class and word in class; quicker than numpy's divmod."""
+    klass = tokens // CLASS_SIZE
+    return klass, tokens - klass * CLASS_SIZE
+
+
 def _runs(klass: np.ndarray) -> list[tuple[int, int, int]]:
     """(class, begin, end) of the runs of a sorted array, in pieces of `_ROWS` at most."""
-    begins = np.flatnonzero(np.concatenate([[True], klass[1:] != klass[:-1]]))
-    sizes = np.diff(begins, append=len(klass))
-    if sizes.max(initial=0) > _ROWS:
-        since = np.arange(len(klass)) - np.repeat(begins, sizes)
-        begins = np.flatnonzero(since % _ROWS == 0)
-    return list(zip(klass[begins].tolist(), begins.tolist(), [*begins[1:].tolist(), len(klass)], strict=True))
+    ends = np.searchsorted(klass, np.arange(CLASSES + 1)).tolist()
+    spans = enumerate(itertools.pairwise(ends))
+    return [(c, k, min(k + _ROWS, b)) for c, (a, b) in spans for k in range(a, b, _ROWS)]
 
 
 class Vocabulary(dict):
@@ -348,12 +358,12 @@ class Words:
         return np.where((places >= 0) & (places < _TOKENS - BUCKETS), places, buckets_of(words))
 
     def read(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray, np.ndarray]:
-        """Tokens of all words of all texts, words of each text, distinct words, their places, and which each word is."""
+        """Words of each text, which of the distinct words all words are; the distinct words, their places and tokens."""
         words, n_words = all_words(texts)
         found = words.dictionary_encode()
         distinct, which = found.dictionary, found.indices.to_numpy()
         places = self.places(distinct)
-        return self.tokens(distinct, places).astype(np.int16)[which], n_words, distinct, places, which
+        return n_words, which, distinct, places, self.tokens(distinct, places).astype(np.int16)
 
 
 def _counts_of(text: str):
@@ -406,26 +416,23 @@ def _train_batches(vocabulary: dict[bytes, int], start: Network, seed: int, colu
             if pa.types.is_binary(held.type):
                 tokens, n_words = _tokens_in(held)
             else:
-                tokens, n_words, *_ = words.read(texts_of(held))
+                n_words, which, *_, token = words.read(texts_of(held))
+                tokens = token[which]
             line, target = _line(tokens, n_words)
             if most is not None:
                 target = _spread(target, n_words.tolist(), most)
             if not len(target):
                 continue
-            # The first steps have few windows, so these are from everywhere.
-            longest = 1 if seen < GROWTH * BATCH else RUN
-            begins, sizes = _neighbours(target, longest)
             # Short runs may reach over the end.
-            line = np.append(line, np.full(longest, _PAD))
-            order = random.permutation(len(begins))
-            begins, ends = begins[order], np.cumsum(sizes[order])
-            a = done = 0
-            while a < len(begins):
-                size = min(BATCH, max(FIRST_BATCH, (seen + done) // GROWTH))
-                b = max(a + 1, int(np.searchsorted(ends, done + size, "right")))
-                network.train(*_cut_out(line, begins[a:b], np.diff(ends[a:b], prepend=done), longest), state)
-                a, done = b, int(ends[b - 1])
-            seen += done
+            line = np.append(line, np.full(RUN, _PAD, np.int16))
+            for begins, sizes, longest in _mixed(target, GROWTH * BATCH - seen, random):
+                ends, a, done = np.cumsum(sizes), 0, 0
+                while a < len(begins):
+                    size = min(BATCH, max(FIRST_BATCH, (seen + done) // GROWTH))
+                    b = max(a + 1, int(np.searchsorted(ends, done + size, "right")))
+                    network.train(*_cut_out(line, begins[a:b], sizes[a:b], longest), state)
+                    a, done = b, int(ends[b - 1])
+                seen += done
         if seen:
             flat = network.flat() * np.float32(seen)
             blocks = [flat[a : a + _BLOCK].tobytes() for a in range(0, len(flat), _BLOCK)]
@@ -449,25 +456,41 @@ def _line(tokens: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """All texts in a row, padded before, between and after, and where their words are."""
     before = np.repeat(SIDE * np.arange(1, len(n_words) + 1), n_words)
     target = before + np.arange(len(tokens))
-    line = np.full(len(tokens) + SIDE * (len(n_words) + 1), _PAD, np.int64)
+    line = np.full(len(tokens) + SIDE * (len(n_words) + 1), _PAD, np.int16)
     line[target] = tokens
     return line, target
 
 
-def _neighbours(target: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Begins and sizes of runs of places that follow each other, so many at most."""
+def _mixed(
+    target: np.ndarray, alone: int, random: np.random.Generator
+) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Begins and sizes of runs of places that follow each other, `RUN` at most, in random order, and the longest size.
+
+    The first steps of a task have few windows. So that these are from everywhere, about the first `alone` windows are
+    runs of one.
+    """
     fresh = np.concatenate([[True], np.diff(target) != 1])
     since = np.arange(len(target))
     since -= np.maximum.accumulate(np.where(fresh, since, 0))
-    begins = np.flatnonzero(since % most == 0)
-    return target[begins], np.diff(begins, append=len(target))
+    begins = np.flatnonzero(since % RUN == 0)
+    sizes = np.diff(begins, append=len(target))
+    order = random.permutation(len(begins))
+    begins, sizes = target[begins[order]], sizes[order]
+    cut = 0
+    if alone > 0:
+        cut = int(np.searchsorted(np.cumsum(sizes), alone)) + 1
+        n = sizes[:cut]
+        singles = np.arange(n.sum()) + np.repeat(begins[:cut] - (np.cumsum(n) - n), n)
+        random.shuffle(singles)
+        yield singles, np.ones(len(singles), np.int64), 1
+    yield begins[cut:], sizes[cut:], RUN
 
 
 def _cut_out(line: np.ndarray, begins: np.ndarray, sizes: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
     """The runs with `SIDE` neighbours before and after each as a line of their own, and the places of their words."""
     within = np.arange(-SIDE, longest + SIDE)
     inside = (within >= 0) & (within < sizes[:, None])
-    return line[begins[:, None] + within].ravel(), np.flatnonzero(inside)
+    return line[begins[:, None] + within].ravel().astype(np.intp), np.flatnonzero(inside)
 
 
 def _spread(target: np.ndarray, n_words: list[int], most: int) -> np.ndarray:
@@ -606,8 +629,8 @@ def _encode_batches(words: Words, buckets: np.ndarray, text: str, keep_text: boo
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text):
-            tokens, n_words, distinct, places, which = words.read(texts_of(batch.column(text)))
-            shares = logs[places] - divisors[words.tokens(distinct, places)]
+            n_words, which, distinct, places, token = words.read(texts_of(batch.column(text)))
+            tokens, shares = token[which], logs[places] - divisors[token]
             row = np.repeat(np.arange(len(n_words)), n_words)
             unknown = np.flatnonzero((places < 0)[which])
             keys, times = np.unique(row[unknown] * np.int64(len(distinct) + 1) + which[unknown], return_counts=True)
@@ -620,7 +643,7 @@ def _encode_batches(words: Words, buckets: np.ndarray, text: str, keep_text: boo
                 batch,
                 {
                     "n_words": pa.array(n_words, pa.int64()),
-                    "log_likelihood": pa.array(np.bincount(row, shares[which], len(n_words))),
+                    "log_likelihood": pa.array(np.bincount(row, shares[which], len(n_words)), pa.float64()),
                     "__tokens": ids,
                     "__rare": pa.ListArray.from_arrays(pa.array(ends), rare),
                 },
@@ -686,9 +709,10 @@ def _scored(encoded: DataFrame, model: Model) -> DataFrame:
     schema = T.StructType([field for field in widened(numbered, log_likelihood=T.DoubleType()).fields if field.name != "__tokens"])
     scored = numbered.mapInArrow(_score_batches(model.network), schema)
     rare = encoded.select("__row", F.inline("__rare"))
-    # The logarithm of 1 is 0, for words that occur once as for words that were not counted.
+    # The logarithm of 1 is 0, for words that occur once as for words that were not counted. Each word has one count, so
+    # partitions of counts are even, and neither side is sorted.
     counts = model.counts.where("n > 1").select("word", F.round(F.ln("n") * _SCALE).cast("long").alias("__log"))
-    shares = rare.join(counts, "word").groupBy("__row").agg(F.sum(F.col("times") * F.col("__log")).alias("__shares"))
+    shares = rare.join(counts.hint("shuffle_hash"), "word").groupBy("__row").agg(F.sum(F.col("times") * F.col("__log")).alias("__shares"))
     total = F.col("log_likelihood") + F.coalesce(F.col("__shares") / _SCALE, F.lit(0.0))
     kept = [F.col(name) for name in scored.columns if name not in ("__row", "log_likelihood")]
     return scored.join(shares, "__row", "left").select(

@@ -2,6 +2,7 @@
 
 import glob
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -365,6 +366,54 @@ def test_language_model_gives_words_of_a_bucket_their_shares(spark):
     assert columns == ["doc_id", "n_words", "log_likelihood", "per_word"]
 
 
+def test_language_model_splits_texts_once(spark, monkeypatch):
+    """Counting and the token ids read the texts; training and scores read the ids."""
+    made = []
+    plain = pseudolikelihood.write_shared
+
+    def kept(df, name):
+        made.append((name, plain(df, name)))
+        return made[-1][1]
+
+    monkeypatch.setattr(pseudolikelihood, "write_shared", kept)
+    texts = ["A b\tc\x0b\x0cd  ", None, " \n", "\u00e0\u00a0b \u0085 X\u00c4", "a" * 30 + " b", "b b a xyz", "\x1cq r"] * 3
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = {row["doc_id"]: row for row in pseudolikelihood.learn_and_score(docs, keep_text=False).collect()}
+    words = {k: pseudolikelihood.words_of((text or "").encode()) for k, text in enumerate(texts)}
+    assert {k: row["n_words"] for k, row in got.items()} == {k: len(w) for k, w in words.items()}
+    # Before, no ids were kept, and each round and the scores split the texts anew.
+    (encoded,) = [df for name, df in made if name == "encoded"]
+    counted = Counter(itertools.chain.from_iterable(words.values()))
+    order = sorted(counted, key=lambda w: (-counted[w], w))
+    for row in encoded.collect():
+        assert np.frombuffer(row["__tokens"], np.int16).tolist() == [order.index(w) for w in words[row["doc_id"]]]
+    strange = pa.array([b"", b"a", b"ab", b"abc", b"x" * 50, "\u00e4\u00df\u20ac".encode()], pa.binary())
+    known = pseudolikelihood.Vocabulary({})
+    for some in (strange, strange.slice(2)):
+        assert pseudolikelihood.buckets_of(some).tolist() == [known[w] for w in some.to_pylist()]
+
+
+def test_language_model_steps_on_runs_as_on_single_windows():
+    """The gradient of the embedding by place of the line is that by neighbour."""
+    random = np.random.default_rng(1)
+    tokens = random.integers(0, 4096, 300).astype(np.int16)
+    line, target = pseudolikelihood._line(tokens, np.array([100, 0, 200]))
+    single = np.concatenate([line[p - 2 : p + 3] for p in target]).astype(np.intp)
+    found = []
+    for cut, places in ((line.astype(np.intp), target), (single, np.arange(300) * 5 + 2)):
+        net = pseudolikelihood.Network.new(np.bincount(tokens, minlength=4096).astype(float))
+        net.words[:] = net.words + 0.1
+        state = pseudolikelihood.Adagrad(net)
+        for _ in range(3):
+            net.train(cut, places, state)
+        found.append(net.flat())
+    assert np.abs(found[0] - found[1]).max() < 1e-4
+    # All windows once, whether alone or in runs.
+    parts = list(pseudolikelihood._mixed(target, 90, random))
+    places = [a + k for begins, sizes, _ in parts for a, n in zip(begins.tolist(), sizes.tolist()) for k in range(n)]
+    assert sorted(places) == target.tolist() and [longest for *_, longest in parts] == [1, pseudolikelihood.RUN]
+
+
 @pytest.mark.parametrize("kind", ["rules", "encoding", "prefixes", "toxicity", "lm"])
 def test_empty_tables(spark, kind):
     docs = spark.createDataFrame([], DOCS)
