@@ -342,6 +342,31 @@ def test_language_model_learns_rare_words():
     assert mean > -0.8
 
 
+def test_language_model_scores_in_order_of_words(monkeypatch):
+    """Products over the words of a class have many rows; before, each chunk of a text had all classes."""
+    draw = np.random.default_rng(4)
+    net, texts = pseudolikelihood.Network.new(np.ones(4096)), [draw.integers(0, 4096, n) for n in (60_000, 0, 40_000, 1)]
+    net.words = draw.normal(size=net.words.shape).astype(np.float32)
+    n_words, pieces, runs = np.array([len(t) for t in texts]), [], pseudolikelihood._runs
+    monkeypatch.setattr(pseudolikelihood, "_runs", lambda klass: pieces.extend(found := runs(klass)) or found)
+    sums = pseudolikelihood._sums(net, texts, n_words)
+    assert sum(b - a for _, a, b in pieces) == 100_001 and len(pieces) < 600
+    for k, text in enumerate(texts):
+        (alone,) = pseudolikelihood._sums(net, [text], n_words[k : k + 1])
+        assert abs(alone - sums[k]) < 1e-5 * (1 + abs(alone))
+
+
+def test_language_model_splits_words():
+    draw = random.Random(6)
+    characters = [chr(k) for k in range(140)] + ["\u00a0", "\u2028", "\U0001f600"] + [*" \t\n"] * 20
+    for _ in range(200):
+        texts = ["".join(draw.choices(characters, k=draw.choice((0, 1, 2, 40)))) for _ in range(draw.randrange(6))]
+        words, n_words = pseudolikelihood.all_words(pa.array(texts, pa.large_string()))
+        want = [pseudolikelihood.words_of(text.encode()) for text in texts]
+        assert words.to_pylist() == [word for found in want for word in found]
+        assert n_words.tolist() == [len(found) for found in want]
+
+
 def test_language_model_gives_words_of_a_bucket_their_shares(spark):
     # The frequent words fill the vocabulary; x00q and the others have one length and ending, so they share a bucket.
     common = " ".join(f"c{k}" for k in range(3840))
